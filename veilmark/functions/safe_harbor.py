@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -83,7 +84,9 @@ def salt_crosswalk(df: DataFrame, id_column: str, old_salt: str, new_salt: str)
     )
 
 
-def rekey(df: DataFrame, hid_column: str, crosswalk: DataFrame) -> DataFrame:
+def rekey(
+    df: DataFrame, hid_column: str, crosswalk: DataFrame, row_id: Sequence[str]
+) -> DataFrame:
     """A masked table moved from the old salt to the new one.
 
     Hashes that the crosswalk does not know, or that two identifiers share,
@@ -92,7 +95,7 @@ def rekey(df: DataFrame, hid_column: str, crosswalk: DataFrame) -> DataFrame:
     names = df.columns
     only = F.when(F.min("new_hid") == F.max("new_hid"), F.min("new_hid"))
     pairs = crosswalk.groupBy("old_hid").agg(only.alias("new_hid"))
-    joined = spread_join(df, pairs, hid_column, "old_hid", "left")
+    joined = spread_join(df, pairs, hid_column, "old_hid", row_id, "left")
     return joined.withColumn(hid_column, F.col("new_hid")).select(*names)
 
 

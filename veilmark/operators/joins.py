@@ -7,25 +7,42 @@ Row-level joins go through `spread_join`, which cuts hot keys into slices.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.operators.masking import masked
 from veilmark.sources.model import TABLES
 
-SALTS = 64
+SLICE_BITS = 6
 HOT_SHARE = 200
+PROBE_ONE_IN = 1024
+PROBE_MIN_ROWS = 20
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least 1/share of all rows: at most ``share`` of them.
-
-    Counts are exact, so the set is the same however often it is computed,
-    also when lost executors make Spark run the stage again.
+def hot_keys(
+    df: DataFrame,
+    key: str,
+    row_id: Sequence[str],
+    share: int = HOT_SHARE,
+    one_in: int = PROBE_ONE_IN,
+    min_rows: int = PROBE_MIN_ROWS,
+) -> DataFrame:
+    """Keys that hold about 1/share of all rows or more: at most ``share`` of them.
+
+    The keys only steer how `spread_join` lays out its rows and never which
+    rows it returns, so they are counted over one row in ``one_in``. Which
+    rows is settled by a hash of ``row_id``: the answer is the same however
+    often it is computed, also when a lost executor makes a stage run again.
+    Only the key and ``row_id`` columns are read. Tables too small for
+    ``min_rows`` probed rows of one key have no hot keys worth the trouble.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
-    total = df.agg(F.count("*").alias("n_total")).scalar()
-    return counts.where(F.col("n_rows") * share >= total).select(F.col(key).alias("hot_key"))
+    probe = df if one_in == 1 else df.where(F.xxhash64(*row_id) % one_in == 0)
+    counts = probe.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
+    total = probe.agg(F.count("*").alias("n_total")).scalar()
+    is_hot = (F.col("n_rows") >= min_rows) & (F.col("n_rows") * share >= total)
+    return counts.where(is_hot).select(F.col(key).alias("hot_key"))
 
 
 def spread_join(
@@ -33,35 +50,42 @@ def spread_join(
     one: DataFrame,
     many_key: str,
     one_key: str,
+    row_id: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
+    **probe: int,
 ) -> DataFrame:
     """Equi-join (inner or left) that survives hot and NULL keys of ``many``.
 
-    Rows of a hot key are cut into ``salts`` slices by a hash of the row, and
-    the few matching rows of ``one`` are repeated per slice. In a left join the
-    rows with a NULL key, which match nothing, are spread the same way. All
-    other keys join on slice 0. The list of hot keys has a proven bound, so it
-    is broadcast; the sides themselves are left to Spark's size checks. Column
-    names must not occur on both sides.
+    Rows of a hot key are cut into 2^SLICE_BITS slices by a hash of their
+    ``row_id`` columns, and the few matching rows of ``one`` are repeated per
+    slice. In a left join the rows with a NULL key, which match nothing, are
+    spread the same way. All other keys join on slice 0. The list of hot keys
+    has a proven bound, so it is broadcast; the sides themselves are left to
+    Spark's size checks. Column names must not occur on both sides.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    hot = hot_keys(many, many_key)
-    slice_of_row = F.pmod(F.xxhash64(*[f"`{c}`" for c in many.columns]), F.lit(salts)).cast("int")
-    left = many.join(F.broadcast(hot), F.col(many_key) == F.col("hot_key"), "left").withColumn(
-        "join_slice",
-        F.when(F.col("hot_key").isNotNull() | F.col(many_key).isNull(), slice_of_row).otherwise(0),
+    hot = hot_keys(many, many_key, row_id, **probe)
+    # The top bits of the hash, as the probe has used the low ones. Never NULL,
+    # so the join need not test for it.
+    row_slice = F.shiftrightunsigned(F.xxhash64(*row_id), 64 - SLICE_BITS)
+    is_spread = F.col("hot_key").isNotNull() | F.col(many_key).isNull()
+    left = (
+        many.join(F.broadcast(hot), F.col(many_key) == F.col("hot_key"), "left")
+        .withColumn("join_slice", F.when(is_spread, row_slice).otherwise(F.lit(0).cast("long")))
+        .drop("hot_key")
     )
-    slices = F.when(
-        F.col("hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
+    all_slices = F.sequence(F.lit(0).cast("long"), F.lit(2**SLICE_BITS - 1).cast("long"))
+    first_slice = F.array(F.lit(0).cast("long"))
     right = (
         one.join(F.broadcast(hot), F.col(one_key) == F.col("hot_key"), "left")
-        .withColumn("one_slice", F.explode(slices))
+        .withColumn(
+            "one_slice",
+            F.explode(F.when(F.col("hot_key").isNotNull(), all_slices).otherwise(first_slice)),
+        )
         .drop("hot_key")
     )
-    joined = left.drop("hot_key").join(
+    joined = left.join(
         right,
         (F.col(many_key) == F.col(one_key)) & (F.col("join_slice") == F.col("one_slice")),
         how,
@@ -93,7 +117,8 @@ def deid_join(
         **TABLES[left_table].policy,
         **{prefix + c: fn for c, fn in TABLES[right_table].policy.items()},
     }
-    return masked(spread_join(left, parent, on, prefix + on), policy, tier, salt)
+    row_id = [TABLES[left_table].key]
+    return masked(spread_join(left, parent, on, prefix + on, row_id), policy, tier, salt)
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -110,22 +135,29 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return used.join(known, "key_value", "left_anti")
 
 
-def member_rows(child: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:
+def member_rows(
+    child: DataFrame, members: DataFrame, columns: Sequence[str], row_id: Sequence[str]
+) -> DataFrame:
     """Child rows with columns of their member, NULL where the member is unknown."""
     parent = members.select(
         F.col("member_id").alias("m_member_id"),
         *[F.col(c).alias(f"member_{c}") for c in columns],
     )
-    return spread_join(child, parent, "member_id", "m_member_id", "left").drop("m_member_id")
+    joined = spread_join(child, parent, "member_id", "m_member_id", row_id, "left")
+    return joined.drop("m_member_id")
 
 
 def claim_authorizations(claims: DataFrame, authorizations: DataFrame) -> DataFrame:
-    """Every claim with the request its authorization number names, if any."""
+    """Every claim with the request its authorization number names, if any.
+
+    Most claims need no authorization, so the NULL numbers are the hot group.
+    """
     requests = authorizations.select("auth_id", "auth_type", "auth_status")
     return spread_join(
         claims.select("claim_id", "claim_status", "authorization_number"),
         requests,
         "authorization_number",
         "auth_id",
+        ["claim_id"],
         "left",
     )

@@ -127,6 +127,7 @@ def effective_table_tags(
         inherited.select(F.col("schema_name").alias("tagged_schema"), "tag_name", "tag_value"),
         "schema_name",
         "tagged_schema",
+        ["schema_name", "table_name"],
     ).drop("tagged_schema")
     level = from_schema.withColumn("level", F.lit(0)).unionByName(
         own_tags.withColumn("level", F.lit(1))

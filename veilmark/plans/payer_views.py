@@ -251,10 +251,11 @@ def _pharmacy_claims() -> dict[str, str]:
 
 def _prior_authorizations() -> dict[str, str]:
     k = "doc_id"
+    area = _digits(f"{k} % 900 + 100", 3)
     person = (
-        f"'. Call John Smith, ssn {'{a}'}-45-6789 or {'{a}'}-555-0101, ref 1234-55-67890, "
-        f"555-123-4567-89-0123.'"
-    ).replace("{a}", f"' || {_digits(f'{k} % 900 + 100', 3)} || '")
+        f"'. Call John Smith, ssn ' || {area} || '-45-6789 or ' || {area} || '-555-0101, "
+        f"ref 1234-55-67890, 555-123-4567-89-0123.'"
+    )
     return {
         "auth_id": f"'A-' || {_text(k)}",
         "member_id": f"'M-' || {_text(k)}",

@@ -88,6 +88,11 @@ class TableSpec:
     comment: str
     columns: tuple[ColumnSpec, ...] = field(repr=False)
 
+    @property
+    def key(self) -> str:
+        """The column that tells rows apart: always the first."""
+        return self.columns[0].name
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType(
