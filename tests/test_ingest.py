@@ -48,9 +48,9 @@ def test_typed_rows_and_rejects(raw):
     assert good.count() == 2
     bad = ingest.rejected(checked).select("eligibility_id", "reject_reasons")
     assert rows(bad) == [
-        ("E-3", ["effective_date"]),
-        ("E-4", ["cobra_flag", "premium_amount"]),
-        ("E-5", ["premium_amount"]),
+        ("E-3", "effective_date"),
+        ("E-4", "cobra_flag,premium_amount"),
+        ("E-5", "premium_amount"),
     ]
 
 

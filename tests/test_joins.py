@@ -32,7 +32,20 @@ def brute_force(how):
 @pytest.mark.parametrize("probe", [{"one_in": 1}, {"one_in": 4}, {}])
 def test_spread_join_equals_brute_force(sides, how, probe):
     many, one = sides
-    joined = joins.spread_join(many, one, "fk", "pk", ["id"], how, **probe)
+    joined = joins.spread_join(many, one, "fk", "pk", ["id"], how, broadcast_bytes=0, **probe)
+    assert rows(joined) == brute_force(how)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_small_side_is_broadcast_and_nothing_moves(spark, sides, tmp_path, how):
+    many, one = sides
+    one.write.parquet(str(tmp_path / "one"))
+    stored = spark.read.parquet(str(tmp_path / "one"))
+    assert joins.estimated_bytes(stored) < 10_000
+    joined = joins.spread_join(many, stored, "fk", "pk", ["id"], how)
+    text = plan(joined)
+    assert "BroadcastHashJoin" in text
+    assert "Exchange hashpartitioning" not in text
     assert rows(joined) == brute_force(how)
 
 
@@ -49,7 +62,7 @@ def test_a_hot_key_fills_many_slices(spark, sides):
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         many, one = sides
-        joined = joins.spread_join(many, one, "fk", "pk", ["id"], "left", one_in=1)
+        joined = joins.spread_join(many, one, "fk", "pk", ["id"], "left", broadcast_bytes=0, one_in=1)
         sizes = [
             r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()
         ]
@@ -81,6 +94,15 @@ def test_deid_join_equals_the_join_on_hashes(spark, sf_dir):
     assert got.count() == clear > 0
 
 
+def test_deid_join_of_large_sides(spark, sf_dir, monkeypatch):
+    claims, members = (payer_table(spark, sf_dir, t) for t in ("claims", "members"))
+    small = rows(joins.deid_join(claims, "claims", members, "members", "none", "s"))
+    monkeypatch.setattr(joins, "estimated_bytes", lambda df: 2**60)
+    large = joins.deid_join(claims, "claims", members, "members", "none", "s")
+    assert "join_slice" in plan(large)
+    assert rows(large) == small
+
+
 def test_deid_join_reads_only_what_is_asked_for(spark, sf_dir):
     claims, members = (payer_table(spark, sf_dir, t) for t in ("claims", "members"))
     text = plan(joins.deid_join(claims, "claims", members, "members", "none", "s").select("claim_id"))

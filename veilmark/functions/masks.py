@@ -69,13 +69,23 @@ def _last(value: Column, chars: int) -> Column:
 def mask_ssn(value: Column | str, tier: str | Column) -> Column:
     """Last four characters at tier partial."""
     text = _text(value)
-    return pick(tier, text, F.concat(F.lit(SSN_PREFIX), _last(text, 4)), F.lit(SSN_TOKEN))
+    return pick(
+        tier,
+        lambda: text,
+        lambda: F.concat(F.lit(SSN_PREFIX), _last(text, 4)),
+        lambda: F.lit(SSN_TOKEN),
+    )
 
 
 def mask_name(value: Column | str, tier: str | Column) -> Column:
     """First character at tier partial, whatever the length of the name."""
     text = _text(value)
-    return pick(tier, text, F.concat(_first(text, 1), F.lit(NAME_SUFFIX)), F.lit(REDACTED))
+    return pick(
+        tier,
+        lambda: text,
+        lambda: F.concat(_first(text, 1), F.lit(NAME_SUFFIX)),
+        lambda: F.lit(REDACTED),
+    )
 
 
 def mask_email(value: Column | str, tier: str | Column) -> Column:
@@ -85,34 +95,55 @@ def mask_email(value: Column | str, tier: str | Column) -> Column:
     kept as domain.
     """
     text = _text(value)
-    parts = F.split(text, "@", 3)
-    partial = F.concat(_first(F.get(parts, 0), 1), F.lit(EMAIL_INFIX), F.get(parts, 1))
-    return pick(tier, text, partial, F.lit(REDACTED))
+
+    def partial():
+        parts = F.split(text, "@", 3)
+        return F.concat(_first(F.get(parts, 0), 1), F.lit(EMAIL_INFIX), F.get(parts, 1))
+
+    return pick(tier, lambda: text, partial, lambda: F.lit(REDACTED))
 
 
 def mask_phone(value: Column | str, tier: str | Column) -> Column:
     """Last four digits at tier partial; everything but ASCII digits is ignored."""
     text = _text(value)
-    digits = F.regexp_replace(text, r"[^0-9]+", "")
-    return pick(tier, text, F.concat(F.lit(PHONE_PREFIX), _last(digits, 4)), F.lit(PHONE_TOKEN))
+
+    def partial():
+        digits = F.regexp_replace(text, r"[^0-9]+", "")
+        return F.concat(F.lit(PHONE_PREFIX), _last(digits, 4))
+
+    return pick(tier, lambda: text, partial, lambda: F.lit(PHONE_TOKEN))
 
 
 def mask_date_of_birth(value: Column | str, tier: str | Column) -> Column:
     """ISO date, year and month, or year only; NULL stays NULL in every tier."""
     day = (F.col(value) if isinstance(value, str) else value).cast("date")
-    year_only = F.concat(F.year(day).cast("string"), F.lit(YEAR_SUFFIX))
-    return pick(tier, day.cast("string"), F.date_format(day, "yyyy-MM"), year_only)
+    return pick(
+        tier,
+        lambda: day.cast("string"),
+        lambda: F.date_format(day, "yyyy-MM"),
+        lambda: F.concat(F.year(day).cast("string"), F.lit(YEAR_SUFFIX)),
+    )
 
 
 def mask_zip_code(value: Column | str, tier: str | Column) -> Column:
     """Three leading characters at tier partial."""
     text = _text(value)
-    return pick(tier, text, F.concat(_first(text, 3), F.lit(ZIP_SUFFIX)), F.lit(ZIP_TOKEN))
+    return pick(
+        tier,
+        lambda: text,
+        lambda: F.concat(_first(text, 3), F.lit(ZIP_SUFFIX)),
+        lambda: F.lit(ZIP_TOKEN),
+    )
 
 
 def mask_address(value: Column | str, tier: str | Column) -> Column:
     """Constants below tier full, also for NULL, so the column need not be read."""
-    return pick(tier, _text(value), F.lit(ADDRESS_PLACEHOLDER), F.lit(REDACTED))
+    return pick(
+        tier,
+        lambda: _text(value),
+        lambda: F.lit(ADDRESS_PLACEHOLDER),
+        lambda: F.lit(REDACTED),
+    )
 
 
 def hash_identifier(
@@ -133,23 +164,31 @@ def hash_identifier(
         raise ValueError("hash_identifier needs a non-empty salt below tier full")
     if not 1 <= digest_chars <= 64:
         raise ValueError("digest_chars must be between 1 and 64")
-    digest = F.sha2(F.concat(text, F.lit(salt)), 256)
-    hashed = F.concat(F.lit(HASH_PREFIX), _first(digest, digest_chars))
-    return pick(tier, text, hashed, hashed)
+
+    def hashed():
+        digest = F.sha2(F.concat(text, F.lit(salt)), 256)
+        return F.concat(F.lit(HASH_PREFIX), _first(digest, digest_chars))
+
+    return pick(tier, lambda: text, hashed, hashed)
 
 
 def amount_bucket(amount: Column) -> Column:
     """Label of the half-open range an amount falls into; NULL stays NULL."""
-    label = F.when(amount.isNull(), F.lit(None).cast("string"))
+    label = F.when(amount.isNull(), None)
     for limit, name in AMOUNT_BUCKETS:
-        label = label.when(amount < F.lit(limit).cast(AMOUNT_TYPE), F.lit(name))
-    return label.otherwise(F.lit(AMOUNT_TOP_BUCKET))
+        label = label.when(amount < limit, name)
+    return label.otherwise(AMOUNT_TOP_BUCKET)
 
 
 def mask_financial_amount(value: Column | str, tier: str | Column) -> Column:
     """Range label at tier partial; the exact amount as text at tier full."""
     amount = (F.col(value) if isinstance(value, str) else value).cast(AMOUNT_TYPE)
-    return pick(tier, amount.cast("string"), amount_bucket(amount), F.lit(REDACTED))
+    return pick(
+        tier,
+        lambda: amount.cast("string"),
+        lambda: amount_bucket(amount),
+        lambda: F.lit(REDACTED),
+    )
 
 
 def mask_diagnosis_code(
@@ -162,52 +201,77 @@ def mask_diagnosis_code(
     it starts with a letter, and anything else without a dot is redacted.
     """
     text = _text(value)
-    partial = F.concat(F.substring_index(text, ".", 1), F.lit(DIAGNOSIS_SUFFIX))
-    dotted = F.instr(text, ".") > 0
-    if keep_undotted:
-        category = text.rlike(r"^[A-Za-z][0-9A-Za-z]{2}$")
-        partial = (
-            F.when(text.isNull() | dotted | category, partial).otherwise(F.lit(REDACTED))
-        )
-    else:
-        partial = F.when(text.isNull() | dotted, partial).otherwise(F.lit(DIAGNOSIS_SUFFIX))
-    return pick(tier, text, partial, F.lit(REDACTED))
+
+    def partial():
+        category = F.concat(F.substring_index(text, ".", 1), F.lit(DIAGNOSIS_SUFFIX))
+        whole = text.isNull() | text.contains(".")
+        undotted = F.lit(DIAGNOSIS_SUFFIX)
+        if keep_undotted:
+            whole = whole | text.rlike(r"^[A-Za-z][0-9A-Za-z]{2}$")
+            undotted = F.lit(REDACTED)
+        return F.when(whole, category).otherwise(undotted)
+
+    return pick(tier, lambda: text, partial, lambda: F.lit(REDACTED))
 
 
 def mask_drug_info(value: Column | str, tier: str | Column) -> Column:
     """Constants below tier full, also for NULL."""
-    return pick(tier, _text(value), F.lit(DRUG_PLACEHOLDER), F.lit(REDACTED))
+    return pick(
+        tier,
+        lambda: _text(value),
+        lambda: F.lit(DRUG_PLACEHOLDER),
+        lambda: F.lit(REDACTED),
+    )
 
 
 def mask_clinical_notes(value: Column | str, tier: str | Column) -> Column:
     """Patterns of names, SSNs and phone numbers replaced at tier partial.
 
     The patterns run one after the other over the whole text: a digit run that
-    could be read as both an SSN and a phone number is taken as an SSN.
+    could be read as both an SSN and a phone number is taken as an SSN. Numbers
+    need a hyphen, which no name pattern touches, so text without one is spared
+    the passes for them.
     """
     text = _text(value)
-    scrubbed = text
-    for pattern, label in NOTE_PATTERNS:
-        scrubbed = F.regexp_replace(scrubbed, pattern, label)
-    return pick(tier, text, scrubbed, F.lit(NOTES_TOKEN))
+
+    def partial():
+        (name, name_label), *numbers = NOTE_PATTERNS
+        nameless = F.regexp_replace(text, name, name_label)
+        scrubbed = nameless
+        for pattern, label in numbers:
+            scrubbed = F.regexp_replace(scrubbed, pattern, label)
+        return F.when(text.contains("-"), scrubbed).otherwise(nameless)
+
+    return pick(tier, lambda: text, partial, lambda: F.lit(NOTES_TOKEN))
 
 
 def mask_tax_id(value: Column | str, tier: str | Column) -> Column:
     """Last four characters at tier partial."""
     text = _text(value)
-    return pick(tier, text, F.concat(F.lit(TAX_ID_PREFIX), _last(text, 4)), F.lit(TAX_ID_TOKEN))
+    return pick(
+        tier,
+        lambda: text,
+        lambda: F.concat(F.lit(TAX_ID_PREFIX), _last(text, 4)),
+        lambda: F.lit(TAX_ID_TOKEN),
+    )
 
 
 def mask_beneficiary_id(value: Column | str, tier: str | Column) -> Column:
     """Three leading characters at tier partial."""
     text = _text(value)
-    partial = F.concat(_first(text, 3), F.lit(BENEFICIARY_SUFFIX))
-    return pick(tier, text, partial, F.lit(BENEFICIARY_TOKEN))
+    return pick(
+        tier,
+        lambda: text,
+        lambda: F.concat(_first(text, 3), F.lit(BENEFICIARY_SUFFIX)),
+        lambda: F.lit(BENEFICIARY_TOKEN),
+    )
 
 
 def mask_redact(value: Column | str, tier: str | Column) -> Column:
     """Redaction of tagged columns that no other function is meant for."""
-    return pick(tier, _text(value), F.lit(REDACTED), F.lit(REDACTED))
+    return pick(
+        tier, lambda: _text(value), lambda: F.lit(REDACTED), lambda: F.lit(REDACTED)
+    )
 
 
 MASKS: dict[str, Callable[..., Column]] = {

@@ -39,7 +39,12 @@ def capped_birth_date(value: Column | str, tier: str | Column, as_of: date | Non
     def capped(level):
         return F.when(is_old, F.lit(AGE_LABEL)).otherwise(mask_date_of_birth(day, level))
 
-    return pick(tier, mask_date_of_birth(day, "full"), capped("partial"), capped("none"))
+    return pick(
+        tier,
+        lambda: mask_date_of_birth(day, "full"),
+        lambda: capped("partial"),
+        lambda: capped("none"),
+    )
 
 
 def zip3_by_population(

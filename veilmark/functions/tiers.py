@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +47,16 @@ def resolve_tier(principal_groups: DataFrame, principal: str) -> str:
     return row["tier"] if row else NONE
 
 
-def pick(tier: str | Column, full: Column, partial: Column, none: Column) -> Column:
+Arm = Callable[[], Column]
+
+
+def pick(tier: str | Column, full: Arm, partial: Arm, none: Arm) -> Column:
     """The arm of a mask for a tier.
 
-    A tier name selects the arm while the plan is built, so nothing of the
-    other arms reaches the executors. A tier column keeps all three. Whatever
-    is neither ``full`` nor ``partial`` gets the most masked arm.
+    A tier name selects the arm while the plan is built, so the other arms are
+    not even made. A tier column keeps all three. Whatever is neither ``full``
+    nor ``partial`` gets the most masked arm.
     """
     if isinstance(tier, Column):
-        return F.when(tier == FULL, full).when(tier == PARTIAL, partial).otherwise(none)
-    return {FULL: full, PARTIAL: partial}.get(tier, none)
+        return F.when(tier == FULL, full()).when(tier == PARTIAL, partial()).otherwise(none())
+    return {FULL: full, PARTIAL: partial}.get(tier, none)()

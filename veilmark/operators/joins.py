@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from veilmark.operators.masking import masked
 from veilmark.sources.model import TABLES
 
+BROADCAST_BYTES = 10 * 1024 * 1024
 SLICE_BITS = 6
 HOT_SHARE = 200
 PROBE_ONE_IN = 1024
@@ -45,6 +46,11 @@ def hot_keys(
     return counts.where(is_hot).select(F.col(key).alias("hot_key"))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate: from file sizes, or huge where it knows nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread_join(
     many: DataFrame,
     one: DataFrame,
@@ -52,19 +58,23 @@ def spread_join(
     one_key: str,
     row_id: Sequence[str],
     how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
     **probe: int,
 ) -> DataFrame:
     """Equi-join (inner or left) that survives hot and NULL keys of ``many``.
 
-    Rows of a hot key are cut into 2^SLICE_BITS slices by a hash of their
+    If ``one`` is estimated at no more than ``broadcast_bytes`` it is broadcast,
+    and no key has to move. Else both sides are shuffled: rows of a hot key are cut into 2^SLICE_BITS slices by a hash of their
     ``row_id`` columns, and the few matching rows of ``one`` are repeated per
     slice. In a left join the rows with a NULL key, which match nothing, are
     spread the same way. All other keys join on slice 0. The list of hot keys
-    has a proven bound, so it is broadcast; the sides themselves are left to
-    Spark's size checks. Column names must not occur on both sides.
+    has a proven bound, so it is broadcast. Column names must not occur on both
+    sides.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if estimated_bytes(one) <= broadcast_bytes:
+        return many.join(F.broadcast(one), F.col(many_key) == F.col(one_key), how)
     hot = hot_keys(many, many_key, row_id, **probe)
     # The top bits of the hash, as the probe has used the low ones. Never NULL,
     # so the join need not test for it.

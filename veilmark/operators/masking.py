@@ -43,7 +43,7 @@ def masked(
     functions = {column.lower(): function for column, function in policy.items()}
     projection = []
     for f in df.schema.fields:
-        column = df[f"`{f.name}`"]
+        column = F.col(f"`{f.name}`")
         function = functions.get(f.name.lower())
         if function:
             value = apply_mask(function, column, tier, salt)

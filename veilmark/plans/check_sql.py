@@ -295,11 +295,10 @@ _SPOILED = (
 
 
 def _rejected() -> str:
-    # Spoilt columns in alphabetic order of their names.
     bad = (
-        "CASE WHEN group_number = 'GRP-9' THEN 'cobra_flag' END, "
         "CASE WHEN effective_date = DATE '2020-01-08' THEN 'effective_date' END, "
-        "CASE WHEN group_number = 'GRP-7' AND premium_amount IS NOT NULL THEN 'premium_amount' END"
+        "CASE WHEN group_number = 'GRP-9' THEN 'cobra_flag' END, "
+        "CASE WHEN group_number = 'GRP-7' THEN 'premium_amount' END"
     )
     return (
         f"SELECT eligibility_id, concat_ws(',', {bad}) AS reasons "

@@ -9,7 +9,6 @@ values and amounts on bucket limits occur in each at a fixed rate.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from veilmark.sources.model import TABLES
 
@@ -300,16 +299,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def payer_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One payer table with the types of the model."""
-    source, columns = PROJECTIONS[table]
-    types = {f.name: f.dataType for f in TABLES[table].schema}
-    return read(spark, sf_dir, source).select(
-        *[F.expr(expr).cast(types[name]).alias(name) for name, expr in columns.items()]
-    )
+    return read(spark, sf_dir, PROJECTIONS[table][0]).selectExpr(*_items(table))
+
+
+def _items(table: str) -> list[str]:
+    types = {c.name: c.type.upper() for c in TABLES[table].columns}
+    return [f"CAST({expr} AS {types[n]}) AS {n}" for n, expr in PROJECTIONS[table][1].items()]
 
 
 def payer_sql(table: str) -> str:
     """The same projection as SQL text."""
-    source, columns = PROJECTIONS[table]
-    types = {c.name: c.type.upper() for c in TABLES[table].columns}
-    items = ", ".join(f"CAST({expr} AS {types[n]}) AS {n}" for n, expr in columns.items())
-    return f"SELECT {items} FROM {source}"
+    return f"SELECT {', '.join(_items(table))} FROM {PROJECTIONS[table][0]}"

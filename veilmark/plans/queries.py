@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from veilmark.operators.masking import masked, write_masked
 from veilmark.plans import analytics
 from veilmark.plans.payer_views import payer_table, read
 from veilmark.plans.tag_views import tag_view
-from veilmark.session import scratch_path
+from veilmark.session import prepare, scratch_path
 from veilmark.sources import ingest
 from veilmark.sources.model import FOREIGN_KEYS, TABLES, with_class
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
@@ -86,19 +86,19 @@ MASK_QUERIES = {
 # Text columns of the raw rows that do not fit their type now and then.
 SPOILED = {
     "effective_date": ("effective_date = '2020-01-08'", "'08.01.2020 '"),
-    "premium_amount": ("group_number = 'GRP-7'", "'12,50 EUR'"),
     "cobra_flag": ("group_number = 'GRP-9'", "'maybe'"),
+    "premium_amount": ("group_number = 'GRP-7'", "'12,50 EUR'"),
 }
 
 
 def as_text(df: DataFrame) -> DataFrame:
     """Dates, times, decimals, flags and integers as text, for comparison."""
-
-    def shown(f: T.StructField) -> Column:
-        column = F.col(f.name)
-        return column if f.dataType == T.StringType() else column.cast("string").alias(f.name)
-
-    return df.select(*[shown(f) for f in df.schema])
+    return df.selectExpr(
+        *[
+            f.name if f.dataType == T.StringType() else f"CAST({f.name} AS STRING) AS {f.name}"
+            for f in df.schema
+        ]
+    )
 
 
 def _mask_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +192,7 @@ def _ingest_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ingest.rejected(_spoiled_rows(spark, sf_dir))
-    reasons = F.array_join(F.array_sort(ingest.REASONS), ",").alias("reasons")
-    return rows.select("eligibility_id", reasons)
+    return rows.select("eligibility_id", F.col(ingest.REASONS).alias("reasons"))
 
 
 def _column_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,4 +446,9 @@ def registered() -> dict[str, Query]:
         "drg_to_mdc": _drg_to_mdc,
         "retention_report": _retention,
     }
-    return found
+    return {name: _prepared(query) for name, query in found.items()}
+
+
+def _prepared(query: Query) -> Query:
+    """The query in a session with the library's runtime settings."""
+    return lambda spark, sf_dir: query(prepare(spark), sf_dir)

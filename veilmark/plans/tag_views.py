@@ -120,9 +120,8 @@ PRESENT = {"dictionary_tags": "tag_name", "bindings": "function_name"}
 
 def tag_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = SOURCES[name]
-    df = read(spark, sf_dir, source).select(
-        *[F.expr(expr).alias(alias) for alias, expr in columns.items()]
-    )
+    items = [f"{expr} AS {alias}" for alias, expr in columns.items()]
+    df = read(spark, sf_dir, source).selectExpr(*items)
     return df.where(F.col(PRESENT[name]).isNotNull()) if name in PRESENT else df
 
 

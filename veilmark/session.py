@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Above this size the JVM does not compile a generated method; Spark then does
+# better with several smaller ones, which very wide masked tables can need.
+COMPILED_METHOD_BYTES = "8000"
+
 # Runtime settings every job relies on. Shuffle widths are left to adaptive
 # execution, which also splits partitions that one hot key has blown up.
 RUNTIME_CONF = {
@@ -15,6 +19,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES,
+}
+
+# Settings that count only when a session starts. The second spares a look at
+# the Python stack for every expression of a wide projection.
+START_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -27,12 +39,19 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {**RUNTIME_CONF, "spark.ui.enabled": "false", **(conf or {})}
+    settings = {**RUNTIME_CONF, **START_CONF, **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session somebody else has started."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; every executor can reach it.
 

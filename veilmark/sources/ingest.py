@@ -40,8 +40,8 @@ def checked(
     """Raw rows cast to the table's types, with the columns that would not cast.
 
     Values are cast by the declared type, whether quoted or not. A value that
-    does not fit leaves NULL and its column name in ``reject_reasons``. Missing
-    audit stamps get one time for the whole load: ``stamp`` or now.
+    does not fit leaves NULL and its column name in ``reject_reasons``, a list
+    with commas in the order of the columns. Missing audit stamps get one time for the whole load: ``stamp`` or now.
     """
     spec = TABLES[table]
     names = [c.name for c in spec.columns]
@@ -56,29 +56,31 @@ def checked(
         raise ValueError(f"columns missing for {table}: {', '.join(missing)}")
     now = F.lit(stamp).cast("timestamp") if stamp else F.current_timestamp()
 
-    values, reasons = [], []
+    values, misfits = [], []
     for f in spec.schema.fields:
         if f.name in present:
-            value = F.col(f.name).try_cast(f.dataType)
-            reasons.append(
-                F.when(F.col(f.name).isNotNull() & value.isNull(), F.lit(f.name))
-            )
+            typed = f"try_cast({f.name} AS {f.dataType.simpleString()})"
+            value = F.expr(typed)
+            if f.dataType != T.StringType():
+                misfits.append(
+                    F.expr(f"CASE WHEN {f.name} IS NOT NULL AND {typed} IS NULL THEN '{f.name}' END")
+                )
         else:
             value = F.lit(None).cast(f.dataType)
         if f.name in STAMPS:
             value = F.coalesce(value, now)
         values.append(value.alias(f.name, metadata=f.metadata))
-    return raw.select(*values, F.array_compact(F.array(*reasons)).alias(REASONS))
+    return raw.select(*values, F.concat_ws(",", *misfits).alias(REASONS))
 
 
 def accepted(checked_rows: DataFrame) -> DataFrame:
     """Rows in which every value fits its column."""
-    return checked_rows.where(F.size(REASONS) == 0).drop(REASONS)
+    return checked_rows.where(F.col(REASONS) == "").drop(REASONS)
 
 
 def rejected(checked_rows: DataFrame) -> DataFrame:
     """Rows with at least one value that does not fit, with the column names."""
-    return checked_rows.where(F.size(REASONS) > 0)
+    return checked_rows.where(F.col(REASONS) != "")
 
 
 def _quoted(text: str) -> str:
