@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
-from veilmark.operators.masking import bind_mask, masked, policy_of, write_masked
+from veilmark.operators.masking import bind_mask, masked, policy_of, save_masked, write_masked
 from veilmark.plans.payer_views import payer_table
 from veilmark.sources import model
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
@@ -88,6 +88,26 @@ def test_written_copy(spark, sf_dir, tmp_path):
     assert rows(back.select(*expected.columns)) == rows(expected)
 
 
+def test_bucketed_copies_join_on_the_hash_without_shuffle(spark, sf_dir):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS masked_copies")
+    for t in ("claims", "members"):
+        save_masked(
+            payer_table(spark, sf_dir, t), t, "none", f"masked_copies.{t}", SALT, "member_id", 4
+        )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("masked_copies.claims").join(
+            spark.table("masked_copies.members").select("member_id", "state_code"), "member_id"
+        )
+        assert "Exchange" not in plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    clear = payer_table(spark, sf_dir, "claims").join(
+        payer_table(spark, sf_dir, "members").select("member_id"), "member_id"
+    )
+    assert joined.count() == clear.count()
+
+
 def test_stream_equals_batch_and_continues(spark, sf_dir, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     claims = payer_table(spark, sf_dir, "claims")

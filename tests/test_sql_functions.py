@@ -44,3 +44,21 @@ def test_functions_that_follow_the_session(spark):
 def test_salt_is_required(spark):
     with pytest.raises(ValueError):
         sf.register_functions(spark, "")
+
+
+def test_functions_that_test_groups_themselves(spark):
+    sf.register_group_function(spark)
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION shown(v STRING) RETURNS STRING RETURN "
+        "if(is_account_group_member('phi_full_access'), v, 'hidden')"
+    )
+    spark.createDataFrame([("a",)], "v string").createOrReplaceTempView("secrets")
+
+    def ask():
+        return spark.sql("SELECT shown(v) FROM secrets").first()[0]
+
+    assert ask() == "hidden"
+    sf.set_session_groups(spark, ["x", "phi_full_access"])
+    assert ask() == "a"
+    sf.set_session_groups(spark, [])
+    assert ask() == "hidden"

@@ -14,6 +14,8 @@ can read it, so keep stored functions in a schema readers cannot browse.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 from veilmark.functions import masks as m
@@ -21,6 +23,7 @@ from veilmark.functions.tiers import FULL, NONE, PARTIAL, TIERS
 from veilmark.sources.model import SCHEMA_NAME, TABLES
 
 TIER_VARIABLE = "veilmark_tier"
+GROUPS_VARIABLE = "veilmark_groups"
 
 
 def _lit(text: str) -> str:
@@ -54,7 +57,7 @@ def _bodies(salt: str) -> dict[str, tuple[str, str, str, str]]:
         f"substr(get(split(value, '@', 3), 0), 1, 1) || {_lit(m.EMAIL_INFIX)} "
         f"|| get(split(value, '@', 3), 1)"
     )
-    dx = f"if(contains(value, '.'), substring_index(value, '.', 1), substr(value, 1, 0))"
+    dx = "if(contains(value, '.'), substring_index(value, '.', 1), substr(value, 1, 0))"
     redacted = _lit(m.REDACTED)
     text = "STRING", "value"
     return {
@@ -123,6 +126,28 @@ def set_session_tier(spark: SparkSession, tier: str) -> None:
     spark.sql(f"SET VAR {TIER_VARIABLE} = {_lit(tier)}")
 
 
+def register_group_function(spark: SparkSession) -> None:
+    """Create ``is_account_group_member(group)`` over the session's groups.
+
+    Functions that test groups themselves then run unchanged, as temporary
+    functions. A session starts without groups.
+    """
+    spark.sql(
+        f"DECLARE OR REPLACE VARIABLE {GROUPS_VARIABLE} ARRAY<STRING> "
+        f"DEFAULT CAST(array() AS ARRAY<STRING>)"
+    )
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION is_account_group_member(group_name STRING) "
+        f"RETURNS BOOLEAN RETURN array_contains(session.{GROUPS_VARIABLE}, group_name)"
+    )
+
+
+def set_session_groups(spark: SparkSession, groups: Iterable[str]) -> None:
+    """Replace the groups of the session."""
+    names = ", ".join(_lit(g) for g in groups)
+    spark.sql(f"SET VAR {GROUPS_VARIABLE} = CAST(array({names}) AS ARRAY<STRING>)")
+
+
 def create_masked_views(
     spark: SparkSession, table: str, schema: str = SCHEMA_NAME, tiers: tuple[str, ...] = TIERS
 ) -> list[str]:

@@ -66,3 +66,25 @@ def write_masked(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def save_masked(
+    df: DataFrame,
+    table: str | Mapping[str, str],
+    tier: str,
+    name: str,
+    salt: str | None = None,
+    bucket_by: str | None = None,
+    buckets: int = 0,
+    mode: str = "overwrite",
+) -> None:
+    """Write a masked copy as a table of the catalog.
+
+    Copies bucketed by one hashed identifier into equally many buckets join on
+    it without a shuffle. A bucket cannot be split later: leave the layout off
+    where one identifier may hold a large part of the rows.
+    """
+    writer = masked(df, table, tier, salt).write.mode(mode).format("parquet")
+    if bucket_by and buckets:
+        writer = writer.bucketBy(buckets, bucket_by)
+    writer.saveAsTable(name)

@@ -445,6 +445,9 @@ def checks() -> dict[str, str]:
         "masked_stream": f"SELECT o_orderkey AS key, "
         f"{_hash('CAST(o_custkey AS VARCHAR)')} AS o_custkey, "
         f"{_range('CAST(o_totalprice AS DECIMAL(12,2))')} AS o_totalprice FROM orders",
+        "replace_and_append": f"SELECT {masked_columns('eligibility', 'full')} "
+        f"FROM (SELECT * FROM ({payer_sql('eligibility')}) a "
+        f"UNION ALL SELECT * FROM ({payer_sql('eligibility')}) b) t",
         "ingest_accepted": "SELECT "
         + ", ".join(f"CAST({c.name} AS VARCHAR) AS {c.name}" for c in TABLES["eligibility"].columns)
         + f" FROM ({payer_sql('eligibility')}) t WHERE NOT ({_SPOILED})",

@@ -195,6 +195,17 @@ def _ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("eligibility_id", F.col(ingest.REASONS).alias("reasons"))
 
 
+def _replace_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table replaced twice and appended to once: two copies remain."""
+    schema = "veilmark_check"
+    ingest.create_schema(spark, schema, scratch_path(spark, schema))
+    rows = payer_table(spark, sf_dir, "eligibility")
+    for _ in range(2):
+        name = ingest.replace_table(spark, "eligibility", rows, schema)
+    ingest.append_rows(spark, "eligibility", rows, schema)
+    return as_text(spark.table(name))
+
+
 def _column_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = tag_view(spark, sf_dir, "column_tag_log")
     return tags.latest_tags(log, ["ts", "event_id"], tags.COLUMN_KEYS)
@@ -411,6 +422,7 @@ def registered() -> dict[str, Query]:
         "sql_function_masks": _sql_masks,
         "masked_export": _masked_export,
         "masked_stream": _masked_stream,
+        "replace_and_append": _replace_and_append,
         "ingest_accepted": _ingest_accepted,
         "ingest_rejected": _ingest_rejected,
         "set_column_tags": _column_tags,

@@ -87,9 +87,13 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_schema(spark: SparkSession, schema: str = SCHEMA_NAME) -> None:
-    """Create the schema unless it is there."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` COMMENT {_quoted(SCHEMA_COMMENT)}")
+def create_schema(
+    spark: SparkSession, schema: str = SCHEMA_NAME, location: str | None = None
+) -> None:
+    """Create the schema unless it is there; ``location`` is where its tables go."""
+    place = f" LOCATION {_quoted(location)}" if location else ""
+    comment = _quoted(SCHEMA_COMMENT)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` COMMENT {comment}{place}")
 
 
 def _describe(spark: SparkSession, name: str, spec: TableSpec) -> None:
