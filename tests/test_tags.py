@@ -1,7 +1,10 @@
+from datetime import datetime
+
 from tests.conftest import rows
 from veilmark.operators import audit, tags
 
-COLUMN = "schema_name string, table_name string, column_name string, tag_name string, tag_value string"
+TAG = "tag_name string, tag_value string"
+COLUMN = f"schema_name string, table_name string, column_name string, {TAG}"
 
 
 def test_set_tags_overwrites_and_adds(spark):
@@ -16,11 +19,11 @@ def test_set_tags_overwrites_and_adds(spark):
         ("g", "t", "c", "contains_phi", "true"),
         ("g", "t", "c", "masking_rule", "hash"),
     ]
-    table = spark.createDataFrame([], "schema_name string, table_name string, tag_name string, tag_value string")
+    table = spark.createDataFrame([], f"schema_name string, table_name string, {TAG}")
     assert rows(tags.set_table_tags(table, "g", "t", {"retention": "7_year"})) == [
         ("g", "t", "retention", "7_year")
     ]
-    schema = spark.createDataFrame([("g", "compliance", "sox")], "schema_name string, tag_name string, tag_value string")
+    schema = spark.createDataFrame([("g", "compliance", "sox")], f"schema_name string, {TAG}")
     assert rows(tags.set_schema_tags(schema, "g", {"compliance": "hipaa"})) == [
         ("g", "compliance", "hipaa")
     ]
@@ -99,3 +102,16 @@ def test_class_mismatches(spark):
         "unclear": "none",
         "gone": "none",
     }
+
+
+def test_log_of_assignments(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tag_log")
+    for day, value in ((2, "hash"), (1, "none"), (3, "redact")):
+        row = spark.createDataFrame([("g", "t", "c", "masking_rule", value)], COLUMN)
+        tags.append_assignments(row, "tag_log.column_tags", datetime(2026, 1, day))
+    log = spark.table("tag_log.column_tags")
+    now = tags.latest_tags(log, ["assigned_at"], tags.COLUMN_KEYS)
+    assert rows(now) == [("g", "t", "c", "masking_rule", "redact")]
+    earlier = log.where("assigned_at < '2026-01-03'")
+    then = tags.latest_tags(earlier, ["assigned_at"], tags.COLUMN_KEYS)
+    assert rows(then) == [("g", "t", "c", "masking_rule", "hash")]

@@ -64,12 +64,12 @@ def spread_join(
     """Equi-join (inner or left) that survives hot and NULL keys of ``many``.
 
     If ``one`` is estimated at no more than ``broadcast_bytes`` it is broadcast,
-    and no key has to move. Else both sides are shuffled: rows of a hot key are cut into 2^SLICE_BITS slices by a hash of their
-    ``row_id`` columns, and the few matching rows of ``one`` are repeated per
-    slice. In a left join the rows with a NULL key, which match nothing, are
-    spread the same way. All other keys join on slice 0. The list of hot keys
-    has a proven bound, so it is broadcast. Column names must not occur on both
-    sides.
+    and no key has to move. Else both sides are shuffled: rows of a hot key are
+    cut into 2^SLICE_BITS slices by a hash of their ``row_id`` columns, and the
+    few matching rows of ``one`` are repeated per slice. In a left join the rows
+    with a NULL key, which match nothing, are spread the same way. All other
+    keys join on slice 0. The list of hot keys has a proven bound, so it is
+    broadcast. Column names must not occur on both sides.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")

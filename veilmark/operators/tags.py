@@ -8,6 +8,7 @@ no special handling.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,19 @@ def set_tags(current: DataFrame, assignments: DataFrame, keys: Sequence[str]) ->
     return latest_tags(both, ["seq"], keys)
 
 
+def append_assignments(
+    assignments: DataFrame, log: str, assigned_at: datetime | None = None
+) -> None:
+    """Add assignments to a log table of the catalog.
+
+    The log only grows: readers never meet a half-written state, and `latest_tags`
+    over ``assigned_at`` gives the tags as of any time.
+    """
+    at = F.lit(assigned_at).cast("timestamp") if assigned_at else F.current_timestamp()
+    stamped = assignments.withColumn("assigned_at", at)
+    stamped.write.mode("append").format("parquet").saveAsTable(log)
+
+
 def set_schema_tags(current: DataFrame, schema: str, tags: Mapping[str, str]) -> DataFrame:
     new = _tag_rows(current.sparkSession, [(schema, dict(tags))], ["schema_name"])
     return set_tags(current, new, SCHEMA_KEYS)

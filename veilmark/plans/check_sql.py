@@ -331,7 +331,8 @@ def _masked_join() -> str:
 
 def _cost_by_state() -> str:
     return (
-        f"{_cte('claims', 'members')} SELECT state_code, {_range('billed_amount')} AS amount_range, "
+        f"{_cte('claims', 'members')} "
+        f"SELECT state_code, {_range('billed_amount')} AS amount_range, "
         f"count(*) AS n_claims, count(DISTINCT {_hash('c.member_id')}) AS n_members "
         f"FROM claims c JOIN members m ON {_hash('c.member_id')} = {_hash('m.member_id')} "
         f"GROUP BY ALL"

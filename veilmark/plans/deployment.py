@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from veilmark.operators import tags
 from veilmark.sources import ingest, model
@@ -20,15 +21,23 @@ def deploy(
 ) -> dict[str, str]:
     """Create the schema, load every table given, store tags and policy.
 
-    Each load replaces its table, so running it again changes nothing. With
-    ``rejects`` the rows that do not fit are written below that path.
+    Each load replaces its table, so running it again changes nothing. Rows and
+    rejects are counted while the table is written and stored as `load_report`;
+    the raw rows are read a second time only if there are rejects to write
+    below the path ``rejects``.
     """
     ingest.create_schema(spark, schema)
-    names = {}
+    names, report = {}, []
     for table, rows in raw.items():
         typed = ingest.checked(rows, table, stamp)
-        names[table] = ingest.replace_table(spark, table, ingest.accepted(typed), schema)
-        if rejects:
+        seen = Observation(f"load_{table}")
+        is_reject = F.col(ingest.REASONS) != ""
+        counted = typed.observe(
+            seen, F.count("*").alias("n_rows"), F.count_if(is_reject).alias("n_rejected")
+        )
+        names[table] = ingest.replace_table(spark, table, ingest.accepted(counted), schema)
+        report.append((table, seen.get["n_rows"], seen.get["n_rejected"]))
+        if rejects and seen.get["n_rejected"]:
             ingest.rejected(typed).write.mode("overwrite").parquet(f"{rejects}/{table}")
     catalog = {
         "schema_tags": tags.schema_tags(spark),
@@ -37,6 +46,9 @@ def deploy(
         "masking_policy": model.masking_policy(spark),
         "data_dictionary": model.data_dictionary(spark),
         "table_properties": model.table_properties(spark),
+        "load_report": spark.createDataFrame(
+            report, "table_name string, n_rows long, n_rejected long"
+        ),
     }
     for name, df in catalog.items():
         names[name] = f"`{schema}`.`{name}`"

@@ -128,4 +128,6 @@ def tag_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tag_sql(name: str) -> str:
     source, columns = SOURCES[name]
     text = "SELECT " + ", ".join(f"{e} AS {a}" for a, e in columns.items()) + f" FROM {source}"
-    return f"SELECT * FROM ({text}) v WHERE {PRESENT[name]} IS NOT NULL" if name in PRESENT else text
+    if name in PRESENT:
+        text = f"SELECT * FROM ({text}) v WHERE {PRESENT[name]} IS NOT NULL"
+    return text

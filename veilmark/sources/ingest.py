@@ -41,7 +41,8 @@ def checked(
 
     Values are cast by the declared type, whether quoted or not. A value that
     does not fit leaves NULL and its column name in ``reject_reasons``, a list
-    with commas in the order of the columns. Missing audit stamps get one time for the whole load: ``stamp`` or now.
+    with commas in the order of the columns. Missing audit stamps get one time
+    for the whole load: ``stamp`` or now.
     """
     spec = TABLES[table]
     names = [c.name for c in spec.columns]
@@ -62,9 +63,8 @@ def checked(
             typed = f"try_cast({f.name} AS {f.dataType.simpleString()})"
             value = F.expr(typed)
             if f.dataType != T.StringType():
-                misfits.append(
-                    F.expr(f"CASE WHEN {f.name} IS NOT NULL AND {typed} IS NULL THEN '{f.name}' END")
-                )
+                misfit = f"{f.name} IS NOT NULL AND {typed} IS NULL"
+                misfits.append(F.expr(f"CASE WHEN {misfit} THEN '{f.name}' END"))
         else:
             value = F.lit(None).cast(f.dataType)
         if f.name in STAMPS:
