@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
-from veilmark.operators.masking import bind_mask, masked, policy_of, save_masked, write_masked
+from veilmark.operators.masking import (
+    bind_mask,
+    by_partition,
+    masked,
+    policy_of,
+    save_masked,
+    write_masked,
+)
 from veilmark.plans.payer_views import payer_table
 from veilmark.sources import model
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
@@ -79,6 +86,25 @@ def test_filters_and_pruning_reach_the_scan(spark, sf_dir, tmp_path):
     assert "EvalPython" not in text
 
 
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(0, 300_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("member_id"),
+        F.expr("CASE WHEN id % 10 < 8 THEN 'hot' ELSE 'k' || id % 3 END").alias("k"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        out = str(tmp_path / "out")
+        write_masked(df, {}, "none", out, partition_by=("k",))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(out)
+    files = [f.split("k=")[1].split("/")[0] for f in back.inputFiles()]
+    assert back.count() == 300_000
+    assert files.count("hot") >= 3
+    assert files.count("k0") <= 2
+    assert "Exchange" not in plan(by_partition(df, ()))
+
+
 def test_written_copy(spark, sf_dir, tmp_path):
     df = payer_table(spark, sf_dir, "claims")
     path = str(tmp_path / "out")

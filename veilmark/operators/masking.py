@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,17 +52,27 @@ def masked(
     return df.select(*projection)
 
 
+def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition value brought together, in tasks of even size.
+
+    Without this every task writes a file for every value it meets, which at
+    many tasks means millions of small files. Adaptive execution cuts a value
+    that holds a large part of the rows into several tasks and merges rare ones.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_masked(
     df: DataFrame,
     table: str | Mapping[str, str],
     tier: str,
     path: str,
     salt: str | None = None,
-    partition_by: tuple[str, ...] = (),
+    partition_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
-    """Write a masked copy; a map-only job, so no key can make it skewed."""
-    writer = masked(df, table, tier, salt).write.mode(mode)
+    """Write a masked copy: a map-only job unless it is partitioned."""
+    writer = by_partition(masked(df, table, tier, salt), partition_by).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
