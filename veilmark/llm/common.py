@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilmark.session import scratch_path
 
@@ -55,6 +59,52 @@ def one_row(df: DataFrame) -> dict:
     return df.first().asDict()
 
 
-def selected(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Only the named columns, so that others cannot clash with added ones."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it.
+
+    Enough for local sessions and shared installations; on other clusters the
+    package is installed or sent along like any job's code.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    importable(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def with_arrow_columns(
+    df: DataFrame, fields: T.StructType, make: Callable[[pa.RecordBatch], list[pa.Array]]
+) -> DataFrame:
+    """All rows with added columns, computed batch by batch in Python.
+
+    Columns of the added names are replaced, the others pass through.
+    """
+    added = [f.name for f in fields]
+    kept = [f for f in df.schema if f.name.lower() not in {a.lower() for a in added}]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, *make(batch)], names=[*names, *added])
+
+    return map_arrow(df, run, T.StructType([*kept, *fields]))
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """Texts of a batch; NULL counts as empty."""
+    values = batch.column(batch.schema.get_field_index(column)).to_pylist()
+    return ["" if v is None else v for v in values]
+
+
+def list_array(rows: list, kind: pa.DataType, dtype: type) -> pa.Array:
+    """A list array of numeric rows, without a Python object per element."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    flat = np.concatenate([np.asarray(r, dtype) for r in rows]) if rows else np.empty(0, dtype)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(dtype), kind))
