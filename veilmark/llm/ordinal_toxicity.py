@@ -25,14 +25,14 @@ from pyspark.sql import types as T
 from veilmark.llm.common import map_arrow, texts_of, with_arrow_columns
 
 GRADES = 3  # besides 0, not toxic
-SAMPLE_PER_LABEL = 2000
+SAMPLE_ROWS = {0: 4000, 1: 2000}  # by label
 SAMPLE_WORDS = 20_000  # distinct words of one sampled text, for the fit alone
-FEATURES = 2000
+FEATURES = 1000
 MIN_ROWS = 3
-MIN_Z = 2.5
-EVIDENCE_Z = 4.0
-PENALTY = 0.001
-STEPS, RATE = 600, 0.05
+MIN_INFORMATION = 12.0
+EVIDENCE_ODDS = 3.0
+PENALTY = 0.0005
+STEPS, RATE = 500, 0.1
 TOXIC_FROM = 0.5
 PREFIXES = (4, 5)
 WORDS = re.compile(r"\w+")
@@ -59,25 +59,34 @@ def words_in(text: str) -> set[str]:
     return words.union(*heads)
 
 
+def _information(k: float, n: float, m: float, total: float) -> float:
+    """Twice the log-likelihood ratio of k out of n where m out of all have it."""
+    cells = ((k, n * m), (n - k, n * (total - m)), (m - k, (total - n) * m))
+    last = (total - n - m + k, (total - n) * (total - m))
+    return 2 * sum(o * np.log(o * total / e) for o, e in (*cells, last) if o > 0)
+
+
 def choose_features(rows: list[tuple[int, set[str]]]) -> dict[str, float]:
-    """Words whose odds differ most between the labels, with their z values."""
+    """The most informative words, with the log of their odds ratio."""
     n = [sum(label == k for label, _ in rows) for k in (0, 1)]
     found = [Counter(), Counter()]
     for label, words in rows:
         found[label].update(words)
-    z = {}
+    rated = []
     for word in found[0].keys() | found[1].keys():
-        a, b = found[1][word] + 0.5, found[0][word] + 0.5
-        if a + b - 1 >= MIN_ROWS:
-            odds = np.log(a / (n[1] - a + 1)) - np.log(b / (n[0] - b + 1))
-            z[word] = float(odds / np.sqrt(1 / a + 1 / b))
-    strong = sorted((w for w in z if abs(z[w]) >= MIN_Z), key=lambda w: (-abs(z[w]), w))
-    return {w: z[w] for w in strong[:FEATURES]}
+        k, m = found[1][word], found[0][word] + found[1][word]
+        if m >= MIN_ROWS:
+            gain = _information(k, n[1], m, n[0] + n[1])
+            if gain >= MIN_INFORMATION:
+                odds = np.log((k + 0.5) * (n[0] - m + k + 0.5))
+                odds -= np.log((n[1] - k + 0.5) * (m - k + 0.5))
+                rated.append((-gain, word, float(odds)))
+    return {word: odds for _, word, odds in sorted(rated)[:FEATURES]}
 
 
-def grade_rows(rows: list[tuple[int, set[str]]], z: dict[str, float]) -> np.ndarray:
+def grade_rows(rows: list[tuple[int, set[str]]], odds: dict[str, float]) -> np.ndarray:
     """0 for rows that are not toxic, else 1 to GRADES by their evidence."""
-    marks = {w for w, v in z.items() if v >= EVIDENCE_Z}
+    marks = {w for w, v in odds.items() if v >= EVIDENCE_ODDS}
     evidence = np.array([len(words & marks) for _, words in rows])
     toxic = np.array([label == 1 for label, _ in rows])
     grades = np.zeros(len(rows), int)
@@ -100,7 +109,7 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarr
     square = np.zeros(width + GRADES)
     for step in range(1, STEPS + 1):
         cuts = raw[0] + np.concatenate(([0.0], np.cumsum(np.exp(raw[1:]))))
-        score = x @ weights
+        score = (x @ weights.astype(x.dtype)).astype(float)
         above = _sigmoid(score[:, None] - cuts[None, :])  # P(grade >= k)
         full = np.hstack([np.ones((rows, 1)), above, np.zeros((rows, 1))])
         slope = full * (1 - full)
@@ -114,7 +123,7 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarr
         d_raw = np.concatenate(
             ([d_cuts.sum()], np.cumsum(d_cuts[::-1])[::-1][1:] * np.exp(raw[1:]))
         )
-        gradient = np.concatenate((x.T @ d_score / rows - PENALTY * weights, d_raw))
+        gradient = np.concatenate(((d_score.astype(x.dtype) @ x) / rows - PENALTY * weights, d_raw))
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -133,7 +142,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
-    """Fit on at most SAMPLE_PER_LABEL rows of each label, those of lowest hash.
+    """Fit on at most SAMPLE_ROWS rows of each label, those of lowest hash.
 
     Rows without a label are left out; a document labelled twice counts as toxic
     if one label says so. Without labels of both kinds every score is 0 and no
@@ -143,8 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
         F.max("toxic").cast("int").alias("toxic")
     )
     chosen = [
-        known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
-        for k in (0, 1)
+        known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        for k, n in SAMPLE_ROWS.items()
     ]
     sample = docs.select("doc_id", "text").join(chosen[0].union(chosen[1]), "doc_id")
     schema = "toxic int, words array<string>"
@@ -152,11 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     rows = sorted(((r["toxic"], set(r["words"])) for r in got), key=lambda r: (r[0], sorted(r[1])))
     if len({label for label, _ in rows}) < 2:
         return OrdinalModel({}, tuple(float(k) for k in range(1, GRADES + 1)))
-    z = choose_features(rows)
-    grades = grade_rows(rows, z)
-    names = sorted(z)
+    odds = choose_features(rows)
+    grades = grade_rows(rows, odds)
+    names = sorted(odds)
     column = {w: i for i, w in enumerate(names)}
-    x = np.zeros((len(rows), len(names)))
+    x = np.zeros((len(rows), len(names)), np.float32)
     for i, (_, words) in enumerate(rows):
         x[i, [column[w] for w in words if w in column]] = 1
     weights, cuts = fit_ordinal(x, grades)
