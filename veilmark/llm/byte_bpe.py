@@ -86,7 +86,7 @@ def _encode(batch: pa.RecordBatch, text: str, path: str, pattern: str) -> list[p
 def _decode(batch: pa.RecordBatch, ids: str, path: str, pattern: str) -> list[pa.Array]:
     encoder = encoding(path, pattern)
     lists = batch.column(batch.schema.get_field_index(ids))
-    rows = [encoder.decode_bytes(row or []) for row in lists.to_pylist()]
+    rows = [encoder.decode_bytes(row.as_py() or []) for row in lists]
     return [pa.array(rows, pa.binary())]
 
 
@@ -98,14 +98,14 @@ def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern:
     """
     known = default_ranks() if ranks is None or pattern is None else ("", "")
     make = partial(_encode, text=text, path=ranks or known[0], pattern=pattern or known[1])
-    return with_arrow_columns(df, T.StructType().add("ids", T.ArrayType(T.IntegerType())), make)
+    return with_arrow_columns(df, T.StructType().add("ids", T.ArrayType(T.IntegerType())), make, text)
 
 
 def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: str | None = None):
     """All rows with ``decoded``: the raw bytes, whether or not they are valid text."""
     known = default_ranks() if ranks is None or pattern is None else ("", "")
     make = partial(_decode, ids=ids, path=ranks or known[0], pattern=pattern or known[1])
-    return with_arrow_columns(df, T.StructType().add("decoded", "binary"), make)
+    return with_arrow_columns(df, T.StructType().add("decoded", "binary"), make, None)
 
 
 def document_tokens(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.common import map_arrow, stored
+from veilmark.llm.common import map_arrow, sliced, stored
 
 CLUSTERED = 500
 CLASSES = 32
@@ -31,7 +31,7 @@ ENDING = 3
 ROUNDS = 8
 FREQUENT = 100_000
 HELD_MOD, HELD_REST = 7, 2
-MOST_KEPT = 500_000
+MOST_KEPT = 300_000
 
 
 def held_out(doc_id: str) -> Column:
@@ -64,7 +64,7 @@ def _counted(counter: Counter) -> pa.RecordBatch:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and their number; the end of a text is the word NULL."""
     counter: Counter = Counter()
-    for batch in batches:
+    for batch in sliced(batches):
         for words in words_of_batch(batch):
             counter.update(words)
             counter[None] += 1
@@ -97,7 +97,7 @@ def _count_bigrams(
     n, end = len(number), len(number) + TAILS
     width = end + 1
     total = np.zeros(width * width, np.int64)
-    for batch in batches:
+    for batch in sliced(batches):
         codes = []
         for words in words_of_batch(batch):
             line = np.concatenate(([end], _symbols(words, number, n), [end]))
@@ -276,7 +276,7 @@ def _score(
     tails = CLASSES + np.arange(TAILS)
     classes = np.concatenate((model.place[:n_clustered], of_tail, tails)).astype(np.int64)
     end = CLASSES + TAILS
-    for batch in batches:
+    for batch in sliced(batches):
         out: list[list] = [[] for _ in SCORED]
         for words in words_of_batch(batch):
             symbols = _symbols(words, model.number, n_numbered)

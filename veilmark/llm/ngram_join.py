@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm.class_lm import word_counts, words_of_batch
-from veilmark.llm.common import importable, map_arrow, stored
+from veilmark.llm.common import importable, map_arrow, sliced, stored
 from veilmark.llm.components import connected
 
 WORDS, PERCENT = 4, 85
@@ -32,9 +33,8 @@ FREQUENT_WORDS = 100_000
 LONG_LIST = 64
 CHUNK_TOKENS, CHUNK_TEXTS = 1 << 17, 512
 STRIP = 4096
-KNOWN_WORDS = 1_000_000
-
-_hashes: dict[bytes, int] = {}
+# A token is a long: RARITY_BITS of how common it may be, then a hash.
+RARITY_BITS = 5
 
 
 def _mixed(z: np.ndarray) -> np.ndarray:
@@ -44,38 +44,28 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > KNOWN_WORDS:
-        _hashes.clear()
-    for w in set(words).difference(_hashes):
-        _hashes[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
-def tokens_of(
-    words: list[bytes], n: int, rarity: dict[bytes, int]
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct tokens, ascending, with two measures of how common each may be.
+def tokens_of(words: list[bytes], n: int, rarity: dict[bytes, int]) -> np.ndarray:
+    """Distinct tokens, ascending.
 
-    The first is that of its rarest word, which no shingle can exceed; the
-    second the sum over its words. With fewer than ``n`` words the whole
-    sequence is one token; no words, no tokens.
+    The leading bits are the measure of the rarest word, which no shingle can
+    exceed, so ascending order is from rare to common. With fewer than ``n``
+    words the whole sequence is one token; no words, no tokens.
     """
     if not words:
-        none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none, none
-    hashes = word_hashes(words)
-    common = np.fromiter((rarity.get(w, 0) for w in words), np.int64, len(words))
+        return np.empty(0, np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    common = np.fromiter(map(rarity.get, words, repeat(0)), np.uint64, len(words))
     width = min(n, len(words))
     m = len(words) - width + 1
     token = np.full(m, width, np.uint64)
-    least, total = common[:m].copy(), np.zeros(m, np.int64)
+    least = common[:m].copy()
     for k in range(width):
         token = _mixed(token * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + m])
-        least = np.minimum(least, common[k : k + m])
-        total += common[k : k + m]
-    token, first = np.unique(token, return_index=True)
-    return token, least[first], total[first]
+        np.minimum(least, common[k : k + m], out=least)
+    token >>= np.uint64(RARITY_BITS)
+    token |= least << np.uint64(64 - RARITY_BITS)
+    token.sort()
+    return token[np.append(True, token[1:] != token[:-1])]
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -87,19 +77,21 @@ def can_link(size: int, percent: int) -> bool:
     return 100 * size >= percent * (size + 1)
 
 
-def prefixes(
-    token: np.ndarray, least: np.ndarray, total: np.ndarray, percent: int
-) -> tuple[np.ndarray, ...]:
-    """The prefix under each order: rarest word, all words, and a plain shuffle.
+def prefixes(token: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """The prefix under each order, ascending.
 
-    The last puts tokens of frequent words behind as well, by the least bit of
-    their measure only, and is random within.
+    The first order is from rare to common, by the tokens' own value. The
+    second is by half as many steps of rarity and another hash, the third only
+    puts tokens of frequent words alone behind the others.
     """
     p = prefix_length(len(token), percent)
-    other = _mixed(token ^ np.uint64(0xD1B54A32D192ED03))
-    third = _mixed(token ^ np.uint64(0x8CB92BA72F3D8DD7))
-    orders = (np.lexsort((token, least)), np.lexsort((other, total)), np.lexsort((third, least > 0)))
-    return tuple(np.sort(token[o[:p]]) for o in orders)
+    measure = token >> np.uint64(64 - RARITY_BITS)
+    orders = [token[:p]]
+    for salt, steps in ((0xD1B54A32D192ED03, measure >> np.uint64(2)), (0x8CB92BA72F3D8DD7, measure > 0)):
+        shuffled = _mixed(token ^ np.uint64(salt))
+        first = np.lexsort((shuffled, steps))[:p]
+        orders.append(np.sort(token[first]))
+    return tuple(orders)
 
 
 def _longs(rows: list[np.ndarray]) -> pa.Array:
@@ -115,19 +107,27 @@ def _key(token: np.ndarray) -> bytes:
 def _index(
     batches: Iterator[pa.RecordBatch], n: int, percent: int, rarity: dict[bytes, int]
 ) -> Iterator[pa.RecordBatch]:
-    """Size, key and indexed prefix of each set."""
-    for batch in batches:
-        sizes, keys, firsts = [], [], []
+    """Size, key, indexed prefix and the last token of that, of each set."""
+    for batch in sliced(batches):
+        sizes, keys, firsts, edges = [], [], [], []
         for words in words_of_batch(batch):
-            token, least, total = tokens_of(words, n, rarity)
+            token = tokens_of(words, n, rarity)
             sizes.append(len(token))
             keys.append(_key(token))
             linkable = can_link(len(token), percent)
-            firsts.append(prefixes(token, least, total, percent)[0] if linkable else token[:0])
+            firsts.append(token[: prefix_length(len(token), percent) if linkable else 0])
+            # With the first bit turned, signed longs are in the tokens' order.
+            edges.append(int(firsts[-1][-1]) - (1 << 63) if linkable else None)
         same = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")]
         yield pa.RecordBatch.from_arrays(
-            [*same, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _longs(firsts)],
-            ["row", "doc_id", "size", "key", "prefix"],
+            [
+                *same,
+                pa.array(sizes, pa.int64()),
+                pa.array(keys, pa.binary()),
+                _longs(firsts),
+                pa.array(edges, pa.int64()),
+            ],
+            ["row", "doc_id", "size", "key", "prefix", "edge"],
         )
 
 
@@ -135,17 +135,15 @@ def _sets(
     batches: Iterator[pa.RecordBatch], n: int, percent: int, rarity: dict[bytes, int]
 ) -> Iterator[pa.RecordBatch]:
     """The whole set and all prefixes of each text, where its key is the wanted one."""
-    for batch in batches:
+    for batch in sliced(batches):
         take, tokens, all_prefixes = [], [], ([], [], [])
         wanted = batch.column(batch.schema.get_field_index("key")).to_pylist()
         for i, words in enumerate(words_of_batch(batch)):
-            token, least, total = tokens_of(words, n, rarity)
+            token = tokens_of(words, n, rarity)
             if _key(token) == wanted[i]:
                 take.append(i)
                 tokens.append(token)
-                for column, prefix in zip(
-                    all_prefixes, prefixes(token, least, total, percent), strict=True
-                ):
+                for column, prefix in zip(all_prefixes, prefixes(token, percent), strict=True):
                     column.append(prefix)
         rep = batch.column(batch.schema.get_field_index("rep")).take(pa.array(take, pa.int64()))
         copies = batch.column(batch.schema.get_field_index("copies")).take(
@@ -182,8 +180,9 @@ def _linked(left: pa.Table, right: pa.Table, same: bool, percent: int) -> np.nda
     """Which rows of two chunks are similar enough; filters first, then the sets."""
 
     def lists(table: pa.Table, column: str) -> list[np.ndarray]:
-        chunked = table.column(column).combine_chunks()
-        return [np.asarray(v.values) for v in chunked]
+        # Unsigned, as they were sorted.
+        values = table.column(column).combine_chunks()
+        return [v.values.to_numpy().view(np.uint64) for v in values]
 
     sizes = [np.array([len(t) for t in lists(t, "tokens")]) for t in (left, right)]
     small = np.minimum(sizes[0][:, None], sizes[1][None, :])
@@ -260,20 +259,25 @@ def _rarity(rows: DataFrame) -> dict[bytes, int]:
     """Binary logarithm of the count of the most frequent words, at least 1."""
     counts = word_counts(rows).where("word IS NOT NULL AND n > 1")
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).collect()
-    return {bytes(r["word"]): int(r["n"]).bit_length() for r in top}
+    most = 2**RARITY_BITS - 1
+    return {bytes(r["word"]): min(most, int(r["n"]).bit_length()) for r in top}
 
 
-def _cold_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """Links found in short lists, but for those between two hot texts."""
+def _cold_pairs(shared: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Candidates of short lists, but for those between two hot texts.
+
+    Up to the end of the prefix that ends first, the tokens that two sets share
+    are those that their prefixes share, and these lists hold them all; so with
+    what is left of that set they bound the whole intersection.
+    """
     marked = (
         shared.where(F.col("n_list") <= LONG_LIST)
         .join(hot.select(F.col("rep").alias("hot_rep")), F.col("rep") == F.col("hot_rep"), "left")
-        .select("token", "rep", "size", F.col("hot_rep").isNotNull().alias("hot"))
-    )
-    a = marked.select("token", *[F.col(c).alias("a_" + c) for c in ("rep", "size", "hot")])
-    b = marked.select(
-        F.col("token").alias("b_token"), *[F.col(c).alias("b_" + c) for c in ("rep", "size", "hot")]
+        .select("token", "rep", "size", "edge", F.col("hot_rep").isNotNull().alias("hot"))
     )
+    names = ("rep", "size", "edge", "hot")
+    a = marked.select("token", *[F.col(c).alias("a_" + c) for c in names])
+    b = marked.select(F.col("token").alias("b_token"), *[F.col(c).alias("b_" + c) for c in names])
     pairs = a.join(
         b,
         (F.col("token") == F.col("b_token"))
@@ -281,7 +285,17 @@ def _cold_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int
         & (F.col("a_size") * 100 >= F.col("b_size") * percent)
         & ~(F.col("a_hot") & F.col("b_hot")),
     )
-    pairs = pairs.select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v")).distinct()
+    sides = [f"{s}_{c}" for s in "ab" for c in ("rep", "size", "edge")]
+    counted = pairs.groupBy(*sides).agg(F.count("*").alias("n_shared"))
+    first = F.when(F.col("a_edge") <= F.col("b_edge"), F.col("a_size")).otherwise(F.col("b_size"))
+    rest = F.floor((first * percent + 99) / 100) - 1
+    possible = (F.col("n_shared") + rest) * (100 + percent)
+    enough = possible >= (F.col("a_size") + F.col("b_size")) * percent
+    return counted.where(enough).select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v"))
+
+
+def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates that pass the other orders' filters and are similar enough."""
     names = ("rep", "copies", "tokens", "p1", "p2")
     one = sets.select(*[F.col(c).alias("u_" + c) for c in names])
     two = sets.select(*[F.col(c).alias("v_" + c) for c in names])
@@ -361,7 +375,8 @@ def joined(
         map_arrow(
             numbered,
             partial(_index, n=n, percent=percent, rarity=rarity),
-            f"row long, doc_id {id_type}, size long, key binary, prefix array<bigint>",
+            f"row long, doc_id {id_type}, size long, key binary, prefix array<bigint>,"
+            " edge long",
         ),
         "ngram-index",
     )
@@ -376,9 +391,7 @@ def joined(
         "ngram-classes",
     )
     firsts = index.join(classes.select("rep", "copies"), F.col("row") == F.col("rep"))
-    postings = firsts.select(
-        F.explode("prefix").alias("token"), "rep", "size", "doc_id", "key", "copies"
-    ).select("token", "rep", "size")
+    postings = firsts.select(F.explode("prefix").alias("token"), "rep", "size", "edge")
     lists = postings.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("n_list"))
     shared = stored(
         postings.join(lists.where("n_list > 1"), F.col("token") == F.col("t")).drop("t"),
@@ -390,7 +403,13 @@ def joined(
         .agg(F.max(F.struct("n_list", "token"))["token"].alias("home")),
         "ngram-hot",
     )
-    candidates = shared.select("rep").distinct()
+    pairs = stored(_cold_pairs(shared, hot, percent), "ngram-pairs")
+    candidates = (
+        hot.select("rep")
+        .union(pairs.select(F.col("u").alias("rep")))
+        .union(pairs.select(F.col("v").alias("rep")))
+        .distinct()
+    )
     wanted = firsts.join(candidates, "rep").select(
         F.col("doc_id").alias("id"), "rep", "key", "copies"
     )
@@ -405,7 +424,7 @@ def joined(
         "ngram-sets",
     )
     links = stored(
-        _cold_links(shared, sets, hot, percent).union(_hot_links(shared, sets, hot, percent)),
+        _cold_links(pairs, sets, percent).union(_hot_links(shared, sets, hot, percent)),
         "ngram-links",
     )
     labels = connected(links.select("u", "v"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.common import map_arrow, texts_of, with_arrow_columns
+from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
 
 GRADES = 3  # besides 0, not toxic
 SAMPLE_ROWS = {0: 4000, 1: 2000}  # by label
@@ -133,7 +133,7 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [sorted(words_in(t))[:SAMPLE_WORDS] for t in texts_of(batch)]
         label = batch.column(batch.schema.get_field_index("toxic"))
         yield pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilmark.llm.char_crf import CharCrf, best_tags, codes_of
-from veilmark.llm.common import map_arrow, texts_of, with_arrow_columns
+from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -146,7 +146,7 @@ def rewritten(text: str, span: Span, rng: np.random.Generator) -> str:
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows around spans and around other numbers, with the rules' tags."""
-    for batch in batches:
+    for batch in sliced(batches):
         windows, tags = [], []
         for text in texts_of(batch):
             spans = base_spans(text)
@@ -331,7 +331,7 @@ def with_spans(docs: DataFrame, model: CharCrf | None, text: str = "text") -> Da
     NULL and empty texts have none. A column named ``pii`` is replaced.
     """
     fields = T.StructType([T.StructField("pii", T.ArrayType(SPAN))])
-    return with_arrow_columns(docs, fields, partial(_find, model=model, text=text))
+    return with_arrow_columns(docs, fields, partial(_find, model=model, text=text), text)
 
 
 def _redact(batch: pa.RecordBatch, model: CharCrf | None) -> list[pa.Array]:

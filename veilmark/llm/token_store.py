@@ -11,7 +11,6 @@ again replaces its own output and nothing else.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -23,20 +22,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from veilmark.llm.common import map_arrow, stored, texts_of, with_arrow_columns
+from veilmark.llm.common import map_arrow, sliced, stored, with_arrow_columns
 from veilmark.llm.sharding import RANGE, ROW, START, SUB, positions
 from veilmark.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SAMPLE_DOCS = 1000
-SAMPLE_IDS = 8192  # of one document, for the dictionary alone
+SAMPLE_BYTES = 16384  # of one document's ids, for the dictionary alone
 DICTIONARY_BYTES = 65536
 LEVEL = 3
 PACK_DOCS = 256
-KNOWN_WORDS = 500_000
-LONG_WORD = 200
-ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+KNOWN_WORDS = 700_000
+LONG_WORD = 100
+TOGETHER = 500
 
 PACK = T.StructType(
     [
@@ -70,32 +69,61 @@ class WordEncoder:
     """Ids of whole texts, found word by word.
 
     The vocabulary's pre-tokenizer drops white space and never matches across
-    it, so the ids of a text are those of its parts between white space.
-    The ids of words seen before are kept, up to a bound.
+    it, so the ids of a text are those of its parts between white space, as
+    little-endian bytes one after the other. The ids of words seen before are
+    kept, up to a bound.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        special = self.tokenizer.get_added_tokens_decoder()
+        # An added token that cuts a text exactly where it stands.
+        self.cut, self.mark = next(
+            (
+                (i, t.content)
+                for i, t in sorted(special.items())
+                if not (t.normalized or t.lstrip or t.rstrip or t.single_word)
+            ),
+            (None, ""),
+        )
 
-    def learn(self, words: list[str]) -> dict[str, np.ndarray]:
-        new = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, self.dtype) for w, e in zip(words, new, strict=True)}
-
-    def ids(self, texts: list[str], end_id: int | None) -> list[np.ndarray]:
-        split = [[w for w in ASCII_SPACE.split(t) if w] for t in texts]
-        new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-            new = set().union(*split)
-        found = self.learn(sorted(new))
-        self.known |= {w: ids for w, ids in found.items() if len(w) <= LONG_WORD}
-        look = found | self.known if len(found) < len(self.known) else {**self.known, **found}
-        end = [] if end_id is None else [np.array([end_id], self.dtype)]
-        empty = np.empty(0, self.dtype)
-        return [np.concatenate([empty, *map(look.__getitem__, words), *end]) for words in split]
+    def learn(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of new words, many at a time, parted by the added token."""
+        if self.cut is None:
+            plain, odd = [], words
+        else:
+            plain = [w for w in words if b"<" not in w]
+            odd = [w for w in words if b"<" in w]
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            text = self.mark.join([w.decode() for w in some])
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+            ends = np.append(np.flatnonzero(ids == self.cut), len(ids))
+            raw, width, start = ids.tobytes(), self.dtype.itemsize, 0
+            for word, end in zip(some, ends.tolist(), strict=True):
+                yield word, raw[start * width : end * width]
+                start = end + 1
+        for word in odd:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            yield word, np.array(ids, self.dtype).tobytes()
+
+    def ids(self, texts: list[bytes], end_id: int | None) -> list[bytes]:
+        split = [t.split() for t in texts]
+        known = self.known
+        new = {w for words in split for w in words if w not in known}
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
+            new = {w for words in split for w in words}
+        known.update(self.learn(sorted(new)))
+        end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
+        rows = [b"".join(map(known.__getitem__, words)) + end for words in split]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del known[word]
+        return rows
 
 
 @lru_cache(maxsize=2)
@@ -123,10 +151,8 @@ def dictionary_hash(dictionary: bytes) -> str:
 
 def _train(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     samples = []
-    for batch in batches:
-        for ids in encoder(path).ids(texts_of(batch), None):
-            if len(ids):
-                samples.append(ids[:SAMPLE_IDS].tobytes())
+    for batch in sliced(batches):
+        samples += [ids[:SAMPLE_BYTES] for ids in encoder(path).ids(utf8_of(batch), None) if ids]
     yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(samples)], pa.binary())], ["d"])
 
 
@@ -137,14 +163,27 @@ def shared_dictionary(docs: DataFrame, path: str) -> bytes:
     return max((bytes(r["d"]) for r in rows), default=b"")
 
 
+def utf8_of(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
+    column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+    return [t or b"" for t in column.to_pylist()]
+
+
+@lru_cache(maxsize=2)
+def packer(dictionary: bytes) -> zstandard.ZstdCompressor:
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=LEVEL)
+    data = zstandard.ZstdCompressionDict(dictionary)
+    data.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
+
+
 def _compress(batch: pa.RecordBatch, path: str, dictionary: bytes, end_id: int) -> list[pa.Array]:
-    packer = zstandard.ZstdCompressor(
-        level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-    )
-    rows = encoder(path).ids(texts_of(batch), end_id)
+    words = encoder(path)
+    rows = words.ids(utf8_of(batch), end_id)
+    compress = packer(dictionary).compress
     return [
-        pa.array([len(r) for r in rows], pa.int64()),
-        pa.array([packer.compress(r.tobytes()) for r in rows], pa.binary()),
+        pa.array([len(r) // words.dtype.itemsize for r in rows], pa.int64()),
+        pa.array(map(compress, rows), pa.binary()),
     ]
 
 
