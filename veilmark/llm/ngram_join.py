@@ -14,14 +14,14 @@ chunks are compared whole, so no pairs are written out for them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm.class_lm import word_counts, words_of_batch
@@ -31,6 +31,7 @@ from veilmark.llm.components import connected
 WORDS, PERCENT = 4, 85
 FREQUENT_WORDS = 100_000
 LONG_LIST = 64
+BITS_PER_ID, MOST_BITS = 16, 1 << 22
 CHUNK_TOKENS, CHUNK_TEXTS = 1 << 17, 512
 STRIP = 4096
 # A token is a long: RARITY_BITS of how common it may be, then a hash.
@@ -44,28 +45,40 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def tokens_of(words: list[bytes], n: int, rarity: dict[bytes, int]) -> np.ndarray:
-    """Distinct tokens, ascending.
+def tokens_of(texts: list[list[bytes]], n: int, rarity: dict[bytes, int]) -> list[np.ndarray]:
+    """Distinct tokens of each text, ascending.
 
     The leading bits are the measure of the rarest word, which no shingle can
     exceed, so ascending order is from rare to common. With fewer than ``n``
     words the whole sequence is one token; no words, no tokens.
     """
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    common = np.fromiter(map(rarity.get, words, repeat(0)), np.uint64, len(words))
-    width = min(n, len(words))
-    m = len(words) - width + 1
+    flat = list(chain.from_iterable(texts))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+    common = np.fromiter(map(rarity.get, flat, repeat(0)), np.uint64, len(flat))
+    starts = np.cumsum([0, *map(len, texts)]).tolist()
+    whole = _shingles(hashes, common, n) if len(flat) >= n else hashes[:0]
+    out = []
+    for start, end in zip(starts, starts[1:], strict=False):
+        if end - start >= n:
+            token = np.sort(whole[start : end - n + 1])
+            token = token[np.append(True, token[1:] != token[:-1])]
+        else:
+            token = _shingles(hashes[start:end], common[start:end], end - start)
+        out.append(token)
+    return out
+
+
+def _shingles(hashes: np.ndarray, common: np.ndarray, width: int) -> np.ndarray:
+    """The token of every ``width`` words in a row."""
+    if not width:
+        return hashes[:0]
+    m = len(hashes) - width + 1
     token = np.full(m, width, np.uint64)
     least = common[:m].copy()
     for k in range(width):
         token = _mixed(token * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + m])
         np.minimum(least, common[k : k + m], out=least)
-    token >>= np.uint64(RARITY_BITS)
-    token |= least << np.uint64(64 - RARITY_BITS)
-    token.sort()
-    return token[np.append(True, token[1:] != token[:-1])]
+    return (token >> np.uint64(RARITY_BITS)) | (least << np.uint64(64 - RARITY_BITS))
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -110,8 +123,7 @@ def _index(
     """Size, key, indexed prefix and the last token of that, of each set."""
     for batch in sliced(batches):
         sizes, keys, firsts, edges = [], [], [], []
-        for words in words_of_batch(batch):
-            token = tokens_of(words, n, rarity)
+        for token in tokens_of(words_of_batch(batch), n, rarity):
             sizes.append(len(token))
             keys.append(_key(token))
             linkable = can_link(len(token), percent)
@@ -138,8 +150,7 @@ def _sets(
     for batch in sliced(batches):
         take, tokens, all_prefixes = [], [], ([], [], [])
         wanted = batch.column(batch.schema.get_field_index("key")).to_pylist()
-        for i, words in enumerate(words_of_batch(batch)):
-            token = tokens_of(words, n, rarity)
+        for i, token in enumerate(tokens_of(words_of_batch(batch), n, rarity)):
             if _key(token) == wanted[i]:
                 take.append(i)
                 tokens.append(token)
@@ -305,7 +316,7 @@ def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     all_tokens = F.size("u_tokens") + F.size("v_tokens")
     return filtered.where(both * 100 >= (all_tokens - both) * percent).select(
         "u", "v", F.col("v_copies").alias("links_u"), F.col("u_copies").alias("links_v")
-    )
+    ).distinct()  # rows that repeat give their set more than once
 
 
 def _hot_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
@@ -344,6 +355,10 @@ def _hot_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int)
         import pyarrow.compute as pc
 
         block = block.sort_by("rep")
+        # Rows that repeat give their set more than once.
+        ids, sides = block.column("rep").to_numpy(), block.column("side").to_numpy()
+        _, first = np.unique(ids * 2 + sides, return_index=True)
+        block = block.take(pa.array(first))
         left = block.filter(pc.equal(block.column("side"), 0))
         right = block.filter(pc.equal(block.column("side"), 1))
         same = right.num_rows == 0 and block.column("c")[0] == block.column("d")[0]
@@ -353,6 +368,39 @@ def _hot_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int)
     return sides[0].union(sides[1]).groupBy("c", "d").applyInArrow(compare, LINKS)
 
 
+def may_be_in(ids: DataFrame, column: str, n_ids: int) -> Callable[[Column], Column]:
+    """A test that is true for every id of a table and for few others.
+
+    A bitmap of at most MOST_BITS hash bits, however many ids there are; a
+    table that outgrows it is only filtered less.
+    """
+    bits = min(MOST_BITS, max(1 << 10, 1 << (BITS_PER_ID * n_ids).bit_length()))
+
+    def slot(value: Column) -> Column:
+        return F.xxhash64(value.cast("string")).bitwiseAND(F.lit(bits - 1).cast("long"))
+
+    def in_word(value: Column) -> Column:
+        return slot(value).bitwiseAND(F.lit(31).cast("long")).cast("int")
+
+    words = (
+        ids.groupBy(F.shiftright(slot(F.col(column)), 5).alias("w"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.expr("1L"), in_word(F.col(column)))).alias("b"))
+        .collect()
+    )
+    bitmap = [0] * (bits // 32)
+    for w, b in words:
+        bitmap[w] = b
+    known = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
+
+    def test(value: Column) -> Column:
+        word = F.get(known, F.shiftright(slot(value), 5).cast("int"))
+        return F.call_function("shiftright", word, in_word(value)).bitwiseAND(
+            F.lit(1).cast("long")
+        ) == 1
+
+    return test
+
+
 def joined(
     docs: DataFrame, n: int = WORDS, percent: int = PERCENT, row: str | None = None
 ) -> DataFrame:
@@ -413,14 +461,17 @@ def joined(
     wanted = firsts.join(candidates, "rep").select(
         F.col("doc_id").alias("id"), "rep", "key", "copies"
     )
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
+    wanted = stored(wanted, "ngram-wanted")
+    asked = may_be_in(wanted, "id", wanted.count())
+    texts = docs.select("doc_id", "text").where(asked(F.col("doc_id")))
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
     sets = stored(
         map_arrow(
             texts.select("text", "rep", "key", "copies"),
             partial(_sets, n=n, percent=percent, rarity=rarity),
             "rep long, copies long, tokens array<bigint>, p0 array<bigint>, p1 array<bigint>,"
             " p2 array<bigint>",
-        ).dropDuplicates(["rep"]),
+        ),
         "ngram-sets",
     )
     links = stored(

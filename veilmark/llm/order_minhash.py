@@ -10,6 +10,8 @@ which edits and moved passages both lower.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,9 +159,16 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def with_next(rows: DataFrame, doc_id: str, payload: list[str]) -> DataFrame:
+def with_next(
+    rows: DataFrame,
+    doc_id: str,
+    payload: list[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Adds ``next``, a struct of the payload of the row that follows by ``doc_id``.
 
+    ``prepare`` adds columns of the payload to rows on their way.
+
     After the last row comes the first; a lone row follows itself. NULL ids come
     first, rows with equal ids are ordered by the payload. Rows are dealt into
     ranges of ids and a range is sorted in one task; the last row of a range
@@ -184,12 +193,12 @@ def with_next(rows: DataFrame, doc_id: str, payload: list[str]) -> DataFrame:
     )
     content = F.struct(*payload)
     heads = (
-        dealt.join(after, (F.col(RANGE) == F.col("_r")) & (F.col("_key") == F.col("_f")))
+        prepare(dealt.join(after, (F.col(RANGE) == F.col("_r")) & (F.col("_key") == F.col("_f"))))
         .groupBy("_before")
         .agg(F.min(content).alias("_head"))
     )
     inside = Window.partitionBy(RANGE).orderBy("_key", *payload)
-    led = dealt.withColumn("_lead", F.lead(content).over(inside))
+    led = prepare(dealt).withColumn("_lead", F.lead(content).over(inside))
     on = (F.col(RANGE) == F.col("_before")) & F.col("_lead").isNull()
     return (
         led.join(heads, on, "left")
@@ -205,8 +214,12 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     own last quarter. NULL texts count as empty.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = with_sketch(docs.select("doc_id", text.alias("text")), "text", "sketch")
-    rows = with_next(rows, "doc_id", ["text", "sketch"])
+    rows = with_next(
+        docs.select("doc_id", text.alias("text")),
+        "doc_id",
+        ["text", "sketch"],
+        lambda df: with_sketch(df, "text", "sketch"),
+    )
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next.text", F.lit(1), cut))

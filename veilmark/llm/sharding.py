@@ -83,6 +83,7 @@ def positions(
     row_id: str,
     order: Sequence[str],
     split_hot: bool = True,
+    in_order: bool = False,
 ) -> tuple[DataFrame, dict]:
     """Every record with its place on the line of all bytes, and the totals.
 
@@ -90,7 +91,8 @@ def positions(
     before it). Records are ordered by range, then ``order``; with ``split_hot``
     overfull ranges are cut into ``_sub`` parts first. ``size`` must not be NULL.
     No task sorts more than a few ranges' worth of records unless ``split_hot``
-    is off and one key is hot. Input columns of the added names are replaced.
+    is off and one key is hot. With ``in_order`` the result's partitions follow
+    one another as the ranges do. Input columns of the added names are replaced.
     """
     records = records.drop(RANGE, SUB, START, ROW)
     totals = one_row(
@@ -122,20 +124,19 @@ def positions(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"),
     )
+    # A row per range, so Spark can broadcast them; the records move once, below.
+    on = (F.col(RANGE) == F.col("_r")) & (F.col(SUB) == F.col("_s"))
+    placed = placed.join(offsets, on).drop("_r", "_s")
+    if in_order:
+        parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartitionByRange(parts, RANGE)
     inside = Window.partitionBy(RANGE, SUB).orderBy(*order)
     prior = inside.rowsBetween(Window.unboundedPreceding, -1)
     lined = placed.select(
         "*",
-        (F.row_number().over(inside) - 1).cast("long").alias(ROW),
-        F.coalesce(F.sum(size).over(prior), F.lit(0)).alias(START),
-    )
-    on = (F.col(RANGE) == F.col("_r")) & (F.col(SUB) == F.col("_s"))
-    lined = (
-        lined.join(offsets, on)
-        .withColumn(ROW, F.col(ROW) + F.col("_n0"))
-        .withColumn(START, F.col(START) + F.col("_b0"))
-        .drop("_r", "_s", "_n0", "_b0")
-    )
+        (F.row_number().over(inside) - 1 + F.col("_n0")).cast("long").alias(ROW),
+        (F.coalesce(F.sum(size).over(prior), F.lit(0)) + F.col("_b0")).alias(START),
+    ).drop("_n0", "_b0")
     return lined, totals
 
 

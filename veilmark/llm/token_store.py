@@ -36,6 +36,7 @@ PACK_DOCS = 256
 KNOWN_WORDS = 700_000
 LONG_WORD = 100
 TOGETHER = 500
+CLOSING = b".,;:!?"
 
 PACK = T.StructType(
     [
@@ -79,51 +80,68 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        special = self.tokenizer.get_added_tokens_decoder()
-        # An added token that cuts a text exactly where it stands.
-        self.cut, self.mark = next(
-            (
-                (i, t.content)
-                for i, t in sorted(special.items())
-                if not (t.normalized or t.lstrip or t.rstrip or t.single_word)
-            ),
-            (None, ""),
-        )
+        # An added token cuts a text before it is normalized; words that may
+        # hold a part of one are encoded alone.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.marks = {t.content[0].encode() for t in added if t.content}
 
     def learn(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids of new words, many at a time, parted by the added token."""
-        if self.cut is None:
-            plain, odd = [], words
-        else:
-            plain = [w for w in words if b"<" not in w]
-            odd = [w for w in words if b"<" in w]
+        """Ids of new words, many at a time; a token is its word's by its place."""
+        odd = [w for w in words if any(m in w for m in self.marks)]
+        plain = words if not odd else [w for w in words if not any(m in w for m in self.marks)]
+        width = self.dtype.itemsize
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
-            text = self.mark.join([w.decode() for w in some])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-            ends = np.append(np.flatnonzero(ids == self.cut), len(ids))
-            raw, width, start = ids.tobytes(), self.dtype.itemsize, 0
-            for word, end in zip(some, ends.tolist(), strict=True):
-                yield word, raw[start * width : end * width]
-                start = end + 1
+            texts = [w.decode() for w in some]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            raw = np.array(found.ids, self.dtype).tobytes()
+            places = np.fromiter((s for s, _ in found.offsets), np.int64, len(found.ids))
+            starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+            ends = (np.searchsorted(places, starts) * width).tolist()
+            for i, word in enumerate(some):
+                yield word, raw[ends[i] : ends[i + 1]]
         for word in odd:
             ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
             yield word, np.array(ids, self.dtype).tobytes()
 
+    def parts(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words, put together from their cores and closing marks.
+
+        The normalizer lowers letters, and marks behind an ASCII letter or digit
+        are a match of their own, so far fewer words are encoded.
+        """
+        cores, split = set(), {}
+        for word in words:
+            core = word.lower()
+            stem = core.rstrip(CLOSING)
+            if stem and stem != core and stem[-1] < 128 and stem[-1:].isalnum():
+                split[word] = stem, core[len(stem) :]
+                cores.update(split[word])
+            else:
+                split[word] = core, b""
+                cores.add(core)
+        known = self.known
+        found = dict(self.learn(sorted(c for c in cores if c not in known)))
+        every = {c: found[c] if c in found else known[c] for c in cores}
+        every[b""] = b""
+        made = {w: every[a] + every[b] for w, (a, b) in split.items()}
+        return found | made
+
     def ids(self, texts: list[bytes], end_id: int | None) -> list[bytes]:
         split = [t.split() for t in texts]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = {w for words in split for w in words}
-        known.update(self.learn(sorted(new)))
+        parts = [list(map(self.known.get, words)) for words in split]
+        gaps = [i for i, found in enumerate(parts) if None in found]
+        new = {w for i in gaps for w, f in zip(split[i], parts[i], strict=True) if f is None}
+        found = self.parts(new)
+        for i in gaps:
+            parts[i] = [
+                found[w] if f is None else f for w, f in zip(split[i], parts[i], strict=True)
+            ]
+        if len(self.known) + len(found) > KNOWN_WORDS:
+            self.known.clear()
+        self.known.update((w, f) for w, f in found.items() if len(w) <= LONG_WORD)
         end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        rows = [b"".join(map(known.__getitem__, words)) + end for words in split]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del known[word]
-        return rows
+        return [b"".join(found) + end for found in parts]
 
 
 @lru_cache(maxsize=2)
@@ -231,8 +249,8 @@ def write_tokens(
     records = records.withColumn(
         "key", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     )
-    lined, totals = positions(
-        records, "key", "n_tokens", "key", ("key", "n_tokens"), split_hot=False
+    lined, _ = positions(
+        records, "key", "n_tokens", "key", ("key", "n_tokens"), split_hot=False, in_order=True
     )
     width = encoder(vocabulary).dtype.itemsize
 
@@ -240,10 +258,8 @@ def write_tokens(
         return _pack(range_rows, digest, width)
 
     packs = lined.groupBy(RANGE, SUB).applyInArrow(packed, PACK)
-    parts = max(1, min(4096, totals["rows"] // (64 * PACK_DOCS)))
-    ordered = packs.repartitionByRange(parts, "first_row").sortWithinPartitions("first_row")
     # The frames are compressed already.
-    ordered.write.option("compression", "uncompressed").parquet(f"{path}/packs")
+    packs.write.option("compression", "uncompressed").parquet(f"{path}/packs")
     spark = docs.sparkSession
     spark.createDataFrame([(digest, dictionary)], "hash string, dictionary binary").write.parquet(
         f"{path}/dictionary"
