@@ -55,6 +55,18 @@ def parts_for(rows: int, per_part: int, most: int = 65536) -> int:
     return max(1, min(most, -(-rows // per_part)))
 
 
+def lowest(df: DataFrame, rank: Column, n: int) -> DataFrame:
+    """The ``n`` rows of lowest rank, ties cut off; only ranks are sorted.
+
+    ``rank`` is a hash of the row, so these are a sample that stays the same.
+    """
+    ranked = df.withColumn("_rank", rank)
+    last = ranked.select("_rank").orderBy("_rank").limit(n).agg(F.max("_rank")).first()[0]
+    if last is None:
+        return df.limit(0)
+    return ranked.where(F.col("_rank") <= last).limit(n).drop("_rank")
+
+
 def one_row(df: DataFrame) -> dict:
     """The only row of an aggregate over a whole table."""
     return df.first().asDict()

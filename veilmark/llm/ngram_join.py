@@ -274,19 +274,47 @@ def _rarity(rows: DataFrame) -> dict[bytes, int]:
     return {bytes(r["word"]): min(most, int(r["n"]).bit_length()) for r in top}
 
 
-def _cold_pairs(shared: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """Candidates of short lists, but for those between two hot texts.
+def _chunks(hot: DataFrame) -> DataFrame:
+    """Hot texts dealt into chunks of bounded size, by their longest list."""
+    homes = hot.groupBy(F.col("home").alias("h")).agg(
+        F.sum("size").alias("tokens"), F.count("*").alias("texts")
+    )
+    folds = F.greatest(
+        F.ceil(F.col("tokens") / CHUNK_TOKENS), F.ceil(F.col("texts") / CHUNK_TEXTS), F.lit(1)
+    )
+    dealt = hot.join(homes.withColumn("folds", folds), F.col("home") == F.col("h"))
+    chunk = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("folds")))
+    return dealt.select(F.col("rep").alias("hot_rep"), "home", chunk.alias("chunk"))
+
+
+def _blocks(shared: DataFrame, chunked: DataFrame) -> DataFrame:
+    """Pairs of chunks with a long list in common, c <= d."""
+    in_lists = (
+        shared.where(F.col("n_list") > LONG_LIST)
+        .join(chunked, F.col("rep") == F.col("hot_rep"))
+        .select("token", "chunk")
+        .distinct()
+    )
+    other = in_lists.select(F.col("token").alias("t"), F.col("chunk").alias("d"))
+    return (
+        in_lists.join(other, (F.col("token") == F.col("t")) & (F.col("chunk") <= F.col("d")))
+        .select(F.col("chunk").alias("c"), "d")
+        .distinct()
+    )
+
 
-    Up to the end of the prefix that ends first, the tokens that two sets share
-    are those that their prefixes share, and these lists hold them all; so with
-    what is left of that set they bound the whole intersection.
+def _cold_pairs(shared: DataFrame, chunked: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """Candidates of short lists that are in no pair of chunks.
+
+    Such texts share no long list. Up to the end of the prefix that ends first,
+    the tokens that two sets share are those that their prefixes share, and
+    these lists hold them all; so with what is left of that set they bound the
+    whole intersection.
     """
-    marked = (
-        shared.where(F.col("n_list") <= LONG_LIST)
-        .join(hot.select(F.col("rep").alias("hot_rep")), F.col("rep") == F.col("hot_rep"), "left")
-        .select("token", "rep", "size", "edge", F.col("hot_rep").isNotNull().alias("hot"))
+    marked = shared.where(F.col("n_list") <= LONG_LIST).join(
+        chunked, F.col("rep") == F.col("hot_rep"), "left"
     )
-    names = ("rep", "size", "edge", "hot")
+    names = ("rep", "size", "edge", "home", "chunk")
     a = marked.select("token", *[F.col(c).alias("a_" + c) for c in names])
     b = marked.select(F.col("token").alias("b_token"), *[F.col(c).alias("b_" + c) for c in names])
     pairs = a.join(
@@ -294,15 +322,24 @@ def _cold_pairs(shared: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
         (F.col("token") == F.col("b_token"))
         & (F.struct("a_size", "a_rep") < F.struct("b_size", "b_rep"))
         & (F.col("a_size") * 100 >= F.col("b_size") * percent)
-        & ~(F.col("a_hot") & F.col("b_hot")),
+        & F.coalesce(F.col("a_home") != F.col("b_home"), F.lit(True)),
     )
-    sides = [f"{s}_{c}" for s in "ab" for c in ("rep", "size", "edge")]
+    sides = [f"{s}_{c}" for s in "ab" for c in ("rep", "size", "edge", "chunk")]
     counted = pairs.groupBy(*sides).agg(F.count("*").alias("n_shared"))
     first = F.when(F.col("a_edge") <= F.col("b_edge"), F.col("a_size")).otherwise(F.col("b_size"))
     rest = F.floor((first * percent + 99) / 100) - 1
     possible = (F.col("n_shared") + rest) * (100 + percent)
     enough = possible >= (F.col("a_size") + F.col("b_size")) * percent
-    return counted.where(enough).select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v"))
+    in_block = (F.least("a_chunk", "b_chunk") == F.col("c")) & (
+        F.greatest("a_chunk", "b_chunk") == F.col("d")
+    )
+    # NULL chunks are ignored by least and greatest, so ask for both.
+    both_hot = F.col("a_chunk").isNotNull() & F.col("b_chunk").isNotNull()
+    return (
+        counted.where(enough)
+        .join(blocks, in_block & both_hot, "left_anti")
+        .select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v"))
+    )
 
 
 def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -319,31 +356,9 @@ def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).distinct()  # rows that repeat give their set more than once
 
 
-def _hot_links(shared: DataFrame, sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+def _hot_links(sets: DataFrame, chunked: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
     """Links between texts of long lists, chunk against chunk."""
-    homes = hot.groupBy("home").agg(F.sum("size").alias("tokens"), F.count("*").alias("texts"))
-    folds = F.greatest(
-        F.ceil(F.col("tokens") / CHUNK_TOKENS), F.ceil(F.col("texts") / CHUNK_TEXTS), F.lit(1)
-    )
-    chunked = stored(
-        hot.join(homes.select(F.col("home").alias("h"), folds.alias("folds")), F.col("home") == F.col("h"))
-        .withColumn("chunk", F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("folds"))))
-        .select("rep", "chunk"),
-        "hot-chunks",
-    )
-    in_lists = (
-        shared.join(chunked.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
-        .select("token", "chunk")
-        .distinct()
-    )
-    other = in_lists.select(F.col("token").alias("t"), F.col("chunk").alias("d"))
-    blocks = (
-        in_lists.join(other, (F.col("token") == F.col("t")) & (F.col("chunk") <= F.col("d")))
-        .select(F.col("chunk").alias("c"), "d")
-        .distinct()
-    )
-    blocks = stored(blocks, "hot-blocks")
-    rows = sets.join(chunked.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).select(
+    rows = sets.join(chunked, F.col("rep") == F.col("hot_rep")).select(
         "chunk", "rep", "copies", "tokens", "p0", "p1", "p2"
     )
     sides = [
@@ -451,7 +466,9 @@ def joined(
         .agg(F.max(F.struct("n_list", "token"))["token"].alias("home")),
         "ngram-hot",
     )
-    pairs = stored(_cold_pairs(shared, hot, percent), "ngram-pairs")
+    chunked = stored(_chunks(hot), "ngram-chunks")
+    blocks = stored(_blocks(shared, chunked), "ngram-blocks")
+    pairs = stored(_cold_pairs(shared, chunked, blocks, percent), "ngram-pairs")
     candidates = (
         hot.select("rep")
         .union(pairs.select(F.col("u").alias("rep")))
@@ -475,7 +492,7 @@ def joined(
         "ngram-sets",
     )
     links = stored(
-        _cold_links(pairs, sets, percent).union(_hot_links(shared, sets, hot, percent)),
+        _cold_links(pairs, sets, percent).union(_hot_links(sets, chunked, blocks, percent)),
         "ngram-links",
     )
     labels = connected(links.select("u", "v"))

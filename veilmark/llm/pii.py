@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilmark.llm.char_crf import CharCrf, best_tags, codes_of
-from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
+from veilmark.llm.common import lowest, map_arrow, sliced, texts_of, with_arrow_columns
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, text: str = "text") -> CharCrf | None:
     None if no text has a digit or an at sign.
     """
     body = docs.select(F.col(text).alias("text")).where("text RLIKE '[0-9@]'")
-    sample = body.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS)
+    sample = lowest(body, F.xxhash64("text"), SAMPLE_DOCS)
     rows = map_arrow(sample, _sample_windows, "window string, tags binary").collect()
     rows = sorted({(r["window"], bytes(r["tags"])) for r in rows})
     if not rows:

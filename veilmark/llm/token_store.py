@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from veilmark.llm.common import map_arrow, sliced, stored, with_arrow_columns
-from veilmark.llm.sharding import RANGE, ROW, START, SUB, positions
+from veilmark.llm.common import lowest, map_arrow, sliced, stored, with_arrow_columns
+from veilmark.llm.sharding import ROW, START, positions
 from veilmark.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +37,7 @@ KNOWN_WORDS = 700_000
 LONG_WORD = 100
 TOGETHER = 500
 CLOSING = b".,;:!?"
+BETWEEN = b"\x01"
 
 PACK = T.StructType(
     [
@@ -84,22 +85,29 @@ class WordEncoder:
         # hold a part of one are encoded alone.
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = {t.content[0].encode() for t in added if t.content}
+        alone = self.tokenizer.encode(BETWEEN.decode(), add_special_tokens=False).ids
+        if len(alone) != 1:
+            raise ValueError("the vocabulary has no single token for the mark between words")
+        self.between = alone[0]
 
     def learn(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids of new words, many at a time; a token is its word's by its place."""
-        odd = [w for w in words if any(m in w for m in self.marks)]
-        plain = words if not odd else [w for w in words if not any(m in w for m in self.marks)]
+        """Ids of new words, many at a time, with a known token between them."""
+        apart = [m for m in self.marks if m != BETWEEN]
+        odd = [w for w in words if BETWEEN in w or any(m in w for m in apart)]
+        skip = set(odd)
+        plain = [w for w in words if w not in skip]
         width = self.dtype.itemsize
+        mark = f" {BETWEEN.decode()} "
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
-            texts = [w.decode() for w in some]
-            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            raw = np.array(found.ids, self.dtype).tobytes()
-            places = np.fromiter((s for s, _ in found.offsets), np.int64, len(found.ids))
-            starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
-            ends = (np.searchsorted(places, starts) * width).tolist()
-            for i, word in enumerate(some):
-                yield word, raw[ends[i] : ends[i + 1]]
+            texts = [mark.join([w.decode() for w in some])]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)[0].ids
+            ids = np.array(found, self.dtype)
+            raw, start = ids.tobytes(), 0
+            ends = np.append(np.flatnonzero(ids == self.between), len(ids)).tolist()
+            for word, end in zip(some, ends, strict=True):
+                yield word, raw[start * width : end * width]
+                start = end + 1
         for word in odd:
             ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
             yield word, np.array(ids, self.dtype).tobytes()
@@ -176,7 +184,7 @@ def _train(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
 
 def shared_dictionary(docs: DataFrame, path: str) -> bytes:
     """Trained in one task on SAMPLE_DOCS documents, those of the lowest hashes."""
-    sample = docs.select("text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    sample = lowest(docs, F.xxhash64("doc_id"), SAMPLE_DOCS).select("text")
     rows = map_arrow(sample.coalesce(1), partial(_train, path=path), "d binary").collect()
     return max((bytes(r["d"]) for r in rows), default=b"")
 
@@ -205,28 +213,37 @@ def _compress(batch: pa.RecordBatch, path: str, dictionary: bytes, end_id: int)
     ]
 
 
-def _pack(table: pa.Table, digest: str, id_bytes: int) -> pa.Table:
-    table = table.sort_by(ROW)
-    packs = []
-    for at in range(0, table.num_rows, PACK_DOCS):
-        part = table.slice(at, PACK_DOCS)
-        frames = part.column("frame").to_pylist()
-        doc_ids = part.column("doc_id").to_pylist()
-        known = [d for d in doc_ids if d is not None]
-        packs.append(
-            {
-                "first_row": part.column(ROW)[0].as_py(),
-                "first_token": part.column(START)[0].as_py(),
-                "first_doc": min(known, default=None),
-                "last_doc": max(known, default=None),
-                "id_bytes": id_bytes,
-                "dictionary_hash": digest,
-                "doc_ids": doc_ids,
-                "offsets": np.cumsum([0, *map(len, frames)]).tolist(),
-                "frames": b"".join(frames),
-            }
-        )
-    return pa.Table.from_pylist(packs, PACK_ARROW)
+def _packs(
+    batches: Iterator[pa.RecordBatch], digest: str, id_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """Packs of the rows of a partition, which come in order."""
+    rows: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if len(rows) == PACK_DOCS or rows and row[ROW] != rows[-1][ROW] + 1:
+                yield _pack(rows, digest, id_bytes)
+                rows = []
+            rows.append(row)
+    if rows:
+        yield _pack(rows, digest, id_bytes)
+
+
+def _pack(rows: list[dict], digest: str, id_bytes: int) -> pa.RecordBatch:
+    frames = [r["frame"] for r in rows]
+    doc_ids = [r["doc_id"] for r in rows]
+    known = [d for d in doc_ids if d is not None]
+    pack = {
+        "first_row": rows[0][ROW],
+        "first_token": rows[0][START],
+        "first_doc": min(known, default=None),
+        "last_doc": max(known, default=None),
+        "id_bytes": id_bytes,
+        "dictionary_hash": digest,
+        "doc_ids": doc_ids,
+        "offsets": np.cumsum([0, *map(len, frames)]).tolist(),
+        "frames": b"".join(frames),
+    }
+    return pa.RecordBatch.from_pylist([pack], PACK_ARROW)
 
 
 def write_tokens(
@@ -253,11 +270,11 @@ def write_tokens(
         records, "key", "n_tokens", "key", ("key", "n_tokens"), split_hot=False, in_order=True
     )
     width = encoder(vocabulary).dtype.itemsize
-
-    def packed(range_rows: pa.Table) -> pa.Table:
-        return _pack(range_rows, digest, width)
-
-    packs = lined.groupBy(RANGE, SUB).applyInArrow(packed, PACK)
+    packs = map_arrow(
+        lined.select(ROW, START, "doc_id", "frame"),
+        partial(_packs, digest=digest, id_bytes=width),
+        PACK,
+    )
     # The frames are compressed already.
     packs.write.option("compression", "uncompressed").parquet(f"{path}/packs")
     spark = docs.sparkSession
