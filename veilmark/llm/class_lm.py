@@ -18,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,18 @@ def word_counts(training: DataFrame) -> DataFrame:
     return partial_counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_from(counts: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach, found from counts of counts."""
+    by_count = counts.where("word IS NOT NULL").groupBy("n").agg(F.count("*").alias("words"))
+    # One row per distinct count, which are few beside the words.
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = by_count.select("n", F.sum("words").over(above).alias("upto"))
+    least, greatest = upto.agg(
+        F.min(F.when(F.col("upto") <= most, F.col("n"))), F.max("n")
+    ).first()
+    return least if least is not None else (greatest or 0) + 1
+
+
 def _symbols(words: list[bytes], number: dict[bytes, int], n_numbered: int) -> np.ndarray:
     """Numbers of the words; a tail class follows the numbered words."""
     found = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
@@ -177,8 +189,10 @@ class ClassModel:
 
 def fit(training: DataFrame, counts: DataFrame) -> tuple[ClassModel, DataFrame]:
     """The model, and the counts of all words that are not frequent."""
-    order = [F.desc("n"), F.asc("word")]
-    top = counts.where("word IS NOT NULL").orderBy(*order).limit(FREQUENT).collect()
+    from_count = frequent_from(counts, FREQUENT)
+    known = counts.where("word IS NOT NULL")
+    top = known.where(F.col("n") >= from_count).collect()
+    top = sorted(top, key=lambda r: (-r["n"], bytes(r["word"])))
     words = [bytes(r["word"]) for r in top]
     numbers = np.array([r["n"] for r in top], np.int64)
     total = counts.agg(
@@ -210,13 +224,7 @@ def fit(training: DataFrame, counts: DataFrame) -> tuple[ClassModel, DataFrame]:
     transition = (table + 1) / (table.sum(1, keepdims=True) + k)
 
     # Tokens and distinct words of each class; a tail has room for one unseen word.
-    if words:
-        last = top[-1]
-        rest = counts.where("word IS NOT NULL").where(
-            (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"]))
-        )
-    else:
-        rest = counts.where("word IS NOT NULL")
+    rest = known.where(F.col("n") < from_count)
     tails = map_arrow(rest, _tail_sums, "tail int, n long, words long").groupBy("tail").agg(
         F.sum("n").alias("n"), F.sum("words").alias("words")
     )

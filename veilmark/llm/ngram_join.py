@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilmark.llm.class_lm import word_counts, words_of_batch
+from veilmark.llm.class_lm import frequent_from, word_counts, words_of_batch
 from veilmark.llm.common import importable, map_arrow, sliced, stored
 from veilmark.llm.components import connected
 
@@ -146,15 +146,15 @@ def _index(
 def _sets(
     batches: Iterator[pa.RecordBatch], n: int, percent: int, rarity: dict[bytes, int]
 ) -> Iterator[pa.RecordBatch]:
-    """The whole set and all prefixes of each text, where its key is the wanted one."""
+    """The whole set and the other orders' prefixes of each text, where its key is the wanted one."""
     for batch in sliced(batches):
-        take, tokens, all_prefixes = [], [], ([], [], [])
+        take, tokens, all_prefixes = [], [], ([], [])
         wanted = batch.column(batch.schema.get_field_index("key")).to_pylist()
         for i, token in enumerate(tokens_of(words_of_batch(batch), n, rarity)):
             if _key(token) == wanted[i]:
                 take.append(i)
                 tokens.append(token)
-                for column, prefix in zip(all_prefixes, prefixes(token, percent), strict=True):
+                for column, prefix in zip(all_prefixes, prefixes(token, percent)[1:], strict=True):
                     column.append(prefix)
         rep = batch.column(batch.schema.get_field_index("rep")).take(pa.array(take, pa.int64()))
         copies = batch.column(batch.schema.get_field_index("copies")).take(
@@ -162,7 +162,7 @@ def _sets(
         )
         yield pa.RecordBatch.from_arrays(
             [rep, copies, _longs(tokens), *map(_longs, all_prefixes)],
-            ["rep", "copies", "tokens", "p0", "p1", "p2"],
+            ["rep", "copies", "tokens", "p1", "p2"],
         )
 
 
@@ -195,19 +195,20 @@ def _linked(left: pa.Table, right: pa.Table, same: bool, percent: int) -> np.nda
         values = table.column(column).combine_chunks()
         return [v.values.to_numpy().view(np.uint64) for v in values]
 
-    sizes = [np.array([len(t) for t in lists(t, "tokens")]) for t in (left, right)]
+    sets = [lists(t, "tokens") for t in (left, right)]
+    orders = [[prefixes(row, percent) for row in rows] for rows in sets]
+    sizes = [np.array([len(row) for row in rows]) for rows in sets]
     small = np.minimum(sizes[0][:, None], sizes[1][None, :])
     large = np.maximum(sizes[0][:, None], sizes[1][None, :])
     candidate = 100 * small >= percent * large
     if same:
         candidate &= np.tri(len(sizes[0]), len(sizes[1]), -1, dtype=bool)
-    for order in ("p0", "p1", "p2"):
+    for k in range(3):
         if candidate.any():
-            candidate &= _overlaps(lists(left, order), lists(right, order)) > 0
+            candidate &= _overlaps(*[[row[k] for row in rows] for rows in orders]) > 0
     rows, columns = np.flatnonzero(candidate.any(1)), np.flatnonzero(candidate.any(0))
     if not len(rows):
         return candidate
-    sets = lists(left, "tokens"), lists(right, "tokens")
     both = _overlaps([sets[0][i] for i in rows], [sets[1][j] for j in columns])
     union = sizes[0][rows][:, None] + sizes[1][columns][None, :] - both
     similar = np.zeros_like(candidate)
@@ -268,21 +269,32 @@ def block_links(left: pa.Table, right: pa.Table, same: bool, percent: int) -> pa
 
 def _rarity(rows: DataFrame) -> dict[bytes, int]:
     """Binary logarithm of the count of the most frequent words, at least 1."""
-    counts = word_counts(rows).where("word IS NOT NULL AND n > 1")
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).collect()
+    counts = stored(word_counts(rows).where("word IS NOT NULL AND n > 1"), "ngram-words")
+    top = counts.where(F.col("n") >= frequent_from(counts, FREQUENT_WORDS)).collect()
     most = 2**RARITY_BITS - 1
     return {bytes(r["word"]): min(most, int(r["n"]).bit_length()) for r in top}
 
 
-def _chunks(hot: DataFrame) -> DataFrame:
-    """Hot texts dealt into chunks of bounded size, by their longest list."""
-    homes = hot.groupBy(F.col("home").alias("h")).agg(
+def _chunks(shared: DataFrame) -> DataFrame:
+    """Texts of long lists, dealt into chunks of bounded size.
+
+    Texts that long lists connect share a home, so that a group of near copies
+    is cut into as few chunks as its size allows.
+    """
+    rows = shared.where(F.col("n_list") > LONG_LIST)
+    least = rows.groupBy(F.col("token").alias("t")).agg(F.min("rep").alias("least"))
+    edges = rows.join(least, F.col("token") == F.col("t")).select(
+        F.col("rep").alias("u"), F.col("least").alias("v")
+    )
+    labels = connected(edges.distinct())
+    hot = rows.select("rep", "size").distinct().join(labels, F.col("rep") == F.col("node"))
+    homes = hot.groupBy(F.col("label").alias("home")).agg(
         F.sum("size").alias("tokens"), F.count("*").alias("texts")
     )
     folds = F.greatest(
         F.ceil(F.col("tokens") / CHUNK_TOKENS), F.ceil(F.col("texts") / CHUNK_TEXTS), F.lit(1)
     )
-    dealt = hot.join(homes.withColumn("folds", folds), F.col("home") == F.col("h"))
+    dealt = hot.join(homes.withColumn("folds", folds), F.col("label") == F.col("home"))
     chunk = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("folds")))
     return dealt.select(F.col("rep").alias("hot_rep"), "home", chunk.alias("chunk"))
 
@@ -359,7 +371,7 @@ def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _hot_links(sets: DataFrame, chunked: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
     """Links between texts of long lists, chunk against chunk."""
     rows = sets.join(chunked, F.col("rep") == F.col("hot_rep")).select(
-        "chunk", "rep", "copies", "tokens", "p0", "p1", "p2"
+        "chunk", "rep", "copies", "tokens"
     )
     sides = [
         blocks.join(rows, F.col("c") == F.col("chunk")).withColumn("side", F.lit(0)),
@@ -460,17 +472,11 @@ def joined(
         postings.join(lists.where("n_list > 1"), F.col("token") == F.col("t")).drop("t"),
         "ngram-shared",
     )
-    hot = stored(
-        shared.where(F.col("n_list") > LONG_LIST)
-        .groupBy("rep", "size")
-        .agg(F.max(F.struct("n_list", "token"))["token"].alias("home")),
-        "ngram-hot",
-    )
-    chunked = stored(_chunks(hot), "ngram-chunks")
+    chunked = stored(_chunks(shared), "ngram-chunks")
     blocks = stored(_blocks(shared, chunked), "ngram-blocks")
     pairs = stored(_cold_pairs(shared, chunked, blocks, percent), "ngram-pairs")
     candidates = (
-        hot.select("rep")
+        chunked.select(F.col("hot_rep").alias("rep"))
         .union(pairs.select(F.col("u").alias("rep")))
         .union(pairs.select(F.col("v").alias("rep")))
         .distinct()
@@ -486,8 +492,7 @@ def joined(
         map_arrow(
             texts.select("text", "rep", "key", "copies"),
             partial(_sets, n=n, percent=percent, rarity=rarity),
-            "rep long, copies long, tokens array<bigint>, p0 array<bigint>, p1 array<bigint>,"
-            " p2 array<bigint>",
+            "rep long, copies long, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>",
         ),
         "ngram-sets",
     )
