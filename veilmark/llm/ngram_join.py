@@ -32,7 +32,7 @@ WORDS, PERCENT = 4, 85
 FREQUENT_WORDS = 100_000
 LONG_LIST = 64
 BITS_PER_ID, MOST_BITS = 16, 1 << 22
-CHUNK_TOKENS, CHUNK_TEXTS = 1 << 17, 512
+CHUNK_TOKENS, CHUNK_TEXTS = 1 << 19, 1024
 STRIP = 4096
 # A token is a long: RARITY_BITS of how common it may be, then a hash.
 RARITY_BITS = 5
@@ -166,11 +166,17 @@ def _sets(
         )
 
 
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, as a product of 0/1 matrices strip by strip."""
-    one = np.unique(np.concatenate(left)) if left else np.empty(0)
-    two = np.unique(np.concatenate(right)) if right else np.empty(0)
-    shared = np.intersect1d(one, two, assume_unique=True)
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> np.ndarray:
+    """Sizes of all intersections, as a product of 0/1 matrices strip by strip.
+
+    For a chunk with itself, tokens of one set alone are left out; the sizes of
+    a set with itself are not asked for.
+    """
+    one, times = np.unique(np.concatenate(left), return_counts=True)
+    if same:
+        shared = one[times > 1]
+    else:
+        shared = np.intersect1d(one, np.unique(np.concatenate(right)), assume_unique=True)
     out = np.zeros((len(left), len(right)), np.float32)
     for at in range(0, len(shared), STRIP):
         strip = shared[at : at + STRIP]
@@ -205,11 +211,11 @@ def _linked(left: pa.Table, right: pa.Table, same: bool, percent: int) -> np.nda
         candidate &= np.tri(len(sizes[0]), len(sizes[1]), -1, dtype=bool)
     for k in range(3):
         if candidate.any():
-            candidate &= _overlaps(*[[row[k] for row in rows] for rows in orders]) > 0
+            candidate &= _overlaps(*[[row[k] for row in rows] for rows in orders], same) > 0
     rows, columns = np.flatnonzero(candidate.any(1)), np.flatnonzero(candidate.any(0))
     if not len(rows):
         return candidate
-    both = _overlaps([sets[0][i] for i in rows], [sets[1][j] for j in columns])
+    both = _overlaps([sets[0][i] for i in rows], [sets[1][j] for j in columns], False)
     union = sizes[0][rows][:, None] + sizes[1][columns][None, :] - both
     similar = np.zeros_like(candidate)
     similar[np.ix_(rows, columns)] = 100 * both >= percent * union

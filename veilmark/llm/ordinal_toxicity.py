@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
 
 GRADES = 3  # besides 0, not toxic
-SAMPLE_ROWS = {0: 4000, 1: 2000}  # by label
-SAMPLE_WORDS = 20_000  # distinct words of one sampled text, for the fit alone
+SAMPLE_ROWS = {0: 1800, 1: 900}  # by label
+SAMPLE_WORDS = 5_000  # distinct words of one sampled text, for the fit alone
 FEATURES = 1000
 MIN_ROWS = 3
 MIN_INFORMATION = 12.0
