@@ -61,7 +61,7 @@ def test_tag_counts(spark):
         "prior_authorizations": (6, 18),
     }
     assert tags.table_tags(spark).count() == 12
-    assert rows(tags.schema_tags(spark)) == [("governance", "compliance", "hipaa")]
+    assert rows(tags.schema_tags(spark)) == [("health_plan", "compliance", "hipaa")]
     values = {
         (r["tag_name"], r["tag_value"]): r["count"]
         for r in column_tags.groupBy("tag_name", "tag_value").count().collect()

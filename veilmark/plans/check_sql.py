@@ -153,7 +153,7 @@ _TABLE_TAGS = _latest(
 
 
 def _governed(text: str) -> str:
-    return f"(SELECT * FROM ({text}) s WHERE schema_name = 'governance') g"
+    return f"(SELECT * FROM ({text}) s WHERE schema_name = 'health_plan') g"
 
 
 def _b1(limit: int) -> str:

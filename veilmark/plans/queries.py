@@ -230,7 +230,7 @@ def _schema_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _audit(report: Callable, source: Query, *limit: int) -> Query:
-    return lambda spark, sf_dir: report(source(spark, sf_dir), "governance", *limit)
+    return lambda spark, sf_dir: report(source(spark, sf_dir), "health_plan", *limit)
 
 
 def _inheritance(spark: SparkSession, sf_dir: str) -> DataFrame:

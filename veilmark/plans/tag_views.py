@@ -21,7 +21,7 @@ _E, _K = "event_id", "p_partkey"
 
 # A log of column-tag assignments; the last one per column and tag counts.
 COLUMN_TAG_LOG = {
-    "schema_name": "CASE WHEN user_id % 9 = 8 THEN 'sandbox' ELSE 'governance' END",
+    "schema_name": "CASE WHEN user_id % 9 = 8 THEN 'sandbox' ELSE 'health_plan' END",
     "table_name": f"'t_' || {_str('user_id % 5')}",
     "column_name": f"'c_' || {_str(f'{_E} % 700')}",
     "tag_name": f"CASE event_type WHEN 'click' THEN 'sensitivity_level' "
@@ -41,7 +41,7 @@ COLUMN_TAG_LOG = {
 }
 
 TABLE_TAG_LOG = {
-    "schema_name": "CASE WHEN p_size % 10 = 9 THEN 'sandbox' ELSE 'governance' END",
+    "schema_name": "CASE WHEN p_size % 10 = 9 THEN 'sandbox' ELSE 'health_plan' END",
     "table_name": "lower(p_brand)",
     "tag_name": f"'tag_' || {_str('p_size')}",
     "tag_value": "lower(p_type)",
@@ -66,7 +66,7 @@ SCHEMA_TAG_ROWS = {
 
 # A data dictionary, tags for it and mask bindings, with gaps and errors.
 DICTIONARY = {
-    "schema_name": "'governance'",
+    "schema_name": "'health_plan'",
     "table_name": "lower(p_brand)",
     "column_name": f"'col_' || {_str(_K)}",
     "comment": f"CASE {_K} % 8 WHEN 0 THEN 'Name of the ' || p_name || ' (e.g., A.B). PHI - name.' "
@@ -78,7 +78,7 @@ DICTIONARY = {
     f"WHEN 6 THEN 'Code of the ' || p_name || '. PHI.' ELSE 'Type. Non-sensitive.' END",
 }
 DICTIONARY_TAGS = {
-    "schema_name": "'governance'",
+    "schema_name": "'health_plan'",
     "table_name": "lower(p_brand)",
     "column_name": f"CASE WHEN {_K} % 97 = 5 THEN 'gone_' || {_str(_K)} "
     f"ELSE 'col_' || {_str(_K)} END",

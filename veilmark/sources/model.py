@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCHEMA_NAME = "governance"
+SCHEMA_NAME = "health_plan"
 SCHEMA_COMMENT = "Health-plan tables with classified columns and tier-based masking"
 
 PHI, PII, SENSITIVE, NON_SENSITIVE = "PHI", "PII", "Sensitive", "Non-sensitive"
