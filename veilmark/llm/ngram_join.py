@@ -32,7 +32,7 @@ WORDS, PERCENT = 4, 85
 FREQUENT_WORDS = 100_000
 LONG_LIST = 64
 BITS_PER_ID, MOST_BITS = 16, 1 << 22
-CHUNK_TOKENS, CHUNK_TEXTS = 1 << 19, 1024
+CHUNK_TOKENS, CHUNK_TEXTS = 1 << 17, 512
 STRIP = 4096
 # A token is a long: RARITY_BITS of how common it may be, then a hash.
 RARITY_BITS = 5
@@ -282,25 +282,19 @@ def _rarity(rows: DataFrame) -> dict[bytes, int]:
 
 
 def _chunks(shared: DataFrame) -> DataFrame:
-    """Texts of long lists, dealt into chunks of bounded size.
-
-    Texts that long lists connect share a home, so that a group of near copies
-    is cut into as few chunks as its size allows.
-    """
-    rows = shared.where(F.col("n_list") > LONG_LIST)
-    least = rows.groupBy(F.col("token").alias("t")).agg(F.min("rep").alias("least"))
-    edges = rows.join(least, F.col("token") == F.col("t")).select(
-        F.col("rep").alias("u"), F.col("least").alias("v")
+    """Texts of long lists, dealt into chunks of bounded size by their longest list."""
+    hot = (
+        shared.where(F.col("n_list") > LONG_LIST)
+        .groupBy("rep", "size")
+        .agg(F.max(F.struct("n_list", "token"))["token"].alias("home"))
     )
-    labels = connected(edges.distinct())
-    hot = rows.select("rep", "size").distinct().join(labels, F.col("rep") == F.col("node"))
-    homes = hot.groupBy(F.col("label").alias("home")).agg(
+    homes = hot.groupBy(F.col("home").alias("h")).agg(
         F.sum("size").alias("tokens"), F.count("*").alias("texts")
     )
     folds = F.greatest(
         F.ceil(F.col("tokens") / CHUNK_TOKENS), F.ceil(F.col("texts") / CHUNK_TEXTS), F.lit(1)
     )
-    dealt = hot.join(homes.withColumn("folds", folds), F.col("label") == F.col("home"))
+    dealt = hot.join(homes.withColumn("folds", folds), F.col("home") == F.col("h"))
     chunk = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("folds")))
     return dealt.select(F.col("rep").alias("hot_rep"), "home", chunk.alias("chunk"))
 
