@@ -6,6 +6,11 @@ each (the prefix). One order, rarest words first, is indexed and gives the
 candidates; they must share prefix tokens under every other order too before their
 sets are compared.
 
+Which tokens are common is told by their words at first. The lists that these
+prefixes would give are counted over all texts, and the tokens of long lists go to
+the end of every order: a passage that many texts share then leaves the prefixes
+of all texts that have enough of their own.
+
 Texts with equal sets are one class from the start. Lists of the index that are
 longer than LONG_LIST come from large groups of near copies or from passages that
 many texts share; their texts are dealt into chunks of bounded size, and pairs of
@@ -31,11 +36,15 @@ from veilmark.llm.components import connected
 WORDS, PERCENT = 4, 85
 FREQUENT_WORDS = 100_000
 LONG_LIST = 64
+FREQUENT_TOKENS = 1 << 19
+COUNTED_TOGETHER = 1 << 20
 BITS_PER_ID, MOST_BITS = 16, 1 << 22
 CHUNK_TOKENS, CHUNK_TEXTS = 1 << 17, 512
 STRIP = 4096
 # A token is a long: RARITY_BITS of how common it may be, then a hash.
 RARITY_BITS = 5
+MOST_COMMON = 2**RARITY_BITS - 1  # tokens known to have a long list
+NONE_FREQUENT = np.empty(0, np.uint64)
 
 
 def _mixed(z: np.ndarray) -> np.ndarray:
@@ -45,18 +54,25 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def tokens_of(texts: list[list[bytes]], n: int, rarity: dict[bytes, int]) -> list[np.ndarray]:
+def tokens_of(
+    texts: list[list[bytes]],
+    n: int,
+    rarity: dict[bytes, int],
+    frequent: np.ndarray = NONE_FREQUENT,
+) -> list[np.ndarray]:
     """Distinct tokens of each text, ascending.
 
     The leading bits are the measure of the rarest word, which no shingle can
-    exceed, so ascending order is from rare to common. With fewer than ``n``
-    words the whole sequence is one token; no words, no tokens.
+    exceed, or MOST_COMMON for the tokens in ``frequent`` (ascending), so
+    ascending order is from rare to common. With fewer than ``n`` words the
+    whole sequence is one token; no words, no tokens.
     """
     flat = list(chain.from_iterable(texts))
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
     common = np.fromiter(map(rarity.get, flat, repeat(0)), np.uint64, len(flat))
     starts = np.cumsum([0, *map(len, texts)]).tolist()
     whole = _shingles(hashes, common, n) if len(flat) >= n else hashes[:0]
+    whole = _put_last(whole, frequent)
     out = []
     for start, end in zip(starts, starts[1:], strict=False):
         if end - start >= n:
@@ -64,6 +80,7 @@ def tokens_of(texts: list[list[bytes]], n: int, rarity: dict[bytes, int]) -> lis
             token = token[np.append(True, token[1:] != token[:-1])]
         else:
             token = _shingles(hashes[start:end], common[start:end], end - start)
+            token = _put_last(token, frequent)
         out.append(token)
     return out
 
@@ -81,6 +98,15 @@ def _shingles(hashes: np.ndarray, common: np.ndarray, width: int) -> np.ndarray:
     return (token >> np.uint64(RARITY_BITS)) | (least << np.uint64(64 - RARITY_BITS))
 
 
+def _put_last(token: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The tokens, those in ``frequent`` with the measure MOST_COMMON."""
+    if not len(frequent) or not len(token):
+        return token
+    place = np.minimum(np.searchsorted(frequent, token), len(frequent) - 1)
+    last = np.uint64(MOST_COMMON << (64 - RARITY_BITS))
+    return np.where(frequent[place] == token, token | last, token)
+
+
 def prefix_length(size: int, percent: int) -> int:
     return size + 1 - -(-percent * size // 100)
 
@@ -94,13 +120,15 @@ def prefixes(token: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
     """The prefix under each order, ascending.
 
     The first order is from rare to common, by the tokens' own value. The
-    second is by half as many steps of rarity and another hash, the third only
-    puts tokens of frequent words alone behind the others.
+    second is by fewer steps of rarity and another hash, the third only puts
+    tokens of frequent words alone behind the others, and those of long lists last.
     """
     p = prefix_length(len(token), percent)
     measure = token >> np.uint64(64 - RARITY_BITS)
     orders = [token[:p]]
-    for salt, steps in ((0xD1B54A32D192ED03, measure >> np.uint64(2)), (0x8CB92BA72F3D8DD7, measure > 0)):
+    last = measure == MOST_COMMON
+    coarse = (measure >> np.uint64(2)) + last
+    for salt, steps in ((0xD1B54A32D192ED03, coarse), (0x8CB92BA72F3D8DD7, (measure > 0) + 1 * last)):
         shuffled = _mixed(token ^ np.uint64(salt))
         first = np.lexsort((shuffled, steps))[:p]
         orders.append(np.sort(token[first]))
@@ -117,13 +145,54 @@ def _key(token: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(token.tobytes())
 
 
-def _index(
+def _counted_tokens(found: list[np.ndarray]) -> pa.RecordBatch:
+    token, times = np.unique(np.concatenate(found), return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(token.view(np.int64)), pa.array(times)], ["word", "n"]
+    )
+
+
+def _count_prefixes(
     batches: Iterator[pa.RecordBatch], n: int, percent: int, rarity: dict[bytes, int]
+) -> Iterator[pa.RecordBatch]:
+    """Tokens of the prefixes and their number."""
+    found, held = [], 0
+    for batch in sliced(batches):
+        for token in tokens_of(words_of_batch(batch), n, rarity):
+            if can_link(len(token), percent):
+                found.append(token[: prefix_length(len(token), percent)])
+                held += len(found[-1])
+        if held > COUNTED_TOGETHER:
+            yield _counted_tokens(found)
+            found, held = [], 0
+    if found:
+        yield _counted_tokens(found)
+
+
+def _frequent_tokens(
+    rows: DataFrame, n: int, percent: int, rarity: dict[bytes, int]
+) -> np.ndarray:
+    """Tokens of long lists, at most FREQUENT_TOKENS: those of the longest."""
+    counter = partial(_count_prefixes, n=n, percent=percent, rarity=rarity)
+    counts = map_arrow(rows.select("text"), counter, "word long, n long").groupBy("word")
+    counts = counts.agg(F.sum("n").alias("n")).where(F.col("n") > LONG_LIST)
+    counts = stored(counts, "ngram-lists")
+    top = counts.where(F.col("n") >= frequent_from(counts, FREQUENT_TOKENS)).select("word")
+    words = top.toArrow().column(0).to_numpy()
+    return np.sort(np.ascontiguousarray(words, np.int64).view(np.uint64))
+
+
+def _index(
+    batches: Iterator[pa.RecordBatch],
+    n: int,
+    percent: int,
+    rarity: dict[bytes, int],
+    frequent: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """Size, key, indexed prefix and the last token of that, of each set."""
     for batch in sliced(batches):
         sizes, keys, firsts, edges = [], [], [], []
-        for token in tokens_of(words_of_batch(batch), n, rarity):
+        for token in tokens_of(words_of_batch(batch), n, rarity, frequent):
             sizes.append(len(token))
             keys.append(_key(token))
             linkable = can_link(len(token), percent)
@@ -144,13 +213,17 @@ def _index(
 
 
 def _sets(
-    batches: Iterator[pa.RecordBatch], n: int, percent: int, rarity: dict[bytes, int]
+    batches: Iterator[pa.RecordBatch],
+    n: int,
+    percent: int,
+    rarity: dict[bytes, int],
+    frequent: np.ndarray,
 ) -> Iterator[pa.RecordBatch]:
     """The whole set and the other orders' prefixes of each text, where its key is the wanted one."""
     for batch in sliced(batches):
         take, tokens, all_prefixes = [], [], ([], [])
         wanted = batch.column(batch.schema.get_field_index("key")).to_pylist()
-        for i, token in enumerate(tokens_of(words_of_batch(batch), n, rarity)):
+        for i, token in enumerate(tokens_of(words_of_batch(batch), n, rarity, frequent)):
             if _key(token) == wanted[i]:
                 take.append(i)
                 tokens.append(token)
@@ -277,8 +350,7 @@ def _rarity(rows: DataFrame) -> dict[bytes, int]:
     """Binary logarithm of the count of the most frequent words, at least 1."""
     counts = stored(word_counts(rows).where("word IS NOT NULL AND n > 1"), "ngram-words")
     top = counts.where(F.col("n") >= frequent_from(counts, FREQUENT_WORDS)).collect()
-    most = 2**RARITY_BITS - 1
-    return {bytes(r["word"]): min(most, int(r["n"]).bit_length()) for r in top}
+    return {bytes(r["word"]): min(MOST_COMMON - 1, int(r["n"]).bit_length()) for r in top}
 
 
 def _chunks(shared: DataFrame) -> DataFrame:
@@ -444,12 +516,13 @@ def joined(
     number = F.col(row) if row else F.monotonically_increasing_id()
     numbered = docs.select("doc_id", "text", number.alias("row"))
     rarity = _rarity(docs)
+    frequent = _frequent_tokens(docs, n, percent, rarity)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     # Stored: the row numbers must stay what they are.
     index = stored(
         map_arrow(
             numbered,
-            partial(_index, n=n, percent=percent, rarity=rarity),
+            partial(_index, n=n, percent=percent, rarity=rarity, frequent=frequent),
             f"row long, doc_id {id_type}, size long, key binary, prefix array<bigint>,"
             " edge long",
         ),
@@ -491,7 +564,7 @@ def joined(
     sets = stored(
         map_arrow(
             texts.select("text", "rep", "key", "copies"),
-            partial(_sets, n=n, percent=percent, rarity=rarity),
+            partial(_sets, n=n, percent=percent, rarity=rarity, frequent=frequent),
             "rep long, copies long, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>",
         ),
         "ngram-sets",
