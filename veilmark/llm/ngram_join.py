@@ -213,29 +213,23 @@ def _index(
 
 
 def _sets(
-    batches: Iterator[pa.RecordBatch],
-    n: int,
-    percent: int,
-    rarity: dict[bytes, int],
-    frequent: np.ndarray,
+    batches: Iterator[pa.RecordBatch], n: int, rarity: dict[bytes, int], frequent: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """The whole set and the other orders' prefixes of each text, where its key is the wanted one."""
+    """The whole set of each text, where its key is the wanted one."""
     for batch in sliced(batches):
-        take, tokens, all_prefixes = [], [], ([], [])
+        take, tokens = [], []
         wanted = batch.column(batch.schema.get_field_index("key")).to_pylist()
         for i, token in enumerate(tokens_of(words_of_batch(batch), n, rarity, frequent)):
             if _key(token) == wanted[i]:
                 take.append(i)
                 tokens.append(token)
-                for column, prefix in zip(all_prefixes, prefixes(token, percent)[1:], strict=True):
-                    column.append(prefix)
         rep = batch.column(batch.schema.get_field_index("rep")).take(pa.array(take, pa.int64()))
         copies = batch.column(batch.schema.get_field_index("copies")).take(
             pa.array(take, pa.int64())
         )
         yield pa.RecordBatch.from_arrays(
-            [rep, copies, _longs(tokens), *map(_longs, all_prefixes)],
-            ["rep", "copies", "tokens", "p1", "p2"],
+            [rep, copies, _longs(tokens)],
+            ["rep", "copies", "tokens"],
         )
 
 
@@ -426,18 +420,40 @@ def _cold_pairs(shared: DataFrame, chunked: DataFrame, blocks: DataFrame, percen
     )
 
 
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that share tokens of the other orders' prefixes and are similar enough."""
+    for batch in batches:
+        lists = [
+            batch.column(batch.schema.get_field_index(c)) for c in ("u_tokens", "v_tokens")
+        ]
+        take = []
+        for i in range(batch.num_rows):
+            pair = [v[i].values.to_numpy().view(np.uint64) for v in lists]
+            one, two = (prefixes(token, percent)[1:] for token in pair)
+            if all(len(np.intersect1d(*p, assume_unique=True)) for p in zip(one, two, strict=True)):
+                both = len(np.intersect1d(*pair, assume_unique=True))
+                if 100 * both >= percent * (len(pair[0]) + len(pair[1]) - both):
+                    take.append(i)
+        names = ("u", "v", "v_copies", "u_copies")
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in names]
+        rows = pa.array(take, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [c.take(rows) for c in kept], ["u", "v", "links_u", "links_v"]
+        )
+
+
 def _cold_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates that pass the other orders' filters and are similar enough."""
-    names = ("rep", "copies", "tokens", "p1", "p2")
+    """Candidates that pass the other orders' filters and are similar enough.
+
+    Only the sets travel; the prefixes under the other orders follow from them.
+    """
+    names = ("rep", "copies", "tokens")
     one = sets.select(*[F.col(c).alias("u_" + c) for c in names])
     two = sets.select(*[F.col(c).alias("v_" + c) for c in names])
     joined = pairs.join(one, F.col("u") == F.col("u_rep")).join(two, F.col("v") == F.col("v_rep"))
-    filtered = joined.where(F.arrays_overlap("u_p1", "v_p1") & F.arrays_overlap("u_p2", "v_p2"))
-    both = F.size(F.array_intersect("u_tokens", "v_tokens"))
-    all_tokens = F.size("u_tokens") + F.size("v_tokens")
-    return filtered.where(both * 100 >= (all_tokens - both) * percent).select(
-        "u", "v", F.col("v_copies").alias("links_u"), F.col("u_copies").alias("links_v")
-    ).distinct()  # rows that repeat give their set more than once
+    whole = joined.select("u", "v", "u_copies", "v_copies", "u_tokens", "v_tokens")
+    # Rows that repeat give their set more than once.
+    return map_arrow(whole, partial(_verified, percent=percent), LINKS).distinct()
 
 
 def _hot_links(sets: DataFrame, chunked: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
@@ -564,8 +580,8 @@ def joined(
     sets = stored(
         map_arrow(
             texts.select("text", "rep", "key", "copies"),
-            partial(_sets, n=n, percent=percent, rarity=rarity, frequent=frequent),
-            "rep long, copies long, tokens array<bigint>, p1 array<bigint>, p2 array<bigint>",
+            partial(_sets, n=n, rarity=rarity, frequent=frequent),
+            "rep long, copies long, tokens array<bigint>",
         ),
         "ngram-sets",
     )
