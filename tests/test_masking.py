@@ -69,7 +69,7 @@ def test_policy_rows(spark):
         "phone": "mask_phone",
     }
     df = spark.createDataFrame([("BX1", "502-555-0101")], "dea_number string, phone string")
-    assert rows(masked(df, policy_of(changed, "providers"), "partial")) == [
+    assert rows(masked(df, policy_of(changed, "providers"), "partial", projected=True)) == [
         ("REDACTED", "(***) ***-0101")
     ]
 
@@ -145,3 +145,11 @@ def test_stream_equals_batch_and_continues(spark, sf_dir, tmp_path):
         query = start_masked_export(stream, "claims", "partial", out, state, SALT)
         query.awaitTermination()
     assert rows(spark.read.parquet(out)) == rows(masked(claims, "claims", "partial", SALT))
+
+
+def test_a_binding_without_its_column_is_refused(spark):
+    df = spark.createDataFrame([("123-45-6789", 1)], "ssn string, n int")
+    with pytest.raises(ValueError, match="snn"):
+        masked(df, {"snn": "mask_ssn"}, "none", SALT)
+    left_out = masked(df, {"SSN": "mask_ssn", "tax": "mask_tax_id"}, "none", SALT, projected=True)
+    assert rows(left_out) == [("XXX-XX-XXXX", 1)]

@@ -128,7 +128,8 @@ def deid_join(
         **{prefix + c: fn for c, fn in TABLES[right_table].policy.items()},
     }
     row_id = [TABLES[left_table].key]
-    return masked(spread_join(left, parent, on, prefix + on, row_id), policy, tier, salt)
+    joined = spread_join(left, parent, on, prefix + on, row_id)
+    return masked(joined, policy, tier, salt, projected=True)
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

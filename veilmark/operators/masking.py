@@ -31,16 +31,23 @@ def masked(
     table: str | Mapping[str, str],
     tier: str | Column,
     salt: str | None = None,
+    projected: bool = False,
 ) -> DataFrame:
     """A table as a reader of the tier sees it: one projection, no shuffle.
 
     ``table`` names a table of the model or gives the binding of columns to
     functions. Unbound columns pass through. Bound columns are STRING in every
     tier, so all tiers share a schema. Names are matched without case, as
-    Spark resolves them, so a binding cannot be dodged by spelling.
+    Spark resolves them, so a binding cannot be dodged by spelling. A mapping
+    that binds a column the rows lack is refused, as the column it was meant
+    for would pass in clear; ``projected`` says that columns were left out on
+    purpose, which is taken for granted for tables of the model.
     """
     policy = TABLES[table].policy if isinstance(table, str) else table
     functions = {column.lower(): function for column, function in policy.items()}
+    lacking = functions.keys() - {c.lower() for c in df.columns}
+    if lacking and not projected and not isinstance(table, str):
+        raise ValueError(f"masks are bound to columns that are not there: {sorted(lacking)}")
     projection = []
     for f in df.schema.fields:
         column = F.col(f"`{f.name}`")
