@@ -93,6 +93,94 @@ def test_csv_and_json(spark, tmp_path):
     assert rows(got) == [("E-1", False, Decimal("3.00")), ("E-2", False, Decimal("4.50"))]
 
 
+def damaged_csv(tmp_path, header=""):
+    fields = [str(v or "") for v in eligibility_row(1)]
+    line = ",".join(fields)
+    lines = [
+        line,
+        line + ",x,y",
+        ",".join(fields[:4]),
+        line.replace(",Plan,", ',"Plan\nof two lines",'),
+        line + '"open',
+        "",
+    ]
+    path = tmp_path / "damaged.csv"
+    path.write_text("\n".join([*([header] if header else []), *lines]))
+    return str(path)
+
+
+def refused(df):
+    typed = ingest.checked(df, "eligibility", STAMP)
+    found = rows(ingest.rejected(typed).select(ingest.REASONS, ingest.RECORD))
+    return ingest.accepted(typed).count(), found
+
+
+def test_damaged_csv_lines_are_rejects(spark, tmp_path):
+    path = damaged_csv(tmp_path)
+    n, found = refused(ingest.read_csv(spark, "eligibility", path))
+    assert n == 1
+    assert sorted(r for r, _ in found) == ["number of fields"] * 2 + ["open quote"] * 3
+    assert sum("of two lines" in t for _, t in found) == 1
+    assert any(t.endswith(",x,y") for _, t in found)
+
+
+def test_quoted_line_breaks_can_be_read(spark, tmp_path):
+    path = damaged_csv(tmp_path)
+    df = ingest.read_csv(spark, "eligibility", path, quoted_newlines=True)
+    good = ingest.accepted(ingest.checked(df, "eligibility", STAMP))
+    assert "Plan\nof two lines" in [r[0] for r in good.select("plan_description").collect()]
+    # The quote that stays open is the start of a last value that does not fit.
+    assert [r for r, _ in refused(df)[1]] == ["number of fields"] * 2 + ["updated_at"]
+
+
+def test_csv_header(spark, tmp_path):
+    names = ingest.text_schema("eligibility").names
+    df = ingest.read_csv(spark, "eligibility", damaged_csv(tmp_path, ",".join(names)), header=True)
+    assert refused(df)[0] == 1 and len(refused(df)[1]) == 5
+    path = damaged_csv(tmp_path, ",".join(reversed(names)))
+    with pytest.raises(Exception, match="in order"):
+        ingest.read_csv(spark, "eligibility", path, header=True).collect()
+
+
+def test_damaged_json_lines_are_rejects(spark, tmp_path):
+    good = '{"eligibility_id": "E-1", "premium_amount": 3}'
+    bad = {
+        "not one object": ['{"eligibility_id": "E-', f"[{good}]", "7", "null", good + good],
+        "unknown fields": ['{"eligibility_id": "E-1", "colour": "red"}'],
+        "premium_amount": ['{"eligibility_id": "E-1", "premium_amount": "x"}'],
+    }
+    path = tmp_path / "damaged.json"
+    path.write_text("\n".join([good, "", *[t for ts in bad.values() for t in ts]]))
+    n, found = refused(ingest.read_json(spark, "eligibility", str(path)))
+    assert n == 1
+    assert found == sorted(((r, t) for r, ts in bad.items() for t in ts), key=repr)
+
+
+def test_rejects_of_typed_rows_keep_their_values(raw):
+    bad = ingest.rejected(ingest.checked(raw, "eligibility", STAMP))
+    texts = dict(rows(bad.select("eligibility_id", ingest.RECORD)))
+    assert '"effective_date":"2024-13-01"' in texts["E-3"]
+    assert '"premium_amount":"twelve"' in texts["E-4"]
+
+
+def test_decimals_are_rounded(spark):
+    raw = spark.createDataFrame(
+        [eligibility_row(1, premium="12.345")], ingest.text_schema("eligibility")
+    )
+    good = ingest.accepted(ingest.checked(raw, "eligibility", STAMP))
+    assert good.first()["premium_amount"] == Decimal("12.35")
+
+
+def test_rejects_are_kept_without_a_path(spark, raw):
+    names = deploy(spark, {"eligibility": raw}, "gov_rejects", STAMP)
+    kept = spark.table(names["load_rejects"])
+    assert [r[:2] for r in rows(kept)] == [
+        ("eligibility", "cobra_flag,premium_amount"),
+        ("eligibility", "effective_date"),
+        ("eligibility", "premium_amount"),
+    ]
+
+
 def test_deployment_is_idempotent_and_described(spark, sf_dir, tmp_path):
     raw = {t: as_text(payer_table(spark, sf_dir, t)) for t in model.TABLES}
     spoilt = as_text(payer_table(spark, sf_dir, "claims")).limit(3)

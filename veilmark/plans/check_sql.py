@@ -7,7 +7,16 @@ independently of the Spark code.
 from __future__ import annotations
 
 from veilmark.functions.tiers import TIERS
-from veilmark.plans.payer_views import payer_sql
+from veilmark.plans.payer_views import (
+    BROKEN_CSV,
+    DAMAGED_CSV,
+    DAMAGED_JSON,
+    OPEN_CSV,
+    csv_line,
+    damaged,
+    json_line,
+    payer_sql,
+)
 from veilmark.plans.queries import MASK_QUERIES, NEW_SALT, SALT
 from veilmark.plans.tag_views import tag_sql
 from veilmark.sources.model import ALLOWED_TAG_VALUES, FOREIGN_KEYS, TABLES
@@ -306,6 +315,45 @@ def _rejected() -> str:
     )
 
 
+def _lines(line: str) -> str:
+    texts = ", ".join(f"CAST({c.name} AS VARCHAR) AS {c.name}" for c in TABLES["eligibility"].columns)
+    return (
+        f"t AS (SELECT {texts} FROM ({payer_sql('eligibility')}) e), "
+        f"l AS (SELECT *, {line} AS line FROM t)"
+    )
+
+
+def _raw_accepted(damage: tuple, *, broken: bool) -> str:
+    condition, old, new = BROKEN_CSV
+    spoilt = " OR ".join(c for c, _, _ in damage)
+    names = [c.name for c in TABLES["eligibility"].columns]
+    shown = [
+        f"CASE WHEN {condition} THEN replace({n}, {old}, {new}) ELSE {n} END AS {n}"
+        if broken and n == "plan_description"
+        else n
+        for n in names
+    ]
+    return f"WITH {_lines(csv_line('eligibility'))} SELECT {', '.join(shown)} FROM l WHERE NOT ({spoilt})"
+
+
+def _raw_rejected(line: str, damage: tuple) -> str:
+    spoilt = " OR ".join(c for c, _, _ in damage)
+    kinds = " ".join(f"WHEN {c} THEN '{kind}'" for c, kind, _ in damage)
+    return (
+        f"WITH {_lines(line)} SELECT CASE {kinds} END AS reasons, "
+        f"{damaged(damage)} AS raw_record FROM l WHERE {spoilt}"
+    )
+
+
+def _csv_rejected() -> str:
+    condition, old, new = BROKEN_CSV
+    halves = (
+        f"SELECT 'open quote' AS reasons, unnest(string_split(replace(line, {old}, {new}), chr(10))) "
+        f"AS raw_record FROM l WHERE {condition}"
+    )
+    return f"{_raw_rejected(csv_line('eligibility'), (*DAMAGED_CSV, OPEN_CSV))} UNION ALL {halves}"
+
+
 def _deid_join() -> str:
     return (
         f"{_cte('claims', 'members')}, c AS (SELECT claim_id, {_hash('member_id')} AS member_id, "
@@ -453,6 +501,10 @@ def checks() -> dict[str, str]:
         + ", ".join(f"CAST({c.name} AS VARCHAR) AS {c.name}" for c in TABLES["eligibility"].columns)
         + f" FROM ({payer_sql('eligibility')}) t WHERE NOT ({_SPOILED})",
         "ingest_rejected": _rejected(),
+        "load_csv_accepted": _raw_accepted(DAMAGED_CSV, broken=True),
+        "load_csv_rejected": _csv_rejected(),
+        "load_json_accepted": _raw_accepted(DAMAGED_JSON, broken=False),
+        "load_json_rejected": _raw_rejected(json_line("eligibility"), DAMAGED_JSON),
         "set_column_tags": _COLUMN_TAGS,
         "set_table_tags": _TABLE_TAGS,
         "set_schema_tags": _schema_tags(),

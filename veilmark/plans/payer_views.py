@@ -310,3 +310,41 @@ def _items(table: str) -> list[str]:
 def payer_sql(table: str) -> str:
     """The same projection as SQL text."""
     return f"SELECT {', '.join(_items(table))} FROM {PROJECTIONS[table][0]}"
+
+
+# Damaged records of a raw file: condition, kind, and the line made of ``line``.
+DAMAGED_CSV = (
+    ("group_number = 'GRP-9'", "number of fields", "line || ',\"more\",\"values\"'"),
+    ("group_number = 'GRP-7'", "number of fields", "eligibility_id || ',\"M-1\",,\"PLAN-1\"'"),
+)
+OPEN_CSV = ("group_number = 'GRP-5'", "open quote", "line || ',\"more'")
+# A quoted line break: one row where these are allowed, else two rejects.
+BROKEN_CSV = ("group_number = 'GRP-3'", "'Plan number'", "'Plan' || chr(10) || 'number'")
+DAMAGED_JSON = (
+    ("group_number = 'GRP-9'", "not one object", "line || ' {\"eligibility_id\": \"E-0\"}'"),
+    ("group_number = 'GRP-7'", "not one object", "left(line, 60)"),
+    ("group_number = 'GRP-5'", "unknown fields", "replace(line, '}', ', \"surplus\": \"1\"}')"),
+    ("group_number = 'GRP-3'", "not one object", "'[' || line || ']'"),
+)
+
+
+def csv_line(table: str) -> str:
+    """A row of text columns as a CSV line, in SQL."""
+    return " || ',' || ".join(
+        f"coalesce('\"' || replace({c.name}, '\"', '\"\"') || '\"', '')"
+        for c in TABLES[table].columns
+    )
+
+
+def json_line(table: str) -> str:
+    """A row of text columns as a JSON line, in SQL; for values without quotes."""
+    fields = " || ', ' || ".join(
+        f"'\"{c.name}\": ' || coalesce('\"' || {c.name} || '\"', 'null')"
+        for c in TABLES[table].columns
+    )
+    return f"'{{' || {fields} || '}}'"
+
+
+def damaged(damage: tuple[tuple[str, str, str], ...]) -> str:
+    """``line`` or what became of it, in SQL."""
+    return f"CASE {' '.join(f'WHEN {c} THEN {text}' for c, _, text in damage)} ELSE line END"

@@ -23,7 +23,17 @@ from veilmark.functions.tiers import TIERS, group_tiers
 from veilmark.operators import audit, joins, tags
 from veilmark.operators.masking import masked, write_masked
 from veilmark.plans import analytics
-from veilmark.plans.payer_views import payer_table, read
+from veilmark.plans.payer_views import (
+    BROKEN_CSV,
+    DAMAGED_CSV,
+    DAMAGED_JSON,
+    OPEN_CSV,
+    csv_line,
+    damaged,
+    json_line,
+    payer_table,
+    read,
+)
 from veilmark.plans.tag_views import tag_view
 from veilmark.session import prepare, scratch_path
 from veilmark.sources import ingest
@@ -195,6 +205,52 @@ def _ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("eligibility_id", F.col(ingest.REASONS).alias("reasons"))
 
 
+def _raw_file(spark: SparkSession, sf_dir: str, line: str, damage: tuple) -> str:
+    """All eligibility rows as lines of text, some of them damaged."""
+    path = scratch_path(spark, "raw-eligibility")
+    rows = _raw(spark, sf_dir, "eligibility").withColumn("line", F.expr(line))
+    rows.select(F.expr(damaged(damage)).alias("value")).write.text(path)
+    return path
+
+
+def _csv_file(spark: SparkSession, sf_dir: str, damage: tuple) -> str:
+    condition, text, broken = BROKEN_CSV
+    split = (condition, "", f"replace(line, {text}, {broken})")
+    return _raw_file(spark, sf_dir, csv_line("eligibility"), (*damage, split))
+
+
+def _refused(raw: DataFrame) -> DataFrame:
+    rows = ingest.rejected(ingest.checked(raw, "eligibility"))
+    return rows.select(F.col(ingest.REASONS).alias("reasons"), ingest.RECORD)
+
+
+def _load_csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a CSV file with quoted line breaks, short and long records left out."""
+    path = _csv_file(spark, sf_dir, DAMAGED_CSV)
+    raw = ingest.read_csv(spark, "eligibility", path, quoted_newlines=True)
+    return as_text(ingest.accepted(ingest.checked(raw, "eligibility")))
+
+
+def _load_csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short, long, unclosed and broken lines of a CSV file."""
+    path = _csv_file(spark, sf_dir, (*DAMAGED_CSV, OPEN_CSV))
+    return _refused(ingest.read_csv(spark, "eligibility", path))
+
+
+def _json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _raw_file(spark, sf_dir, json_line("eligibility"), DAMAGED_JSON)
+    return ingest.read_json(spark, "eligibility", path)
+
+
+def _load_json_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(ingest.accepted(ingest.checked(_json_rows(spark, sf_dir), "eligibility")))
+
+
+def _load_json_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut lines, lists, text behind the object and fields nobody knows."""
+    return _refused(_json_rows(spark, sf_dir))
+
+
 def _replace_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A managed table replaced twice and appended to once: two copies remain."""
     schema = "veilmark_check"
@@ -425,6 +481,10 @@ def registered() -> dict[str, Query]:
         "replace_and_append": _replace_and_append,
         "ingest_accepted": _ingest_accepted,
         "ingest_rejected": _ingest_rejected,
+        "load_csv_accepted": _load_csv_accepted,
+        "load_csv_rejected": _load_csv_rejected,
+        "load_json_accepted": _load_json_accepted,
+        "load_json_rejected": _load_json_rejected,
         "set_column_tags": _column_tags,
         "set_table_tags": _table_tags,
         "set_schema_tags": _schema_tags,

@@ -12,6 +12,12 @@ from veilmark.sources.model import SCHEMA_COMMENT, SCHEMA_NAME, TABLES, TableSpe
 
 STAMPS = ("created_at", "updated_at")
 REASONS = "reject_reasons"
+RECORD = "raw_record"
+FAULT = "record_fault"
+FIELD_COUNT = "number of fields"
+OPEN_QUOTE = "open quote"
+UNPARSEABLE = "not one object"
+UNKNOWN_FIELDS = "unknown fields"
 
 
 def text_schema(table: str) -> T.StructType:
@@ -19,19 +25,73 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c.name, T.StringType()) for c in TABLES[table].columns])
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files that are not blank."""
+    return spark.read.text(path).select(F.col("value").alias(RECORD)).where(F.trim(RECORD) != "")
+
+
 def read_csv(
-    spark: SparkSession, table: str, path: str, header: bool = False, null_value: str = ""
+    spark: SparkSession,
+    table: str,
+    path: str,
+    header: bool = False,
+    null_value: str = "",
+    quoted_newlines: bool = False,
 ) -> DataFrame:
-    """Raw rows of a CSV file or folder, columns by position."""
-    reader = spark.read.schema(text_schema(table)).option("enforceSchema", True)
-    return reader.csv(
-        path, header=header, nullValue=null_value, encoding="UTF-8", multiLine=False, escape='"'
+    """Raw rows of a CSV file or folder, columns by position, none cut or padded.
+
+    A record with another number of fields, or whose quotes do not close on its
+    line, carries its whole text and a fault, so `checked` makes it a reject.
+    Files are split by line. With ``quoted_newlines`` a quoted value may hold
+    line breaks; a file is then read by one task and has to close its quotes.
+    ``header`` drops the line of column names and fails on names out of order.
+    """
+    names = text_schema(table).names
+    options = {"nullValue": null_value, "escape": '"', "columnNameOfCorruptRecord": RECORD}
+    if quoted_newlines:
+        reader = spark.read.schema(text_schema(table).add(RECORD, "string"))
+        # Unpruned, as a pruned reader does not count the fields.
+        reader = reader.options(columnPruning=False, multiLine=True, **options)
+        rows = reader.csv(path, header=header, enforceSchema=not header)
+        return rows.withColumn(FAULT, F.when(F.col(RECORD).isNotNull(), F.lit(FIELD_COUNT)))
+    options["columnNameOfCorruptRecord"] = "corrupt_record"
+    schema = text_schema(table).add("corrupt_record", "string").simpleString()[len("struct<") : -1]
+    parsed = F.from_csv(RECORD, schema.replace(":", " "), options)
+    # A generator, so that filters on the columns do not parse the line again.
+    rows = _lines(spark, path).select(RECORD, F.explode(F.array(parsed)).alias("fields"))
+    n_quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
+    fault = F.when(n_quotes % 2 == 1, OPEN_QUOTE).when(
+        F.col("corrupt_record").isNotNull(), FIELD_COUNT
     )
+    rows = rows.select("fields.*", RECORD).withColumn(FAULT, fault).drop("corrupt_record")
+    if header:
+        found = F.array(*[F.lower(F.trim(n)) for n in names])
+        is_header = F.array_sort(found) == F.array(*[F.lit(n) for n in sorted(names)])
+        in_order = found == F.array(*[F.lit(n) for n in names])
+        wrong = F.raise_error(F.lit(f"the header does not have the columns of {table} in order"))
+        is_row = F.when(~F.coalesce(is_header, F.lit(False)), True).when(in_order, False)
+        rows = rows.where(is_row.otherwise(wrong.cast("boolean")))
+    return rows
 
 
 def read_json(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Raw rows of JSON lines, columns by name; quoted and bare values alike."""
-    return spark.read.schema(text_schema(table)).json(path)
+    """Raw rows of JSON lines, columns by name; quoted and bare values alike.
+
+    A line that is not one whole object, or that has fields the table does not
+    know, carries its text and a fault, so `checked` makes it a reject.
+    """
+    schema = text_schema(table)
+    # Read as a list, so that text behind the object is an error and not ignored.
+    listed = F.concat(F.lit("["), F.col(RECORD), F.lit("]"))
+    rows = _lines(spark, path).select(
+        RECORD, F.posexplode_outer(F.from_json(listed, T.ArrayType(schema))).alias("nth", "fields")
+    )
+    keys = F.json_object_keys(RECORD)
+    unknown = F.array_except(keys, F.array(*[F.lit(n) for n in schema.names]))
+    fault = F.when(F.col("fields").isNull() | keys.isNull(), UNPARSEABLE).when(
+        F.size(unknown) > 0, UNKNOWN_FIELDS
+    )
+    return rows.select("fields.*", RECORD, fault.alias(FAULT))
 
 
 def checked(
@@ -41,15 +101,19 @@ def checked(
 
     Values are cast by the declared type, whether quoted or not. A value that
     does not fit leaves NULL and its column name in ``reject_reasons``, a list
-    with commas in the order of the columns. Missing audit stamps get one time
-    for the whole load: ``stamp`` or now.
+    with commas in the order of the columns; a record the reader found faulty has
+    its fault there. ``raw_record`` is the text of every row that has a reason: its
+    line, or its raw values as JSON. Decimals with more digits behind the point than
+    their column are rounded half up, as an insert does. Missing audit stamps get
+    one time for the whole load: ``stamp`` or now.
     """
     spec = TABLES[table]
     names = [c.name for c in spec.columns]
     if positional:
-        if len(raw.columns) != len(names):
-            raise ValueError(f"{table} has {len(names)} columns, not {len(raw.columns)}")
-        raw = raw.toDF(*names)
+        given = [c for c in raw.columns if c not in (RECORD, FAULT)]
+        if len(given) != len(names):
+            raise ValueError(f"{table} has {len(names)} columns, not {len(given)}")
+        raw = raw.withColumnsRenamed(dict(zip(given, names, strict=True)))
     present = {c.lower() for c in raw.columns}
     required = [n for n in names if n not in STAMPS]
     missing = [n for n in required if n not in present]
@@ -70,16 +134,25 @@ def checked(
         if f.name in STAMPS:
             value = F.coalesce(value, now)
         values.append(value.alias(f.name, metadata=f.metadata))
-    return raw.select(*values, F.concat_ws(",", *misfits).alias(REASONS))
+    reasons = F.concat_ws(",", *misfits)
+    if FAULT in raw.columns:
+        reasons = F.coalesce(FAULT, reasons)
+    shown = [F.col(c) for c in raw.columns if c not in (RECORD, FAULT)]
+    text = F.to_json(F.struct(*shown))
+    if RECORD in raw.columns:
+        text = F.coalesce(RECORD, text)
+    return raw.select(
+        *values, F.when(reasons != "", text).alias(RECORD), reasons.alias(REASONS)
+    )
 
 
 def accepted(checked_rows: DataFrame) -> DataFrame:
     """Rows in which every value fits its column."""
-    return checked_rows.where(F.col(REASONS) == "").drop(REASONS)
+    return checked_rows.where(F.col(REASONS) == "").drop(REASONS, RECORD)
 
 
 def rejected(checked_rows: DataFrame) -> DataFrame:
-    """Rows with at least one value that does not fit, with the column names."""
+    """Faulty records and rows with a value that does not fit: reasons and raw text."""
     return checked_rows.where(F.col(REASONS) != "")
 
 
