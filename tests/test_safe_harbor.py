@@ -82,6 +82,44 @@ def test_drg(spark):
     assert rows(sh.drg_category(df, "drg", "full", lookup)) == rows(df)
 
 
+def test_drg_codes_of_other_forms_and_contradictions(spark):
+    df = spark.createDataFrame(
+        [(1, "MS-291"), (2, "292"), (3, "293"), (4, None), (5, "293")], "id int, drg string"
+    )
+    lookup = spark.createDataFrame(
+        [("MS-291", "MDC 05"), ("292", "MDC 05"), ("292", "MDC 06"), (None, "MDC 00")],
+        "drg_code string, mdc string",
+    )
+    assert rows(sh.drg_category(df, "drg", "partial", lookup)) == [
+        (1, "MDC 05"),
+        (2, "REDACTED"),
+        (3, "REDACTED"),
+        (4, None),
+        (5, "REDACTED"),
+    ]
+    assert rows(sh.lookup_report(df, "drg", lookup, "drg_code", "mdc")) == [
+        ("292", "several values", 2),
+        ("293", "not listed", 2),
+    ]
+
+
+def test_retention_of_one_schema_and_the_longest(spark):
+    day = spark.createDataFrame([(date(2018, 1, 1),)], "d date")
+    tag = "schema_name string, table_name string, tag_name string, tag_value string"
+    tags = spark.createDataFrame(
+        [
+            ("a", "t", "retention", "7_year"),
+            ("a", "t", "retention", "10_year"),
+            ("b", "t", "retention", "1_year"),
+            ("b", "t", "retention", "indefinite"),
+        ],
+        tag,
+    )
+    for schema, expected in (("a", "10_year"), ("b", "indefinite")):
+        report = retention_report({"t": (day, "d")}, tags, date(2026, 12, 3), schema)
+        assert [(r["retention"], r["n_expired"]) for r in report.collect()] == [(expected, 0)]
+
+
 def test_retention(spark):
     claims = spark.createDataFrame(
         [(date(2016, 12, 2),), (date(2016, 12, 3),), (date(2020, 1, 1),), (None,)], "d date"

@@ -115,3 +115,20 @@ def test_log_of_assignments(spark):
     earlier = log.where("assigned_at < '2026-01-03'")
     then = tags.latest_tags(earlier, ["assigned_at"], tags.COLUMN_KEYS)
     assert rows(then) == [("g", "t", "c", "masking_rule", "hash")]
+
+
+def test_policy_of_two_schemas(spark):
+    tags_of = spark.createDataFrame(
+        [("a", "t", "c", "contains_phi", "true"), ("b", "t", "d", "contains_phi", "true")],
+        f"schema_name string, table_name string, column_name string, {TAG}",
+    )
+    bound = spark.createDataFrame(
+        [("a", "t", "d"), ("b", "t", "d")],
+        "schema_name string, table_name string, column_name string",
+    )
+    assert rows(audit.policy_coverage(tags_of, bound)) == [
+        ("a", "t", "c", "tagged without mask"),
+        ("a", "t", "d", "mask without tag"),
+    ]
+    without = bound.where("schema_name = 'a'").drop("schema_name")
+    assert rows(audit.policy_coverage(tags_of, without, "b")) == []

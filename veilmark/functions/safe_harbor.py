@@ -47,6 +47,43 @@ def capped_birth_date(value: Column | str, tier: str | Column, as_of: date | Non
     )
 
 
+def zip3(column: str) -> Column:
+    """The three digits a ZIP code starts with, else NULL."""
+    prefix = F.substring(F.col(column), 1, 3)
+    return F.when(prefix.rlike("^[0-9]{3}$"), prefix)
+
+
+def lookup_report(
+    used: DataFrame, code: str, lookup: DataFrame, lookup_code: str, value: str
+) -> DataFrame:
+    """What a lookup leaves masked: (code, problem, n_rows).
+
+    ``not listed``: codes of ``used`` without an entry and how many rows have them.
+    ``several values``: entries that contradict each other, whether used or not, and
+    how many there are. Codes are reduced to one row each before they are joined.
+    """
+    codes = (
+        used.where(F.col(code).isNotNull())
+        .groupBy(F.col(code).alias("code"))
+        .agg(F.count("*").alias("n_rows"))
+    )
+    entries = (
+        lookup.where(F.col(lookup_code).isNotNull())
+        .groupBy(F.col(lookup_code).alias("code"))
+        .agg(
+            F.count("*").alias("n_rows"),
+            (F.min(value) != F.max(value)).alias("differs"),
+        )
+    )
+    absent = codes.join(entries.select("code"), "code", "left_anti").select(
+        "code", F.lit("not listed").alias("problem"), "n_rows"
+    )
+    double = entries.where("differs").select(
+        "code", F.lit("several values").alias("problem"), "n_rows"
+    )
+    return absent.unionByName(double)
+
+
 def zip3_by_population(
     df: DataFrame,
     column: str,
@@ -56,25 +93,24 @@ def zip3_by_population(
 ) -> DataFrame:
     """`mask_zip_code` that keeps only prefixes of enough people at tier partial.
 
-    ``populations`` has (zip3, population). Prefixes below the threshold or not
-    listed become 000. Only three-digit prefixes count, so at most 1,000 rows
-    are broadcast.
+    ``populations`` has (zip3, population). Prefixes below the threshold, not
+    listed or other than three digits become 000; `lookup_report` tells which are
+    not listed. How the lookup is joined is left to Spark.
     """
     if tier != "partial":
         return df.withColumn(column, mask_zip_code(column, tier))
     large = (
-        populations.where(F.col("zip3").rlike("^[0-9]{3}$"))
-        .groupBy(F.col("zip3").alias("large_zip3"))
+        populations.groupBy(F.col("zip3").alias("large_zip3"))
         .agg(F.max("population").alias("population"))
         .where(F.col("population") >= threshold)
         .select("large_zip3")
     )
-    prefix = F.substring(F.col(column), 1, 3)
+    prefix = zip3(column)
     kept = F.coalesce(F.col("large_zip3"), F.lit(SMALL_ZIP3))
     value = F.when(F.col(column).isNotNull(), F.concat(kept, F.lit(ZIP_SUFFIX)))
     names = df.columns
     return (
-        df.join(F.broadcast(large), prefix == F.col("large_zip3"), "left")
+        df.join(large, prefix == F.col("large_zip3"), "left")
         .withColumn(column, value)
         .select(*names)
     )
@@ -109,24 +145,22 @@ def drg_category(
 ) -> DataFrame:
     """A DRG code as its major category at tier partial, from a lookup table.
 
-    ``lookup`` has (drg_code, mdc). Codes have three digits, so at most 1,000
-    rows are broadcast; codes that are not listed are redacted.
+    ``lookup`` has (drg_code, mdc), codes in the form of the column. Codes that are
+    not listed, or listed with several categories, are redacted; `lookup_report`
+    tells which. How the lookup is joined is left to Spark.
     """
     into = into or column
     if tier != "partial":
         token = F.col(column) if tier == "full" else F.lit(REDACTED)
         return df.withColumn(into, token)
-    known = (
-        lookup.where(F.col("drg_code").rlike("^[0-9]{3}$"))
-        .groupBy(F.col("drg_code").alias("known_drg"))
-        .agg(F.min("mdc").alias("known_mdc"))
-    )
+    only = F.when(F.min("mdc") == F.max("mdc"), F.min("mdc"))
+    known = lookup.groupBy(F.col("drg_code").alias("known_drg")).agg(only.alias("known_mdc"))
     value = F.when(
         F.col(column).isNotNull(), F.coalesce(F.col("known_mdc"), F.lit(REDACTED))
     )
     names = df.columns if into in df.columns else [*df.columns, into]
     return (
-        df.join(F.broadcast(known), F.col(column) == F.col("known_drg"), "left")
+        df.join(known, F.col(column) == F.col("known_drg"), "left")
         .withColumn(into, value)
         .select(*names)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.operators.tags import SNAKE_CASE
+from veilmark.sources.model import SCHEMA_NAME
 
 # Alert limits of the tag reports.
 MAX_TAGS_PER_TABLE = 40
@@ -100,12 +101,20 @@ def masking_inventory(column_tags: DataFrame, schema: str | None) -> DataFrame:
     )
 
 
-def policy_coverage(column_tags: DataFrame, policy: DataFrame) -> DataFrame:
+def policy_coverage(
+    column_tags: DataFrame, policy: DataFrame, schema: str = SCHEMA_NAME
+) -> DataFrame:
     """Tagged columns without a mask and masks on untagged columns.
 
-    Both lists are reduced by one grouping; neither side is broadcast.
+    A policy with ``schema_name`` is compared schema by schema; one without belongs
+    to ``schema``, and tags of other schemas are left out. Both lists are reduced by
+    one grouping; neither side is broadcast.
     """
     keys = ["table_name", "column_name"]
+    if "schema_name" in policy.columns:
+        keys = ["schema_name", *keys]
+    else:
+        column_tags = _in_schema(column_tags, schema)
     sides = column_tags.select(
         *keys, F.lit(1).alias("tagged"), F.lit(0).alias("bound")
     ).unionByName(policy.select(*keys, F.lit(0).alias("tagged"), F.lit(1).alias("bound")))
@@ -119,11 +128,15 @@ def policy_coverage(column_tags: DataFrame, policy: DataFrame) -> DataFrame:
 
 
 def retention_report(
-    tables: Mapping[str, tuple[DataFrame, str]], table_tags: DataFrame, as_of: date
+    tables: Mapping[str, tuple[DataFrame, str]],
+    table_tags: DataFrame,
+    as_of: date,
+    schema: str = SCHEMA_NAME,
 ) -> DataFrame:
     """Rows per table and how many are older than its ``retention`` tag allows.
 
-    ``tables`` maps a name to the rows and their date column. Rows are counted
+    ``tables`` maps a name to the rows and their date column; their tags are those
+    of ``schema``. Of several retentions the longest holds. Rows are counted
     per table and day before anything is shuffled, so the join with the tags
     sees days, not rows. ``indefinite`` and a missing tag never expire; a row
     without a date counts as kept.
@@ -140,9 +153,9 @@ def retention_report(
         raise ValueError("retention_report needs at least one table")
     years = F.regexp_extract("tag_value", r"^([0-9]+)_year$", 1).try_cast("int")
     rules = (
-        table_tags.where(F.col("tag_name") == "retention")
+        table_tags.where((F.col("tag_name") == "retention") & (F.col("schema_name") == schema))
         .groupBy("table_name")
-        .agg(F.max("tag_value").alias("tag_value"))
+        .agg(F.max_by("tag_value", F.struct(years.isNull(), years, "tag_value")).alias("tag_value"))
         .select(
             "table_name",
             F.col("tag_value").alias("retention"),

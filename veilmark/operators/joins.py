@@ -40,10 +40,11 @@ def hot_keys(
     ``min_rows`` probed rows of one key have no hot keys worth the trouble.
     """
     probe = df if one_in == 1 else df.where(F.xxhash64(*row_id) % one_in == 0)
-    counts = probe.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
-    total = probe.agg(F.count("*").alias("n_total")).scalar()
+    counts = probe.groupBy(key).agg(F.count("*").alias("n_rows"))
+    # The sum of the same counts, so that Spark shuffles the probe once for both.
+    total = counts.agg(F.sum("n_rows").alias("n_total")).scalar()
     is_hot = (F.col("n_rows") >= min_rows) & (F.col("n_rows") * share >= total)
-    return counts.where(is_hot).select(F.col(key).alias("hot_key"))
+    return counts.where(F.col(key).isNotNull()).where(is_hot).select(F.col(key).alias("hot_key"))
 
 
 def estimated_bytes(df: DataFrame) -> int:

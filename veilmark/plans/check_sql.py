@@ -445,12 +445,29 @@ def _rekey() -> str:
     )
 
 
+_DRG_LISTED = (
+    "(SELECT CASE WHEN n_nationkey < 3 THEN 'MS-' ELSE '' END || (n_nationkey + 100) AS code, "
+    "'MDC ' || n_regionkey AS mdc FROM nation "
+    "UNION ALL SELECT '107', 'MDC X' FROM nation WHERE n_nationkey = 7)"
+)
+
+
 def _mdc() -> str:
     return (
         f"SELECT claim_id, drg_code, CASE WHEN drg_code IS NOT NULL THEN "
-        f"coalesce('MDC ' || n_regionkey, 'REDACTED') END AS drg_mdc "
-        f"FROM ({payer_sql('claims')}) t "
-        f"LEFT JOIN nation ON CAST(100 + n_nationkey AS VARCHAR) = drg_code"
+        f"coalesce(mdc, 'REDACTED') END AS drg_mdc FROM ({payer_sql('claims')}) t "
+        f"LEFT JOIN (SELECT code, any_value(mdc) AS mdc FROM {_DRG_LISTED} x GROUP BY code "
+        f"HAVING count(DISTINCT mdc) = 1) l ON code = drg_code"
+    )
+
+
+def _drg_report() -> str:
+    return (
+        f"SELECT drg_code AS code, 'not listed' AS problem, count(*) AS n_rows "
+        f"FROM ({payer_sql('claims')}) t WHERE drg_code IS NOT NULL "
+        f"AND drg_code NOT IN (SELECT code FROM {_DRG_LISTED} x) GROUP BY drg_code "
+        f"UNION ALL SELECT code, 'several values', count(*) FROM {_DRG_LISTED} x "
+        f"GROUP BY code HAVING count(DISTINCT mdc) > 1"
     )
 
 
@@ -570,6 +587,7 @@ def checks() -> dict[str, str]:
         "salt_rotation": _rotation(),
         "salt_rekey": _rekey(),
         "drg_to_mdc": _mdc(),
+        "drg_lookup_report": _drg_report(),
         "retention_report": _retention(),
     }
     return found

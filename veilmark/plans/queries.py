@@ -14,6 +14,7 @@ from veilmark.functions.masks import MASKS, apply_mask
 from veilmark.functions.safe_harbor import (
     capped_birth_date,
     drg_category,
+    lookup_report,
     rekey,
     salt_crosswalk,
     zip3_by_population,
@@ -93,6 +94,12 @@ MASK_QUERIES = {
     "mask_redact": ("members", "member_id", ("race", "ethnicity")),
 }
 
+DRG_LOOKUP = {
+    "drg_code": "CASE WHEN n_nationkey < 3 THEN 'MS-' ELSE '' END "
+    "|| CAST(n_nationkey + 100 AS STRING)",
+    "mdc": "'MDC ' || CAST(n_regionkey AS STRING)",
+}
+
 # Text columns of the raw rows that do not fit their type now and then.
 SPOILED = {
     "effective_date": ("effective_date = '2020-01-08'", "'08.01.2020 '"),
@@ -430,13 +437,26 @@ def _rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rekey(claims.select("claim_id", "member_id"), "member_id", crosswalk, ["claim_id"])
 
 
-def _drg_to_mdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookup = read(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 100).cast("string").alias("drg_code"),
-        F.concat(F.lit("MDC "), F.col("n_regionkey").cast("string")).alias("mdc"),
+def _drg_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories by code: some in another form, some contradicting each other."""
+    nation = read(spark, sf_dir, "nation")
+    return nation.selectExpr(*[f"{e} AS {n}" for n, e in DRG_LOOKUP.items()]).unionByName(
+        nation.where("n_nationkey = 7").selectExpr("'107' AS drg_code", "'MDC X' AS mdc")
     )
-    claims = payer_table(spark, sf_dir, "claims").select("claim_id", "drg_code")
-    return drg_category(claims, "drg_code", "partial", lookup, into="drg_mdc")
+
+
+def _drg_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payer_table(spark, sf_dir, "claims").select("claim_id", "drg_code")
+
+
+def _drg_to_mdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lookup = _drg_lookup(spark, sf_dir)
+    return drg_category(_drg_claims(spark, sf_dir), "drg_code", "partial", lookup, into="drg_mdc")
+
+
+def _drg_lookup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lookup = _drg_lookup(spark, sf_dir)
+    return lookup_report(_drg_claims(spark, sf_dir), "drg_code", lookup, "drg_code", "mdc")
 
 
 def _retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,6 +536,7 @@ def registered() -> dict[str, Query]:
         "salt_rotation": _salt_rotation,
         "salt_rekey": _rekey,
         "drg_to_mdc": _drg_to_mdc,
+        "drg_lookup_report": _drg_lookup_report,
         "retention_report": _retention,
     }
     return {name: _prepared(query) for name, query in found.items()}

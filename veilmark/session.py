@@ -61,7 +61,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="veilmark-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
