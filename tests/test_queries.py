@@ -39,6 +39,8 @@ def test_query_equals_its_check(spark, sf_dir, checker, name):
     order = [names.index(c) for c in columns]
     assert sorted(names) == columns
     assert got == sorted(repr(tuple(r[i] for i in order)) for r in cursor.fetchall())
+    if name.startswith(("orphans_", "load_", "drg_lookup")):
+        assert got
 
 
 def test_entry(spark):

@@ -25,6 +25,12 @@ def _letter(expr: str) -> str:
     return f"chr(CAST(65 + {expr} % 26 AS INT))"
 
 
+def _strayed(expr: str, prefix: str, k: str, rest: int) -> str:
+    """A reference that now and then names nobody, at every scale."""
+    gone = f"'{prefix}-gone-' || {_text(f'{k} % 6')}"
+    return f"CASE WHEN {k} % 41 = {rest} THEN {gone} ELSE {expr} END"
+
+
 def _unless(condition: str, expr: str) -> str:
     return f"CASE WHEN {condition} THEN NULL ELSE {expr} END"
 
@@ -99,7 +105,9 @@ def _members() -> dict[str, str]:
         "race": _unless(f"{k} % 9 = 0", f"'Race ' || {_text(f'{k} % 5')}"),
         "ethnicity": f"'Ethnicity ' || {_text(f'{k} % 2')}",
         "marital_status": f"CASE WHEN {k} % 2 = 0 THEN 'Married' ELSE 'Single' END",
-        "pcp_npi": _unless(f"{k} % 3 = 0", f"'N-' || {_text(f'{k} % 120')}"),
+        "pcp_npi": _unless(
+            f"{k} % 3 = 0", _strayed(f"'N-' || {_text(f'{k} % 120')}", "N", k, 1)
+        ),
         "medicare_beneficiary_id": _unless(
             f"{k} % 3 = 1", f"{_text(f'{k} % 9')} || 'AB' || {_digits(k, 8)}"
         ),
@@ -124,7 +132,9 @@ def _claims() -> dict[str, str]:
     pending = "o_orderstatus = 'P'"
     return {
         "claim_id": f"'C-' || {_text(k)}",
-        "member_id": _unless(f"{k} % 100 = 99", "'M-' || CAST(o_custkey AS STRING)"),
+        "member_id": _unless(
+            f"{k} % 100 = 99", _strayed("'M-' || CAST(o_custkey AS STRING)", "M", k, 2)
+        ),
         "subscriber_id": "'S-' || CAST(o_custkey - o_custkey % 3 AS STRING)",
         "claim_type": f"CASE WHEN {stay} THEN 'Professional' ELSE 'Institutional' END",
         "claim_status": "CASE o_orderstatus WHEN 'P' THEN 'Pending' WHEN 'F' THEN 'Paid' "
@@ -140,9 +150,11 @@ def _claims() -> dict[str, str]:
         "procedure_modifier": _unless(f"{k} % 2 = 0", "'25'"),
         "revenue_code": _unless(stay, _digits(f"{k} % 1000", 4)),
         "place_of_service": f"CASE {k} % 3 WHEN 0 THEN '11' WHEN 1 THEN '21' ELSE '23' END",
-        "rendering_provider_npi": f"'N-' || {_text(f'{k} % 90')}",
-        "billing_provider_npi": f"'N-' || {_text(f'{k} % 110')}",
-        "referring_provider_npi": _unless(f"{k} % 2 = 1", f"'N-' || {_text(f'{k} % 100')}"),
+        "rendering_provider_npi": _strayed(f"'N-' || {_text(f'{k} % 90')}", "N", k, 3),
+        "billing_provider_npi": _strayed(f"'N-' || {_text(f'{k} % 110')}", "N", k, 4),
+        "referring_provider_npi": _unless(
+            f"{k} % 2 = 1", _strayed(f"'N-' || {_text(f'{k} % 100')}", "N", k, 5)
+        ),
         "facility_name": f"'Facility ' || {_text(f'{k} % 30')}",
         "billed_amount": _limits(k, price),
         "allowed_amount": _unless(pending, price),
@@ -152,7 +164,9 @@ def _claims() -> dict[str, str]:
         "coinsurance_amount": _unless(pending, f"CAST({k} % 6000 AS DECIMAL(12,2))"),
         "deductible_amount": _unless(pending, f"CAST({k} % 1200 AS DECIMAL(12,2))"),
         "drg_code": _unless(stay, _digits(f"100 + {k} % 50", 3)),
-        "authorization_number": _unless(f"{k} % 20 <> 0", f"'A-' || {_text(f'{k} % 1300')}"),
+        "authorization_number": _unless(
+            f"{k} % 20 <> 0", _strayed(f"'A-' || {_text(f'{k} % 1300')}", "A", k, 0)
+        ),
         "received_date": f"{day} + 7",
         "adjudicated_date": _unless(pending, f"{day} + 21"),
         "paid_date": _unless("o_orderstatus <> 'F'", f"{day} + 30"),
@@ -198,7 +212,7 @@ def _eligibility() -> dict[str, str]:
     k = "c_custkey"
     return {
         "eligibility_id": f"'E-' || {_text(k)}",
-        "member_id": f"'M-' || {_text(k)}",
+        "member_id": _strayed(f"'M-' || {_text(k)}", "M", k, 6),
         "subscriber_id": f"'S-' || {_text(f'{k} - {k} % 3')}",
         "plan_code": f"'PLAN-' || {_text(f'{k} % 8')}",
         "plan_description": f"'Plan number ' || {_text(f'{k} % 8')}",
@@ -232,8 +246,8 @@ def _pharmacy_claims() -> dict[str, str]:
         "quantity_dispensed": "CAST(l_quantity AS DECIMAL(10,2))",
         "days_supply": "CAST(l_linenumber * 15 AS INT)",
         "refill_number": "CAST(l_linenumber - 1 AS INT)",
-        "prescriber_npi": f"'N-' || {_text('l_suppkey')}",
-        "pharmacy_npi": f"'N-' || {_text('l_suppkey % 60')}",
+        "prescriber_npi": _strayed(f"'N-' || {_text('l_suppkey')}", "N", k, 8),
+        "pharmacy_npi": _strayed(f"'N-' || {_text('l_suppkey % 60')}", "N", k, 9),
         "pharmacy_name": f"'Pharmacy ' || {_text('l_suppkey % 60')}",
         "formulary_tier": _text(f"{k} % 4 + 1"),
         "daw_code": "'0'",
@@ -257,7 +271,7 @@ def _prior_authorizations() -> dict[str, str]:
     )
     return {
         "auth_id": f"'A-' || {_text(k)}",
-        "member_id": f"'M-' || {_text(k)}",
+        "member_id": _strayed(f"'M-' || {_text(k)}", "M", k, 10),
         "auth_type": "source",
         "auth_status": f"CASE WHEN {k} % 5 = 0 THEN 'Denied' ELSE 'Approved' END",
         "request_date": _unless(f"{k} % 30 = 0", _days("2023-01-01", f"{k} % 900")),
@@ -266,8 +280,8 @@ def _prior_authorizations() -> dict[str, str]:
         "expiration_date": _days("2023-07-05", f"{k} % 900"),
         "diagnosis_code": _unless(f"{k} % 25 = 1", _code(k)),
         "procedure_code": _digits(f"{k} * 17 % 100000", 5),
-        "requesting_provider_npi": f"'N-' || {_text(f'{k} % 100')}",
-        "servicing_provider_npi": f"'N-' || {_text(f'{k} % 105')}",
+        "requesting_provider_npi": _strayed(f"'N-' || {_text(f'{k} % 100')}", "N", k, 11),
+        "servicing_provider_npi": _strayed(f"'N-' || {_text(f'{k} % 105')}", "N", k, 12),
         "facility_name": "lang",
         "units_requested": f"CAST({k} % 30 AS INT)",
         "units_approved": _unless(f"{k} % 5 = 0", f"CAST({k} % 20 AS INT)"),
