@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from veilmark.functions.sql_functions import create_masked_views, register_functions
-from veilmark.operators.masking import masked
+from veilmark.operators.masking import bind_mask, masked, policy_of
 from veilmark.plans.deployment import deploy
 from veilmark.plans.payer_views import payer_table
 from veilmark.plans.queries import as_text
@@ -248,3 +248,9 @@ def test_masked_views(spark, sf_dir):
     views = create_masked_views(spark, "members", "gov_views")
     for view, tier in zip(views, ("full", "partial", "none"), strict=True):
         assert rows(spark.table(view)) == rows(masked(members, "members", tier, "s"))
+    policy = bind_mask(model.masking_policy(spark), "members", "state_code", "mask_redact")
+    bound = policy_of(policy, "members")
+    view = create_masked_views(spark, "members", "gov_views", ("none",), bound)[0]
+    assert rows(spark.table(view)) == rows(masked(members, bound, "none", "s"))
+    with pytest.raises(ValueError):
+        create_masked_views(spark, "members", "gov_views", policy={"snn": "mask_ssn"})

@@ -14,6 +14,8 @@ can read it, so keep stored functions in a schema readers cannot browse.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
@@ -149,14 +151,28 @@ def set_session_groups(spark: SparkSession, groups: Iterable[str]) -> None:
 
 
 def create_masked_views(
-    spark: SparkSession, table: str, schema: str = SCHEMA_NAME, tiers: tuple[str, ...] = TIERS
+    spark: SparkSession,
+    table: str,
+    schema: str = SCHEMA_NAME,
+    tiers: tuple[str, ...] = TIERS,
+    policy: Mapping[str, str] | None = None,
 ) -> list[str]:
-    """Stored views ``<table>_<tier>`` over a table; needs the stored functions."""
+    """Stored views ``<table>_<tier>`` over a table; needs the stored functions.
+
+    ``policy`` binds columns to functions, e.g. what `policy_of` reads from the
+    stored policy; without it the bindings of the model hold.
+    """
     spec = TABLES[table]
+    bound = spec.policy if policy is None else policy
+    lacking = set(bound) - {c.name for c in spec.columns}
+    if lacking:
+        raise ValueError(f"masks are bound to columns that are not there: {sorted(lacking)}")
     views = []
     for tier in tiers:
         columns = ", ".join(
-            f"`{schema}`.{c.mask}({c.name}, {_lit(tier)}) AS {c.name}" if c.mask else c.name
+            f"`{schema}`.{bound[c.name]}({c.name}, {_lit(tier)}) AS {c.name}"
+            if c.name in bound
+            else c.name
             for c in spec.columns
         )
         view = f"`{schema}`.`{table}_{tier}`"

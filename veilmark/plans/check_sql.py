@@ -17,7 +17,7 @@ from veilmark.plans.payer_views import (
     json_line,
     payer_sql,
 )
-from veilmark.plans.queries import MASK_QUERIES, NEW_SALT, SALT
+from veilmark.plans.queries import MASK_QUERIES, NEW_BINDINGS, NEW_SALT, SALT
 from veilmark.plans.tag_views import tag_sql
 from veilmark.sources.model import ALLOWED_TAG_VALUES, FOREIGN_KEYS, TABLES
 
@@ -289,13 +289,22 @@ def _by_reader() -> str:
     return f"SELECT claim_id, {items} FROM ({payer_sql('claims')}) t"
 
 
-def _sql_masks() -> str:
+def _sql_masks(table: str) -> str:
     items = ", ".join(
         f"{mask_sql(function, column, tier)} AS {column}_{tier}"
-        for column, function in TABLES["members"].policy.items()
+        for column, function in TABLES[table].policy.items()
         for tier in TIERS
     )
-    return f"SELECT member_id AS key, {items} FROM ({payer_sql('members')}) t"
+    return f"SELECT {TABLES[table].key} AS key, {items} FROM ({payer_sql(table)}) t"
+
+
+def _by_policy() -> str:
+    bound = {c.name: c.mask for c in TABLES["providers"].columns} | NEW_BINDINGS
+    items = [
+        f"{mask_sql(f, n, 'partial') if f else f'CAST({n} AS VARCHAR)'} AS {n}"
+        for n, f in bound.items()
+    ]
+    return f"SELECT {', '.join(items)} FROM ({payer_sql('providers')}) t"
 
 
 _SPOILED = (
@@ -506,7 +515,9 @@ def checks() -> dict[str, str]:
     found |= {
         "tier_resolution": _tiers(),
         "masked_by_reader": _by_reader(),
-        "sql_function_masks": _sql_masks(),
+        "sql_function_masks": _sql_masks("members"),
+        **{f"sql_function_masks_{t}": _sql_masks(t) for t in TABLES if t != "members"},
+        "masked_by_policy": _by_policy(),
         "masked_export": _masked("eligibility", "partial"),
         "masked_stream": f"SELECT o_orderkey AS key, "
         f"{_hash('CAST(o_custkey AS VARCHAR)')} AS o_custkey, "

@@ -22,7 +22,7 @@ from veilmark.functions.safe_harbor import (
 from veilmark.functions.sql_functions import register_functions
 from veilmark.functions.tiers import TIERS, group_tiers
 from veilmark.operators import audit, joins, tags
-from veilmark.operators.masking import masked, write_masked
+from veilmark.operators.masking import bind_mask, masked, policy_of, write_masked
 from veilmark.plans import analytics
 from veilmark.plans.payer_views import (
     BROKEN_CSV,
@@ -38,7 +38,7 @@ from veilmark.plans.payer_views import (
 from veilmark.plans.tag_views import tag_view
 from veilmark.session import prepare, scratch_path
 from veilmark.sources import ingest
-from veilmark.sources.model import FOREIGN_KEYS, TABLES, with_class
+from veilmark.sources.model import FOREIGN_KEYS, TABLES, masking_policy, with_class
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,9 @@ MASK_QUERIES = {
     "mask_redact": ("members", "member_id", ("race", "ethnicity")),
 }
 
+# Bindings of the providers' columns that change after deployment.
+NEW_BINDINGS = {"npi": "hash_identifier", "tax_id": "mask_redact"}
+
 DRG_LOOKUP = {
     "drg_code": "CASE WHEN n_nationkey < 3 THEN 'MS-' ELSE '' END "
     "|| CAST(n_nationkey + 100 AS STRING)",
@@ -143,16 +146,25 @@ def _masked_by_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sql_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL functions over members and tiers, called from SQL expressions."""
+def _sql_masks(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL functions over a table and all tiers, called from SQL expressions."""
     register_functions(spark, SALT)
-    policy = TABLES["members"].policy
     calls = [
         F.expr(f"{function}({column}, '{tier}')").alias(f"{column}_{tier}")
-        for column, function in policy.items()
+        for column, function in TABLES[table].policy.items()
         for tier in TIERS
     ]
-    return payer_table(spark, sf_dir, "members").select(F.col("member_id").alias("key"), *calls)
+    key = F.col(TABLES[table].key).alias("key")
+    return payer_table(spark, sf_dir, table).select(key, *calls)
+
+
+def _masked_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers masked by policy rows, with one binding added and one replaced."""
+    policy = masking_policy(spark)
+    for column, function in NEW_BINDINGS.items():
+        policy = bind_mask(policy, "providers", column, function)
+    providers = payer_table(spark, sf_dir, "providers")
+    return as_text(masked(providers, policy_of(policy, "providers"), "partial", SALT))
 
 
 def _masked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,6 +490,8 @@ def registered() -> dict[str, Query]:
     found: dict[str, Query] = {name: partial(_mask_query, name) for name in MASKS}
     for table in TABLES:
         found[f"load_{table}"] = partial(_load, table)
+        if table != "members":
+            found[f"sql_function_masks_{table}"] = partial(_sql_masks, table)
         for tier in TIERS:
             found[f"masked_{table}_{tier}"] = partial(_masked_table, table, tier)
     for fk in FOREIGN_KEYS:
@@ -495,7 +509,8 @@ def registered() -> dict[str, Query]:
     found |= {
         "tier_resolution": lambda s, d: group_tiers(tag_view(s, d, "principal_groups")),
         "masked_by_reader": _masked_by_reader,
-        "sql_function_masks": _sql_masks,
+        "sql_function_masks": partial(_sql_masks, "members"),
+        "masked_by_policy": _masked_by_policy,
         "masked_export": _masked_export,
         "masked_stream": _masked_stream,
         "replace_and_append": _replace_and_append,
