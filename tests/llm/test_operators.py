@@ -521,6 +521,36 @@ def test_mixing_stays_within_a_block(spark, weights):
         assert all(abs(fluid[s] - done[s]) < 1 + 1e-6 for s in sizes)
 
 
+@pytest.mark.parametrize(
+    "blocks, weights",
+    [
+        ({"a": 3000, "b": 300}, {"a": 1.0, "b": 0.0001}),
+        ({f"s{i}": 4500 if i == 0 else 62 + 8 * i for i in range(41)}, None),
+    ],
+)
+def test_mixing_keeps_to_the_weights_as_given(spark, blocks, weights):
+    rows = [(i, s) for s, n in blocks.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(df, weights=weights, block_docs=1).select("source", "mix_slot").collect()
+    served = dict(sorted((r["mix_slot"], r["source"]) for r in got))
+    assert list(served) == list(range(len(rows)))
+    share = {s: math.sqrt(n) if weights is None else weights[s] for s, n in blocks.items()}
+    fluid, done = dict.fromkeys(blocks, 0.0), dict.fromkeys(blocks, 0)
+    for source in served.values():
+        time = 1.0
+        while time > 1e-9:
+            active = [s for s in blocks if blocks[s] - fluid[s] > 1e-9]
+            speed = sum(share[s] for s in active)
+            if not active:
+                break
+            step = min([time, *((blocks[s] - fluid[s]) * speed / share[s] for s in active)])
+            for s in active:
+                fluid[s] += step * share[s] / speed
+            time -= step
+        done[source] += 1
+        assert all(abs(fluid[s] - done[s]) < 1 + 1e-6 for s in blocks)
+
+
 def test_mixing_of_odd_rows(odd, empty):
     assert mixing.mix(odd).count() == len(ODD)
     assert set(odd.columns) < set(mixing.mix(odd).columns)

@@ -1,26 +1,39 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Documents of a source are shuffled by a hash and cut into blocks; every slot of
-the mix takes one block. Time runs in periods in which a source with share c has
-c blocks. In the fluid mix all sources advance by their shares until they run
-out, and the rest share the time. A block's window runs from the slot in which
-its fluid part begins (its release) to the one in which it ends (its deadline).
-Earliest-deadline-first over the released blocks keeps every source less than one
-block from the fluid mix at every slot, and places every document once.
+the mix takes one block. In the fluid mix all sources advance by their weights
+until they run out, and the rest share the time. A block's window runs from the
+slot in which its fluid part begins (its release) to the one in which it ends (its
+deadline). Earliest-deadline-first over the released blocks of the whole mix keeps
+every source less than one block from the fluid mix of the unrounded weights at
+every slot, and places every document once.
+
+Which block comes next depends on all before it, so the slots are dealt in one
+loop, on the driver. It sees a number of blocks per source and no documents, holds
+two entries per source and writes the slots out in pieces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import heapq
+import math
+from array import array
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm.common import let, one_row, stored
+from veilmark.llm.common import stored
 from veilmark.llm.sharding import HASH_BITS, unit_hash
+from veilmark.session import scratch_path
 
 BLOCK_DOCS = 16
-PERIOD = 1000
+SLOTS_PER_PIECE = 1 << 19
+# A window opens this much late rather than early, for the rounding of doubles.
+LATE = 1 - 1e-12
 ROWS_PER_BUCKET = 1024
 MOST_BUCKETS = 65536
 ORDER_SEED = 59
@@ -32,141 +45,85 @@ def source_key(source: str) -> Column:
     return F.when(name.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), name))
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
-
-
-def _windows(members: Column) -> Column:
-    """Release and deadline of each block of each source in one period.
-
-    ``members`` holds structs of share ``c`` and blocks left ``r``. When the
-    fluid mix reaches the fraction k / c of its period, every source u has got
-    min(c_u k / c, r_u) blocks; their sum is the time.
-    """
-
-    def reached(c: Column, k: Column) -> Column:
-        return _total(F.transform(members, lambda u: F.least(u["c"] * k, u["r"] * c)))
-
-    def window(s: Column, k: Column) -> Column:
-        return F.struct(
-            F.floor(reached(s["c"], k) / s["c"]).alias("release"),
-            F.ceil(reached(s["c"], k + 1) / s["c"]).alias("due"),
-        )
-
-    def of_source(s: Column) -> Column:
-        blocks = F.least(s["c"], s["r"])
-        return F.when(
-            blocks > 0,
-            F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda k: window(s, k)),
-        )
-
-    return F.transform(members, of_source)
-
-
-def _earliest_deadline_first(windows: Column, n_slots: Column) -> Column:
-    """Index of the source served in each slot; ties go to the first source."""
-    start = F.struct(
-        F.transform(windows, lambda _: F.lit(0)).alias("done"),
-        F.array().cast("array<int>").alias("slots"),
-    )
-
-    def chosen(state: Column, slot: Column) -> Column:
-        heads = F.transform(windows, lambda w, i: F.get(w, F.get(state["done"], i)))
-        rated = F.transform(
-            heads,
-            lambda h, i: F.when(
-                h["release"] <= slot, F.struct(h["due"].alias("due"), i.alias("i"))
-            ),
-        )
-        return F.array_min(rated)["i"]
-
-    def step(state: Column, slot: Column) -> Column:
-        return let(
-            chosen(state, slot),
-            lambda s: F.struct(
-                F.transform(
-                    state["done"], lambda k, i: F.when(i == s, k + 1).otherwise(k)
-                ).alias("done"),
-                F.concat(state["slots"], F.array(s)).alias("slots"),
-            ),
-        )
-
-    slots = F.sequence(F.lit(0).cast("long"), n_slots - 1)
-    return F.aggregate(slots, start, step, lambda state: state["slots"])
-
-
-def _shares(counts: DataFrame, weights: Mapping[str | None, float] | None, block_docs, period):
-    """Blocks and integer share per period of every source."""
+def _weights(
+    names: Sequence[str], docs: Sequence[int], weights: Mapping[str | None, float] | None, period
+) -> list[float]:
+    """Weight of every source; blocks per period if there is one."""
     if weights is None:
-        weight = F.sqrt("n_docs")
+        found = [math.sqrt(n) for n in docs]
     else:
-        weight = F.lit(1.0)
-        for name, w in weights.items():
-            if w <= 0:
-                raise ValueError("weights must be positive")
-            key = "-" if name is None else "=" + name
-            weight = F.when(F.col("src") == key, F.lit(float(w))).otherwise(weight)
-    weighted = counts.withColumn("w", weight)
-    all_weights = weighted.agg(F.sum("w")).scalar()
-    return weighted.select(
-        "src",
-        "n_docs",
-        F.ceil(F.col("n_docs") / block_docs).cast("long").alias("blocks"),
-        F.greatest(F.round(F.col("w") / all_weights * period), F.lit(1)).cast("long").alias("c"),
-    )
-
-
-def schedule(sources: DataFrame) -> DataFrame:
-    """Slots of every source: one row per source, for all its periods.
-
-    Periods differ only after one in which a source runs out, so there are at
-    most two kinds per source and one more; the work is bounded by the number of
-    sources and the period, whatever the number of documents.
+        if not all(0 < w < math.inf for w in weights.values()):
+            raise ValueError("weights must be positive")
+        by_key = {"-" if name is None else "=" + name: float(w) for name, w in weights.items()}
+        found = [by_key.get(name, 1.0) for name in names]
+    if period is None:
+        return found
+    total = math.fsum(found)
+    return [float(max(1, math.floor(w / total * period + 0.5))) for w in found]
+
+
+def served(blocks: Sequence[int], weights: Sequence[float]) -> Iterator[int]:
+    """Index of the source served in each slot, by earliest deadline.
+
+    Times are levels of the fluid mix: at level v a source has got
+    min(weight * v, blocks), so its block k has the window k / weight to
+    (k + 1) / weight. A block is released in the first slot that ends above the
+    level at which its window begins; equal deadlines go to the first source.
     """
-    plan = sources.agg(
-        F.sort_array(F.collect_list(F.struct("src", "blocks", "c"))).alias("all")
-    ).where("size(all) > 0")
-    ends = F.transform("all", lambda s: F.floor(s["blocks"] / s["c"]))
-    last = F.array_max(F.transform("all", lambda s: F.ceil(s["blocks"] / s["c"])))
-    marks = F.concat(F.array(F.lit(0).cast("long")), ends, F.transform(ends, lambda e: e + 1))
-    kinds = plan.select(
-        "all", F.explode(F.filter(F.array_distinct(marks), lambda m: m < last)).alias("first")
-    )
-    members = F.transform(
-        "all",
-        lambda s: F.struct(
-            s["c"].alias("c"),
-            F.greatest(s["blocks"] - F.col("first") * s["c"], F.lit(0).cast("long")).alias("r"),
-        ),
-    )
-    kinds = kinds.repartition("first").select(
-        "all",
-        "first",
-        _total(
-            F.transform("all", lambda s: F.least(F.col("first") * s["c"], s["blocks"]))
-        ).alias("base"),
-        _total(F.transform(members, lambda m: F.least(m["c"], m["r"]))).alias("n_slots"),
-        members.alias("members"),
-    )
-    served = kinds.select(
-        "all",
-        "first",
-        "base",
-        "n_slots",
-        let(
-            _windows(F.col("members")),
-            lambda w: _earliest_deadline_first(w, F.col("n_slots")),
-        ).alias("slots"),
-    )
-    placed = served.select(
-        "first", "base", "n_slots", "all", F.posexplode("slots").alias("slot", "source_no")
-    ).select("first", "base", "n_slots", "slot", F.get("all", "source_no")["src"].alias("src"))
-    per_kind = placed.groupBy("src", "first", "base", "n_slots").agg(
-        F.sort_array(F.collect_list("slot")).alias("slots")
-    )
-    return per_kind.groupBy("src").agg(
-        F.sort_array(F.collect_list(F.struct("first", "base", "n_slots", "slots"))).alias("kinds")
-    )
+    n = len(blocks)
+    ends = sorted((blocks[i] / weights[i], i) for i in range(n))
+    speeds = [0.0] * (n + 1)
+    for j in range(n - 1, -1, -1):
+        speeds[j] = speeds[j + 1] + weights[ends[j][1]]
+    pending = [(0.0, i, 0) for i in range(n)]
+    ready: list[tuple[float, int, int]] = []
+    gone, level, reached = 0, 0.0, 0.0
+    for slot in range(sum(blocks)):
+        while gone < n:
+            after = reached + (ends[gone][0] - level) * speeds[gone]
+            if after > slot + 1:
+                break
+            level, reached, gone = ends[gone][0], after, gone + 1
+        if gone < n:
+            now = (level + (slot + 1 - reached) / speeds[gone]) * LATE
+        else:
+            now = math.inf
+        while pending and (pending[0][0] < now or not ready):
+            _, i, k = heapq.heappop(pending)
+            heapq.heappush(ready, ((k + 1) / weights[i], i, k))
+        due, i, k = heapq.heappop(ready)
+        if k + 1 < blocks[i]:
+            heapq.heappush(pending, (due, i, k + 1))
+        yield i
+
+
+def schedule(
+    spark: SparkSession, names: Sequence[str], blocks: Sequence[int], weights: Sequence[float]
+) -> DataFrame:
+    """``src``, ``mix_block`` and ``mix_slot`` of every block, stored piece by piece."""
+    path = scratch_path(spark, "mix-schedule")
+    schema = "src string, mix_block long, mix_slot long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    sources = served(blocks, weights)
+    done = np.zeros(len(blocks), np.int64)
+    first = 0
+    while piece := array("q", islice(sources, SLOTS_PER_PIECE)):
+        chosen = np.frombuffer(piece, np.int64)
+        # Blocks of a source follow one another: its place among its own, after those done.
+        order = np.argsort(chosen, kind="stable")
+        counts = np.bincount(chosen, minlength=len(blocks))
+        before = np.cumsum(counts) - counts
+        block = np.empty(len(chosen), np.int64)
+        block[order] = np.arange(len(chosen)) - before[chosen[order]] + done[chosen[order]]
+        done += counts
+        slots = np.arange(first, first + len(chosen))
+        rows = pa.table(
+            [pa.array(names, pa.string()).take(pa.array(chosen)), pa.array(block), pa.array(slots)],
+            ["src", "mix_block", "mix_slot"],
+        )
+        spark.createDataFrame(rows).write.mode("append").parquet(path)
+        first += len(chosen)
+    return spark.read.schema(schema).parquet(path)
 
 
 def mix(
@@ -175,7 +132,7 @@ def mix(
     row_id: str = "doc_id",
     weights: Mapping[str | None, float] | None = None,
     block_docs: int = BLOCK_DOCS,
-    period: int = PERIOD,
+    period: int | None = None,
     seed: int = ORDER_SEED,
 ) -> DataFrame:
     """All rows with their place in the mix.
@@ -184,6 +141,8 @@ def mix(
     among all) and ``mix_pos`` (place in the block), replacing columns of these
     names. ``weights`` are relative and positive; sources that it does not name
     have weight 1; without it a source's weight is the square root of its rows.
+    Weights count as they are; with ``period`` they are first rounded to whole
+    blocks, at least one, in so many.
     NULL is a source of its own; every row is placed, repeated rows too, and an
     empty table gives no rows. Rows of one source are ordered by a hash of
     ``row_id``, then by it.
@@ -193,9 +152,15 @@ def mix(
     counts = stored(
         keyed.groupBy(F.col("_src").alias("src")).agg(F.count("*").alias("n_docs")), "mix-counts"
     )
-    n_rows = one_row(counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n")))["n"]
-    sources = stored(_shares(counts, weights, block_docs, period), "mix-shares")
-    plan = stored(sources.join(schedule(sources), "src"), "mix-schedule")
+    sources = sorted((r["src"], r["n_docs"]) for r in counts.collect())
+    names, n_docs = [s for s, _ in sources], [n for _, n in sources]
+    n_rows = sum(n_docs)
+    plan = schedule(
+        docs.sparkSession,
+        names,
+        [-(-n // block_docs) for n in n_docs],
+        _weights(names, n_docs, weights, period),
+    )
 
     # Ranks within a source: buckets by hash, so that a hot source has many.
     per_bucket = max(ROWS_PER_BUCKET, n_rows // MOST_BUCKETS)
@@ -219,17 +184,14 @@ def mix(
         offsets, (F.col("_src") == F.col("s")) & (F.col("_b") == F.col("b"))
     ).withColumn("_rank", F.col("_rank") + F.col("_n0"))
 
-    block = F.floor(F.col("_rank") / block_docs)
-    round_no = F.floor(block / F.col("c"))
-    kind = F.element_at(F.filter("kinds", lambda k: k["first"] <= round_no), -1)
-    place = F.get(kind["slots"], (block - round_no * F.col("c")).cast("int"))
-    slot = kind["base"] + (round_no - kind["first"]) * kind["n_slots"] + place
-    placed = ranked.join(plan.select("src", "c", "kinds"), F.col("_src") == F.col("src"))
+    placed = ranked.withColumn("_k", F.floor(F.col("_rank") / block_docs)).join(
+        plan, (F.col("_src") == F.col("src")) & (F.col("_k") == F.col("mix_block"))
+    )
     return placed.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        block.alias("mix_block"),
-        slot.alias("mix_slot"),
-        (F.col("_rank") - block * block_docs).cast("int").alias("mix_pos"),
+        "mix_block",
+        "mix_slot",
+        (F.col("_rank") - F.col("_k") * block_docs).cast("int").alias("mix_pos"),
     )
 
 
