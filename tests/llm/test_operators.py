@@ -591,6 +591,15 @@ def test_pipeline(spark, sf_dir, docs):
     assert before.where("NOT decodes").count() == 0
 
 
+def test_pipeline_keeps_the_mix(spark, docs):
+    few = corpus_pipeline.stored(docs.limit(300).repartition(7), "few")
+    places = ["doc_id", "source", "mix_block", "mix_slot", "mix_pos"]
+    want = sorted(map(tuple, mixing.mixed_documents(few).collect()))
+    laid = corpus_pipeline.stored(corpus_pipeline.source_mixing(spark, few, ""), "laid")
+    got = corpus_pipeline.token_ids(spark, laid, "").select(*places).collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def test_pipeline_of_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         rows = stage(spark, odd, "")

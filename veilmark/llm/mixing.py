@@ -202,7 +202,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def in_mix_order(mixed: DataFrame, parts: int) -> DataFrame:
-    """Rows laid out in files by slot, so that reading the files follows the mix."""
+    """Rows laid out in files by slot, each file sorted.
+
+    The mix is the files in order of their names, row by row. Spark's reader packs
+    files by size instead; `mix` over the same rows gives their places again.
+    """
     ordered = mixed.repartitionByRange(parts, "mix_slot")
     return ordered.sortWithinPartitions("mix_slot", "mix_pos").drop(
         "mix_block", "mix_slot", "mix_pos"
