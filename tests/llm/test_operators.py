@@ -551,6 +551,16 @@ def test_mixing_keeps_to_the_weights_as_given(spark, blocks, weights):
         assert all(abs(fluid[s] - done[s]) < 1 + 1e-6 for s in blocks)
 
 
+def test_mixing_weighs_more_sources_than_a_thousand(spark):
+    sizes = {"a": 1000} | {f"s{i}": 2 for i in range(1200)}
+    rows = [(i, s) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(df, weights={"a": 1200.0}, block_docs=1).where("source = 'a'").collect()
+    place = sorted(r["mix_slot"] for r in got)
+    # Half the weight is every other slot while the others last.
+    assert all(abs(s - 2 * k) <= 2 for k, s in enumerate(place))
+
+
 def test_mixing_of_odd_rows(odd, empty):
     assert mixing.mix(odd).count() == len(ODD)
     assert set(odd.columns) < set(mixing.mix(odd).columns)
