@@ -369,6 +369,20 @@ def test_order_minhash_sees_order_and_repetition(spark):
     assert like(1, 3) > 0.8 and like(1, 2) < 0.8 and like(1, 4) < 0.5
 
 
+def test_order_minhash_of_unspaced_text(spark):
+    rng = np.random.default_rng(4)
+    text, other = ("".join(map(chr, rng.integers(0x4E00, 0x9000, 4000))) for _ in "ab")
+    changed = [text, "x" + text, text[:2000] + "x" + text[2000:], text[:2000] + text[2001:], other]
+    df = spark.createDataFrame(list(enumerate(changed)), "id long, text string")
+    sketch = {r["id"]: r["s"] for r in order_minhash.with_sketch(df, "text", "s").collect()}
+    like = [len(set(sketch[0]) & set(sketch[i])) / 32 for i in range(5)]
+    assert min(like[1:4]) > 0.8 and like[4] < 0.1
+    words = spark.createDataFrame([("ab " + "c" * 32 + "\t" + "".join(map(chr, range(65, 98))),)], "t string")
+    pieces = words.select(order_minhash._pieces(F.col("t")).alias("p")).first()["p"]
+    assert pieces[:5] == ["ab", *["c" * 8] * 4]
+    assert pieces[5:] == ["".join(map(chr, range(i, i + 8))) for i in range(65, 91)]
+
+
 def test_order_minhash_of_odd_rows(odd, empty):
     rows = order_minhash.fingerprinted(odd).collect()
     assert len(rows) == len(ODD)

@@ -1,7 +1,9 @@
 """Order MinHash fingerprints.
 
 The k-mers of a text are runs of K pieces, a piece being at most PIECE characters
-of a word. Equal k-mers are numbered by occurrence, so repetitions count. A hash
+of a word. A stretch of more than WHOLE characters without white space gives a piece
+at every character instead, so that an edit touches only the pieces around it, as it
+does between words. Equal k-mers are numbered by occurrence, so repetitions count. A hash
 of k-mer and number names one of the FUNCTIONS and a rank within it; each function
 keeps its MINIMA smallest, puts them back into text order and hashes that tuple.
 Two texts agree in a function if they share its minimal k-mers in the same order,
@@ -15,13 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm.common import let, one_row, parts_for, stored
+from veilmark.llm.common import let, one_row, parts_for, stored, words_of
 from veilmark.llm.sharding import MOST_RANGES, RANGE, ROWS_PER_RANGE, range_of, splitters
 
 FUNCTION_BITS = 5
 MINIMA = 2
 K = 2
 PIECE = 8
+WHOLE = 32
+BLANK = r"\x20\x09-\x0D"
 # A long holds 40 bits of hash and 24 of place; later places count as the last.
 PLACE_BITS = 24
 LAST_PLACE = 2**PLACE_BITS - 1
@@ -49,6 +53,25 @@ def _empty() -> Column:
     return F.array().cast("array<bigint>")
 
 
+def _pieces(body: Column) -> Column:
+    """Words cut into pieces from their start, long stretches into overlapping ones.
+
+    Only texts that hold a long stretch are taken apart word by word.
+    """
+    cut = F.lit(r"[^%s]{1,%d}" % (BLANK, PIECE))
+    every = F.lit(r"(?s)(?=(.{%d}))." % PIECE)
+
+    def of_word(word: Column) -> Column:
+        return F.when(
+            F.length(word) > WHOLE, F.regexp_extract_all(word, every, F.lit(1))
+        ).otherwise(F.regexp_extract_all(word, cut, F.lit(0)))
+
+    has_long = body.rlike(r"(?<![^%s])[^%s]{%d}" % (BLANK, BLANK, WHOLE + 1))
+    return F.when(has_long, F.flatten(F.transform(words_of(body), of_word))).otherwise(
+        F.regexp_extract_all(body, cut, F.lit(0))
+    )
+
+
 def _kmers(pieces: str) -> Column:
     """A long per k-mer; a text of fewer than K pieces is one k-mer."""
     n = F.size(pieces)
@@ -136,9 +159,7 @@ def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
     projection of its own, so that none is computed more than once.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
-    body = F.coalesce(F.col(text), F.lit(""))
-    pieces = F.regexp_extract_all(body, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % PIECE), F.lit(0))
-    step = df.select(*kept, pieces.alias("_p"))
+    step = df.select(*kept, _pieces(F.coalesce(F.col(text), F.lit(""))).alias("_p"))
     step = step.select(*kept, F.sort_array(_kmers("_p")).alias("_p"))
     step = step.select(*kept, F.sort_array(_numbered("_p")).alias("_p"))
     step = step.select(*kept, _minima("_p").alias("_p"))
