@@ -323,6 +323,45 @@ def test_exchange_raises_the_likelihood():
     assert likelihood(place) > likelihood(start)
 
 
+def test_best_class_by_force():
+    rng = np.random.default_rng(2)
+    bigrams = rng.poisson(3, (30, 30)).astype(float)
+    place = np.concatenate((np.arange(26) % 5, [5, 6, 5, 6]))
+
+    def table(p):
+        member = np.eye(7)[p]
+        return member.T @ bigrams @ member
+
+    member = np.eye(7)[place]
+    best = class_lm.best_classes(
+        place, bigrams @ member, bigrams.T @ member, np.diag(bigrams), table(place), 5
+    )
+    for w in range(30):
+        tried = [np.where(np.arange(30) == w, c, place) for c in range(5)]
+        assert best[w] == np.argmax([class_lm.likelihood(table(p)) for p in tried])
+
+
+def test_class_lm_clusters_every_word_that_is_not_rare(spark):
+    rng = np.random.default_rng(3)
+    # Two kinds of 600 words take turns; which kind a word is does not show in it.
+    names = rng.permutation(1200)
+    texts = [
+        " ".join(f"w{names[2 * j + (i % 2)]}" for i, j in enumerate(rng.integers(0, 600, 100)))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    training = df.where(~class_lm.held_out("doc_id"))
+    model, _ = class_lm.fit(training, class_lm.stored(class_lm.word_counts(training), "counts"))
+    kind = {b"w%d" % name: i % 2 for i, name in enumerate(names)}
+    members = collections.defaultdict(collections.Counter)
+    for word, i in model.number.items():
+        if i < model.n_clustered:
+            members[model.place[i]][kind[word]] += 1
+    assert sum(max(c.values()) for c in members.values()) > 0.95 * 1200
+    out = [r for r in class_lm.scored(df).collect() if r["held_out"]]
+    assert np.mean([r["perplexity"] for r in out]) < 900
+
+
 def test_toxicity(spark, sf_dir, docs, odd, empty):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = ordinal_toxicity.fit(docs, labels)

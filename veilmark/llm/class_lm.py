@@ -2,17 +2,19 @@
 
 P(w | v) = P(class of w | class of v) P(w | class of w). The most frequent words
 are assigned to classes by exchange: each word in turn moves to the class that
-raises the likelihood of the class bigrams most. All other words belong to tail
-classes by their ending. Every word is counted, whatever its class; counts of rare
-words meet the texts in a join, those of frequent words are few and known to all
-tasks.
+raises the likelihood of the class bigrams most. All other numbered words that are
+not too rare to tell then join these classes: tasks count each word's neighbours by
+class and choose its best class from the table of all classes, for some rounds. What
+is rarer belongs to tail classes by its ending. Every word is counted, whatever its
+class; counts of rare words meet the texts in a join, those of frequent words are few
+and known to all tasks.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -22,13 +24,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.common import map_arrow, sliced, stored
+from veilmark.llm.common import list_array, map_arrow, sliced, stored
 
 CLUSTERED = 500
 CLASSES = 32
 TAILS = 16
 ENDING = 3
 ROUNDS = 8
+# Words of fewer occurrences have too few neighbours to choose a class by.
+LEAST = 5
+PASSES = 4
+TEXTS_AT_ONCE = 512
+CELLS_AT_ONCE = 1 << 22
+WORDS_AT_ONCE = 256
 FREQUENT = 100_000
 HELD_MOD, HELD_REST = 7, 2
 MOST_KEPT = 300_000
@@ -102,22 +110,88 @@ def _symbols(words: list[bytes], number: dict[bytes, int], n_numbered: int) -> n
     return found
 
 
-def _count_bigrams(
+def _number_words(
     batches: Iterator[pa.RecordBatch], number: dict[bytes, int]
 ) -> Iterator[pa.RecordBatch]:
-    """Bigrams of symbols: clustered words, tail classes, the end."""
-    n, end = len(number), len(number) + TAILS
-    width = end + 1
-    total = np.zeros(width * width, np.int64)
+    """The symbols of each text."""
     for batch in sliced(batches):
-        codes = []
-        for words in words_of_batch(batch):
-            line = np.concatenate(([end], _symbols(words, number, n), [end]))
-            codes.append(line[:-1] * width + line[1:])
-        if codes:
-            total += np.bincount(np.concatenate(codes), minlength=width * width)
-    cells = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+        rows = [_symbols(words, number, len(number)) for words in words_of_batch(batch)]
+        yield pa.RecordBatch.from_arrays([list_array(rows, pa.int32(), "int32")], ["symbols"])
+
+
+def _lines(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
+    """Symbols of some texts in a row, with the end before and after each text."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            lists = batch.column(0).slice(start, TEXTS_AT_ONCE)
+            sizes = np.diff(lists.offsets.to_numpy())
+            line = lists.flatten().to_numpy().astype(np.int64)
+            yield np.insert(line, np.cumsum(np.append(0, sizes)), end)
+
+
+def _bincounts(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct numbers with how often they occur, many parts at once."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= CELLS_AT_ONCE:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+    if size:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def _cells(counted: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for cells, n in counted:
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
+
+
+def _count_bigrams(
+    batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int
+) -> Iterator[pa.RecordBatch]:
+    """Bigrams of classes; the last of ``classes`` is that of the end."""
+
+    def codes() -> Iterator[np.ndarray]:
+        for symbols in _lines(batches, len(classes) - 1):
+            line = classes[symbols]
+            yield line[:-1] * width + line[1:]
+
+    yield from _cells(_bincounts(codes()))
+
+
+def _count_neighbours(
+    batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int, n_words: int
+) -> Iterator[pa.RecordBatch]:
+    """For the first ``n_words`` symbols: classes that follow, that precede, pairs of itself."""
+    span = 2 * width + 1
+
+    def codes() -> Iterator[np.ndarray]:
+        for line in _lines(batches, len(classes) - 1):
+            first, second = line[:-1], line[1:]
+            for word, code in (
+                (first, classes[second]),
+                (second, width + classes[first]),
+                (first[first == second], 2 * width),
+            ):
+                kept = word < n_words
+                yield (word * span + code)[kept]
+
+    yield from _cells(_bincounts(codes()))
+
+
+def _summed(symbols: DataFrame, count: Callable) -> DataFrame:
+    """Cells and their sums over all tasks."""
+    cells = map_arrow(symbols, count, "cell long, n long")
+    return cells.groupBy("cell").agg(F.sum("n").alias("n"))
+
+
+def _table(symbols: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
+    """The class bigrams of all training rows; bounded by the number of classes."""
+    counted = _summed(symbols, partial(_count_bigrams, classes=classes, width=width)).toArrow()
+    table = np.zeros(width * width)
+    table[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    return table.reshape(width, width)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -172,6 +246,113 @@ def exchange_clusters(bigrams: np.ndarray, n_words: int, classes: int = CLASSES)
     return place
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of the class bigrams but for a constant."""
+    return _xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum()
+
+
+def best_classes(
+    own: np.ndarray,
+    right: np.ndarray,
+    left: np.ndarray,
+    alone: np.ndarray,
+    table: np.ndarray,
+    classes: int = CLASSES,
+) -> np.ndarray:
+    """The best class of each word while all others stay where they are.
+
+    A row per word: its class, how often each class follows and precedes it, and how
+    often it follows itself. Ties stay; a word from a tail always moves.
+    """
+    b, c = np.arange(len(own)), np.arange(classes)
+    right, left = right.astype(float), left.astype(float)
+    right[b, own] -= alone
+    left[b, own] -= alone
+    rest = np.repeat(table[None].astype(float), len(own), 0)
+    rest[b, own] -= right
+    rest[b, :, own] -= left
+    rest[b, own, own] -= alone
+    sums_l, sums_r = rest.sum(2)[:, :classes], rest.sum(1)[:, :classes]
+    rows, columns = rest[:, :classes], rest[:, :, :classes].transpose(0, 2, 1)
+    gain = (_xlogx(rows + right[:, None]) - _xlogx(rows)).sum(2)
+    gain += (_xlogx(columns + left[:, None]) - _xlogx(columns)).sum(2)
+    diagonal, r, l = rest[:, c, c], right[:, :classes], left[:, :classes]
+    self_pairs = alone[:, None]
+    gain -= _xlogx(diagonal + r) + _xlogx(diagonal + l)
+    gain += _xlogx(diagonal) + _xlogx(diagonal + r + l + self_pairs)
+    # The word comes back as a neighbour too, whatever its class.
+    sums_l, sums_r = sums_l + l, sums_r + r
+    gain -= _xlogx(sums_l + right.sum(1)[:, None] + self_pairs) - _xlogx(sums_l)
+    gain -= _xlogx(sums_r + left.sum(1)[:, None] + self_pairs) - _xlogx(sums_r)
+    best = gain.argmax(1)
+    placed = own < classes
+    stays = placed & (gain[b, best] <= gain[b, np.where(placed, own, 0)] + 1e-9)
+    return np.where(stays, own, best)
+
+
+def _choose(
+    batches: Iterator[pa.RecordBatch], classes: np.ndarray, table: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    width = len(table)
+    for batch in batches:
+        for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+            some = batch.slice(start, WORDS_AT_ONCE)
+            words = some.column(0).to_numpy()
+            counts = np.zeros((len(words), 2 * width + 1))
+            lists = some.column(1)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(words)), sizes)
+            counts[row, flat.field("code").to_numpy()] = flat.field("n").to_numpy()
+            best = best_classes(
+                classes[words],
+                counts[:, :width],
+                counts[:, width : 2 * width],
+                counts[:, 2 * width],
+                table,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words), pa.array(best.astype(np.int64))], ["word", "class"]
+            )
+
+
+def spread_clusters(
+    symbols: DataFrame, classes: np.ndarray, n_words: int, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every symbol and the class bigrams, with the first ``n_words`` moving.
+
+    Words choose at the same time, so after the first pass only every second one
+    does; a pass that lowers the likelihood is taken back and ends the rounds.
+    """
+    table = _table(symbols, classes, width)
+    span = 2 * width + 1
+    reached = None
+    for turn in range(PASSES):
+        cells = _summed(
+            symbols, partial(_count_neighbours, classes=classes, width=width, n_words=n_words)
+        ).select(
+            F.floor(F.col("cell") / span).alias("word"),
+            (F.col("cell") % span).cast("int").alias("code"),
+            "n",
+        )
+        if turn:
+            cells = cells.where(F.col("word") % 2 == turn % 2)
+        by_word = cells.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("cells"))
+        chosen = map_arrow(
+            by_word, partial(_choose, classes=classes, table=table), "word long, class long"
+        ).toArrow()
+        moved = classes.copy()
+        moved[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
+        if (moved == classes).all():
+            break
+        new_table = _table(symbols, moved, width)
+        new = likelihood(new_table)
+        if reached is not None and new <= reached:
+            break
+        classes, table, reached = moved, new_table, new
+    return classes, table
+
+
 @dataclass(frozen=True)
 class ClassModel:
     """What every scoring task needs; its size is bounded by the parameters."""
@@ -200,27 +381,31 @@ def fit(training: DataFrame, counts: DataFrame) -> tuple[ClassModel, DataFrame]:
         F.count("*"),
         F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0)),
     ).first()
-    n_clustered = min(CLUSTERED, len(words))
-    clustered = {w: i for i, w in enumerate(words[:n_clustered])}
-    width = n_clustered + TAILS + 1
-    cells = (
+    number = {w: i for i, w in enumerate(words)}
+    n_seeds = min(CLUSTERED, len(words))
+    n_clustered = max(n_seeds, int((numbers >= LEAST).sum()))
+    symbols = stored(
         map_arrow(
-            training.select("text"),
-            partial(_count_bigrams, number=clustered),
-            "cell long, n long",
-        )
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        .collect()
+            training.select("text"), partial(_number_words, number=number), "symbols array<int>"
+        ),
+        "lm-symbols",
     )
-    bigrams = np.zeros((width, width))
-    for cell, n in cells:
-        bigrams[cell // width, cell % width] = n
-    place = exchange_clusters(bigrams, n_clustered)
+    # The seeds by themselves, all else by endings, the end.
+    endings = np.array([tail_class(w) for w in words[n_seeds:]], np.int64)
+    tails_end = np.arange(TAILS + 1)
+    width = n_seeds + TAILS + 1
+    apart = np.concatenate((np.arange(n_seeds), n_seeds + endings, n_seeds + tails_end))
+    bigrams = _table(symbols, apart, width)
+    place = exchange_clusters(bigrams, n_seeds)
     k = CLASSES + TAILS + 1
-    member = np.zeros((width, k))
-    member[np.arange(width), place] = 1
-    table = member.T @ bigrams @ member
+    classes = place[apart]
+    if n_clustered > n_seeds:
+        classes, table = spread_clusters(symbols, classes, n_clustered, k)
+    else:
+        member = np.zeros((width, k))
+        member[np.arange(width), place] = 1
+        table = member.T @ bigrams @ member
+    place = classes
     transition = (table + 1) / (table.sum(1, keepdims=True) + k)
 
     # Tokens and distinct words of each class; a tail has room for one unseen word.
@@ -237,7 +422,7 @@ def fit(training: DataFrame, counts: DataFrame) -> tuple[ClassModel, DataFrame]:
         weight[CLASSES + row["tail"]] += row["n"] + row["words"]
     weight[CLASSES : CLASSES + TAILS] += 1
     model = ClassModel(
-        number={w: i for i, w in enumerate(words)},
+        number=number,
         n_clustered=n_clustered,
         log_count=np.log10(numbers + 1.0),
         place=place,
