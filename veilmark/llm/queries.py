@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from veilmark.llm import (
     byte_bpe,
     class_lm,
+    filter_audit,
+    license_scan,
+    merkle_manifest,
     mixing,
     ngram_join,
     ordinal_toxicity,
@@ -44,6 +47,9 @@ def registered() -> dict[str, Query]:
         "op8_byte_bpe": over_documents(byte_bpe.document_tokens),
         "op9_char_pii": over_documents(pii.document_pii),
         "op10_source_mixing": over_documents(mixing.mixed_documents),
+        "op11_license_scan": over_documents(license_scan.document_licenses),
+        "op12_filter_audit": filter_audit.filter_audit,
+        "op13_merkle_manifest": over_documents(merkle_manifest.document_manifest),
     }
 
 
