@@ -254,3 +254,52 @@ def test_masked_views(spark, sf_dir):
     assert rows(spark.table(view)) == rows(masked(members, bound, "none", "s"))
     with pytest.raises(ValueError):
         create_masked_views(spark, "members", "gov_views", policy={"snn": "mask_ssn"})
+
+
+def described(spark, name):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return [tuple(r) for r in rows if r["col_name"] not in ("Location", "Created Time", "Name", "Table")]
+
+
+def test_a_failed_replace_changes_nothing(spark, sf_dir):
+    ingest.create_schema(spark, "gov_failed")
+    providers = payer_table(spark, sf_dir, "providers")
+    name = ingest.replace_table(spark, "providers", providers, "gov_failed")
+    before, facts = rows(spark.table(name)), described(spark, name)
+    bad = F.when(F.col("npi") == "N-7", F.raise_error(F.lit("bad row"))).otherwise(F.col("npi"))
+    with pytest.raises(Exception, match="bad row"):
+        ingest.replace_table(spark, "providers", providers.withColumn("npi", bad), "gov_failed")
+    assert rows(spark.table(name)) == before
+    assert described(spark, name) == facts
+    assert [t.name for t in spark.catalog.listTables("gov_failed")] == ["providers"]
+
+
+def test_readers_that_have_begun_keep_the_old_rows(spark, sf_dir):
+    ingest.create_schema(spark, "gov_readers")
+    providers = payer_table(spark, sf_dir, "providers")
+    name = ingest.replace_table(spark, "providers", providers, "gov_readers")
+    reader = spark.table(name).select("npi")
+    before = rows(reader)
+    ingest.replace_table(spark, "providers", providers.limit(3), "gov_readers")
+    assert rows(reader) == before
+    assert spark.table(name).count() == 3
+    ingest.append_rows(spark, "providers", providers.limit(2), "gov_readers")
+    assert spark.table(name).count() == 5
+
+
+def test_replace_brings_descriptions_and_layout_up_to_date(spark, sf_dir):
+    ingest.create_schema(spark, "gov_layout")
+    providers = payer_table(spark, sf_dir, "providers")
+    name = ingest.replace_table(spark, "providers", providers, "gov_layout")
+    facts = described(spark, name)
+    spark.sql(f"COMMENT ON TABLE {name} IS 'other'")
+    spark.sql(f"ALTER TABLE {name} ALTER COLUMN npi COMMENT 'other'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('domain' = 'other')")
+    assert described(spark, name) != facts
+    ingest.replace_table(spark, "providers", providers, "gov_layout")
+    assert described(spark, name) == facts
+    ingest.replace_table(spark, "providers", providers, "gov_layout", "npi", 3)
+    assert ("Num Buckets", "3", "") in described(spark, name)
+    assert spark.table(name).count() == providers.count()
+    ingest.replace_table(spark, "providers", providers.limit(2), "gov_layout", "npi", 3)
+    assert spark.table(name).count() == 2

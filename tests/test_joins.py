@@ -28,16 +28,26 @@ def brute_force(how):
     return sorted(out, key=repr)
 
 
+@pytest.fixture
+def nothing_is_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+FEW = {"rows_per_slice": 100}
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("probe", [{"one_in": 1}, {"one_in": 4}, {}])
-def test_spread_join_equals_brute_force(sides, how, probe):
+@pytest.mark.parametrize("probe", [{"one_in": 1, **FEW}, {"one_in": 4, **FEW}, {}])
+def test_spread_join_equals_brute_force(sides, nothing_is_broadcast, how, probe):
     many, one = sides
-    joined = joins.spread_join(many, one, "fk", "pk", ["id"], how, broadcast_bytes=0, **probe)
+    joined = joins.spread_join(many, one, "fk", "pk", ["id"], how, **probe)
     assert rows(joined) == brute_force(how)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_a_small_side_is_broadcast_and_nothing_moves(spark, sides, tmp_path, how):
+def test_a_small_side_is_left_to_spark(spark, sides, tmp_path, how):
     many, one = sides
     one.write.parquet(str(tmp_path / "one"))
     stored = spark.read.parquet(str(tmp_path / "one"))
@@ -51,20 +61,32 @@ def test_a_small_side_is_broadcast_and_nothing_moves(spark, sides, tmp_path, how
 
 def test_hot_keys_are_found_and_bounded(sides):
     many, _ = sides
-    assert rows(joins.hot_keys(many, "fk", ["id"], share=3, one_in=1)) == [("hot",)]
-    assert rows(joins.hot_keys(many, "fk", ["id"], share=10, one_in=8)) == [("hot",)]
-    assert joins.hot_keys(many, "fk", ["id"], share=20, one_in=1, min_rows=1).count() <= 20
-
-
-def test_a_hot_key_fills_many_slices(spark, sides):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert rows(joins.hot_keys(many, "fk", ["id"], 999, one_in=1)) == [("hot", 2)]
+    assert rows(joins.hot_keys(many, "fk", ["id"], 1000, one_in=1)) == []
+    assert [r[0] for r in rows(joins.hot_keys(many, "fk", ["id"], 500, one_in=8))] == ["hot"]
+    assert joins.hot_keys(many, "fk", ["id"], 1, one_in=1).count() == 51
+    # At most ten keys can have more than a tenth of all rows.
+    assert rows(joins.hot_keys(many, "fk", ["id"], 1, one_in=1, most=10)) == [("hot", 4)]
+
+
+def test_a_key_with_a_small_share_is_cut(spark):
+    """0.4% of the rows are too many for a task if they are many."""
+    many = spark.range(100_000).selectExpr(
+        "id", "CASE WHEN id % 250 = 0 THEN 'warm' ELSE CAST(id AS STRING) END AS fk"
+    )
+    hot = joins.hot_keys(many, "fk", ["id"], 50, one_in=1)
+    assert rows(hot) == [("warm", 8)]
+    cut = joins.sliced(many, "fk", hot, ["id"], "s").where("fk = 'warm'")
+    sizes = [r["count"] for r in cut.groupBy("s").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 100
+
+
+def test_a_hot_key_fills_many_slices(spark, sides, nothing_is_broadcast):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         many, one = sides
-        joined = joins.spread_join(
-            many, one, "fk", "pk", ["id"], "left", broadcast_bytes=0, one_in=1
-        )
+        joined = joins.spread_join(many, one, "fk", "pk", ["id"], "left", one_in=1, rows_per_slice=20)
         sizes = [
             r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()
         ]
@@ -72,7 +94,6 @@ def test_a_hot_key_fills_many_slices(spark, sides):
         assert "SortMergeJoin" in plan(joined)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) >= 12
     assert max(sizes) < sum(sizes) / 4
@@ -83,6 +104,15 @@ def test_unsupported_kind(sides):
         joins.spread_join(*sides, "fk", "pk", ["id"], "full")
 
 
+def test_deid_join_says_if_rows_multiply(spark, sf_dir):
+    claims, fills = (payer_table(spark, sf_dir, t) for t in ("claims", "pharmacy_claims"))
+    sides = claims, "claims", fills, "pharmacy_claims", "none", "s"
+    with pytest.raises(ValueError, match="many_to_many"):
+        joins.deid_join(*sides)
+    on = claims.select("member_id").join(fills.select("member_id"), "member_id")
+    assert joins.deid_join(*sides, many_to_many=True).count() == on.count() > 0
+
+
 def test_deid_join_equals_the_join_on_hashes(spark, sf_dir):
     claims, members = (payer_table(spark, sf_dir, t) for t in ("claims", "members"))
     for tier in ("full", "partial", "none"):

@@ -15,36 +15,62 @@ from pyspark.sql import functions as F
 from veilmark.operators.masking import masked
 from veilmark.sources.model import TABLES
 
-BROADCAST_BYTES = 10 * 1024 * 1024
-SLICE_BITS = 6
-HOT_SHARE = 200
+ROWS_PER_SLICE = 1_000_000
+MOST_HOT_KEYS = 50_000
 PROBE_ONE_IN = 1024
-PROBE_MIN_ROWS = 20
 
 
 def hot_keys(
     df: DataFrame,
     key: str,
     row_id: Sequence[str],
-    share: int = HOT_SHARE,
+    rows_per_slice: int = ROWS_PER_SLICE,
     one_in: int = PROBE_ONE_IN,
-    min_rows: int = PROBE_MIN_ROWS,
+    most: int = MOST_HOT_KEYS,
 ) -> DataFrame:
-    """Keys that hold about 1/share of all rows or more: at most ``share`` of them.
-
-    The keys only steer how `spread_join` lays out its rows and never which
-    rows it returns, so they are counted over one row in ``one_in``. Which
-    rows is settled by a hash of ``row_id``: the answer is the same however
-    often it is computed, also when a lost executor makes a stage run again.
-    Only the key and ``row_id`` columns are read. Tables too small for
-    ``min_rows`` probed rows of one key have no hot keys worth the trouble.
+    """Keys with more rows than one task should have: ``hot_key``, ``n_slices``.
+
+    The limit is ``rows_per_slice`` whatever the size of the table, so a key is cut
+    because of its rows and not of its share; it rises only where there would be more
+    than ``most`` such keys, which bounds the list. The keys steer how rows are laid
+    out and never which rows there are, so they are counted over one row in
+    ``one_in``, chosen by a hash of ``row_id``: the answer is the same however
+    often it is computed, also when a lost executor makes a stage run again. Only
+    the key and ``row_id`` columns are read.
     """
     probe = df if one_in == 1 else df.where(F.xxhash64(*row_id) % one_in == 0)
-    counts = probe.groupBy(key).agg(F.count("*").alias("n_rows"))
+    counts = probe.groupBy(key).agg((F.count("*") * one_in).alias("n_rows"))
     # The sum of the same counts, so that Spark shuffles the probe once for both.
     total = counts.agg(F.sum("n_rows").alias("n_total")).scalar()
-    is_hot = (F.col("n_rows") >= min_rows) & (F.col("n_rows") * share >= total)
-    return counts.where(F.col(key).isNotNull()).where(is_hot).select(F.col(key).alias("hot_key"))
+    limit = F.greatest(F.lit(rows_per_slice), F.ceil(total / most))
+    return counts.where(F.col(key).isNotNull() & (F.col("n_rows") > limit)).select(
+        F.col(key).alias("hot_key"), F.ceil(F.col("n_rows") / limit).alias("n_slices")
+    )
+
+
+def sliced(
+    many: DataFrame, many_key: str, hot: DataFrame, row_id: Sequence[str], slice_name: str
+) -> DataFrame:
+    """Rows with the number of their slice: 0, or one of the slices of a hot key.
+
+    Rows without a key match nothing and are spread over all numbers. The list of hot
+    keys has a proven bound, so it is broadcast.
+    """
+    # Never NULL, so joins need not test for it; not the bits the probe has used.
+    row_hash = F.xxhash64(F.lit(slice_name), *row_id)
+    number = F.when(F.col(many_key).isNull(), row_hash).otherwise(
+        F.coalesce(F.pmod(row_hash, F.col("n_slices")), F.lit(0).cast("long"))
+    )
+    joined = many.join(F.broadcast(hot), F.col(many_key) == F.col("hot_key"), "left")
+    return joined.withColumn(slice_name, number).drop("hot_key", "n_slices")
+
+
+def repeated(one: DataFrame, one_key: str, hot: DataFrame, slice_name: str) -> DataFrame:
+    """Rows once per slice of their key."""
+    last = F.coalesce(F.col("n_slices"), F.lit(1).cast("long")) - 1
+    joined = one.join(F.broadcast(hot), F.col(one_key) == F.col("hot_key"), "left")
+    numbers = F.sequence(F.lit(0).cast("long"), last)
+    return joined.withColumn(slice_name, F.explode(numbers)).drop("hot_key", "n_slices")
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -52,6 +78,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """Up to which estimate Spark broadcasts a side of a join of its own accord."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def spread_join(
     many: DataFrame,
     one: DataFrame,
@@ -59,49 +90,27 @@ def spread_join(
     one_key: str,
     row_id: Sequence[str],
     how: str = "inner",
-    broadcast_bytes: int = BROADCAST_BYTES,
     **probe: int,
 ) -> DataFrame:
     """Equi-join (inner or left) that survives hot and NULL keys of ``many``.
 
-    If ``one`` is estimated at no more than ``broadcast_bytes`` it is broadcast,
-    and no key has to move. Else both sides are shuffled: rows of a hot key are
-    cut into 2^SLICE_BITS slices by a hash of their ``row_id`` columns, and the
-    few matching rows of ``one`` are repeated per slice. In a left join the rows
-    with a NULL key, which match nothing, are spread the same way. All other
-    keys join on slice 0. The list of hot keys has a proven bound, so it is
-    broadcast. Column names must not occur on both sides.
+    A side that Spark broadcasts by itself is left to it: nothing has to move then.
+    Else both sides are shuffled: rows of a key with more than ``rows_per_slice`` rows
+    are cut into as many slices as that takes, by a hash of their ``row_id`` columns, and
+    the matching rows of ``one`` are repeated per slice. In a left join the
+    rows with a NULL key, which match nothing, are spread the same way. All other keys
+    join on slice 0. Column names must not occur on both sides. If ``one`` has
+    several rows per key, rows multiply as in any join.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    if estimated_bytes(one) <= broadcast_bytes:
-        return many.join(F.broadcast(one), F.col(many_key) == F.col(one_key), how)
+    if estimated_bytes(one) <= broadcast_limit(one):
+        return many.join(one, F.col(many_key) == F.col(one_key), how)
     hot = hot_keys(many, many_key, row_id, **probe)
-    # The top bits of the hash, as the probe has used the low ones. Never NULL,
-    # so the join need not test for it.
-    row_slice = F.shiftrightunsigned(F.xxhash64(*row_id), 64 - SLICE_BITS)
-    is_spread = F.col("hot_key").isNotNull() | F.col(many_key).isNull()
-    left = (
-        many.join(F.broadcast(hot), F.col(many_key) == F.col("hot_key"), "left")
-        .withColumn("join_slice", F.when(is_spread, row_slice).otherwise(F.lit(0).cast("long")))
-        .drop("hot_key")
-    )
-    all_slices = F.sequence(F.lit(0).cast("long"), F.lit(2**SLICE_BITS - 1).cast("long"))
-    first_slice = F.array(F.lit(0).cast("long"))
-    right = (
-        one.join(F.broadcast(hot), F.col(one_key) == F.col("hot_key"), "left")
-        .withColumn(
-            "one_slice",
-            F.explode(F.when(F.col("hot_key").isNotNull(), all_slices).otherwise(first_slice)),
-        )
-        .drop("hot_key")
-    )
-    joined = left.join(
-        right,
-        (F.col(many_key) == F.col(one_key)) & (F.col("join_slice") == F.col("one_slice")),
-        how,
-    )
-    return joined.drop("join_slice", "one_slice")
+    left = sliced(many, many_key, hot, row_id, "join_slice")
+    right = repeated(one, one_key, hot, "one_slice")
+    on = (F.col(many_key) == F.col(one_key)) & (F.col("join_slice") == F.col("one_slice"))
+    return left.join(right, on, how).drop("join_slice", "one_slice")
 
 
 def deid_join(
@@ -112,9 +121,13 @@ def deid_join(
     tier: str,
     salt: str,
     on: str = "member_id",
+    many_to_many: bool = False,
 ) -> DataFrame:
     """Row-level join of two tables on an identifier, masked for a tier.
 
+    The right table should have one row per identifier, that is, ``on`` should be its
+    key; else rows multiply, which ``many_to_many`` says is meant.
+
     The rows are those of joining the two masked tables on the hashed
     identifier, but the join runs on the clear one and the masks after it, so
     each digest is computed once per result row and truncated digests cannot
@@ -122,6 +135,8 @@ def deid_join(
     that arrive masked are joined with `spread_join`; both must then come from
     one tier and one salt, as a hashed side matches nothing in a clear one.
     """
+    if on != TABLES[right_table].key and not many_to_many:
+        raise ValueError(f"{right_table} may have several rows per {on}; say many_to_many=True")
     prefix = f"{right_table}_"
     parent = right.select(*[F.col(c).alias(prefix + c) for c in right.columns])
     policy = {

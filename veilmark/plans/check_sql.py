@@ -7,6 +7,7 @@ independently of the Spark code.
 from __future__ import annotations
 
 from veilmark.functions.tiers import TIERS
+from veilmark.plans.dated_views import dated_sql
 from veilmark.plans.payer_views import (
     BROKEN_CSV,
     DAMAGED_CSV,
@@ -415,6 +416,93 @@ def _authorizations() -> str:
     )
 
 
+def _nested_tiers() -> str:
+    return (
+        f"WITH RECURSIVE e AS ({dated_sql('nested_groups')}), p AS ({dated_sql('memberships')}), "
+        f"r(g, tier) AS (SELECT * FROM (VALUES ('phi_full_access', 2), "
+        f"('phi_partial_access', 1)) v UNION SELECT e.group_name, r.tier FROM e JOIN r "
+        f"ON e.parent_group = r.g WHERE e.group_name IS NOT NULL) "
+        f"SELECT principal, CASE max(tier) WHEN 2 THEN 'full' WHEN 1 THEN 'partial' ELSE 'none' "
+        f"END AS tier FROM p LEFT JOIN r ON r.g = p.group_name GROUP BY principal"
+    )
+
+
+def _in_authorization() -> str:
+    """Every pair of a claim and an authorization of its member."""
+    return (
+        f"WITH c AS ({dated_sql('claims')}), a AS ({dated_sql('authorizations')}), "
+        f"v AS (SELECT claim_id, auth_id, effective_date FROM c JOIN a USING (member_id) "
+        f"WHERE service_date_from >= effective_date "
+        f"AND service_date_from <= coalesce(expiration_date, DATE '9999-12-31')), "
+        f"r AS (SELECT claim_id, count(*) AS n, arg_max(auth_id, (effective_date, auth_id)) AS a "
+        f"FROM v GROUP BY claim_id) "
+        f"SELECT claim_id, coalesce(n, 0) AS n_valid, a AS auth_id FROM c LEFT JOIN r USING (claim_id)"
+    )
+
+
+def _covered_days(by: str) -> str:
+    """Islands of single days: independent of how spans are merged."""
+    return (
+        f"e AS ({dated_sql('coverage')}), "
+        f"open AS (SELECT {by}, min(effective_date) AS open_from FROM e WHERE member_id IS NOT NULL "
+        f"AND termination_date IS NULL AND effective_date IS NOT NULL GROUP BY {by}), "
+        f"days AS (SELECT DISTINCT {by}, CAST(unnest(generate_series(effective_date, "
+        f"termination_date, INTERVAL 1 DAY)) AS DATE) AS day FROM e WHERE member_id IS NOT NULL "
+        f"AND effective_date IS NOT NULL AND termination_date IS NOT NULL), "
+        f"all_days AS (SELECT d.* FROM days d WHERE NOT EXISTS (SELECT 1 FROM open o WHERE "
+        f"{' AND '.join(f'o.{k.strip()} IS NOT DISTINCT FROM d.{k.strip()}' for k in by.split(','))} "
+        f"AND d.day >= open_from) UNION ALL SELECT * FROM open), "
+        f"runs AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY {by} ORDER BY day) AS INT) "
+        f"AS run FROM all_days), "
+        f"plain AS (SELECT {by}, min(day) AS span_start, max(day) AS last_day FROM runs "
+        f"GROUP BY {by}, run), "
+        f"spans AS (SELECT p.* EXCLUDE (last_day), CASE WHEN open_from = last_day THEN NULL ELSE "
+        f"last_day END AS span_end FROM plain p LEFT JOIN open o ON "
+        f"{' AND '.join(f'o.{k.strip()} IS NOT DISTINCT FROM p.{k.strip()}' for k in by.split(','))})"
+    )
+
+
+_MEMBER_TYPE = "member_id, coverage_type"
+
+
+def _spans() -> str:
+    return (
+        f"WITH {_covered_days(_MEMBER_TYPE)} SELECT member_id, coverage_type, "
+        f"CAST(span_start AS VARCHAR) AS span_start, CAST(span_end AS VARCHAR) AS span_end, "
+        f"CAST((SELECT count(*) FROM e WHERE e.member_id = s.member_id "
+        f"AND e.coverage_type IS NOT DISTINCT FROM s.coverage_type "
+        f"AND effective_date >= span_start AND effective_date <= coalesce(span_end, "
+        f"DATE '9999-12-31') AND effective_date <= coalesce(termination_date, effective_date)) "
+        f"AS VARCHAR) AS n_rows FROM spans s"
+    )
+
+
+def _gaps() -> str:
+    return (
+        f"WITH {_covered_days(_MEMBER_TYPE)}, g AS (SELECT member_id, coverage_type, "
+        f"span_end + 1 AS gap_start, (SELECT min(n.span_start) FROM spans n "
+        f"WHERE n.member_id = s.member_id AND n.coverage_type IS NOT DISTINCT FROM s.coverage_type "
+        f"AND n.span_start > s.span_start) - 1 AS gap_end FROM spans s) "
+        f"SELECT member_id, coverage_type, CAST(gap_start AS VARCHAR) AS gap_start, "
+        f"CAST(gap_end AS VARCHAR) AS gap_end, CAST(gap_end - gap_start + 1 AS VARCHAR) AS n_days "
+        f"FROM g WHERE gap_end IS NOT NULL"
+    )
+
+
+def _uncovered() -> str:
+    return (
+        f"WITH {_covered_days('member_id')}, c AS ({dated_sql('claims')}), "
+        f"l AS (SELECT c.*, (SELECT max(s.span_start) FROM spans s WHERE s.member_id = c.member_id "
+        f"AND s.span_start <= service_date_from) AS latest FROM c), "
+        f"r AS (SELECT l.*, span_end, CASE WHEN l.member_id IS NULL THEN 'no member' "
+        f"WHEN service_date_from IS NULL THEN 'no date' WHEN latest IS NULL THEN 'never covered' "
+        f"WHEN span_end < service_date_from THEN 'not covered' END AS reason FROM l "
+        f"LEFT JOIN spans s ON s.member_id = l.member_id AND s.span_start = latest) "
+        f"SELECT claim_id, member_id, CAST(service_date_from AS VARCHAR) AS service_date_from, "
+        f"CAST(span_end AS VARCHAR) AS last_covered, reason FROM r WHERE reason IS NOT NULL"
+    )
+
+
 def _age_cap() -> str:
     def capped(value):
         return f"CASE WHEN date_of_birth <= DATE '1936-12-03' THEN '90+' ELSE {value} END"
@@ -514,6 +602,7 @@ def checks() -> dict[str, str]:
     n_members = "count(*) AS n_members"
     found |= {
         "tier_resolution": _tiers(),
+        "tier_resolution_nested": _nested_tiers(),
         "masked_by_reader": _by_reader(),
         "sql_function_masks": _sql_masks("members"),
         **{f"sql_function_masks_{t}": _sql_masks(t) for t in TABLES if t != "members"},
@@ -525,6 +614,9 @@ def checks() -> dict[str, str]:
         "replace_and_append": f"SELECT {masked_columns('eligibility', 'full')} "
         f"FROM (SELECT * FROM ({payer_sql('eligibility')}) a "
         f"UNION ALL SELECT * FROM ({payer_sql('eligibility')}) b) t",
+        "failed_replace": f"SELECT {masked_columns('eligibility', 'full')}, "
+        f"'{TABLES['eligibility'].comment}' AS table_comment "
+        f"FROM ({payer_sql('eligibility')}) t",
         "ingest_accepted": "SELECT "
         + ", ".join(f"CAST({c.name} AS VARCHAR) AS {c.name}" for c in TABLES["eligibility"].columns)
         + f" FROM ({payer_sql('eligibility')}) t WHERE NOT ({_SPOILED})",
@@ -567,6 +659,10 @@ def checks() -> dict[str, str]:
         "masked_join": _masked_join(),
         "deid_cost_by_state": _cost_by_state(),
         "claim_authorizations": _authorizations(),
+        "claims_in_authorization": _in_authorization(),
+        "coverage_spans": _spans(),
+        "coverage_gaps": _gaps(),
+        "claims_uncovered": _uncovered(),
         "cost_trend": _counts(
             "claims",
             {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
@@ -21,9 +22,10 @@ from veilmark.functions.safe_harbor import (
 )
 from veilmark.functions.sql_functions import register_functions
 from veilmark.functions.tiers import TIERS, group_tiers
-from veilmark.operators import audit, joins, tags
+from veilmark.operators import audit, dated, groups, joins, tags
 from veilmark.operators.masking import bind_mask, masked, policy_of, write_masked
 from veilmark.plans import analytics
+from veilmark.plans.dated_views import dated_view
 from veilmark.plans.payer_views import (
     BROKEN_CSV,
     DAMAGED_CSV,
@@ -270,10 +272,16 @@ def _load_json_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refused(_json_rows(spark, sf_dir))
 
 
-def _replace_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A managed table replaced twice and appended to once: two copies remain."""
-    schema = "veilmark_check"
+def _own_schema(spark: SparkSession) -> str:
+    """A schema nobody else uses, whose tables go to the shared folder."""
+    schema = f"veilmark_check_{uuid.uuid4().hex}"
     ingest.create_schema(spark, schema, scratch_path(spark, schema))
+    return schema
+
+
+def _replace_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice and appended to once: two copies remain."""
+    schema = _own_schema(spark)
     rows = payer_table(spark, sf_dir, "eligibility")
     for _ in range(2):
         name = ingest.replace_table(spark, "eligibility", rows, schema)
@@ -281,6 +289,23 @@ def _replace_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(spark.table(name))
 
 
+def _failed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose second load fails on a late row: what a reader sees then."""
+    schema = _own_schema(spark)
+    rows = payer_table(spark, sf_dir, "eligibility")
+    name = ingest.replace_table(spark, "eligibility", rows, schema)
+    fails = F.when(F.col("premium_amount").isNull(), F.col("plan_code")).otherwise(
+        F.raise_error(F.lit("a row that cannot be loaded"))
+    )
+    try:
+        ingest.replace_table(spark, "eligibility", rows.withColumn("plan_code", fails), schema)
+    except Exception as error:
+        if "a row that cannot be loaded" not in str(error):
+            raise
+    comment = spark.catalog.getTable(name).description
+    return as_text(spark.table(name)).withColumn("table_comment", F.lit(comment))
+
+
 def _column_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = tag_view(spark, sf_dir, "column_tag_log")
     return tags.latest_tags(log, ["ts", "event_id"], tags.COLUMN_KEYS)
@@ -401,6 +426,33 @@ def _claim_authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _nested_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.nested_group_tiers(
+        dated_view(spark, sf_dir, "memberships"), dated_view(spark, sf_dir, "nested_groups")
+    )
+
+
+def _claims_in_authorization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of members with several authorizations, one member with a third of all."""
+    return dated.claims_in_authorization(
+        dated_view(spark, sf_dir, "claims"), dated_view(spark, sf_dir, "authorizations")
+    )
+
+
+def _coverage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(dated.coverage_spans(dated_view(spark, sf_dir, "coverage")))
+
+
+def _coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = dated.coverage_spans(dated_view(spark, sf_dir, "coverage"))
+    return as_text(dated.coverage_gaps(spans))
+
+
+def _claims_uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims, coverage = (dated_view(spark, sf_dir, n) for n in ("claims", "coverage"))
+    return as_text(dated.claims_uncovered(claims, coverage))
+
+
 def _on_claims(report: Callable, **options) -> Query:
     return lambda spark, sf_dir: report(payer_table(spark, sf_dir, "claims"), **options)
 
@@ -508,12 +560,14 @@ def registered() -> dict[str, Query]:
         found[f"{name}_low"] = _audit(report, _column_tags, low)
     found |= {
         "tier_resolution": lambda s, d: group_tiers(tag_view(s, d, "principal_groups")),
+        "tier_resolution_nested": _nested_tiers,
         "masked_by_reader": _masked_by_reader,
         "sql_function_masks": partial(_sql_masks, "members"),
         "masked_by_policy": _masked_by_policy,
         "masked_export": _masked_export,
         "masked_stream": _masked_stream,
         "replace_and_append": _replace_and_append,
+        "failed_replace": _failed_replace,
         "ingest_accepted": _ingest_accepted,
         "ingest_rejected": _ingest_rejected,
         "load_csv_accepted": _load_csv_accepted,
@@ -539,6 +593,10 @@ def registered() -> dict[str, Query]:
         "masked_join": _masked_join,
         "deid_cost_by_state": _across(analytics.deid_cost_by_state),
         "claim_authorizations": _claim_authorizations,
+        "claims_in_authorization": _claims_in_authorization,
+        "coverage_spans": _coverage_spans,
+        "coverage_gaps": _coverage_gaps,
+        "claims_uncovered": _claims_uncovered,
         "cost_trend": _on_claims(analytics.cost_trend),
         "cohort_by_month": _on_members(analytics.birth_cohorts),
         "cohort_by_year": _on_members(analytics.birth_cohorts, tier="none"),

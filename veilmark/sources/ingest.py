@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -175,6 +176,19 @@ def _describe(spark: SparkSession, name: str, spec: TableSpec) -> None:
     spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(spec.comment)}")
 
 
+def _facts(spark: SparkSession, name: str) -> dict[str, str]:
+    """Everything the catalog says about a table, name by name."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"]}
+
+
+def _layout(spark: SparkSession, name: str) -> tuple:
+    """What the files of a table have to fit: columns, types and buckets."""
+    facts = _facts(spark, name)
+    columns = [(f.name, f.dataType) for f in spark.table(name).schema]
+    return columns, facts.get("Num Buckets"), facts.get("Bucket Columns")
+
+
 def replace_table(
     spark: SparkSession,
     table: str,
@@ -189,21 +203,58 @@ def replace_table(
     a load twice therefore leaves one copy. With ``bucket_by`` the files are
     laid out by that column, so joins on it need no shuffle; leave it off where
     one key may hold a large part of the rows, as a bucket cannot be split.
+
+    The rows go to a folder of their own, under a table name of their own. Only when
+    they are complete, one catalog call points the table at the new folder, so
+    a reader sees the old rows or the new ones, and the old ones after a failed load.
+    The old folder stays, for readers that have begun; whoever keeps the schema's
+    files removes it. Only where columns or buckets change, the new table takes the old
+    one's name in two calls, between which there is no table of that name.
     """
     spec = TABLES[table]
     name = f"`{schema}`.`{table}`"
+    version = f"{table}__{uuid.uuid4().hex}"
+    fresh = f"`{schema}`.`{version}`"
+    folder = f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{version}"
     rows = spark.createDataFrame([], spec.schema) if rows is None else rows
     typed = rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in spec.schema]
     )
-    writer = typed.write.mode("overwrite").format("parquet")
+    writer = typed.write.mode("errorifexists").format("parquet").option("path", folder)
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by)
-    writer.saveAsTable(name)
-    _describe(spark, name, spec)
+    try:
+        writer.saveAsTable(fresh)
+        _describe(spark, fresh, spec)
+        if not spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        elif _layout(spark, name) == _layout(spark, fresh):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+            _describe_again(spark, name, spec)
+        else:
+            spark.sql(f"ALTER TABLE {name} RENAME TO `{schema}`.`{version}_old`")
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+            spark.sql(f"DROP TABLE `{schema}`.`{version}_old`")
+    finally:
+        # The files of an external table stay.
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     return name
 
 
+def _describe_again(spark: SparkSession, name: str, spec: TableSpec) -> None:
+    """Bring comments and properties up to the model where they differ from it."""
+    for field in spark.table(name).schema:
+        wanted = spec.schema[field.name].metadata["comment"]
+        if field.metadata.get("comment") != wanted:
+            spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{field.name}` COMMENT {_quoted(wanted)}")
+    facts = _facts(spark, name)
+    shown = facts.get("Table Properties", "")
+    if facts.get("Comment") != spec.comment or any(
+        f"{k}={v}" not in shown for k, v in spec.properties.items()
+    ):
+        _describe(spark, name, spec)
+
+
 def append_rows(
     spark: SparkSession, table: str, rows: DataFrame, schema: str = SCHEMA_NAME
 ) -> None:
