@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veilmark.llm import (
     byte_bpe,
+    check_sql,
     class_lm,
     filter_audit,
     license_scan,
@@ -54,4 +55,4 @@ def registered() -> dict[str, Query]:
 
 
 def checks() -> dict[str, str]:
-    return {}
+    return check_sql.checks()
