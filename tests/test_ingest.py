@@ -1,5 +1,6 @@
 """Typed loads, rejects, managed tables and the whole deployment."""
 
+import csv
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -129,8 +130,51 @@ def test_quoted_line_breaks_can_be_read(spark, tmp_path):
     df = ingest.read_csv(spark, "eligibility", path, quoted_newlines=True)
     good = ingest.accepted(ingest.checked(df, "eligibility", STAMP))
     assert "Plan\nof two lines" in [r[0] for r in good.select("plan_description").collect()]
-    # The quote that stays open is the start of a last value that does not fit.
-    assert [r for r, _ in refused(df)[1]] == ["number of fields"] * 2 + ["updated_at"]
+    assert [r for r, _ in refused(df)[1]] == ["number of fields"] * 2 + ["open quote"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted_files(tmp_path, n_files=2):
+    """Files whose records go over several lines and splits, read by the csv module."""
+    expected = []
+    for f in range(n_files):
+        with open(tmp_path / f"f{f}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator="\r\n" if f else "\n")
+            for i in range(400):
+                row = ["" if v is None else v for v in eligibility_row(f * 1000 + i)]
+                row[4] = ["plain", 'say "hi"', "two\nlines", "a\n\n\"q\"\n" + "x" * 90 * (i % 50), '"\n"'][i % 5]
+                out.writerow(row)
+                expected.append((row[0], row[4]))
+    return expected
+
+
+def test_records_go_on_over_splits(spark, tmp_path, small_splits):
+    expected = quoted_files(tmp_path)
+    df = ingest.read_csv(spark, "eligibility", str(tmp_path), quoted_newlines=True)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 100
+    checked = ingest.checked(df, "eligibility", STAMP)
+    assert rows(ingest.accepted(checked).select("eligibility_id", "plan_description")) == sorted(expected)
+    assert ingest.rejected(checked).count() == 0
+
+
+def test_a_quote_nobody_closes_is_no_endless_record(spark, tmp_path, monkeypatch, small_splits):
+    monkeypatch.setattr(ingest, "MOST_LINES", 100)
+    quoted_files(tmp_path, 1)
+    with open(tmp_path / "open.csv", "w") as file:
+        file.write(",".join(v or "" for v in eligibility_row(1)) + "\n")
+        file.write('E-2,"never closed\n' + "more\n" * 300)
+    df = ingest.read_csv(spark, "eligibility", str(tmp_path), quoted_newlines=True)
+    n, found = refused(df)
+    assert n == 401
+    assert len(found) == 301 and {r for r, _ in found} == {"open quote"}
 
 
 def test_csv_header(spark, tmp_path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,9 @@ OPEN_QUOTE = "open quote"
 UNPARSEABLE = "not one object"
 UNKNOWN_FIELDS = "unknown fields"
 
+# Lines a CSV record may have.
+MOST_LINES = 10_000
+
 
 def text_schema(table: str) -> T.StructType:
     """The table's columns in order, all STRING: how raw rows are read."""
@@ -31,6 +34,80 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias(RECORD)).where(F.trim(RECORD) != "")
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """CSV records of text files, whose quoted values may hold line breaks.
+
+    Returns the record and whether a quote stays open. Files are cut into splits as for
+    any text: every split counts the quotes of its lines, the sums over the
+    splits above tell whether it begins within quotes, and the lines of a record
+    that goes on, also into the next split, are put together. Only these lines meet by
+    record; all others are records as they are. A record of more than `MOST_LINES`
+    lines is a quote that nobody closed: each of its lines is returned by itself.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+    )
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    upto = Window.partitionBy("file", "block").orderBy("place")
+    above = upto.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", quotes % 2).withColumn(
+        "odd_above", F.coalesce(F.sum("odd").over(above), F.lit(0))
+    )
+    # A line begins a record if the quotes before it are closed; how many there are
+    # before the split is not known yet, so both cases are counted.
+    evenly = F.when(F.col("odd_above") % 2 == 0, 1).otherwise(0)
+    lines = lines.withColumn("n_if_closed", F.sum(evenly).over(upto)).withColumn(
+        "n_if_open", F.sum(1 - evenly).over(upto)
+    )
+    # One row per split.
+    over_file = Window.partitionBy("file").orderBy("block")
+    before = over_file.rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("file", "block")
+        .agg(F.sum("odd").alias("n_odd"), F.max("n_if_closed").alias("c"), F.max("n_if_open").alias("o"))
+        .withColumn("in_quotes", F.coalesce(F.sum("n_odd").over(before), F.lit(0)) % 2 == 1)
+        .withColumn("n", F.when(F.col("in_quotes"), F.col("o")).otherwise(F.col("c")))
+        .withColumn("n_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .select("file", "block", "in_quotes", "n_before")
+    )
+    begins_even = F.when(F.col("in_quotes"), 1).otherwise(0)
+    begins = (F.col("odd_above") + begins_even) % 2 == 0
+    n_upto = F.when(F.col("in_quotes"), F.col("n_if_open")).otherwise(F.col("n_if_closed"))
+    lines = lines.join(splits, ["file", "block"]).select(
+        "file",
+        "block",
+        "place",
+        "line",
+        (begins & (F.col("odd") == 0)).alias("is_whole"),
+        (n_upto + F.col("n_before")).alias("record"),
+    )
+    parts = lines.where("NOT is_whole")
+    sizes = parts.groupBy("file", "record").agg(F.count("*").alias("n_lines"))
+    parts = parts.join(sizes, ["file", "record"])
+    text = F.array_join(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("block", "place", "line"))), lambda p: p["line"]
+        ),
+        "\n",
+    )
+    joined = parts.where(F.col("n_lines") <= MOST_LINES).groupBy("file", "record").agg(text.alias("line"))
+    closed = lines.where("is_whole").select("line", F.lit(False).alias("is_open")).unionByName(
+        joined.select("line", (quotes % 2 == 1).alias("is_open"))
+    )
+    found = closed.unionByName(
+        parts.where(F.col("n_lines") > MOST_LINES).select("line", F.lit(True).alias("is_open"))
+    )
+    record = F.regexp_replace("line", "\\r$", "").alias(RECORD)
+    return found.select(record, "is_open").where(F.trim(RECORD) != "")
+
+
 def read_csv(
     spark: SparkSession,
     table: str,
@@ -41,30 +118,29 @@ def read_csv(
 ) -> DataFrame:
     """Raw rows of a CSV file or folder, columns by position, none cut or padded.
 
-    A record with another number of fields, or whose quotes do not close on its
-    line, carries its whole text and a fault, so `checked` makes it a reject.
-    Files are split by line. With ``quoted_newlines`` a quoted value may hold
-    line breaks; a file is then read by one task and has to close its quotes.
-    ``header`` drops the line of column names and fails on names out of order.
+    A record with another number of fields, or whose quotes do not close, carries its
+    whole text and a fault, so `checked` makes it a reject. Without
+    ``quoted_newlines`` quotes have to close on their line; with it a quoted value may
+    hold line breaks and quotes have to close within the file. Either way a file
+    is read by many tasks. ``header`` drops the line of column names and fails on
+    names out of order.
     """
     names = text_schema(table).names
-    options = {"nullValue": null_value, "escape": '"', "columnNameOfCorruptRecord": RECORD}
-    if quoted_newlines:
-        reader = spark.read.schema(text_schema(table).add(RECORD, "string"))
-        # Unpruned, as a pruned reader does not count the fields.
-        reader = reader.options(columnPruning=False, multiLine=True, **options)
-        rows = reader.csv(path, header=header, enforceSchema=not header)
-        return rows.withColumn(FAULT, F.when(F.col(RECORD).isNotNull(), F.lit(FIELD_COUNT)))
-    options["columnNameOfCorruptRecord"] = "corrupt_record"
+    options = {"nullValue": null_value, "escape": '"', "columnNameOfCorruptRecord": "corrupt_record"}
     schema = text_schema(table).add("corrupt_record", "string").simpleString()[len("struct<") : -1]
     parsed = F.from_csv(RECORD, schema.replace(":", " "), options)
-    # A generator, so that filters on the columns do not parse the line again.
-    rows = _lines(spark, path).select(RECORD, F.explode(F.array(parsed)).alias("fields"))
-    n_quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
-    fault = F.when(n_quotes % 2 == 1, OPEN_QUOTE).when(
+    if quoted_newlines:
+        records = _records(spark, path)
+    else:
+        n_quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
+        records = _lines(spark, path).withColumn("is_open", n_quotes % 2 == 1)
+    # A generator, so that filters on the columns do not parse the record again.
+    rows = records.select(RECORD, "is_open", F.explode(F.array(parsed)).alias("fields"))
+    fault = F.when(F.col("is_open"), OPEN_QUOTE).when(
         F.col("corrupt_record").isNotNull(), FIELD_COUNT
     )
-    rows = rows.select("fields.*", RECORD).withColumn(FAULT, fault).drop("corrupt_record")
+    rows = rows.select("fields.*", RECORD, "is_open").withColumn(FAULT, fault)
+    rows = rows.drop("corrupt_record", "is_open")
     if header:
         found = F.array(*[F.lower(F.trim(n)) for n in names])
         is_header = F.array_sort(found) == F.array(*[F.lit(n) for n in sorted(names)])
