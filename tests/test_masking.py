@@ -14,6 +14,7 @@ from veilmark.operators.masking import (
 )
 from veilmark.plans.payer_views import payer_table
 from veilmark.sources import model
+from veilmark.sources.model import masking_policy
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
 
 SALT = "s"
@@ -46,7 +47,7 @@ def test_full_tier_is_the_table_as_text(spark, sf_dir):
 
 def test_spelling_does_not_dodge_a_binding(spark):
     df = spark.createDataFrame([("423-55-6789", 1)], "SSN string, n int")
-    assert rows(masked(df, "members", "none", SALT)) == [("XXX-XX-XXXX", 1)]
+    assert rows(masked(df, "members", "none", SALT, projected=True)) == [("XXX-XX-XXXX", 1)]
 
 
 def test_hashing_needs_a_salt(spark, sf_dir):
@@ -153,3 +154,37 @@ def test_a_binding_without_its_column_is_refused(spark):
         masked(df, {"snn": "mask_ssn"}, "none", SALT)
     left_out = masked(df, {"SSN": "mask_ssn", "tax": "mask_tax_id"}, "none", SALT, projected=True)
     assert rows(left_out) == [("XXX-XX-XXXX", 1)]
+
+
+def test_policy_by_schema(spark):
+    policy = masking_policy(spark, schema="a")
+    both = bind_mask(policy, "Members", "ssn", "mask_redact", "b")
+    assert policy_of(both, "MEMBERS", "B") == {"ssn": "mask_redact"}
+    assert policy_of(both, "members", "a") == policy_of(masking_policy(spark), "members")
+    again = bind_mask(both, "members", "SSN", "mask_ssn", "b")
+    assert policy_of(again, "members", "b") == {"ssn": "mask_ssn"}
+    for asked, schema in ((both, None), (masking_policy(spark), "a")):
+        with pytest.raises(ValueError, match="schemas"):
+            policy_of(asked, "members", schema)
+
+
+def test_policies_that_would_show_values_are_refused(spark):
+    policy = masking_policy(spark)
+    with pytest.raises(ValueError, match="binds no column"):
+        policy_of(policy, "menbers")
+    double = policy.unionByName(
+        spark.createDataFrame([("MEMBERS", "SSN", "mask_redact")], policy.schema)
+    )
+    with pytest.raises(ValueError, match="several functions"):
+        policy_of(double, "members")
+    assert policy_of(policy.unionByName(policy), "members") == policy_of(policy, "members")
+
+
+def test_renamed_columns_of_the_model_are_refused(spark, sf_dir):
+    members = payer_table(spark, sf_dir, "members").withColumnRenamed("ssn", "ssn_no")
+    with pytest.raises(ValueError, match="ssn"):
+        masked(members, "members", "none", SALT)
+    with pytest.raises(ValueError, match="ssn"):
+        write_masked(members, "members", "none", "unused", SALT)
+    shown = masked(members, "members", "none", SALT, projected=True)
+    assert shown.columns == members.columns

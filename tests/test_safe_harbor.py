@@ -1,10 +1,16 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tests.test_masks import hid
 from veilmark.functions import safe_harbor as sh
 from veilmark.functions.masks import hash_identifier
-from veilmark.operators.audit import retention_report
+from veilmark.operators.audit import (
+    retention_report,
+    tag_value_sketches,
+    tags_with_many_values_sketched,
+)
 from veilmark.operators.tags import table_tags
 
 
@@ -135,3 +141,54 @@ def test_retention(spark):
         ("members", "7_year", date(2019, 12, 3), 4, 2),
         ("scratch", None, None, 1, 0),
     ]
+
+
+def chain(spark, *steps):
+    kind = "salt_version int, old_hid string, next_version int, new_hid string"
+    return spark.createDataFrame(list(steps), kind)
+
+
+def test_hashes_of_many_salts_move_at_once(spark):
+    last = 9
+    steps = [(v, f"a{v}", v + 1, f"a{v + 1}") for v in range(last)]
+    steps += [(v, f"b{v}", v + 1, f"b{v + 1}") for v in range(last) if v != 4]  # breaks off
+    steps += [(0, "c0", 7, "c7"), (7, "c7", 9, "c9")]  # skips versions
+    steps += [(3, "d3", 4, "d4"), (3, "d3", 4, "e4"), (4, "d4", 9, "d9")]  # two successors
+    steps += [(5, "a5", 6, "a6"), (2, None, 9, "x"), (2, "f2", 9, None), (6, "g6", 6, "g9")]
+    found = rows(sh.latest_crosswalk(chain(spark, *steps), last))
+    expected = [(v, f"a{v}", "a9") for v in range(last)]
+    expected += [(v, f"b{v}", "b9") for v in range(5, last)]
+    expected += [(0, "c0", "c9"), (7, "c7", "c9"), (4, "d4", "d9")]
+    assert found == sorted(expected, key=repr)
+
+    held = [(1, "a0", 0), (2, "a8", 8), (3, "z9", 9), (4, "b3", 3), (5, "a5", None), (6, None, 2)]
+    df = spark.createDataFrame(held, "id int, hid string, salt int")
+    moved = sh.rekey_versions(df, "hid", "salt", chain(spark, *steps), last, ["id"])
+    assert rows(moved) == [
+        (1, "a9", 9), (2, "a9", 9), (3, "z9", 9), (4, None, 9), (5, None, 9), (6, None, 9)
+    ]
+    nothing = chain(spark).where("false")
+    assert rows(sh.rekey_versions(df, "hid", "salt", nothing, last, ["id"]))[2] == (3, "z9", 9)
+
+
+def test_sketches_of_days(spark):
+    """Exact for few values, within three standard errors for many, day by day."""
+    log = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN 'other' ELSE 'health_plan' END AS schema_name",
+        "CASE WHEN id % 3 = 0 THEN 'few' ELSE 'many' END AS tag_name",
+        "CAST(CASE WHEN id % 3 = 0 THEN id % 180 ELSE id % 20011 END AS STRING) AS tag_value",
+        "timestamp_seconds(id * 60) AS ts",
+    )
+    sketches = tag_value_sketches(log, "ts")
+    assert sketches.select("day").distinct().count() == 42
+    found = {r[0]: r[1] for r in tags_with_many_values_sketched(sketches).collect()}
+    exact = {
+        r["tag_name"]: r["n"]
+        for r in log.where("schema_name = 'health_plan'")
+        .groupBy("tag_name")
+        .agg(F.count_distinct("tag_value").alias("n"))
+        .collect()
+    }
+    assert found["few"] == exact["few"] == 60
+    assert 0 < abs(found["many"] - exact["many"]) < 3 * 0.01625 * exact["many"]
+    assert tags_with_many_values_sketched(sketches, limit=60).count() == 1

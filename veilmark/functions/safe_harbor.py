@@ -17,6 +17,7 @@ from veilmark.functions.masks import (
 )
 from veilmark.functions.tiers import pick
 from veilmark.operators.joins import spread_join
+from veilmark.session import kept
 
 # Age from which birth dates collapse, population a ZIP prefix
 # needs, replacement of a prefix with fewer people.
@@ -140,6 +141,80 @@ def rekey(
     return joined.withColumn(hid_column, F.col("new_hid")).select(*names)
 
 
+def latest_crosswalk(steps: DataFrame, latest: int) -> DataFrame:
+    """From the hash of every older salt straight to that of the newest.
+
+    ``steps`` has ``salt_version``, ``old_hid``, ``next_version`` and ``new_hid``: crosswalks
+    from one salt to a newer one. Returns ``salt_version``, ``old_hid`` and ``new_hid`` under
+    ``latest``. Every round joins the table with itself, so the stretch that a row
+    leads over doubles and the rounds are the logarithm of the number of
+    versions. A hash with several successors, or whose way breaks off, is left out.
+    """
+    only = F.when(
+        (F.min("new_hid") == F.max("new_hid")) & (F.min("next_version") == F.max("next_version")),
+        F.struct(F.min("next_version").alias("next_version"), F.min("new_hid").alias("new_hid")),
+    )
+    known = (
+        steps.where("salt_version < next_version AND old_hid IS NOT NULL AND new_hid IS NOT NULL")
+        .groupBy("salt_version", "old_hid")
+        .agg(only.alias("to"))
+        .where("to IS NOT NULL")
+        .select("salt_version", "old_hid", "to.next_version", "to.new_hid")
+    )
+    oldest = known.agg(F.min("salt_version")).first()[0]
+    reach = 1
+    while oldest is not None and reach < latest - oldest:
+        known = kept(known, "crosswalk")
+        on = known.select(
+            F.col("salt_version").alias("next_version"),
+            F.col("old_hid").alias("new_hid"),
+            F.col("next_version").alias("far_version"),
+            F.col("new_hid").alias("far_hid"),
+        )
+        known = known.join(on, ["next_version", "new_hid"], "left").select(
+            "salt_version",
+            "old_hid",
+            F.coalesce("far_version", "next_version").alias("next_version"),
+            F.coalesce("far_hid", "new_hid").alias("new_hid"),
+        )
+        reach *= 2
+    return known.where(F.col("next_version") == latest).select("salt_version", "old_hid", "new_hid")
+
+
+def rekey_versions(
+    df: DataFrame,
+    hid_column: str,
+    version_column: str,
+    steps: DataFrame,
+    latest: int,
+    row_id: Sequence[str],
+) -> DataFrame:
+    """A masked table whose rows have hashes of many salts, moved to the newest at once.
+
+    Rows of the newest salt stay. Hashes without a way there become NULL, and so do
+    those without a version; afterwards every row has the newest version.
+    """
+    pairs = latest_crosswalk(steps, latest).select(
+        F.struct(F.col("salt_version"), F.col("old_hid")).alias("old_key"), "new_hid"
+    )
+    key = F.struct(F.col(version_column).alias("salt_version"), F.col(hid_column).alias("old_hid"))
+    is_old = F.col(version_column).isNotNull() & F.col(hid_column).isNotNull()
+    is_old &= F.col(version_column) != latest
+    keyed = df.withColumn("hid_key", F.when(is_old, key))
+    joined = spread_join(keyed, pairs, "hid_key", "old_key", row_id, "left")
+    stays = F.when(F.col(version_column) == latest, F.col(hid_column))
+    return joined.select(
+        *[
+            F.coalesce(stays, "new_hid").alias(c)
+            if c == hid_column
+            else F.lit(latest).cast(df.schema[c].dataType).alias(c)
+            if c == version_column
+            else F.col(c)
+            for c in df.columns
+        ]
+    )
+
+
 def drg_category(
     df: DataFrame, column: str, tier: str, lookup: DataFrame, into: str | None = None
 ) -> DataFrame:

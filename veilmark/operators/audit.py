@@ -16,6 +16,9 @@ MAX_TAGS_PER_TABLE = 40
 MAX_COLUMN_TAGS = 800
 MAX_TAG_VALUES = 50
 
+# Sketches of 2 ** SKETCH_LG_K registers.
+SKETCH_LG_K = 12
+
 
 def _in_schema(tags: DataFrame, schema: str | None) -> DataFrame:
     return tags if schema is None else tags.where(F.col("schema_name") == schema)
@@ -127,6 +130,33 @@ def policy_coverage(
     )
 
 
+def tag_value_sketches(column_tags: DataFrame, ts: str, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Distinct values per schema, tag and day as sketches, to be stored day by day.
+
+    A sketch has a few kilobytes at most, however many values there were, and is
+    combined before the shuffle.
+    """
+    return column_tags.groupBy(
+        "schema_name", "tag_name", F.col(ts).cast("date").alias("day")
+    ).agg(F.hll_sketch_agg("tag_value", lg_k).alias("sketch"))
+
+
+def tags_with_many_values_sketched(
+    sketches: DataFrame, schema: str = SCHEMA_NAME, limit: int = MAX_TAG_VALUES
+) -> DataFrame:
+    """`tags_with_many_values` over all stored days, without reading a tag again.
+
+    Up to some hundred values the count is exact; beyond that its standard error is
+    1.04 / sqrt(2 ** lg_k), 1.6% with the sketches made by default.
+    """
+    merged = (
+        _in_schema(sketches, schema)
+        .groupBy("tag_name")
+        .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"))
+    )
+    return merged.where(F.col("distinct_values") > limit)
+
+
 def retention_report(
     tables: Mapping[str, tuple[DataFrame, str]],
     table_tags: DataFrame,

@@ -7,18 +7,11 @@ from pyspark.sql import functions as F
 
 from veilmark.functions.tiers import FULL, FULL_GROUP, NONE, PARTIAL, PARTIAL_GROUP
 from veilmark.operators.joins import spread_join
-from veilmark.session import scratch_path
+from veilmark.session import kept
 
 MOST_ROUNDS = 100
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Rows written to the shared folder, so that a round starts from files."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def granting_groups(nested: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """Every group that grants a tier, itself or by a group it is in: (group_name, tier).
 
@@ -31,7 +24,7 @@ def granting_groups(nested: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFr
     """
     spark = nested.sparkSession
     edges = nested.where(F.col("group_name").isNotNull() & F.col("parent_group").isNotNull())
-    edges = _kept(edges.select("group_name", "parent_group").distinct(), "group-edges")
+    edges = kept(edges.select("group_name", "parent_group").distinct(), "group-edges")
     granted = spark.createDataFrame(
         [(FULL_GROUP, FULL), (PARTIAL_GROUP, PARTIAL)], "group_name string, tier string"
     )
@@ -40,10 +33,10 @@ def granting_groups(nested: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFr
         above = newest.select(F.col("group_name").alias("above"), "tier")
         inside = spread_join(edges, above, "parent_group", "above", ["group_name", "parent_group"])
         found = inside.select("group_name", "tier").distinct()
-        newest = _kept(found.join(known, ["group_name", "tier"], "left_anti"), "group-round")
+        newest = kept(found.join(known, ["group_name", "tier"], "left_anti"), "group-round")
         if newest.isEmpty():
             return known
-        known = _kept(known.unionByName(newest), "group-known")
+        known = kept(known.unionByName(newest), "group-known")
     raise RuntimeError(f"groups are nested more than {most_rounds} deep")
 
 

@@ -10,19 +10,54 @@ from pyspark.sql import functions as F
 from veilmark.functions.masks import apply_mask
 from veilmark.sources.model import TABLES
 
-POLICY_KEYS = ("table_name", "column_name")
 
 
-def policy_of(policy: DataFrame, table: str) -> dict[str, str]:
-    """Bindings of one table, read on the driver: at most one row per column."""
-    rows = policy.where(F.col("table_name") == table).select("column_name", "function_name")
-    return {row["column_name"]: row["function_name"] for row in rows.collect()}
+def _same(column: str, name: str) -> Column:
+    return F.lower(column) == name.lower()
 
 
-def bind_mask(policy: DataFrame, table: str, column: str, function: str) -> DataFrame:
+def _of_table(policy: DataFrame, table: str, schema: str | None) -> Column:
+    """Rows of one table; a policy that names schemas has to be asked for one."""
+    has_schema = "schema_name" in policy.columns
+    if has_schema != (schema is not None):
+        raise ValueError(
+            "the policy has schemas: name one" if has_schema else "the policy names no schemas"
+        )
+    found = _same("table_name", table)
+    return found & _same("schema_name", schema) if has_schema else found
+
+
+def policy_of(policy: DataFrame, table: str, schema: str | None = None) -> dict[str, str]:
+    """Bindings of one table, read on the driver: at most one row per column.
+
+    Names are matched without case. A table without any binding is refused, as a
+    misspelled name would show it in clear, and so are two bindings of one column. If
+    the policy has ``schema_name``, tables of one name in two schemas are two tables.
+    """
+    rows = policy.where(_of_table(policy, table, schema))
+    bindings: dict[str, str] = {}
+    for row in rows.select(F.lower("column_name"), "function_name").distinct().collect():
+        column, function = row
+        if column in bindings:
+            raise ValueError(f"column {column} of {table} is bound to several functions")
+        bindings[column] = function
+    if not bindings:
+        raise ValueError(f"the policy binds no column of {table}")
+    return bindings
+
+
+def bind_mask(
+    policy: DataFrame, table: str, column: str, function: str, schema: str | None = None
+) -> DataFrame:
     """The policy with a column bound to a function, replacing an older binding."""
-    same = (F.col("table_name") == table) & (F.col("column_name") == column)
-    row = policy.sparkSession.createDataFrame([(table, column, function)], policy.schema)
+    same = _of_table(policy, table, schema) & _same("column_name", column)
+    values = {
+        "schema_name": schema,
+        "table_name": table,
+        "column_name": column,
+        "function_name": function,
+    }
+    row = policy.sparkSession.createDataFrame([tuple(values[c] for c in policy.columns)], policy.schema)
     return policy.where(~same).unionByName(row)
 
 
@@ -38,15 +73,15 @@ def masked(
     ``table`` names a table of the model or gives the binding of columns to
     functions. Unbound columns pass through. Bound columns are STRING in every
     tier, so all tiers share a schema. Names are matched without case, as
-    Spark resolves them, so a binding cannot be dodged by spelling. A mapping
-    that binds a column the rows lack is refused, as the column it was meant
-    for would pass in clear; ``projected`` says that columns were left out on
-    purpose, which is taken for granted for tables of the model.
+    Spark resolves them, so a binding cannot be dodged by spelling. Rows that
+    lack a bound column are refused, as the column it was meant for may go by
+    another name and would pass in clear; ``projected`` says that columns were left out
+    on purpose.
     """
     policy = TABLES[table].policy if isinstance(table, str) else table
     functions = {column.lower(): function for column, function in policy.items()}
     lacking = functions.keys() - {c.lower() for c in df.columns}
-    if lacking and not projected and not isinstance(table, str):
+    if lacking and not projected:
         raise ValueError(f"masks are bound to columns that are not there: {sorted(lacking)}")
     projection = []
     for f in df.schema.fields:
@@ -77,9 +112,11 @@ def write_masked(
     salt: str | None = None,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    projected: bool = False,
 ) -> None:
     """Write a masked copy: a map-only job unless it is partitioned."""
-    writer = by_partition(masked(df, table, tier, salt), partition_by).write.mode(mode)
+    rows = masked(df, table, tier, salt, projected)
+    writer = by_partition(rows, partition_by).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -94,6 +131,7 @@ def save_masked(
     bucket_by: str | None = None,
     buckets: int = 0,
     mode: str = "overwrite",
+    projected: bool = False,
 ) -> None:
     """Write a masked copy as a table of the catalog.
 
@@ -101,7 +139,7 @@ def save_masked(
     it without a shuffle. A bucket cannot be split later: leave the layout off
     where one identifier may hold a large part of the rows.
     """
-    writer = masked(df, table, tier, salt).write.mode(mode).format("parquet")
+    writer = masked(df, table, tier, salt, projected).write.mode(mode).format("parquet")
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by)
     writer.saveAsTable(name)

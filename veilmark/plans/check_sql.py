@@ -7,7 +7,7 @@ independently of the Spark code.
 from __future__ import annotations
 
 from veilmark.functions.tiers import TIERS
-from veilmark.plans.dated_views import dated_sql
+from veilmark.plans.dated_views import SALT_VERSIONS, dated_sql
 from veilmark.plans.payer_views import (
     BROKEN_CSV,
     DAMAGED_CSV,
@@ -18,7 +18,14 @@ from veilmark.plans.payer_views import (
     json_line,
     payer_sql,
 )
-from veilmark.plans.queries import MASK_QUERIES, NEW_BINDINGS, NEW_SALT, SALT
+from veilmark.plans.queries import (
+    EXACT_VALUES,
+    MASK_QUERIES,
+    NEW_BINDINGS,
+    NEW_SALT,
+    PURGED_BEFORE,
+    SALT,
+)
 from veilmark.plans.tag_views import tag_sql
 from veilmark.sources.model import ALLOWED_TAG_VALUES, FOREIGN_KEYS, TABLES
 
@@ -427,6 +434,110 @@ def _nested_tiers() -> str:
     )
 
 
+def _by_schema() -> str:
+    bound = {c.name: c.mask for c in TABLES["providers"].columns if c.mask}
+    shown = ("provider_id", "npi", "tax_id", "dea_number")
+
+    def one(schema: str, functions: dict) -> str:
+        items = [mask_sql(functions[n], n, "none") if n in functions else n for n in shown]
+        named = ", ".join(f"{i} AS {n}" for i, n in zip(items, shown, strict=True))
+        return f"SELECT '{schema}' AS schema_name, {named} FROM ({payer_sql('providers')}) t"
+
+    # The sandbox has the two new bindings and no others.
+    return f"{one('health_plan', bound)} UNION ALL {one('sandbox', NEW_BINDINGS)}"
+
+
+def _by_readers(readers: dict[str, str]) -> str:
+    columns = (
+        ("service_date_from", "mask_date_of_birth"),
+        ("diagnosis_code_primary", "mask_diagnosis_code"),
+        ("member_id", "hash_identifier"),
+    )
+    return " UNION ALL ".join(
+        f"SELECT '{reader}' AS reader, claim_id, "
+        + ", ".join(f"{mask_sql(f, c, tier)} AS {c}" for c, f in columns)
+        + f" FROM ({payer_sql('claims')}) t"
+        for reader, tier in readers.items()
+    )
+
+
+def _notes_linked() -> str:
+    """Replaced by whole words of the full name, the last and the first name."""
+
+    def gone(text: str, name: str) -> str:
+        return (
+            f"CASE WHEN length({name}) >= 2 THEN regexp_replace({text}, '\\b' || "
+            f"regexp_escape({name}) || '\\b', '[NAME]', 'gi') ELSE {text} END"
+        )
+
+    return (
+        f"WITH n AS ({dated_sql('linked_notes')}), m AS ({payer_sql('members')}), "
+        f"j AS (SELECT n.*, coalesce(last_name, '') AS l, coalesce(first_name, '') AS f "
+        f"FROM n LEFT JOIN m USING (member_id)), "
+        f"a AS (SELECT *, {gone('clinical_notes', 'l')} AS once FROM j), "
+        f"b AS (SELECT *, {gone('once', 'f')} AS twice FROM a) "
+        f"SELECT auth_id, member_id, {_scrub('twice')} AS clinical_notes FROM b"
+    )
+
+
+def _properties() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t.name}' AS table_name, '{key}' AS property, '{value}' AS value, "
+        f"(SELECT count(*) FROM ({payer_sql(t.name)}) t) AS n_rows"
+        for t in TABLES.values()
+        for key, value in {**t.properties, "comment": t.comment}.items()
+    )
+
+
+def _drift() -> str:
+    ssn = next(c.comment for c in TABLES["members"].columns if c.name == "ssn")
+    rows = (
+        ("members", "ssn", "comment", ssn, "A number"),
+        ("claims", "note", "column", None, "note"),
+        ("claims", "quality", "property", "gold", "bronze"),
+        ("providers", "domain", "property", "provider", None),
+        ("eligibility", "comment", "property", TABLES["eligibility"].comment, "Spans"),
+        ("pharmacy_claims", None, "table", "pharmacy_claims", None),
+    )
+    texts = ", ".join(
+        "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in rows
+    )
+    return f"SELECT * FROM (VALUES {texts}) d(table_name, item, fact, expected, found)"
+
+
+def _rekey_versions() -> str:
+    last = SALT_VERSIONS - 1
+    new = _hash("c.member_id", f"{SALT}_{last}")
+    return (
+        f"WITH c AS ({dated_sql('versioned_claims')}), m AS ({payer_sql('members')}) "
+        f"SELECT claim_id, CASE WHEN salt_version = {last} THEN {new} "
+        f"WHEN salt_version <= 2 AND c.member_id = 'M-5' THEN NULL "
+        f"WHEN salt_version IS NOT NULL AND m.member_id IS NOT NULL THEN {new} END AS member_id, "
+        f"{last} AS salt_version FROM c LEFT JOIN m ON m.member_id = c.member_id"
+    )
+
+
+def _purge_report() -> str:
+    day = f"DATE '{PURGED_BEFORE}'"
+    return (
+        f"WITH t AS ({payer_sql('pharmacy_claims')}), p AS (SELECT strftime(fill_date, '%Y-%m') "
+        f"AS m, count(*) AS n, count(*) FILTER (WHERE fill_date < {day}) AS e FROM t GROUP BY 1) "
+        f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(e) AS BIGINT) AS n_removed, "
+        f"count(*) FILTER (WHERE n = e) AS dropped, "
+        f"count(*) FILTER (WHERE e > 0 AND e < n) AS rewritten, "
+        f"count(*) FILTER (WHERE e = 0) AS untouched FROM p"
+    )
+
+
+def _sketched() -> str:
+    return (
+        f"SELECT tag_name, CASE WHEN count(DISTINCT tag_value) <= {EXACT_VALUES} "
+        f"THEN count(DISTINCT tag_value) END AS few_values, true AS is_within "
+        f"FROM ({tag_sql('column_tag_log')}) l WHERE schema_name = 'health_plan' "
+        f"GROUP BY tag_name HAVING count(DISTINCT tag_value) > 1"
+    )
+
+
 def _in_authorization() -> str:
     """Every pair of a claim and an authorization of its member."""
     return (
@@ -592,6 +703,7 @@ def checks() -> dict[str, str]:
     found = {name: _mask(name) for name in MASK_QUERIES}
     for table in TABLES:
         found[f"load_{table}"] = _load(table)
+        found[f"masked_view_{table}"] = _masked(table, "partial")
         for tier in TIERS:
             found[f"masked_{table}_{tier}"] = _masked(table, tier)
     for child, fk, parent, pk in FOREIGN_KEYS:
@@ -607,6 +719,16 @@ def checks() -> dict[str, str]:
         "sql_function_masks": _sql_masks("members"),
         **{f"sql_function_masks_{t}": _sql_masks(t) for t in TABLES if t != "members"},
         "masked_by_policy": _by_policy(),
+        "masked_by_schema": _by_schema(),
+        "group_function": _by_readers(
+            {"ana": "full", "ben": "partial", "cy": "none", "dee": "none"}
+        ),
+        "session_tier": _by_readers(
+            {"full": "full", "partial": "partial", "none": "none", "boss": "none"}
+        ),
+        "notes_linked": _notes_linked(),
+        "table_properties": _properties(),
+        "catalog_drift": _drift(),
         "masked_export": _masked("eligibility", "partial"),
         "masked_stream": f"SELECT o_orderkey AS key, "
         f"{_hash('CAST(o_custkey AS VARCHAR)')} AS o_custkey, "
@@ -696,5 +818,11 @@ def checks() -> dict[str, str]:
         "drg_to_mdc": _mdc(),
         "drg_lookup_report": _drg_report(),
         "retention_report": _retention(),
+        "retention_purge": f"SELECT rx_claim_id, CAST(fill_date AS VARCHAR) AS fill_date, "
+        f"strftime(fill_date, '%Y-%m') AS fill_month FROM ({payer_sql('pharmacy_claims')}) t "
+        f"WHERE fill_date >= DATE '{PURGED_BEFORE}'",
+        "retention_purge_report": _purge_report(),
+        "audit_b3_sketched": _sketched(),
+        "salt_rekey_versions": _rekey_versions(),
     }
     return found

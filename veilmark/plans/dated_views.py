@@ -65,7 +65,29 @@ MEMBERSHIPS = {
     "ELSE 'G-' || CAST(event_id % 900 AS STRING) END",
 }
 
+# Notes that name their member, in several spellings, and others.
+_D = "doc_id"
+_NUMBER = f"lpad(CAST({_D} AS STRING), 9, '0')"
+LINKED_NOTES = {
+    "auth_id": f"'A-' || CAST({_D} AS STRING)",
+    "member_id": f"CASE WHEN {_D} % 3 = 0 THEN 'M-1' WHEN {_D} % 29 = 1 THEN NULL "
+    f"ELSE 'M-' || CAST({_D} AS STRING) END",
+    "clinical_notes": f"CASE WHEN {_D} % 37 = 5 THEN NULL WHEN {_D} % 3 = 0 "
+    f"THEN text || ' customer#000000001, seen (CUSTOMER#000000001). Xcustomer#000000001' "
+    f"ELSE text || ' BUILDING and furniture for Customer#' || {_NUMBER} || ', cUSTOMER#' "
+    f"|| {_NUMBER} || '; not customer#000000001' END",
+}
+# Claims hashed under salts of several versions; one step of one member is lost.
+SALT_VERSIONS = 6
+VERSIONED_CLAIMS = {
+    "claim_id": f"'C-' || CAST({_K} AS STRING)",
+    "member_id": _MEMBER,
+    "salt_version": f"CASE WHEN {_K} % 43 = 9 THEN NULL ELSE CAST({_K} % {SALT_VERSIONS} AS INT) END",
+}
+
 SOURCES = {
+    "linked_notes": ("documents", LINKED_NOTES),
+    "versioned_claims": ("orders", VERSIONED_CLAIMS),
     "claims": ("orders", CLAIMS),
     "authorizations": ("orders", AUTHORIZATIONS),
     "coverage": ("orders", COVERAGE),

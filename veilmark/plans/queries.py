@@ -5,27 +5,31 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.functions.masks import MASKS, apply_mask
+from veilmark.functions import sql_functions
+from veilmark.functions.masks import MASKS, apply_mask, hash_identifier
 from veilmark.functions.safe_harbor import (
     capped_birth_date,
     drg_category,
     lookup_report,
     rekey,
+    rekey_versions,
     salt_crosswalk,
     zip3_by_population,
 )
 from veilmark.functions.sql_functions import register_functions
-from veilmark.functions.tiers import TIERS, group_tiers
-from veilmark.operators import audit, dated, groups, joins, tags
+from veilmark.functions.tiers import FULL_GROUP, PARTIAL_GROUP, TIERS, group_tiers
+from veilmark.operators import audit, catalog, dated, groups, joins, tags
 from veilmark.operators.masking import bind_mask, masked, policy_of, write_masked
+from veilmark.operators.notes import notes_linked
+from veilmark.operators.retention import purge
 from veilmark.plans import analytics
-from veilmark.plans.dated_views import dated_view
+from veilmark.plans.dated_views import SALT_VERSIONS, dated_view
 from veilmark.plans.payer_views import (
     BROKEN_CSV,
     DAMAGED_CSV,
@@ -38,7 +42,7 @@ from veilmark.plans.payer_views import (
     read,
 )
 from veilmark.plans.tag_views import tag_view
-from veilmark.session import prepare, scratch_path
+from veilmark.session import kept, prepare, scratch_path
 from veilmark.sources import ingest
 from veilmark.sources.model import FOREIGN_KEYS, TABLES, masking_policy, with_class
 from veilmark.streaming.masked_stream import read_stream, start_masked_export
@@ -48,6 +52,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALT = "test_salt"
 NEW_SALT = "next_test_salt"
 AS_OF = date(2026, 12, 3)
+PURGED_BEFORE = date(1996, 5, 17)
+EXACT_VALUES = 100
 
 # Query -> (payer table, key column, masked columns).
 MASK_QUERIES = {
@@ -169,6 +175,21 @@ def _masked_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(masked(providers, policy_of(policy, "providers"), "partial", SALT))
 
 
+def _masked_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of one name in two schemas, masked by one policy that names both."""
+    policy = masking_policy(spark, schema="health_plan")
+    for column, function in NEW_BINDINGS.items():
+        policy = bind_mask(policy, "providers", column, function, "sandbox")
+    providers = payer_table(spark, sf_dir, "providers")
+    found = [
+        masked(providers, policy_of(policy, "PROVIDERS", schema), "none", SALT).select(
+            F.lit(schema).alias("schema_name"), "provider_id", "npi", "tax_id", "dea_number"
+        )
+        for schema in ("health_plan", "sandbox")
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _masked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A masked copy written twice to one place and read back."""
     path = scratch_path(spark, "masked-eligibility")
@@ -198,6 +219,113 @@ def _masked_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("o_orderkey").alias("key"), "o_custkey", "o_totalprice")
 
 
+def _masked_view(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored view over a stored table, by functions stored beside them."""
+    schema = _own_schema(spark)
+    ingest.replace_table(spark, table, payer_table(spark, sf_dir, table), schema)
+    register_functions(spark, SALT, schema)
+    view = sql_functions.create_masked_views(spark, table, schema, ("partial",))[0]
+    return as_text(spark.table(view))
+
+
+SHOWN = "claim_id, {} AS service_date_from, {} AS diagnosis_code_primary, {} AS member_id"
+
+
+def _claims_by_reader(spark: SparkSession, sf_dir: str, readers: dict, tier: str) -> DataFrame:
+    """Claims as one SQL text shows them to one reader after another."""
+    payer_table(spark, sf_dir, "claims").createOrReplaceTempView("veilmark_claims")
+    calls = [
+        f"{function}({column}{tier})"
+        for function, column in (
+            ("mask_date_of_birth", "service_date_from"),
+            ("mask_diagnosis_code", "diagnosis_code_primary"),
+            ("hash_identifier", "member_id"),
+        )
+    ]
+    found = None
+    for reader, become in readers.items():
+        become()
+        text = f"SELECT '{reader}' AS reader, {SHOWN.format(*calls)} FROM veilmark_claims"
+        rows = spark.sql(text)
+        found = rows if found is None else found.unionByName(rows)
+    spark.catalog.dropTempView("veilmark_claims")
+    return found
+
+
+def _group_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL functions that ask for the groups of the session themselves."""
+    register_functions(spark, SALT)
+    sql_functions.register_group_function(spark)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION reader_tier() RETURNS STRING RETURN CASE "
+        f"WHEN is_account_group_member('{FULL_GROUP}') THEN 'full' "
+        f"WHEN is_account_group_member('{PARTIAL_GROUP}') THEN 'partial' ELSE 'none' END"
+    )
+    held = {
+        "ana": [PARTIAL_GROUP, FULL_GROUP],
+        "ben": ["analysts", PARTIAL_GROUP],
+        "cy": ["PHI_FULL_ACCESS"],
+        "dee": [],
+    }
+    readers = {
+        name: partial(sql_functions.set_session_groups, spark, names)
+        for name, names in held.items()
+    }
+    return _claims_by_reader(spark, sf_dir, readers, ", reader_tier()")
+
+
+def _session_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL functions that follow the tier of the session."""
+    sql_functions.register_session_functions(spark, SALT)
+    readers = {
+        tier: partial(sql_functions.set_session_tier, spark, tier)
+        for tier in ("full", "partial", "none", "boss")
+    }
+    return _claims_by_reader(spark, sf_dir, readers, "")
+
+
+def _deployed(spark: SparkSession, sf_dir: str) -> str:
+    """All tables of the model, loaded from the test tables."""
+    schema = _own_schema(spark)
+    for table in TABLES:
+        ingest.replace_table(spark, table, payer_table(spark, sf_dir, table), schema)
+    return schema
+
+
+def _table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties and row count of every stored table, read back from the catalog."""
+    schema = _deployed(spark, sf_dir)
+    counts = [
+        spark.table(f"`{schema}`.`{t}`").agg(F.lit(t).alias("counted"), F.count("*").alias("n_rows"))
+        for t in TABLES
+    ]
+    known = F.col("property").isin("quality", "domain", "phi_contains", "comment")
+    properties = catalog.live_properties(spark, schema).where(known)
+    rows = reduce(DataFrame.unionByName, counts)
+    return properties.join(rows, F.col("table_name") == F.col("counted")).drop("counted")
+
+
+def _catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog against the model after somebody has changed it by hand."""
+    schema = _deployed(spark, sf_dir)
+    for change in (
+        "ALTER TABLE {}.members ALTER COLUMN ssn COMMENT 'A number'",
+        "ALTER TABLE {}.claims ADD COLUMN note STRING",
+        "ALTER TABLE {}.claims SET TBLPROPERTIES ('quality' = 'bronze')",
+        "ALTER TABLE {}.providers UNSET TBLPROPERTIES ('domain')",
+        "COMMENT ON TABLE {}.eligibility IS 'Spans'",
+        "DROP TABLE {}.pharmacy_claims",
+    ):
+        spark.sql(change.format(f"`{schema}`"))
+    return catalog.catalog_drift(spark, schema)
+
+
+def _notes_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = payer_table(spark, sf_dir, "members")
+    notes = dated_view(spark, sf_dir, "linked_notes")
+    return notes_linked(notes, members, "partial")
+
+
 def _raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return as_text(payer_table(spark, sf_dir, table))
 
@@ -501,6 +629,39 @@ def _rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rekey(claims.select("claim_id", "member_id"), "member_id", crosswalk, ["claim_id"])
 
 
+def _salt(version: int) -> str:
+    return f"{SALT}_{version}"
+
+
+def _rekey_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims hashed under six salts, moved to the last one without the identifiers."""
+    members = payer_table(spark, sf_dir, "members").select("member_id")
+    steps = [
+        salt_crosswalk(
+            members.where("member_id <> 'M-5'") if v == 2 else members,
+            "member_id",
+            _salt(v),
+            _salt(v + 1),
+        ).select(
+            F.lit(v).alias("salt_version"),
+            "old_hid",
+            F.lit(v + 1).alias("next_version"),
+            "new_hid",
+        )
+        for v in range(SALT_VERSIONS - 1)
+    ]
+    hashed = F.coalesce(
+        *[
+            F.when(F.col("salt_version") == v, hash_identifier("member_id", "none", _salt(v)))
+            for v in range(SALT_VERSIONS)
+        ]
+    )
+    claims = dated_view(spark, sf_dir, "versioned_claims").withColumn("member_id", hashed)
+    crosswalk = reduce(DataFrame.unionByName, steps)
+    last = SALT_VERSIONS - 1
+    return rekey_versions(claims, "member_id", "salt_version", crosswalk, last, ["claim_id"])
+
+
 def _drg_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Categories by code: some in another form, some contradicting each other."""
     nation = read(spark, sf_dir, "nation")
@@ -537,6 +698,45 @@ def _retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("table_name", "retention", text, "n_rows", "n_expired")
 
 
+def _purged(spark: SparkSession, sf_dir: str) -> tuple:
+    """Pharmacy claims by month of dispensing, purged of those before a day in a month."""
+    schema = _own_schema(spark)
+    name = f"`{schema}`.`fills`"
+    rows = payer_table(spark, sf_dir, "pharmacy_claims").select("rx_claim_id", "fill_date")
+    month = F.date_format("fill_date", "yyyy-MM").alias("fill_month")
+    by_month = rows.select("*", month).hint("rebalance", "fill_month")
+    by_month.write.partitionBy("fill_month").format("parquet").saveAsTable(name)
+    return name, purge(spark, name, "fill_date", PURGED_BEFORE)
+
+
+def _retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, _ = _purged(spark, sf_dir)
+    return as_text(spark.table(name))
+
+
+def _retention_purge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, done = _purged(spark, sf_dir)
+    return spark.createDataFrame(
+        [(done.n_rows, done.n_removed, done.dropped, done.rewritten, done.untouched)],
+        "n_rows long, n_removed long, dropped long, rewritten long, untouched long",
+    )
+
+
+def _sketched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values per tag from the stored sketches of days, beside the exact number."""
+    log = tag_view(spark, sf_dir, "column_tag_log")
+    sketches = kept(audit.tag_value_sketches(log, "ts"), "tag-sketches")
+    estimated = audit.tags_with_many_values_sketched(sketches, limit=1)
+    exact = log.where("schema_name = 'health_plan'").groupBy(F.col("tag_name").alias("exact_tag"))
+    counts = exact.agg(F.count_distinct("tag_value").alias("n_values"))
+    off = F.abs(F.col("distinct_values") - F.col("n_values"))
+    return estimated.join(counts, F.col("tag_name") == F.col("exact_tag")).select(
+        "tag_name",
+        F.when(F.col("n_values") <= EXACT_VALUES, F.col("distinct_values")).alias("few_values"),
+        (off <= 0.05 * F.col("n_values")).alias("is_within"),
+    )
+
+
 def registered() -> dict[str, Query]:
     """Name to query."""
     found: dict[str, Query] = {name: partial(_mask_query, name) for name in MASKS}
@@ -544,6 +744,7 @@ def registered() -> dict[str, Query]:
         found[f"load_{table}"] = partial(_load, table)
         if table != "members":
             found[f"sql_function_masks_{table}"] = partial(_sql_masks, table)
+        found[f"masked_view_{table}"] = partial(_masked_view, table)
         for tier in TIERS:
             found[f"masked_{table}_{tier}"] = partial(_masked_table, table, tier)
     for fk in FOREIGN_KEYS:
@@ -564,6 +765,12 @@ def registered() -> dict[str, Query]:
         "masked_by_reader": _masked_by_reader,
         "sql_function_masks": partial(_sql_masks, "members"),
         "masked_by_policy": _masked_by_policy,
+        "masked_by_schema": _masked_by_schema,
+        "group_function": _group_function,
+        "session_tier": _session_tier,
+        "notes_linked": _notes_linked,
+        "table_properties": _table_properties,
+        "catalog_drift": _catalog_drift,
         "masked_export": _masked_export,
         "masked_stream": _masked_stream,
         "replace_and_append": _replace_and_append,
@@ -611,6 +818,10 @@ def registered() -> dict[str, Query]:
         "drg_to_mdc": _drg_to_mdc,
         "drg_lookup_report": _drg_lookup_report,
         "retention_report": _retention,
+        "retention_purge": _retention_purge,
+        "retention_purge_report": _retention_purge_report,
+        "audit_b3_sketched": _sketched_values,
+        "salt_rekey_versions": _rekey_versions,
     }
     return {name: _prepared(query) for name, query in found.items()}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Above this size the JVM does not compile a generated method; Spark then does
 # better with several smaller ones, which very wide masked tables can need.
@@ -70,3 +70,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read back, so that lineage ends here."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -233,7 +233,7 @@ def rejected(checked_rows: DataFrame) -> DataFrame:
     return checked_rows.where(F.col(REASONS) != "")
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -241,15 +241,15 @@ def create_schema(
     spark: SparkSession, schema: str = SCHEMA_NAME, location: str | None = None
 ) -> None:
     """Create the schema unless it is there; ``location`` is where its tables go."""
-    place = f" LOCATION {_quoted(location)}" if location else ""
-    comment = _quoted(SCHEMA_COMMENT)
+    place = f" LOCATION {quoted(location)}" if location else ""
+    comment = quoted(SCHEMA_COMMENT)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` COMMENT {comment}{place}")
 
 
 def _describe(spark: SparkSession, name: str, spec: TableSpec) -> None:
-    properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in spec.properties.items())
+    properties = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in spec.properties.items())
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({properties})")
-    spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(spec.comment)}")
+    spark.sql(f"COMMENT ON TABLE {name} IS {quoted(spec.comment)}")
 
 
 def _facts(spark: SparkSession, name: str) -> dict[str, str]:
@@ -305,7 +305,7 @@ def replace_table(
         if not spark.catalog.tableExists(name):
             spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
         elif _layout(spark, name) == _layout(spark, fresh):
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(folder)}")
             _describe_again(spark, name, spec)
         else:
             spark.sql(f"ALTER TABLE {name} RENAME TO `{schema}`.`{version}_old`")
@@ -322,7 +322,7 @@ def _describe_again(spark: SparkSession, name: str, spec: TableSpec) -> None:
     for field in spark.table(name).schema:
         wanted = spec.schema[field.name].metadata["comment"]
         if field.metadata.get("comment") != wanted:
-            spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{field.name}` COMMENT {_quoted(wanted)}")
+            spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{field.name}` COMMENT {quoted(wanted)}")
     facts = _facts(spark, name)
     shown = facts.get("Table Properties", "")
     if facts.get("Comment") != spec.comment or any(

@@ -422,14 +422,17 @@ def table_properties(spark: SparkSession) -> DataFrame:
     )
 
 
-def masking_policy(spark: SparkSession, with_redact: bool = True) -> DataFrame:
-    """Mask bindings as rows (table_name, column_name, function_name)."""
+def masking_policy(
+    spark: SparkSession, with_redact: bool = True, schema: str | None = None
+) -> DataFrame:
+    """Mask bindings as rows (table_name, column_name, function_name), of ``schema`` if given."""
     rows = [
         (t.name, column, function)
         for t in TABLES.values()
         for column, function in t.policy.items()
         if with_redact or function != REDACT_ONLY
     ]
-    return spark.createDataFrame(
+    policy = spark.createDataFrame(
         rows, "table_name string, column_name string, function_name string"
     )
+    return policy if schema is None else policy.select(F.lit(schema).alias("schema_name"), "*")
