@@ -48,8 +48,6 @@ HELD = pa.schema(
     ]
 )
 DELTAS = "part string, flags int, n long"
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
 def failed_filters(text: Column) -> Column:
@@ -201,8 +199,9 @@ def counters(docs: DataFrame, labels: DataFrame, folder: str, buckets: int) -> D
     ``docs`` is a streaming DataFrame, ``labels`` a table. ``folder`` keeps the
     stream's checkpoint and the changes of each micro-batch; a batch that runs again
     overwrites its own changes, so calling this again with the same folder after a
-    failure goes on where it stopped and counts nothing twice. The state is kept in
-    RocksDB, outside the heap. ``buckets`` should leave a few thousand texts in each.
+    failure goes on where it stopped and counts nothing twice. The state goes to the
+    session's state store; it has some 50 bytes per distinct text. ``buckets`` should
+    leave a few thousand texts in each.
     """
     spark = docs.sparkSession
     importable(spark)
@@ -215,17 +214,9 @@ def counters(docs: DataFrame, labels: DataFrame, folder: str, buckets: int) -> D
         total = batch.groupBy("part", "flags").agg(F.sum("n").alias("n"))
         total.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
 
-    before = spark.conf.get(STORE_CONF, None)
-    spark.conf.set(STORE_CONF, STORE)
-    try:
-        stream = changes.writeStream.outputMode("update").trigger(availableNow=True)
-        stream = stream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep)
-        stream.start().awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(STORE_CONF)
-        else:
-            spark.conf.set(STORE_CONF, before)
+    stream = changes.writeStream.outputMode("update").trigger(availableNow=True)
+    stream = stream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep)
+    stream.start().awaitTermination()
     try:
         kept = spark.read.schema(DELTAS).parquet(f"{folder}/changes")
     except AnalysisException as absent:
