@@ -46,10 +46,16 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else has started."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    """A session of its own with the runtime settings, beside the caller's.
+
+    It has the caller's settings otherwise, and shares tables and executors with it.
+    The caller's session, its temporary functions and variables stay as they are.
+    """
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **RUNTIME_CONF}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,8 +1,8 @@
-"""The payer data model: tables, columns, classes, tags and mask bindings.
+"""The health-plan model: tables, columns, classes, tags and mask bindings.
 
 One specification per table carries everything known about a column; schemas,
 data dictionary, tags and masking policy are all derived from it. Only columns
-that need a governance action are tagged and bound; the rest pass through.
+that something has to be done about are tagged and bound; the rest pass through.
 """
 
 from __future__ import annotations
