@@ -3,8 +3,9 @@
 P(w | v) = P(class of w | class of v) P(w | class of w). The most frequent words
 are assigned to classes by exchange: each word in turn moves to the class that
 raises the likelihood of the class bigrams most. All other numbered words that are
-not too rare to tell then join these classes: tasks count each word's neighbours by
-class and choose its best class from the table of all classes, for some rounds. What
+not too rare to tell then join these classes: pairs of words are counted once, and tasks
+choose each word's best class from its neighbours and the table of all classes, for some
+rounds. What
 is rarer belongs to tail classes by its ending. Every word is counted, whatever its
 class; counts of rare words meet the texts in a join, those of frequent words are few
 and known to all tasks.
@@ -14,17 +15,18 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.common import list_array, map_arrow, sliced, stored
+from veilmark.llm.common import map_arrow, sliced, stored
 
 CLUSTERED = 500
 CLASSES = 32
@@ -34,9 +36,9 @@ ROUNDS = 8
 # Words of fewer occurrences have too few neighbours to choose a class by.
 LEAST = 5
 PASSES = 4
-TEXTS_AT_ONCE = 512
 CELLS_AT_ONCE = 1 << 22
 WORDS_AT_ONCE = 256
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FREQUENT = 100_000
 HELD_MOD, HELD_REST = 7, 2
 MOST_KEPT = 300_000
@@ -110,23 +112,16 @@ def _symbols(words: list[bytes], number: dict[bytes, int], n_numbered: int) -> n
     return found
 
 
-def _number_words(
+def _lines(
     batches: Iterator[pa.RecordBatch], number: dict[bytes, int]
-) -> Iterator[pa.RecordBatch]:
-    """The symbols of each text."""
-    for batch in sliced(batches):
-        rows = [_symbols(words, number, len(number)) for words in words_of_batch(batch)]
-        yield pa.RecordBatch.from_arrays([list_array(rows, pa.int32(), "int32")], ["symbols"])
-
-
-def _lines(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
+) -> Iterator[np.ndarray]:
     """Symbols of some texts in a row, with the end before and after each text."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            lists = batch.column(0).slice(start, TEXTS_AT_ONCE)
-            sizes = np.diff(lists.offsets.to_numpy())
-            line = lists.flatten().to_numpy().astype(np.int64)
-            yield np.insert(line, np.cumsum(np.append(0, sizes)), end)
+    end = np.array([len(number) + TAILS])
+    for batch in sliced(batches):
+        line = [end]
+        for words in words_of_batch(batch):
+            line += [_symbols(words, number, len(number)), end]
+        yield np.concatenate(line)
 
 
 def _bincounts(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,48 +142,73 @@ def _cells(counted: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
 
 
-def _count_bigrams(
-    batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int
+def _count_pairs(
+    batches: Iterator[pa.RecordBatch], number: dict[bytes, int]
 ) -> Iterator[pa.RecordBatch]:
-    """Bigrams of classes; the last of ``classes`` is that of the end."""
+    """Pairs of symbols in a row, as one number each."""
+    n_symbols = len(number) + TAILS + 1
+    lines = _lines(batches, number)
+    yield from _cells(_bincounts(line[:-1] * n_symbols + line[1:] for line in lines))
 
-    def codes() -> Iterator[np.ndarray]:
-        for symbols in _lines(batches, len(classes) - 1):
-            line = classes[symbols]
-            yield line[:-1] * width + line[1:]
 
-    yield from _cells(_bincounts(codes()))
+def neighbours(training: DataFrame, number: dict[bytes, int]) -> DataFrame:
+    """``word`` and ``others``: what follows it and, from ``n_symbols`` on, what precedes it.
 
+    Symbols are the numbered words, the tails and the end. Pairs are counted once; every
+    later count of classes follows from them. A list has two entries per symbol at most.
+    """
+    n_symbols = len(number) + TAILS + 1
+    counter = partial(_count_pairs, number=number)
+    pairs = map_arrow(training.select("text"), counter, "cell long, n long")
+    pairs = pairs.groupBy("cell").agg(F.sum("n").alias("n"))
+    first, second = F.expr(f"cell div {n_symbols}"), F.col("cell") % n_symbols
+    sides = F.array(
+        F.struct(first.alias("word"), second.alias("other"), "n"),
+        F.struct(second.alias("word"), (first + n_symbols).alias("other"), "n"),
+    )
+    return pairs.select(F.inline(sides)).groupBy("word").agg(
+        F.collect_list(F.struct("other", "n")).alias("others")
+    )
 
-def _count_neighbours(
-    batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int, n_words: int
-) -> Iterator[pa.RecordBatch]:
-    """For the first ``n_words`` symbols: classes that follow, that precede, pairs of itself."""
-    span = 2 * width + 1
 
-    def codes() -> Iterator[np.ndarray]:
-        for line in _lines(batches, len(classes) - 1):
-            first, second = line[:-1], line[1:]
-            for word, code in (
-                (first, classes[second]),
-                (second, width + classes[first]),
-                (first[first == second], 2 * width),
-            ):
-                kept = word < n_words
-                yield (word * span + code)[kept]
+@contextmanager
+def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Lists of neighbours go to Python by so many words, as a list can be long."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(WORDS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
-    yield from _cells(_bincounts(codes()))
 
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, and of all their neighbours the row, the symbol and the count."""
+    words, lists = batch.column(0).to_numpy(), batch.column(1)
+    row = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
+    flat = lists.flatten()
+    return words, row, flat.field("other").to_numpy(), flat.field("n").to_numpy()
 
-def _summed(symbols: DataFrame, count: Callable) -> DataFrame:
-    """Cells and their sums over all tasks."""
-    cells = map_arrow(symbols, count, "cell long, n long")
-    return cells.groupBy("cell").agg(F.sum("n").alias("n"))
+
+def _count_classes(
+    batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int
+) -> Iterator[pa.RecordBatch]:
+    """Bigrams of classes; the last of ``classes`` is that of the end."""
+    sums = np.zeros(width * width)
+    for batch in batches:
+        words, row, other, n = _flat(batch)
+        follows = other < len(classes)
+        cell = classes[words][row[follows]] * width + classes[other[follows]]
+        sums += np.bincount(cell, n[follows], width * width)
+    cells = np.flatnonzero(sums)
+    yield from _cells([(cells, sums[cells].astype(np.int64))])
 
 
-def _table(symbols: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
+def _table(near: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
     """The class bigrams of all training rows; bounded by the number of classes."""
-    counted = _summed(symbols, partial(_count_bigrams, classes=classes, width=width)).toArrow()
+    cells = map_arrow(near, partial(_count_classes, classes=classes, width=width), "cell long, n long")
+    with _few_rows_at_once(near.sparkSession):
+        counted = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(width * width)
     table[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     return table.reshape(width, width)
@@ -293,59 +313,52 @@ def best_classes(
 def _choose(
     batches: Iterator[pa.RecordBatch], classes: np.ndarray, table: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    width = len(table)
+    """The best class of each word, by the classes of its neighbours."""
+    width, n_symbols = len(table), len(classes)
+    span = 2 * width + 1
     for batch in batches:
-        for start in range(0, batch.num_rows, WORDS_AT_ONCE):
-            some = batch.slice(start, WORDS_AT_ONCE)
-            words = some.column(0).to_numpy()
-            counts = np.zeros((len(words), 2 * width + 1))
-            lists = some.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten()
-            row = np.repeat(np.arange(len(words)), sizes)
-            counts[row, flat.field("code").to_numpy()] = flat.field("n").to_numpy()
-            best = best_classes(
-                classes[words],
-                counts[:, :width],
-                counts[:, width : 2 * width],
-                counts[:, 2 * width],
-                table,
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words), pa.array(best.astype(np.int64))], ["word", "class"]
-            )
+        words, row, other, n = _flat(batch)
+        precedes = other >= n_symbols
+        code = classes[other - n_symbols * precedes] + width * precedes
+        itself = other == words[row]
+        place = np.concatenate((row * span + code, row[itself] * span + 2 * width))
+        counts = np.bincount(place, np.concatenate((n, n[itself])), len(words) * span)
+        counts = counts.reshape(len(words), span)
+        best = best_classes(
+            classes[words],
+            counts[:, :width],
+            counts[:, width : 2 * width],
+            counts[:, 2 * width],
+            table,
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(words), pa.array(best.astype(np.int64))], ["word", "class"]
+        )
 
 
 def spread_clusters(
-    symbols: DataFrame, classes: np.ndarray, n_words: int, width: int
+    near: DataFrame, classes: np.ndarray, n_words: int, width: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Class of every symbol and the class bigrams, with the first ``n_words`` moving.
 
-    Words choose at the same time, so after the first pass only every second one
-    does; a pass that lowers the likelihood is taken back and ends the rounds.
+    ``near`` is what `neighbours` returns. Words choose at the same time, so after the
+    first pass only every second one does; a pass that lowers the likelihood is taken
+    back and ends the rounds.
     """
-    table = _table(symbols, classes, width)
-    span = 2 * width + 1
+    table = _table(near, classes, width)
     reached = None
     for turn in range(PASSES):
-        cells = _summed(
-            symbols, partial(_count_neighbours, classes=classes, width=width, n_words=n_words)
-        ).select(
-            F.floor(F.col("cell") / span).alias("word"),
-            (F.col("cell") % span).cast("int").alias("code"),
-            "n",
-        )
+        movers = near.where(F.col("word") < n_words)
         if turn:
-            cells = cells.where(F.col("word") % 2 == turn % 2)
-        by_word = cells.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("cells"))
-        chosen = map_arrow(
-            by_word, partial(_choose, classes=classes, table=table), "word long, class long"
-        ).toArrow()
+            movers = movers.where(F.col("word") % 2 == turn % 2)
+        chooser = partial(_choose, classes=classes, table=table)
+        with _few_rows_at_once(near.sparkSession):
+            chosen = map_arrow(movers, chooser, "word long, class long").toArrow()
         moved = classes.copy()
         moved[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
         if (moved == classes).all():
             break
-        new_table = _table(symbols, moved, width)
+        new_table = _table(near, moved, width)
         new = likelihood(new_table)
         if reached is not None and new <= reached:
             break
@@ -384,23 +397,18 @@ def fit(training: DataFrame, counts: DataFrame) -> tuple[ClassModel, DataFrame]:
     number = {w: i for i, w in enumerate(words)}
     n_seeds = min(CLUSTERED, len(words))
     n_clustered = max(n_seeds, int((numbers >= LEAST).sum()))
-    symbols = stored(
-        map_arrow(
-            training.select("text"), partial(_number_words, number=number), "symbols array<int>"
-        ),
-        "lm-symbols",
-    )
     # The seeds by themselves, all else by endings, the end.
     endings = np.array([tail_class(w) for w in words[n_seeds:]], np.int64)
     tails_end = np.arange(TAILS + 1)
     width = n_seeds + TAILS + 1
     apart = np.concatenate((np.arange(n_seeds), n_seeds + endings, n_seeds + tails_end))
-    bigrams = _table(symbols, apart, width)
+    near = stored(neighbours(training, number), "lm-neighbours")
+    bigrams = _table(near, apart, width)
     place = exchange_clusters(bigrams, n_seeds)
     k = CLASSES + TAILS + 1
     classes = place[apart]
     if n_clustered > n_seeds:
-        classes, table = spread_clusters(symbols, classes, n_clustered, k)
+        classes, table = spread_clusters(near, classes, n_clustered, k)
     else:
         member = np.zeros((width, k))
         member[np.arange(width), place] = 1
