@@ -668,3 +668,30 @@ def test_pipeline_of_odd_rows(spark, odd):
         rows = stage(spark, odd, "")
         assert rows.columns == odd.columns
     assert corpus_pipeline.near_duplicates(spark, odd, "").count() == 8
+
+
+HELPERS = (
+    "src s b t k l p row group loser keeper label node rep content wanted key size edge token "
+    "_src _b _h _k _n0 _rank _row _source _id _lang _words _lines _q _t _chars _places _key _range "
+    "packed_row base_failed kept total metric bucket n_docs linked component n_links"
+).split()
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    """Names that the operators use inside are columns like any others."""
+    few = docs.limit(120).select("*", *[F.col("doc_id").alias(h) for h in HELPERS])
+    few = corpus_pipeline.stored(few, "few")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, few, "")
+        assert rows.columns == few.columns, name
+        found = rows.collect()
+        assert found and all(r[h] == r["doc_id"] for r in found for h in HELPERS), name
+
+
+def test_ngram_join_of_rows_without_ids(spark):
+    """Rows meet by id and text, so that rows sharing an id do not multiply."""
+    base = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(400)]
+    texts = [t for b in base for t in (b, b + " more")] + ["same words here again now"] * 500
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    rows = ngram_join.joined(df.repartition(5)).groupBy("n_shingles", "n_links").count().collect()
+    assert sorted(map(tuple, rows)) == [(2, 499, 500), (57, 1, 400), (58, 1, 400)]

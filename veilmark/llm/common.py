@@ -41,6 +41,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+PACKED = "packed_row"
+
+
+def packed(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows as one column, so that no name of theirs can meet a helper's."""
+    names = docs.columns if columns is None else columns
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(PACKED))
+
+
+def unpacked(docs: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of `packed` rows, without those named in ``but``."""
+    names = docs.schema[PACKED].dataType.names
+    return [F.col(PACKED)[c].alias(c) for c in names if c.lower() not in but]
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array; none for NULL."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

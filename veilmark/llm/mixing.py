@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm.common import stored
+from veilmark.llm.common import PACKED, packed, stored, unpacked
 from veilmark.llm.sharding import HASH_BITS, unit_hash
 from veilmark.session import scratch_path
 
@@ -139,7 +139,7 @@ def mix(
 
     Adds ``mix_block`` (the block of its source), ``mix_slot`` (the block's place
     among all) and ``mix_pos`` (place in the block), replacing columns of these
-    names. ``weights`` are relative and positive; sources that it does not name
+    names and no others. ``weights`` are relative and positive; sources that it does not name
     have weight 1; without it a source's weight is the square root of its rows.
     Weights count as they are; with ``period`` they are first rounded to whole
     blocks, at least one, in so many.
@@ -147,8 +147,10 @@ def mix(
     empty table gives no rows. Rows of one source are ordered by a hash of
     ``row_id``, then by it.
     """
-    docs = docs.drop("mix_block", "mix_slot", "mix_pos", "_src", "_b", "_h", "_k", "_n0")
-    keyed = docs.withColumn("_src", source_key(source))
+    rows = packed(docs).withColumns(
+        {"_source": F.col(PACKED)[source], "_id": F.col(PACKED)[row_id]}
+    )
+    keyed = rows.withColumn("_src", source_key("_source"))
     counts = stored(
         keyed.groupBy(F.col("_src").alias("src")).agg(F.count("*").alias("n_docs")), "mix-counts"
     )
@@ -166,7 +168,7 @@ def mix(
     per_bucket = max(ROWS_PER_BUCKET, n_rows // MOST_BUCKETS)
     folds = counts.select("src", F.ceil(F.col("n_docs") / per_bucket).alias("_k"))
     hashed = (
-        keyed.withColumn("_h", unit_hash(F.col(row_id), seed))
+        keyed.withColumn("_h", unit_hash(F.col("_id"), seed))
         .join(folds, F.col("_src") == F.col("src"))
         .withColumn("_b", F.shiftright(F.col("_h") * F.col("_k"), HASH_BITS))
         .drop("src", "_k")
@@ -178,7 +180,7 @@ def mix(
     offsets = tallies.select(
         "s", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n0")
     )
-    inside = Window.partitionBy("_src", "_b").orderBy("_h", row_id)
+    inside = Window.partitionBy("_src", "_b").orderBy("_h", "_id")
     ranked = hashed.withColumn("_rank", F.row_number().over(inside) - 1)
     ranked = ranked.join(
         offsets, (F.col("_src") == F.col("s")) & (F.col("_b") == F.col("b"))
@@ -188,7 +190,7 @@ def mix(
         plan, (F.col("_src") == F.col("src")) & (F.col("_k") == F.col("mix_block"))
     )
     return placed.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *unpacked(placed, ("mix_block", "mix_slot", "mix_pos")),
         "mix_block",
         "mix_slot",
         (F.col("_rank") - F.col("_k") * block_docs).cast("int").alias("mix_pos"),

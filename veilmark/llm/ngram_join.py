@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm.class_lm import frequent_from, word_counts, words_of_batch
-from veilmark.llm.common import importable, map_arrow, sliced, stored
+from veilmark.llm.common import PACKED, importable, map_arrow, packed, sliced, stored, unpacked
 from veilmark.llm.components import connected
 
 WORDS, PERCENT = 4, 85
@@ -199,7 +199,7 @@ def _index(
             firsts.append(token[: prefix_length(len(token), percent) if linkable else 0])
             # With the first bit turned, signed longs are in the tokens' order.
             edges.append(int(firsts[-1][-1]) - (1 << 63) if linkable else None)
-        same = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")]
+        same = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id", "content")]
         yield pa.RecordBatch.from_arrays(
             [
                 *same,
@@ -208,7 +208,7 @@ def _index(
                 _longs(firsts),
                 pa.array(edges, pa.int64()),
             ],
-            ["row", "doc_id", "size", "key", "prefix", "edge"],
+            ["row", "doc_id", "content", "size", "key", "prefix", "edge"],
         )
 
 
@@ -530,7 +530,8 @@ def joined(
     the component has others. An empty table gives no rows.
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
-    numbered = docs.select("doc_id", "text", number.alias("row"))
+    content = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    numbered = docs.select("doc_id", "text", number.alias("row"), content.alias("content"))
     rarity = _rarity(docs)
     frequent = _frequent_tokens(docs, n, percent, rarity)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -539,8 +540,8 @@ def joined(
         map_arrow(
             numbered,
             partial(_index, n=n, percent=percent, rarity=rarity, frequent=frequent),
-            f"row long, doc_id {id_type}, size long, key binary, prefix array<bigint>,"
-            " edge long",
+            f"row long, doc_id {id_type}, content long, size long, key binary,"
+            " prefix array<bigint>, edge long",
         ),
         "ngram-index",
     )
@@ -571,12 +572,15 @@ def joined(
         .distinct()
     )
     wanted = firsts.join(candidates, "rep").select(
-        F.col("doc_id").alias("id"), "rep", "key", "copies"
+        F.col("doc_id").alias("id"), F.col("content").alias("c"), "rep", "key", "copies"
     )
     wanted = stored(wanted, "ngram-wanted")
-    asked = may_be_in(wanted, "id", wanted.count())
-    texts = docs.select("doc_id", "text").where(asked(F.col("doc_id")))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
+    n_wanted = wanted.count()
+    # Ids may repeat, NULL above all, so a text is found by its id and its content.
+    asked = may_be_in(wanted, "c", n_wanted)
+    texts = numbered.select("doc_id", "text", "content").where(asked(F.col("content")))
+    same_row = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("c"))
+    texts = texts.join(wanted, same_row)
     sets = stored(
         map_arrow(
             texts.select("text", "rep", "key", "copies"),
@@ -585,6 +589,8 @@ def joined(
         ),
         "ngram-sets",
     )
+    if sets.count() > n_wanted:  # rows that repeat id and text
+        sets = stored(sets.dropDuplicates(["rep"]), "ngram-sets")
     links = stored(
         _cold_links(pairs, sets, percent).union(_hot_links(sets, chunked, blocks, percent)),
         "ngram-links",
@@ -624,19 +630,20 @@ def joined(
 def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The rows without links, and of each component the one of the least doc_id.
 
-    Ties go to the first row; NULL ids come last. All columns are kept.
+    Ties go to the first row; NULL ids come last. All columns are kept, whatever
+    their names.
     """
-    row = "_row"
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    linked = joined(numbered, n, percent, row).where("n_links > 0")
+    numbered = packed(docs).withColumn("row", F.monotonically_increasing_id())
+    numbered = stored(numbered, "numbered")
+    own = [F.col(PACKED)[c].alias(c) for c in ("doc_id", "text")]
+    texts = numbered.select(*own, "row")
+    linked = joined(texts, n, percent, "row").where("n_links > 0")
     linked = stored(linked.select("doc_id", "row", "group"), "linked")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     keepers = linked.groupBy("group").agg(F.min(order)["row"].alias("keeper"))
     losers = linked.join(keepers, F.col("row") == F.col("keeper"), "left_anti")
-    kept = numbered.join(
-        losers.select(F.col("row").alias("loser")), F.col(row) == F.col("loser"), "left_anti"
-    )
-    return kept.drop(row)
+    kept = numbered.join(losers.select("row"), "row", "left_anti")
+    return kept.select(*unpacked(kept))
 
 
 def document_components(docs: DataFrame) -> DataFrame:

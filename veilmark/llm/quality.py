@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm.common import stored, words_of
+from veilmark.llm.common import PACKED, packed, stored, unpacked, words_of
 
 LEADING_BITS = 7
 MIN_GROUP = 200
@@ -243,19 +243,16 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """All rows with ``_q`` (base counts), ``base_failed`` and ``kept``.
-
-    Needs ``text``, ``lang`` and ``source``, each of which may be NULL; NULL
-    languages and sources are groups of their own. Repeated rows all count and
-    are all judged; an empty table stays empty. A text at its fence is kept.
-    The fences are computed once, from stored rows, and joined; the join is on
-    a few values per group, which Spark broadcasts if they are small.
-    """
-    docs = docs.drop("_q", "base_failed", "kept")
-    shown = [c for c in docs.columns if keep_text or c != "text"]
-    measured = base_metrics(docs).select(*[F.col(f"`{c}`") for c in shown], "_q")
-    measured = stored(measured, "quality-measured")
+def _judged(docs: DataFrame, shown: list[str]) -> DataFrame:
+    """`packed` rows of the columns ``shown``, ``_q``, ``base_failed`` and ``kept``."""
+    rows = packed(docs, shown)
+    if "text" in shown:
+        rows = rows.withColumn("text", F.col(PACKED)["text"])
+    else:
+        rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in shown]).alias(PACKED))
+    measured = stored(base_metrics(rows).select(PACKED, "_q"), "quality-measured")
+    groups = {"lang": F.col(PACKED)["lang"], "source": F.col(PACKED)["source"]}
+    measured = measured.withColumns(groups)
     fences = stored(thresholds(sketches(measured)), "quality-fences")
     values = metric_values()
     fine = F.lit(True)
@@ -268,18 +265,34 @@ def judged(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     )
     # A group without fences has only rows that fail the base.
     return joined.select(
-        *[F.col(f"`{c}`") for c in shown],
+        PACKED,
         "_q",
         base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(fine, F.lit(False))).alias("kept"),
     )
 
 
+def judged(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+    """All rows with ``_q`` (base counts), ``base_failed`` and ``kept``.
+
+    Needs ``text``, ``lang`` and ``source``, each of which may be NULL; NULL
+    languages and sources are groups of their own. Columns of the added names are
+    replaced, and no others. Repeated rows all count and are all judged; an empty
+    table stays empty. A text at its fence is kept. The fences are computed once,
+    from stored rows, and joined; the join is on a few values per group, which
+    Spark broadcasts if they are small.
+    """
+    rows = _judged(docs, [c for c in docs.columns if keep_text or c != "text"])
+    added = ("_q", "base_failed", "kept")
+    return rows.select(*unpacked(rows, added), *added)
+
+
 def document_quality(docs: DataFrame) -> DataFrame:
     rows = judged(docs.select("doc_id", "text", "lang", "source"), keep_text=False)
     return rows.select("doc_id", *[F.col("_q")[c].alias(c) for c in BASE], "base_failed", "kept")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows that pass, with the columns they came with."""
-    return judged(docs).where("kept").drop("_q", "base_failed", "kept")
+    """The rows that pass, with the columns they came with, whatever their names."""
+    rows = _judged(docs, docs.columns).where("kept")
+    return rows.select(*unpacked(rows))
