@@ -2,13 +2,17 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
+import struct
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
 import tiktoken  # noqa: F401
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -695,3 +699,104 @@ def test_ngram_join_of_rows_without_ids(spark):
     df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
     rows = ngram_join.joined(df.repartition(5)).groupBy("n_shingles", "n_links").count().collect()
     assert sorted(map(tuple, rows)) == [(2, 499, 500), (57, 1, 400), (58, 1, 400)]
+
+
+def order_hash(doc_id, seed):
+    """The hash that orders a source, by another implementation."""
+    first = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+    return xxhash.xxh64_intdigest(struct.pack("<i", seed), first) >> (64 - mixing.HASH_BITS)
+
+
+def mix_by_force(rows, weights, per_block):
+    """Every row with its place: all blocks looked at in every slot, in fractions."""
+    names = sorted({s for _, s in rows}, key=lambda s: "-" if s is None else "=" + s)
+    docs = {
+        s: sorted((d for d, t in rows if t == s), key=lambda d: (order_hash(d, mixing.ORDER_SEED), d))
+        for s in names
+    }
+    blocks = {s: -(-len(docs[s]) // per_block) for s in names}
+    share = {s: Fraction(weights.get(s, 1)) for s in names}
+
+    def slots_until(level):
+        return sum(min(share[s] * level, blocks[s]) for s in names)
+
+    waiting = {
+        (s, k): (slots_until(k / share[s]), (k + 1) / share[s]) for s in names for k in range(blocks[s])
+    }
+    out = []
+    for slot in range(sum(blocks.values())):
+        released = [b for b, (release, _) in waiting.items() if release < slot + 1]
+        source, k = min(released, key=lambda b: (waiting[b][1], names.index(b[0])))
+        del waiting[source, k]
+        part = docs[source][k * per_block : (k + 1) * per_block]
+        out += [(d, source, k, slot, i) for i, d in enumerate(part)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("weights", [{"a": 5, "b": 2, None: 3}, {"a": 1, "b": 7}, {}])
+def test_mixing_rows_by_force(spark, weights):
+    sizes = {"a": 130, "b": 61, "c": 7, None: 44, "": 9}
+    rows = [(i * 31, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "doc_id long, source string").repartition(3)
+    got = mixing.mix(df, weights=weights, block_docs=4)
+    got = got.select("doc_id", "source", "mix_block", "mix_slot", "mix_pos").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == mix_by_force(rows, weights, 4)
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    """A marking word counts however many words come before it in the alphabet."""
+    filler = " ".join(f"a{i}" for i in range(9000))
+    rows = [(i, f"{filler} {'zzmark' if i % 3 == 0 else 'zzcalm'} b{i % 7}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = ordinal_toxicity.fit(docs, labels)
+    assert {w for w in model.weights if w.startswith("zz")} >= {"zzmark", "zzcalm"}
+    got = ordinal_toxicity.document_toxicity(docs, labels).collect()
+    assert all(r["toxic"] == (r["doc_id"] % 3 == 0) for r in got)
+
+
+def test_features_by_force(spark):
+    rows = [
+        (i % 2, sorted({f"w{j}" for j in range(40) if (i * 7 + j) % 9 < (3 + j % 5 if i % 2 else 2)}))
+        for i in range(90)
+    ]
+    sample = spark.createDataFrame(rows, "toxic int, words array<string>")
+    n = sum(t for t, _ in rows)
+    want = {}
+    for word in {w for _, ws in rows for w in ws}:
+        m = sum(word in ws for _, ws in rows)
+        k = sum(word in ws for t, ws in rows if t)
+        cells = [(k, n * m), (n - k, n * (90 - m)), (m - k, (90 - n) * m), (90 - n - m + k, (90 - n) * (90 - m))]
+        gain = 2 * sum(o * math.log(o * 90 / e) for o, e in cells if o > 0)
+        if m >= 3 and gain >= ordinal_toxicity.MIN_INFORMATION:
+            want[word] = math.log((k + 0.5) * (90 - n - m + k + 0.5) / ((n - k + 0.5) * (m - k + 0.5)))
+    got = ordinal_toxicity.choose_features(sample)
+    assert want and got == pytest.approx(want)
+
+
+def test_sections_share_windows_and_lose_nothing(docs, monkeypatch):
+    """Long stretches full of numbers give the same spans however they are cut."""
+    model = pii.fit(docs)
+    line = "call 555 010 4477 or 4111.1111.1111.1111, id 12 34, 10 . 0 . 0 . 1; "
+    texts = [" " * k + line * 40 for k in range(0, 32, 5)]
+    whole = pii.all_spans(texts, model)
+    monkeypatch.setattr(pii, "SECTION", 24)
+    runs = pii.Tagger(model).sections(texts[0])
+    assert len(runs) > 3 and all(len(r) <= 24 + pii.SHARED for r in runs)
+    assert all(b[: pii.SHARED] == a[-pii.SHARED :] for a, b in itertools.pairwise(runs))
+    cut = pii.all_spans(texts, model)
+    n, lost = sum(len(s) for _, s in whole), 0
+    for (_, before), (_, after) in zip(whole, cut, strict=True):
+        lost += len(set(before) ^ set(after))
+    assert lost <= n // 100
+
+
+def test_training_texts_are_different_ones(spark, docs, monkeypatch):
+    few = docs.where("text RLIKE '[0-9@]'").select("text").distinct().limit(12)
+    copies = few.limit(1).crossJoin(spark.range(300)).select("text")
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 12)
+    seen = []
+    real = pii.map_arrow
+    monkeypatch.setattr(pii, "map_arrow", lambda df, *a: seen.append(df) or real(df, *a))
+    pii.fit(few.union(copies))
+    assert seen[0].count() == 12

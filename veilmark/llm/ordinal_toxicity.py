@@ -11,22 +11,20 @@ the lower, middle or upper third of the toxic rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
+from veilmark.llm.common import map_arrow, sliced, stored, texts_of, with_arrow_columns
 
 GRADES = 3  # besides 0, not toxic
 SAMPLE_ROWS = {0: 1800, 1: 900}  # by label
-SAMPLE_WORDS = 5_000  # distinct words of one sampled text, for the fit alone
 FEATURES = 1000
 MIN_ROWS = 3
 MIN_INFORMATION = 12.0
@@ -59,29 +57,40 @@ def words_in(text: str) -> set[str]:
     return words.union(*heads)
 
 
-def _information(k: float, n: float, m: float, total: float) -> float:
+def _information(k: Column, n: Column, m: Column, total: Column) -> Column:
     """Twice the log-likelihood ratio of k out of n where m out of all have it."""
-    cells = ((k, n * m), (n - k, n * (total - m)), (m - k, (total - n) * m))
-    last = (total - n - m + k, (total - n) * (total - m))
-    return 2 * sum(o * np.log(o * total / e) for o, e in (*cells, last) if o > 0)
-
-
-def choose_features(rows: list[tuple[int, set[str]]]) -> dict[str, float]:
-    """The most informative words, with the log of their odds ratio."""
-    n = [sum(label == k for label, _ in rows) for k in (0, 1)]
-    found = [Counter(), Counter()]
-    for label, words in rows:
-        found[label].update(words)
-    rated = []
-    for word in found[0].keys() | found[1].keys():
-        k, m = found[1][word], found[0][word] + found[1][word]
-        if m >= MIN_ROWS:
-            gain = _information(k, n[1], m, n[0] + n[1])
-            if gain >= MIN_INFORMATION:
-                odds = np.log((k + 0.5) * (n[0] - m + k + 0.5))
-                odds -= np.log((n[1] - k + 0.5) * (m - k + 0.5))
-                rated.append((-gain, word, float(odds)))
-    return {word: odds for _, word, odds in sorted(rated)[:FEATURES]}
+    cells = (
+        (k, n * m),
+        (n - k, n * (total - m)),
+        (m - k, (total - n) * m),
+        (total - n - m + k, (total - n) * (total - m)),
+    )
+    terms = [F.when(o > 0, o * F.log(o * total / e)).otherwise(0.0) for o, e in cells]
+    return 2 * sum(terms[1:], terms[0])
+
+
+def choose_features(sample: DataFrame) -> dict[str, float]:
+    """The most informative words, with the log of their odds ratio.
+
+    ``sample`` has ``toxic`` (0 or 1) and ``words``, the distinct words of whole texts.
+    Words are counted in Spark; only the FEATURES chosen ones reach the driver.
+    """
+    rows = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("n_toxic"))
+    total, toxic = rows.select("n").scalar(), rows.select("n_toxic").scalar()
+    counts = (
+        sample.select("toxic", F.explode("words").alias("word"))
+        .groupBy("word")
+        .agg(F.sum("toxic").alias("k"), F.count("*").alias("m"))
+        .where(F.col("m") >= MIN_ROWS)
+    )
+    k, m = F.col("k").cast("double"), F.col("m").cast("double")
+    n, all_rows = toxic.cast("double"), total.cast("double")
+    odds = F.log((k + 0.5) * (all_rows - n - m + k + 0.5)) - F.log(
+        (n - k + 0.5) * (m - k + 0.5)
+    )
+    rated = counts.select("word", _information(k, n, m, all_rows).alias("gain"), odds.alias("odds"))
+    rated = rated.where(F.col("gain") >= MIN_INFORMATION).orderBy(F.desc("gain"), "word")
+    return {r["word"]: r["odds"] for r in rated.limit(FEATURES).collect()}
 
 
 def grade_rows(rows: list[tuple[int, set[str]]], odds: dict[str, float]) -> np.ndarray:
@@ -134,7 +143,7 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
-        rows = [sorted(words_in(t))[:SAMPLE_WORDS] for t in texts_of(batch)]
+        rows = [sorted(words_in(t)) for t in texts_of(batch)]
         label = batch.column(batch.schema.get_field_index("toxic"))
         yield pa.RecordBatch.from_arrays(
             [label, pa.array(rows, pa.list_(pa.string()))], ["toxic", "words"]
@@ -145,8 +154,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     """Fit on at most SAMPLE_ROWS rows of each label, those of lowest hash.
 
     Rows without a label are left out; a document labelled twice counts as toxic
-    if one label says so. Without labels of both kinds every score is 0 and no
-    row is called toxic.
+    if one label says so. Of a sampled text all words count; the driver gets only those
+    among the features. Without labels of both kinds every score is 0 and no row is
+    called toxic.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic")
@@ -157,11 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     ]
     sample = docs.select("doc_id", "text").join(chosen[0].union(chosen[1]), "doc_id")
     schema = "toxic int, words array<string>"
-    got = map_arrow(sample.select("toxic", "text"), _words, schema).collect()
-    rows = sorted(((r["toxic"], set(r["words"])) for r in got), key=lambda r: (r[0], sorted(r[1])))
-    if len({label for label, _ in rows}) < 2:
+    found = stored(map_arrow(sample.select("toxic", "text"), _words, schema), "toxicity-sample")
+    if found.select("toxic").distinct().count() < 2:
         return OrdinalModel({}, tuple(float(k) for k in range(1, GRADES + 1)))
-    odds = choose_features(rows)
+    odds = choose_features(found)
+    features = F.array(*[F.lit(w) for w in odds]).cast("array<string>")
+    got = found.select("toxic", F.array_intersect("words", features).alias("words")).collect()
+    rows = sorted(((r["toxic"], set(r["words"])) for r in got), key=lambda r: (r[0], sorted(r[1])))
     grades = grade_rows(rows, odds)
     names = sorted(odds)
     column = {w: i for i, w in enumerate(names)}

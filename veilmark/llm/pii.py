@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilmark.llm.char_crf import CharCrf, best_tags, codes_of
-from veilmark.llm.common import lowest, map_arrow, sliced, texts_of, with_arrow_columns
+from veilmark.llm.common import map_arrow, sliced, texts_of, with_arrow_columns
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
 SECTION = 512  # windows; longer stretches are settled in sections
+SHARED = 8  # windows that a section has in common with the one before
 SAMPLE_DOCS = 1500
 WINDOWS_PER_DOC = 6  # of a sampled document, for the training alone
 TRAIN_WINDOWS = 2400
@@ -169,12 +170,17 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit(docs: DataFrame, text: str = "text") -> CharCrf | None:
-    """Trained on windows of at most SAMPLE_DOCS texts, those of lowest hash.
+    """Trained on windows of at most SAMPLE_DOCS different texts, those of lowest hash.
 
     None if no text has a digit or an at sign.
     """
     body = docs.select(F.col(text).alias("text")).where("text RLIKE '[0-9@]'")
-    sample = lowest(body, F.xxhash64("text"), SAMPLE_DOCS)
+    # Copies of a text count once, however many there are.
+    hashes = body.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS)
+    last = hashes.agg(F.max("h")).first()[0]
+    if last is None:
+        return None
+    sample = body.where(F.xxhash64("text") <= last).distinct()
     rows = map_arrow(sample, _sample_windows, "window string, tags binary").collect()
     rows = sorted({(r["window"], bytes(r["tags"])) for r in rows})
     if not rows:
@@ -221,13 +227,18 @@ class Tagger:
         self.weight = (edge / edge.max()).astype(np.float32)
 
     def sections(self, text: str) -> list[list[int]]:
-        """Runs of windows that overlap, in sections of bounded length."""
+        """Runs of windows that overlap, in sections of bounded length.
+
+        A section begins with the last windows of the one before, so what one of them
+        sees cut short at its edge, the other sees whole.
+        """
         runs: list[list[int]] = []
         for start in window_starts(text):
-            if runs and start - runs[-1][-1] == STRIDE and len(runs[-1]) < SECTION:
+            goes_on = runs and start - runs[-1][-1] == STRIDE
+            if goes_on and len(runs[-1]) < SECTION:
                 runs[-1].append(start)
             else:
-                runs.append([start])
+                runs.append([*runs[-1][-SHARED:], start] if goes_on else [start])
         return runs
 
     def spans(self, texts: list[str]) -> list[list[Span]]:
@@ -292,7 +303,8 @@ def all_spans(texts: list[str], model: CharCrf | None) -> list[tuple[list[Span],
     out = []
     for rules, tagged in zip(base, Tagger(model).spans(texts), strict=True):
         spans = list(rules)
-        for start, end, kind in sorted(tagged):
+        # The longer of two additions that overlap, as the other one was cut short.
+        for start, end, kind in sorted(set(tagged), key=lambda s: (s[0] - s[1], s)):
             if all(end <= s or start >= e for s, e, _ in spans):
                 spans.append((start, end, kind))
         out.append((rules, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))))
