@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, timedelta
+from itertools import takewhile
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,28 @@ def test_intervals_of_one_bucket_are_few(spark):
     }
 
 
+def test_days_and_not_points_meet_intervals(spark, may_broadcast):
+    """Points of one key and day are one row where they meet intervals."""
+    starts = spark.range(500).selectExpr(
+        "'m' AS member_id", "CAST(id AS STRING) AS auth_id",
+        "date_add(DATE '2020-01-01', CAST(id % 30 AS INT)) AS effective_date",
+        "date_add(DATE '2020-01-01', CAST(id % 30 + id % 7 AS INT)) AS expiration_date",
+    )
+    claims = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS claim_id", "'m' AS member_id",
+        "date_add(DATE '2020-01-01', CAST(id % 40 AS INT)) AS service_date_from",
+    )
+    found = dated.claims_in_authorization(claims, starts, **HOT)
+    lines = plan(found).splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join" in line and "i_place" in line)
+    below = list(takewhile(lambda line: line.find("- ") > lines[at].find("- "), lines[at + 1 :]))
+    assert below and not any("claim_id" in line for line in below)
+    got = {int(r["claim_id"]): r["n_valid"] for r in found.collect()}
+    assert got == {
+        c: sum(i % 30 <= c % 40 <= i % 30 + i % 7 for i in range(500)) for c in range(3000)
+    }
+
+
 def spans_by_force(intervals, by):
     far = later(100_000)
     days, n_rows = {}, {}

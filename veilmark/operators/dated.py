@@ -51,7 +51,9 @@ def valid_on(
 
     Both sides meet by key and bucket of days. In a bucket, intervals that hold all of
     it are one row, and so are those with the same first and last day: a key and bucket
-    has at most 1 + 32 * 33 / 2 rows, however many intervals there are.
+    has at most 1 + 32 * 33 / 2 rows, however many intervals there are. Only the days
+    asked for meet them, each once per key and however many its points, so a key and
+    bucket has at most 32 times as many pairs; points take the one row of their day.
     """
     days = points.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
     lo, hi = days.select("lo").scalar(), days.select("hi").scalar()
@@ -73,20 +75,23 @@ def valid_on(
         F.when(~holds_all, F.least(F.col("last"), F.date_sub(_first_day(F.col("bucket") + 1), 1)))
         .alias("last"),
     ).agg(F.count("*").alias("n"), F.max("found").alias("found"))
-    rows = points.select(F.col(row_id), F.col(key).alias("p_key"), F.col(at).alias("p_at"))
-    place = F.struct(F.col("p_key").alias("i_key"), _bucket(F.col("p_at")).alias("bucket"))
-    known = F.col("p_key").isNotNull() & F.col("p_at").isNotNull()
-    placed = rows.where(known).withColumn("p_place", place)
-    met = spread_join(placed, held, "p_place", "i_place", [row_id], **probe).where(
-        F.col("first").isNull() | F.col("p_at").between(F.col("first"), F.col("last"))
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    asked = points.where(known).select(F.col(key).alias("a_key"), F.col(at).alias("a_at"))
+    place = F.struct(F.col("a_key").alias("i_key"), _bucket(F.col("a_at")).alias("bucket"))
+    met = held.join(asked.distinct().withColumn("a_place", place), F.col("a_place") == F.col("i_place"))
+    told = (
+        met.where("first IS NULL OR a_at BETWEEN first AND last")
+        .groupBy("i_place", "a_at")
+        .agg(F.sum("n").alias("n"), F.max("found").alias("found"))
+        .select(F.struct(F.col("i_place.i_key").alias("key"), "a_at").alias("i_day"), "n", "found")
     )
-    # Every point takes part once without an interval, so none is lost.
-    none = rows.select(row_id, F.lit(0).cast("long").alias("n"), F.lit(None).alias("found"))
-    none = none.withColumn("found", F.col("found").cast(met.schema["found"].dataType))
+    day = F.struct(F.col(key).alias("key"), F.col(at).alias("a_at"))
+    rows = points.select(row_id, F.when(known, day).alias("p_day"))
+    # One that is in no interval stays, and rows of one ``row_id`` are one point.
     return (
-        none.unionByName(met.select(row_id, "n", "found"))
+        spread_join(rows, told, "p_day", "i_day", [row_id], "left", **probe)
         .groupBy(row_id)
-        .agg(F.sum("n").alias("n_valid"), F.max("found").alias("found"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_valid"), F.max("found").alias("found"))
         .select(row_id, "n_valid", F.col(f"found.{interval_id}").alias(interval_id))
     )
 
