@@ -43,7 +43,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Files may be read in any order, so the place is found anew: it depends on the
     rows alone, and these are all rows of the mix.
     """
-    rows = byte_bpe.decode(byte_bpe.encode(mixing.mix(docs)))
+    rows = byte_bpe.round_trip(mixing.mix(docs))
     whole = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")
     return rows.select(
         "doc_id",

@@ -447,6 +447,18 @@ def test_byte_bpe(rows, request, spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_byte_bpe_takes_one_python_worker(spark):
+    rows = [(1, "a b", 7), (2, None, 7), (3, "", None), (4, "Stra\u00dfe \u20ac 12,5", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    apart = byte_bpe.decode(byte_bpe.encode(df))
+    together = byte_bpe.round_trip(df)
+    assert together.schema == apart.schema
+    assert sorted(together.collect()) == sorted(apart.collect())
+    docs = df.selectExpr("*", "'en' AS lang", "'web' AS source")
+    for rows in (byte_bpe.document_tokens(df), corpus_pipeline.token_ids(spark, docs, "")):
+        assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_byte_bpe_of_long_texts(empty):
     encoder = byte_bpe.encoding(*byte_bpe.default_ranks())
     for text in (

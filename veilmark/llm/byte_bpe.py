@@ -83,13 +83,21 @@ def _encode(batch: pa.RecordBatch, text: str, path: str, pattern: str) -> list[p
     return [list_array(rows, pa.int32(), "int32")]
 
 
-def _decode(batch: pa.RecordBatch, ids: str, path: str, pattern: str) -> list[pa.Array]:
+def _decoded(lists: pa.Array, path: str, pattern: str) -> list[pa.Array]:
     encoder = encoding(path, pattern)
-    lists = batch.column(batch.schema.get_field_index(ids))
     rows = [encoder.decode_bytes(row.as_py() or []) for row in lists]
     return [pa.array(rows, pa.binary())]
 
 
+def _decode(batch: pa.RecordBatch, ids: str, path: str, pattern: str) -> list[pa.Array]:
+    return _decoded(batch.column(batch.schema.get_field_index(ids)), path, pattern)
+
+
+def _round_trip(batch: pa.RecordBatch, text: str, path: str, pattern: str) -> list[pa.Array]:
+    ids = _encode(batch, text, path, pattern)
+    return [*ids, *_decoded(ids[0], path, pattern)]
+
+
 def encode(df: DataFrame, text: str = "text", ranks: str | None = None, pattern: str | None = None):
     """All rows with ``ids``, the tokens of the whole text; none for NULL or empty.
 
@@ -108,9 +116,23 @@ def decode(df: DataFrame, ids: str = "ids", ranks: str | None = None, pattern: s
     return with_arrow_columns(df, T.StructType().add("decoded", "binary"), make, None)
 
 
+def round_trip(
+    df: DataFrame, text: str = "text", ranks: str | None = None, pattern: str | None = None
+):
+    """All rows with ``ids`` and ``decoded``, as `decode` of `encode` gives.
+
+    One Python worker per task does both, so an executor holds the encoder once per
+    core and not twice, also while idle workers wait for the next stage.
+    """
+    known = default_ranks() if ranks is None or pattern is None else ("", "")
+    make = partial(_round_trip, text=text, path=ranks or known[0], pattern=pattern or known[1])
+    fields = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("decoded", "binary")
+    return with_arrow_columns(df, fields, make, text)
+
+
 def document_tokens(docs: DataFrame) -> DataFrame:
     """Digests of the ids and of the bytes that they decode to."""
-    rows = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    rows = round_trip(docs.select("doc_id", "text")).drop("text")
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
