@@ -201,6 +201,39 @@ def test_token_store_of_odd_rows(odd, empty):
     assert token_store.stored_tokens(empty).count() == 0
 
 
+def test_encoder_takes_odd_texts_as_the_library_does():
+    texts = [
+        "<|STARTOFTEXT|> a<|endoftext|>b. <|EndOfText|>,c",
+        "H\u0331T\u0308 h\u0331 e\u0301. E\u0301!",
+        "It's CAN'T 'S a.'s a,b.c 3.14 %%% x%%%, &&y&&\x01 \x01 \u4e2d\u6587. \u0130x \u00df.",
+        "",
+    ]
+    words = token_store.WordEncoder(token_store.default_vocabulary())
+    wanted = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        got = words.ids([t.encode() for t in texts], None)
+        assert [np.frombuffer(g, words.dtype).tolist() for g in got] == wanted
+
+
+def test_encoder_keeps_a_word_once_for_all_cases_and_marks():
+    words = token_store.WordEncoder(token_store.default_vocabulary())
+    words.ids([b"Word word, WORD. wOrd", b"word%"], None)
+    assert set(words.known) == {b"", b"word", b",", b".", b"%"}
+
+
+def test_positions_move_records_once(spark):
+    records = spark.range(5000).select("id", F.lit(3).cast("long").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lined, _ = sharding.positions(
+            records, "id", "n", "id", ("id",), split_hot=False, in_order=True
+        )
+        plan = lined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("rangepartitioning(_range") == 1
+
+
 def test_token_store_reads_one_document(spark, docs, texts, tmp_path):
     token_store.write_tokens(docs, str(tmp_path / "t"))
     (row,) = token_store.read_tokens(spark, str(tmp_path / "t"), 77).collect()

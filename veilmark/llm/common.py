@@ -105,41 +105,44 @@ def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) ->
     return df.mapInArrow(function, schema)
 
 
+SLICE_BYTES = 2 << 20
+
+
 def with_arrow_columns(
     df: DataFrame,
     fields: T.StructType,
     make: Callable[[pa.RecordBatch], list[pa.Array]],
     by: str | None = "text",
+    at_once: int = SLICE_BYTES,
 ) -> DataFrame:
     """All rows with added columns, computed batch by batch in Python.
 
     Columns of the added names are replaced, the others pass through. Batches are
-    cut to a bounded size of the column ``by``.
+    cut to about ``at_once`` bytes of the column ``by``.
     """
     added = [f.name for f in fields]
     kept = [f for f in df.schema if f.name.lower() not in {a.lower() for a in added}]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, by) if by else batches:
+        for batch in sliced(batches, by, at_once) if by else batches:
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, *make(batch)], names=[*names, *added])
 
     return map_arrow(df, run, T.StructType([*kept, *fields]))
 
 
-SLICE_BYTES = 2 << 20
-
-
-def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text, or of one row.
+def sliced(
+    batches: Iterator[pa.RecordBatch], column: str = "text", at_once: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``at_once`` bytes of text, or of one row.
 
     What a batch is turned into can be many times its size.
     """
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes) // SLICE_BYTES
+        ends = np.cumsum(sizes) // at_once
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:], strict=False):
             if end > start:

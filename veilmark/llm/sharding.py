@@ -124,9 +124,10 @@ def positions(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"),
     )
-    # A row per range, so Spark can broadcast them; the records move once, below.
+    # A row per range or part of one, a few times MOST_RANGES at most. Without the
+    # hint Spark learns that too late, after the records have moved for the join.
     on = (F.col(RANGE) == F.col("_r")) & (F.col(SUB) == F.col("_s"))
-    placed = placed.join(offsets, on).drop("_r", "_s")
+    placed = placed.join(F.broadcast(offsets), on).drop("_r", "_s")
     if in_order:
         parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = placed.repartitionByRange(parts, RANGE)

@@ -11,11 +11,15 @@ again replaces its own output and nothing else.
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +39,12 @@ LEVEL = 3
 PACK_DOCS = 256
 KNOWN_WORDS = 700_000
 LONG_WORD = 100
+ENCODED_BYTES = 4 << 20
 TOGETHER = 500
-CLOSING = b".,;:!?"
 BETWEEN = b"\x01"
+# Marks behind an ASCII letter or digit, and the first bytes of combining accents.
+CLOSING = re.compile(rb"[#$%&*|.,;:!?](?<=[a-z0-9].)")
+ACCENTS = re.compile(rb"[\xcc\xcd]")
 
 PACK = T.StructType(
     [
@@ -72,84 +79,115 @@ class WordEncoder:
 
     The vocabulary's pre-tokenizer drops white space and never matches across
     it, so the ids of a text are those of its parts between white space, as
-    little-endian bytes one after the other. The ids of words seen before are
-    kept, up to a bound.
+    little-endian bytes one after the other. Its normalizer lowers letters, and
+    marks behind an ASCII letter or digit are a match of their own, so they are
+    parts too. The ids of parts seen before are kept, up to a bound.
     """
 
     def __init__(self, path: str):
+        # One text at a time has nothing for other threads, which wait busily.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        # An added token cuts a text before it is normalized; words that may
-        # hold a part of one are encoded alone.
+        # An added token cuts a text before it is normalized; words that hold
+        # one are encoded alone.
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.marks = {t.content[0].encode() for t in added if t.content}
+        self.added = [t.content.encode() for t in added if t.content]
         alone = self.tokenizer.encode(BETWEEN.decode(), add_special_tokens=False).ids
         if len(alone) != 1:
             raise ValueError("the vocabulary has no single token for the mark between words")
         self.between = alone[0]
-
-    def learn(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids of new words, many at a time, with a known token between them."""
-        apart = [m for m in self.marks if m != BETWEEN]
-        odd = [w for w in words if BETWEEN in w or any(m in w for m in apart)]
-        skip = set(odd)
-        plain = [w for w in words if w not in skip]
-        width = self.dtype.itemsize
-        mark = f" {BETWEEN.decode()} "
-        for at in range(0, len(plain), TOGETHER):
-            some = plain[at : at + TOGETHER]
-            texts = [mark.join([w.decode() for w in some])]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)[0].ids
-            ids = np.array(found, self.dtype)
-            raw, start = ids.tobytes(), 0
-            ends = np.append(np.flatnonzero(ids == self.between), len(ids)).tolist()
-            for word, end in zip(some, ends, strict=True):
-                yield word, raw[start * width : end * width]
-                start = end + 1
-        for word in odd:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            yield word, np.array(ids, self.dtype).tobytes()
-
-    def parts(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words, put together from their cores and closing marks.
-
-        The normalizer lowers letters, and marks behind an ASCII letter or digit
-        are a match of their own, so far fewer words are encoded.
+        # Tokens that end a match, where the vocabulary tells them from others.
+        self.last = np.zeros(size, bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def together(self, words: list[bytes], mark: bytes) -> np.ndarray:
+        """Ids of many words as one text, with ``mark`` between them."""
+        text = mark.join(words).decode()
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, self.dtype)
+
+    def cut(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray, gap: int) -> dict:
+        """The words with their ids, which end before ``ends`` and lie ``gap`` apart."""
+        width, raw = self.dtype.itemsize, ids.tobytes()
+        starts = np.append(0, ends[:-1] + gap) * width
+        places = map(slice, starts.tolist(), (ends * width).tolist())
+        return dict(zip(words, map(raw.__getitem__, places), strict=True))
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words, many at a time.
+
+        Letters are one match, which its last token tells: if there are as many of
+        these as words, each word has one. Between other words stands a known token.
+        """
+        found: dict[bytes, bytes] = {}
+        rest = words
+        if self.last.any():
+            plain, rest = [], []
+            for word in words:
+                (plain if word.decode().isalpha() else rest).append(word)
+            for at in range(0, len(plain), TOGETHER):
+                some = plain[at : at + TOGETHER]
+                ids = self.together(some, b" ")
+                ends = np.flatnonzero(self.last[ids]) + 1
+                if len(ends) == len(some):
+                    found |= self.cut(some, ids, ends, 0)
+                else:
+                    rest += some
+        for at in range(0, len(rest), TOGETHER):
+            some, odd = rest[at : at + TOGETHER], []
+            held, apart = b" ".join(some), [BETWEEN, *self.added]
+            if any(m in held for m in apart):
+                odd = [w for w in some if any(m in w for m in apart)]
+                some = [w for w in some if not any(m in w for m in apart)]
+            if some:
+                ids = self.together(some, b" " + BETWEEN + b" ")
+                ends = np.append(np.flatnonzero(ids == self.between), len(ids))
+                found |= self.cut(some, ids, ends, 1)
+            for word in odd:
+                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                found[word] = np.array(ids, self.dtype).tobytes()
+        return found
+
+    def parted(self, text: bytes) -> bytes:
+        """The text with white space between parts whose ids make up its own.
+
+        Letters are lowered before the normalizer composes them with accents, which
+        some are in one case alone; texts with such accents keep their case. So
+        do texts that hold an added token in any case, whose marks are not parted.
         """
-        cores, split = set(), {}
-        for word in words:
-            core = word.lower()
-            stem = core.rstrip(CLOSING)
-            if stem and stem != core and stem[-1] < 128 and stem[-1:].isalnum():
-                split[word] = stem, core[len(stem) :]
-                cores.update(split[word])
-            else:
-                split[word] = core, b""
-                cores.add(core)
-        known = self.known
-        found = dict(self.learn(sorted(c for c in cores if c not in known)))
-        every = {c: found[c] if c in found else known[c] for c in cores}
-        every[b""] = b""
-        made = {w: every[a] + every[b] for w, (a, b) in split.items()}
-        return found | made
+        low = text.lower()
+        if ACCENTS.search(low) or any(m.lower() in low for m in self.added):
+            return text
+        return CLOSING.sub(rb" \g<0>", low)
 
     def ids(self, texts: list[bytes], end_id: int | None) -> list[bytes]:
-        split = [t.split() for t in texts]
-        parts = [list(map(self.known.get, words)) for words in split]
-        gaps = [i for i, found in enumerate(parts) if None in found]
-        new = {w for i in gaps for w, f in zip(split[i], parts[i], strict=True) if f is None}
-        found = self.parts(new)
-        for i in gaps:
-            parts[i] = [
-                found[w] if f is None else f for w, f in zip(split[i], parts[i], strict=True)
-            ]
-        if len(self.known) + len(found) > KNOWN_WORDS:
+        parts = pc.ascii_split_whitespace(pa.array(map(self.parted, texts), pa.string()))
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        self.known.update((w, f) for w, f in found.items() if len(w) <= LONG_WORD)
+        found = self.learn([w for w in words if w and w not in self.known])
+        self.known |= found
+        self.known[b""] = b""
+        pieces = list(map(self.known.__getitem__, words))
+        for word in [w for w in found if len(w) > LONG_WORD]:
+            del self.known[word]
+        # All places of the words at once, as places of ids in their pieces.
+        pool = np.frombuffer(b"".join(pieces), self.dtype)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        which = coded.indices.to_numpy()
+        ends = np.cumsum(np.append(0, sizes[which]))
+        shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        every = pool[np.repeat(shift, sizes[which]) + np.arange(ends[-1])]
         end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        return [b"".join(found) + end for found in parts]
+        cuts = ends[parts.offsets.to_numpy()].tolist()
+        return [every[a:b].tobytes() + end for a, b in pairwise(cuts)]
 
 
 @lru_cache(maxsize=2)
@@ -262,7 +300,7 @@ def write_tokens(
     digest = dictionary_hash(dictionary)
     make = partial(_compress, path=vocabulary, dictionary=dictionary, end_id=end_id)
     fields = T.StructType().add("n_tokens", "long").add("frame", "binary")
-    records = stored(with_arrow_columns(docs, fields, make).drop("text"), "token-frames")
+    records = stored(with_arrow_columns(docs, fields, make, at_once=ENCODED_BYTES).drop("text"), "token-frames")
     records = records.withColumn(
         "key", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     )
