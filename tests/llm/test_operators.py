@@ -135,6 +135,33 @@ def test_ngram_join_of_large_groups(spark, monkeypatch):
     assert got == components_by_force(rows, 4, 85)
 
 
+def test_ngram_join_looks_up_few_rows_for_their_class(spark, monkeypatch):
+    rows = [(i, f"one{i} two{i} three{i} four{i} five{i}") for i in range(600)]
+    rows += [(600 + i, rows[i % 7][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, tests, make = {}, {}, ngram_join.may_be_in
+
+    def keep(frame, label):
+        kept[label] = real(frame, label)
+        return kept[label]
+
+    def told(ids, column, n_ids):
+        tests[column] = make(ids, column, n_ids)
+        return tests[column]
+
+    real = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", keep)
+    monkeypatch.setattr(ngram_join, "may_be_in", told)
+    got = sorted(map(tuple, ngram_join.document_components(df).collect()), key=repr)
+    assert got == components_by_force(rows, 4, 85)
+    moved = kept["ngram-index"].where(tests["row"](F.col("row"))).count()
+    assert 20 <= moved < 100 and kept["ngram-firsts"].count() == 600
+    # A bitmap that is full clears nothing, and the lookup decides.
+    monkeypatch.setattr(ngram_join, "may_be_in", lambda *_: lambda value: value.isNotNull())
+    got = sorted(map(tuple, ngram_join.document_components(df).collect()), key=repr)
+    assert got == components_by_force(rows, 4, 85)
+
+
 def test_ngram_join_of_odd_rows(odd, empty):
     got = sorted(map(tuple, ngram_join.document_components(odd).collect()), key=repr)
     assert got == components_by_force([r[:2] for r in ODD], 4, 85)

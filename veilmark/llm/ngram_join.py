@@ -516,6 +516,21 @@ def may_be_in(ids: DataFrame, column: str, n_ids: int) -> Callable[[Column], Col
     return test
 
 
+def _firsts(index: DataFrame, classes: DataFrame) -> DataFrame:
+    """The row of the index that stands for each class, with its prefix.
+
+    Only rows that may be one of the other copies, by a bitmap of these, are
+    looked up; the rest of the index does not move.
+    """
+    sets = index.where("size > 0")
+    several = classes.where("copies > 1").select(F.col("key").alias("k"), "rep")
+    others = sets.select("key", "row").join(several, F.col("key") == F.col("k"))
+    others = stored(others.where("row <> rep").select("row"), "ngram-copies")
+    asked = may_be_in(others, "row", others.count())(F.col("row"))
+    cleared = sets.where(asked).join(others, "row", "left_anti").select(*sets.columns)
+    return stored(sets.where(~asked).union(cleared), "ngram-firsts")
+
+
 def joined(
     docs: DataFrame, n: int = WORDS, percent: int = PERCENT, row: str | None = None
 ) -> DataFrame:
@@ -555,8 +570,10 @@ def joined(
         ),
         "ngram-classes",
     )
-    firsts = index.join(classes.select("rep", "copies"), F.col("row") == F.col("rep"))
-    postings = firsts.select(F.explode("prefix").alias("token"), "rep", "size", "edge")
+    firsts = _firsts(index, classes)
+    postings = firsts.select(
+        F.explode("prefix").alias("token"), F.col("row").alias("rep"), "size", "edge"
+    )
     lists = postings.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("n_list"))
     shared = stored(
         postings.join(lists.where("n_list > 1"), F.col("token") == F.col("t")).drop("t"),
@@ -571,7 +588,8 @@ def joined(
         .union(pairs.select(F.col("v").alias("rep")))
         .distinct()
     )
-    wanted = firsts.join(candidates, "rep").select(
+    candidates = candidates.join(classes.select("rep", "copies"), "rep")
+    wanted = firsts.join(candidates, F.col("row") == F.col("rep")).select(
         F.col("doc_id").alias("id"), F.col("content").alias("c"), "rep", "key", "copies"
     )
     wanted = stored(wanted, "ngram-wanted")
