@@ -222,6 +222,15 @@ def test_token_store(docs, texts):
     assert got == list(token_rows(texts.items()))
 
 
+def test_token_store_takes_no_text_back(docs, monkeypatch, tmp_path):
+    shown = []
+    store = token_store.stored
+    monkeypatch.setattr(token_store, "stored", lambda df, name: shown.append(plan(df)) or store(df, name))
+    token_store.write_tokens(docs, str(tmp_path / "t"))
+    (given,) = re.findall(r"MapInArrow .*, \[([^\]]*)\]", shown[0])
+    assert re.findall(r"(\w+)#", given) == ["doc_id", "n_tokens", "frame"]
+
+
 def test_token_store_of_odd_rows(odd, empty):
     rows = [*map(tuple, token_store.stored_tokens(odd).collect())]
     assert sorted(rows, key=lambda r: r[1]) == list(token_rows([r[:2] for r in ODD]))

@@ -114,14 +114,18 @@ def with_arrow_columns(
     make: Callable[[pa.RecordBatch], list[pa.Array]],
     by: str | None = "text",
     at_once: int = SLICE_BYTES,
+    without: tuple[str, ...] = (),
 ) -> DataFrame:
     """All rows with added columns, computed batch by batch in Python.
 
-    Columns of the added names are replaced, the others pass through. Batches are
-    cut to about ``at_once`` bytes of the column ``by``.
+    Columns of the added names are replaced, the others pass through, except those
+    named in ``without``: Spark cannot tell that a column is not wanted back, so one
+    dropped afterwards is copied to the JVM first. Batches are cut to about ``at_once``
+    bytes of the column ``by``.
     """
     added = [f.name for f in fields]
-    kept = [f for f in df.schema if f.name.lower() not in {a.lower() for a in added}]
+    gone = {name.lower() for name in (*added, *without)}
+    kept = [f for f in df.schema if f.name.lower() not in gone]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -300,7 +300,8 @@ def write_tokens(
     digest = dictionary_hash(dictionary)
     make = partial(_compress, path=vocabulary, dictionary=dictionary, end_id=end_id)
     fields = T.StructType().add("n_tokens", "long").add("frame", "binary")
-    records = stored(with_arrow_columns(docs, fields, make, at_once=ENCODED_BYTES).drop("text"), "token-frames")
+    coded = with_arrow_columns(docs, fields, make, at_once=ENCODED_BYTES, without=("text",))
+    records = stored(coded, "token-frames")
     records = records.withColumn(
         "key", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     )
