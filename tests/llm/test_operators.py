@@ -755,6 +755,19 @@ def test_pipeline_of_odd_rows(spark, odd):
     assert corpus_pipeline.near_duplicates(spark, odd, "").count() == 8
 
 
+def test_near_duplicates_leave_only_what_is_read_later(spark, docs, monkeypatch, tmp_path):
+    few, number = corpus_pipeline.stored(docs.limit(300), "few"), itertools.count()
+    force = components_by_force([(r["doc_id"], r["text"]) for r in few.collect()], 5, 80)
+    monkeypatch.setattr(
+        "veilmark.llm.common.scratch_path", lambda _, label: f"{tmp_path}/{label}-{next(number)}"
+    )
+    rows = corpus_pipeline.near_duplicates(spark, few, "")
+    left = sorted(p.name.rpartition("-")[0] for p in tmp_path.iterdir())
+    assert left == ["linked", "numbered"] and next(number) > 10
+    want = {d for d, _, least, links in force if not links or least == d}
+    assert sorted(r["doc_id"] for r in rows.collect()) == sorted(want)
+
+
 HELPERS = (
     "src s b t k l p row group loser keeper label node rep content wanted key size edge token "
     "_src _b _h _k _n0 _rank _row _source _id _lang _words _lines _q _t _chars _places _key _range "

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ WORD_RE = re.compile(WORD)
 SPACE = r"[\x20\x09-\x0D]+"
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -32,10 +36,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     rows anew, and every reader sees the same rows.
     """
     path = scratch_path(df.sparkSession, label)
+    if (noted := _noted.get()) is not None:
+        noted.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted_paths() -> Iterator[list[str]]:
+    """The paths that `stored` writes to meanwhile in this thread, for `removed`."""
+    paths: list[str] = []
+    token = _noted.set(paths)
+    try:
+        yield paths
+    finally:
+        _noted.reset(token)
+
+
+def removed(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Stored tables deleted that nothing reads any more, wherever the folder is."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Compute ``value`` once per row and use it often in ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

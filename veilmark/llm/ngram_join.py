@@ -30,7 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm.class_lm import frequent_from, word_counts, words_of_batch
-from veilmark.llm.common import PACKED, importable, map_arrow, packed, sliced, stored, unpacked
+from veilmark.llm.common import (
+    PACKED,
+    importable,
+    map_arrow,
+    noted_paths,
+    packed,
+    removed,
+    sliced,
+    stored,
+    unpacked,
+)
 from veilmark.llm.components import connected
 
 WORDS, PERCENT = 4, 85
@@ -649,14 +659,17 @@ def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The rows without links, and of each component the one of the least doc_id.
 
     Ties go to the first row; NULL ids come last. All columns are kept, whatever
-    their names.
+    their names. The join's own tables, larger than its result, are deleted once
+    that is stored; only the rows and their links are read later.
     """
     numbered = packed(docs).withColumn("row", F.monotonically_increasing_id())
     numbered = stored(numbered, "numbered")
     own = [F.col(PACKED)[c].alias(c) for c in ("doc_id", "text")]
     texts = numbered.select(*own, "row")
-    linked = joined(texts, n, percent, "row").where("n_links > 0")
+    with noted_paths() as own_tables:
+        linked = joined(texts, n, percent, "row").where("n_links > 0")
     linked = stored(linked.select("doc_id", "row", "group"), "linked")
+    removed(docs.sparkSession, own_tables)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     keepers = linked.groupBy("group").agg(F.min(order)["row"].alias("keeper"))
     losers = linked.join(keepers, F.col("row") == F.col("keeper"), "left_anti")
