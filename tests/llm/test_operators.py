@@ -10,6 +10,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken  # noqa: F401
 import xxhash
@@ -435,6 +436,27 @@ def test_class_lm_clusters_every_word_that_is_not_rare(spark):
     assert np.mean([r["perplexity"] for r in out]) < 900
 
 
+def test_class_lm_looks_up_a_word_once_per_batch(monkeypatch):
+    asked = []
+    tail = class_lm.tail_class
+    monkeypatch.setattr(class_lm, "tail_class", lambda w: asked.append(w) or tail(w))
+    texts = ["the Rare  " * 50, None, " ", "rare\x0bthe", "\u00c9 \u00a0rare"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    (line,) = class_lm._lines(iter([batch]), {b"the": 0})
+    end = 1 + class_lm.TAILS
+    wanted = [end]
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        wanted += [0 if w == b"the" else 1 + tail(w) for w in words] + [end]
+    assert line.tolist() == wanted
+    assert len(asked) <= 4
+    counts = collections.Counter()
+    for counted in class_lm._count_words(iter([batch] * 3)):
+        counts.update({r["word"]: r["n"] for r in counted.to_pylist()})
+    wanted = collections.Counter(w for t in texts if t for w in t.encode().lower().split())
+    assert counts == {w: 3 * n for w, n in wanted.items()} | {None: 15}
+
+
 def test_toxicity(spark, sf_dir, docs, odd, empty):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = ordinal_toxicity.fit(docs, labels)

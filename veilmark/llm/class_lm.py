@@ -14,14 +14,15 @@ and known to all tasks.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,9 @@ WORDS_AT_ONCE = 256
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FREQUENT = 100_000
 HELD_MOD, HELD_REST = 7, 2
-MOST_KEPT = 300_000
+MOST_KEPT = 500_000
+# A word that occurs several times in one slice of texts is looked up once.
+CODED_BYTES = 8 << 20
 
 
 def held_out(doc_id: str) -> Column:
@@ -64,25 +67,68 @@ def words_of_batch(batch: pa.RecordBatch, text: str = "text") -> list[list[bytes
     return [(t or b"").lower().split() for t in column.to_pylist()]
 
 
-def _counted(counter: Counter) -> pa.RecordBatch:
-    words = list(counter)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(words, pa.binary()), pa.array(counter.values(), pa.int64())], ["word", "n"]
-    )
+@dataclass(frozen=True)
+class Coded:
+    """Texts of a batch as places of words: text i has those from offset i to i + 1."""
+
+    distinct: pa.Array  # words as `words_of_batch` gives them, and maybe an unused empty one
+    which: np.ndarray  # the word at each place
+    offsets: np.ndarray
+
+    def line(self, values: np.ndarray, end: int) -> np.ndarray:
+        """A value per place, with ``end`` before and after each text."""
+        n_texts = len(self.offsets) - 1
+        line = np.full(len(values) + n_texts + 1, end)
+        text = np.repeat(np.arange(n_texts), np.diff(self.offsets))
+        line[np.arange(len(values)) + text + 1] = values
+        return line
+
+
+def coded_words(batch: pa.RecordBatch, text: str = "text") -> Coded:
+    column = batch.column(batch.schema.get_field_index(text)).cast(pa.string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    coded = parts.flatten().dictionary_encode()
+    distinct, which = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
+    offsets = parts.offsets.to_numpy()
+    # White space around a text and a text without words leave empty parts.
+    empty = distinct.index(b"").as_py()
+    if empty >= 0:
+        filled = which != empty
+        offsets = np.append(0, np.cumsum(filled))[offsets]
+        which = which[filled]
+    return Coded(distinct, which, offsets)
+
+
+COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+
+
+def _added_up(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    counts = pa.Table.from_batches(held, COUNTS).group_by("word", use_threads=False)
+    counts = counts.aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+    return counts.select(COUNTS.names).combine_chunks().to_batches()[0]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and their number; the end of a text is the word NULL."""
-    counter: Counter = Counter()
-    for batch in sliced(batches):
-        for words in words_of_batch(batch):
-            counter.update(words)
-            counter[None] += 1
-            if len(counter) > MOST_KEPT:
-                yield _counted(counter)
-                counter = Counter()
-    if counter:
-        yield _counted(counter)
+    held, size, n_texts = [], 0, 0
+    for batch in sliced(batches, at_once=CODED_BYTES):
+        n_texts += batch.num_rows
+        coded = coded_words(batch)
+        times = np.bincount(coded.which, minlength=len(coded.distinct))
+        counts = pa.RecordBatch.from_arrays([coded.distinct, pa.array(times)], schema=COUNTS)
+        held.append(counts.filter(pa.array(times > 0)))
+        size += len(held[-1])
+        if size > MOST_KEPT:
+            held = [_added_up(held)]
+            size = len(held[0])
+            if 2 * size > MOST_KEPT:
+                yield held[0]
+                held, size = [], 0
+    if size:
+        yield _added_up(held)
+    if n_texts:
+        ends = [pa.array([None], pa.binary()), pa.array([n_texts], pa.int64())]
+        yield pa.RecordBatch.from_arrays(ends, schema=COUNTS)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -103,12 +149,19 @@ def frequent_from(counts: DataFrame, most: int) -> int:
     return least if least is not None else (greatest or 0) + 1
 
 
-def _symbols(words: list[bytes], number: dict[bytes, int], n_numbered: int) -> np.ndarray:
+def numbered_words(number: dict[bytes, int]) -> pa.Array:
+    """The words in the order of their numbers, which are 0 and on."""
+    return pa.array(number, pa.binary())
+
+
+def _symbols(words: pa.Array, numbered: pa.Array) -> np.ndarray:
     """Numbers of the words; a tail class follows the numbered words."""
-    found = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
+    found = pc.fill_null(pc.index_in(words, numbered), -1).to_numpy().astype(np.int64)
     rest = np.flatnonzero(found < 0)
     if len(rest):
-        found[rest] = [n_numbered + tail_class(words[i]) for i in rest.tolist()]
+        endings = pc.binary_slice(words.take(pa.array(rest)), -ENDING).dictionary_encode()
+        tails = [tail_class(e) for e in endings.dictionary.to_pylist()]
+        found[rest] = len(numbered) + np.array(tails)[endings.indices.to_numpy()]
     return found
 
 
@@ -116,12 +169,10 @@ def _lines(
     batches: Iterator[pa.RecordBatch], number: dict[bytes, int]
 ) -> Iterator[np.ndarray]:
     """Symbols of some texts in a row, with the end before and after each text."""
-    end = np.array([len(number) + TAILS])
-    for batch in sliced(batches):
-        line = [end]
-        for words in words_of_batch(batch):
-            line += [_symbols(words, number, len(number)), end]
-        yield np.concatenate(line)
+    numbered = numbered_words(number)
+    for batch in sliced(batches, at_once=CODED_BYTES):
+        coded = coded_words(batch)
+        yield coded.line(_symbols(coded.distinct, numbered)[coded.which], len(number) + TAILS)
 
 
 def _bincounts(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -468,45 +519,55 @@ SCORED = T.StructType(
 )
 
 
+def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The sum of each text's values."""
+    return np.array([values[a:b].sum() for a, b in pairwise(offsets.tolist())], float)
+
+
+def _rare_words(coded: Coded, rare: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Each text's distinct words among the ``rare`` places, and how often they occur there."""
+    n_texts = len(coded.offsets) - 1
+    text = np.repeat(np.arange(n_texts), np.diff(coded.offsets))[rare]
+    n_words = max(1, len(coded.distinct))
+    pairs, times = np.unique(text * n_words + coded.which[rare], return_counts=True)
+    ends = np.cumsum(np.bincount(pairs // n_words, minlength=n_texts))
+    offsets = pa.array(np.append(0, ends).astype(np.int32))
+    words = coded.distinct.take(pa.array(pairs % n_words))
+    return (
+        pa.ListArray.from_arrays(offsets, words),
+        pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
+    )
+
+
 def _score(
     batches: Iterator[pa.RecordBatch], model: ClassModel, kept: list[str]
 ) -> Iterator[pa.RecordBatch]:
     n_numbered, n_clustered = len(model.number), model.n_clustered
+    numbered = numbered_words(model.number)
     # Symbol -> class: frequent words beyond the clustered ones are in tails too.
     of_tail = [CLASSES + tail_class(w) for w in list(model.number)[n_clustered:]]
     tails = CLASSES + np.arange(TAILS)
     classes = np.concatenate((model.place[:n_clustered], of_tail, tails)).astype(np.int64)
     end = CLASSES + TAILS
-    for batch in sliced(batches):
-        out: list[list] = [[] for _ in SCORED]
-        for words in words_of_batch(batch):
-            symbols = _symbols(words, model.number, n_numbered)
-            known = symbols < n_numbered
-            line = np.concatenate(([end], classes[symbols], [end]))
-            rare = Counter(words[i] for i in np.flatnonzero(~known).tolist())
-            row = (
-                len(words) + 1,
-                int(known.sum()),
-                float(model.log_count[symbols[known]].sum()),
-                float(
-                    model.log_transition[line[:-1], line[1:]].sum()
-                    - model.log_weight[line[1:-1]].sum()
-                ),
-                list(rare),
-                list(rare.values()),
-            )
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
-        kinds = [
-            pa.int64(),
-            pa.int64(),
-            pa.float64(),
-            pa.float64(),
-            pa.list_(pa.binary()),
-            pa.list_(pa.int32()),
+    for batch in sliced(batches, at_once=CODED_BYTES):
+        coded = coded_words(batch)
+        symbols = _symbols(coded.distinct, numbered)[coded.which]
+        known = symbols < n_numbered
+        known_offsets = np.append(0, np.cumsum(known))[coded.offsets]
+        line = coded.line(classes[symbols], end)
+        # Between two texts stands one end, from which the second goes on.
+        turns = coded.offsets + np.arange(len(coded.offsets))
+        made = [
+            pa.array(np.diff(turns)),
+            pa.array(np.diff(known_offsets)),
+            pa.array(_sums(model.log_count[symbols[known]], known_offsets)),
+            pa.array(
+                _sums(model.log_transition[line[:-1], line[1:]], turns)
+                - _sums(model.log_weight[classes[symbols]], coded.offsets)
+            ),
+            *_rare_words(coded, ~known),
         ]
         same = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-        made = [pa.array(v, kind) for v, kind in zip(out, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays([*same, *made], names=[*kept, *SCORED.names])
 
 
