@@ -22,6 +22,7 @@ from veilmark.llm import (
     byte_bpe,
     char_crf,
     class_lm,
+    common,
     components,
     mixing,
     ngram_join,
@@ -271,6 +272,36 @@ def test_positions_move_records_once(spark):
     assert "SortMergeJoin" not in plan and plan.count("rangepartitioning(_range") == 1
 
 
+def test_ordered_positions_bound_what_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 10)
+    records = spark.range(4000).select("id", F.lit(3).cast("long").alias("n"))
+    lined, _ = sharding.positions(records, "id", "n", "id", ("id",), split_hot=False, in_order=True)
+    held = lined.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("rows"), F.min("_row").alias("low"), F.max("_row").alias("high")
+    )
+    held = held.orderBy("p").collect()
+    assert 20 <= len(held) <= 25 and max(r["rows"] for r in held) <= 2 * 160
+    assert all(a["high"] + 1 == b["low"] for a, b in itertools.pairwise(held))
+
+
+def test_token_store_holds_few_texts_and_words_at_once(docs, monkeypatch, tmp_path):
+    spark, sent = docs.sparkSession, []
+    store, before = token_store.stored, spark.conf.get(common.ARROW_BYTES)
+
+    def noted(df, name):
+        sent.append(int(spark.conf.get(common.ARROW_BYTES)))
+        return store(df, name)
+
+    monkeypatch.setattr(token_store, "stored", noted)
+    token_store.write_tokens(docs, str(tmp_path / "t"))
+    assert sent == [token_store.ENCODED_BYTES]
+    assert spark.conf.get(common.ARROW_BYTES) == before
+    # A worker that goes on to write packs has no words left.
+    token_store.encoder(token_store.default_vocabulary()).ids([b"word"], None)
+    assert list(token_store._packs(iter([]), "", 2)) == []
+    assert token_store.encoder.cache_info().currsize == 0
+
+
 def test_token_store_reads_one_document(spark, docs, texts, tmp_path):
     token_store.write_tokens(docs, str(tmp_path / "t"))
     (row,) = token_store.read_tokens(spark, str(tmp_path / "t"), 77).collect()

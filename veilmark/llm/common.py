@@ -131,6 +131,21 @@ def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) ->
 
 
 SLICE_BYTES = 2 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, at_once: int = SLICE_BYTES) -> Iterator[None]:
+    """What runs meanwhile sends rows to Python by so many bytes, or one row at a time.
+
+    The batches stand in the JVM, in buffers of up to twice their size, and in Python.
+    """
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, str(at_once))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
 
 
 def with_arrow_columns(

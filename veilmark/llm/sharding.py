@@ -21,6 +21,8 @@ ROWS_PER_RANGE = 1024
 MOST_RANGES = 16384
 SAMPLES_PER_RANGE = 32
 OVERFULL = 2
+# Ranges in a partition of ordered records, which one task sorts and writes.
+RANGES_TOGETHER = 16
 GROUP = 128
 HASH_BITS = 31
 KEY_BITS = 52
@@ -92,7 +94,8 @@ def positions(
     overfull ranges are cut into ``_sub`` parts first. ``size`` must not be NULL.
     No task sorts more than a few ranges' worth of records unless ``split_hot``
     is off and one key is hot. With ``in_order`` the result's partitions follow
-    one another as the ranges do. Input columns of the added names are replaced.
+    one another as the ranges do, a bounded number of ranges in each. Input columns
+    of the added names are replaced.
     """
     records = records.drop(RANGE, SUB, START, ROW)
     totals = one_row(
@@ -129,8 +132,8 @@ def positions(
     on = (F.col(RANGE) == F.col("_r")) & (F.col(SUB) == F.col("_s"))
     placed = placed.join(F.broadcast(offsets), on).drop("_r", "_s")
     if in_order:
-        parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = placed.repartitionByRange(parts, RANGE)
+        # Two at least, so that a small table too is placed by more than one task.
+        placed = placed.repartitionByRange(max(2, -(-n_ranges // RANGES_TOGETHER)), RANGE)
     inside = Window.partitionBy(RANGE, SUB).orderBy(*order)
     prior = inside.rowsBetween(Window.unboundedPreceding, -1)
     lined = placed.select(

@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from veilmark.llm.common import lowest, map_arrow, sliced, stored, with_arrow_columns
+from veilmark.llm.common import (
+    lowest,
+    map_arrow,
+    sliced,
+    small_batches,
+    stored,
+    with_arrow_columns,
+)
 from veilmark.llm.sharding import ROW, START, positions
 from veilmark.session import scratch_path
 
@@ -195,6 +202,15 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def forget() -> None:
+    """A worker that has no more to encode gives the memory of its words back.
+
+    Workers go on from one step to the next, and later steps need none of the words.
+    """
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -244,6 +260,8 @@ def packer(dictionary: bytes) -> zstandard.ZstdCompressor:
 def _compress(batch: pa.RecordBatch, path: str, dictionary: bytes, end_id: int) -> list[pa.Array]:
     words = encoder(path)
     rows = words.ids(utf8_of(batch), end_id)
+    # Freed buffers of a batch are kept for as large ones, which the words leave no room for.
+    pa.default_memory_pool().release_unused()
     compress = packer(dictionary).compress
     return [
         pa.array([len(r) // words.dtype.itemsize for r in rows], pa.int64()),
@@ -255,6 +273,7 @@ def _packs(
     batches: Iterator[pa.RecordBatch], digest: str, id_bytes: int
 ) -> Iterator[pa.RecordBatch]:
     """Packs of the rows of a partition, which come in order."""
+    forget()
     rows: list[dict] = []
     for batch in batches:
         for row in batch.to_pylist():
@@ -301,7 +320,8 @@ def write_tokens(
     make = partial(_compress, path=vocabulary, dictionary=dictionary, end_id=end_id)
     fields = T.StructType().add("n_tokens", "long").add("frame", "binary")
     coded = with_arrow_columns(docs, fields, make, at_once=ENCODED_BYTES, without=("text",))
-    records = stored(coded, "token-frames")
+    with small_batches(docs.sparkSession, ENCODED_BYTES):
+        records = stored(coded, "token-frames")
     records = records.withColumn(
         "key", F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     )
@@ -315,7 +335,8 @@ def write_tokens(
         PACK,
     )
     # The frames are compressed already.
-    packs.write.option("compression", "uncompressed").parquet(f"{path}/packs")
+    with small_batches(docs.sparkSession):
+        packs.write.option("compression", "uncompressed").parquet(f"{path}/packs")
     spark = docs.sparkSession
     spark.createDataFrame([(digest, dictionary)], "hash string, dictionary binary").write.parquet(
         f"{path}/dictionary"
@@ -330,7 +351,8 @@ def _read(
         dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None
     )
     for batch in batches:
-        for pack in batch.to_pylist():
+        for at in range(batch.num_rows):
+            (pack,) = batch.slice(at, 1).to_pylist()
             if pack["dictionary_hash"] != digest:
                 raise ValueError("the pack was written with another dictionary")
             out: dict[str, list] = {"doc_id": [], "start": [], "ids": []}
