@@ -42,7 +42,7 @@ WORDS_AT_ONCE = 256
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FREQUENT = 100_000
 HELD_MOD, HELD_REST = 7, 2
-MOST_KEPT = 500_000
+MOST_KEPT = 300_000
 # A word that occurs several times in one slice of texts is looked up once.
 CODED_BYTES = 8 << 20
 
@@ -118,10 +118,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = pa.RecordBatch.from_arrays([coded.distinct, pa.array(times)], schema=COUNTS)
         held.append(counts.filter(pa.array(times > 0)))
         size += len(held[-1])
-        if size > MOST_KEPT:
+        if size > 2 * MOST_KEPT:
             held = [_added_up(held)]
             size = len(held[0])
-            if 2 * size > MOST_KEPT:
+            if size > MOST_KEPT:
                 yield held[0]
                 held, size = [], 0
     if size:
